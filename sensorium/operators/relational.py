@@ -103,14 +103,12 @@ def top_n_ties(df: DataFrame, n: int, by: ColumnOrName) -> DataFrame:
     """
     x = _c(by)
     head = df.select(x.alias("_v")).orderBy(F.col("_v").desc_nulls_last()).limit(n)
-    stats = head.agg(F.min("_v").alias("_nth"), F.count(F.lit(1)).alias("_k"),
-                     F.count("_v").alias("_kv"))
-    nth = stats.select("_nth").scalar()
-    k = stats.select("_k").scalar()
-    kv = stats.select("_kv").scalar()
+    # One scalar subquery carrying the three numbers (evaluated once).
+    stats = head.agg(F.struct(F.min("_v").alias("nth"), F.count(F.lit(1)).alias("k"),
+                              F.count("_v").alias("kv")).alias("s")).scalar()
     # Fewer than n rows: keep all.  A missing n-th value: every non-missing
     # row is already in the head and all missing rows tie with it.
-    keep = (k < F.lit(n)) | (kv < k) | (x >= nth)
+    keep = (stats["k"] < F.lit(n)) | (stats["kv"] < stats["k"]) | (x >= stats["nth"])
     return df.where(keep)
 
 

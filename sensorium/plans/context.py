@@ -60,4 +60,5 @@ class Ctx:
         # reaches zones and sites through its own dimension chain.
         return SensorModel(readings=self.readings_plain, alerts=self.alerts_plain,
                            dim_sites=self.sites, dim_zones=self.zones,
-                           dim_sensors=td.sensors(self.spark, self.sf_dir, with_site=False))
+                           dim_sensors=td.sensors(self.spark, self.sf_dir, with_site=False,
+                                                  with_thresholds=False))

@@ -65,19 +65,34 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations"]
 
 
+_READERS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The test table ``name`` (read-only input: the reader and its file
+    listing are reused within a session)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READERS:
+        _READERS[key] = spark.read.parquet(path)
+    return _READERS[key]
+
 
+def _sql_lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return f"CAST({float(v)!r} AS DOUBLE)"
 
-def _case(col: Column, mapping: dict) -> Column:
-    expr = None
-    for k, v in mapping.items():
-        expr = F.when(col == k, F.lit(v)) if expr is None else expr.when(col == k, F.lit(v))
-    return expr
 
+def _case(col: str, mapping: dict) -> Column:
+    """A fixed lookup as one SQL CASE expression (a single plan node)."""
+    whens = " ".join(f"WHEN {_sql_lit(k)} THEN {_sql_lit(v)}" for k, v in mapping.items())
+    return F.expr(f"CASE {col} {whens} END")
 
-def threshold(sensor_type: Column, field: str) -> Column:
-    """Unit or threshold of a sensor type, from the fixed threshold table."""
+
+def threshold(sensor_type: str, field: str) -> Column:
+    """Unit or threshold of a sensor type (column name or SQL expression),
+    from the fixed threshold table."""
     idx = {"unit": 1, "min_normal": 2, "max_normal": 3, "min_critical": 4, "max_critical": 5}[field]
     return _case(sensor_type, {t[0]: t[idx] for t in SENSOR_TYPES})
 
@@ -98,21 +113,23 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sensors(spark: SparkSession, sf_dir: str, with_site: bool = True) -> DataFrame:
+def sensors(spark: SparkSession, sf_dir: str, with_site: bool = True,
+            with_thresholds: bool = True) -> DataFrame:
     """dim_sensors: one row per customer, with type, unit and thresholds."""
-    stype = _case(F.col("c_mktsegment"), SEGMENT_SENSOR_TYPE)
+    stype = _case("c_mktsegment", SEGMENT_SENSOR_TYPE)
     df = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("sensor_id"),
         F.col("c_name").alias("sensor_name"),
         stype.alias("sensor_type"),
         F.col("c_nationkey").alias("zone_id"),
     )
-    df = df.select(
-        "*",
-        threshold(F.col("sensor_type"), "unit").alias("unit"),
-        *[threshold(F.col("sensor_type"), f).alias(f)
-          for f in ("min_normal", "max_normal", "min_critical", "max_critical")],
-    )
+    if with_thresholds:
+        df = df.select(
+            "*",
+            threshold("sensor_type", "unit").alias("unit"),
+            *[threshold("sensor_type", f).alias(f)
+              for f in ("min_normal", "max_normal", "min_critical", "max_critical")],
+        )
     if with_site:
         nat = table(spark, sf_dir, "nation").select(
             F.col("n_nationkey").alias("zone_id"), F.col("n_regionkey").alias("site_id"))
@@ -125,7 +142,7 @@ def _locate(fact: DataFrame, spark: SparkSession, sf_dir: str, key: str,
     """Attach ZoneId / SiteId (and optionally the sensor type) through the sensor."""
     cust_cols = [F.col("c_custkey").alias("_sid"), F.col("c_nationkey").alias("ZoneId")]
     if want_type:
-        cust_cols.append(_case(F.col("c_mktsegment"), SEGMENT_SENSOR_TYPE).alias("_stype"))
+        cust_cols.append(_case("c_mktsegment", SEGMENT_SENSOR_TYPE).alias("_stype"))
     cust = table(spark, sf_dir, "customer").select(*cust_cols)
     nat = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("_zid"), F.col("n_regionkey").alias("SiteId"))
@@ -138,14 +155,14 @@ def readings(spark: SparkSession, sf_dir: str, located: bool = True) -> DataFram
     """SensorReading over ``events``.  ``located=False`` skips the sensor join
     for queries that never touch ZoneId / SiteId."""
     value = F.col("value")
-    stype = _case(F.col("event_type"), EVENT_SENSOR_TYPE)
+    stype = _case("event_type", EVENT_SENSOR_TYPE)
     ev = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("ReadingId"),
         F.col("user_id").alias("SensorId"),
         F.col("ts").alias("Timestamp"),
         stype.alias("SensorType"),
         value.alias("ReadingValue"),
-        threshold(stype, "unit").alias("Unit"),
+        threshold("SensorType", "unit").alias("Unit"),
         (value > ANOMALY_ABOVE).alias("IsAnomaly"),
         F.when(value < MISSING_QUALITY_BELOW, F.lit(None).cast("string"))
         .when(value > SUSPECT_ABOVE, F.lit(QUALITY_SUSPECT))
@@ -160,7 +177,7 @@ def readings(spark: SparkSession, sf_dir: str, located: bool = True) -> DataFram
 
 def stored_alerts(spark: SparkSession, sf_dir: str, located: bool = True) -> DataFrame:
     """SensorAlert over ``orders`` (urgent → Critical, high → Warning)."""
-    sev = _case(F.col("o_orderpriority"), PRIORITY_SEVERITY)
+    sev = _case("o_orderpriority", PRIORITY_SEVERITY)
     od = (table(spark, sf_dir, "orders")
           .where(F.col("o_orderpriority").isin(list(PRIORITY_SEVERITY)))
           .select(F.col("o_orderkey").alias("AlertId"),
@@ -171,10 +188,13 @@ def stored_alerts(spark: SparkSession, sf_dir: str, located: bool = True) -> Dat
     if not located:
         return od
     out = _locate(od, spark, sf_dir, "SensorId", want_type=True)
+    out = out.select("*", threshold("_stype", "min_normal").alias("_min"),
+                     threshold("_stype", "max_normal").alias("_max"),
+                     threshold("_stype", "unit").alias("_unit"))
     st = F.col("_stype")
     v = F.col("ReadingValue")
-    below = v < threshold(st, "min_normal")
-    thr = F.when(below, threshold(st, "min_normal")).otherwise(threshold(st, "max_normal"))
+    below = v < F.col("_min")
+    thr = F.when(below, F.col("_min")).otherwise(F.col("_max"))
     from sensorium.operators.alerts import alert_message
     return out.select(
         "AlertId", "SensorId", "ZoneId", "SiteId", "Timestamp",
@@ -182,7 +202,7 @@ def stored_alerts(spark: SparkSession, sf_dir: str, located: bool = True) -> Dat
         F.when(below, F.lit("BelowThreshold")).otherwise(F.lit("AboveThreshold")).alias("AlertType"),
         "Severity", "ReadingValue",
         thr.alias("ThresholdValue"),
-        alert_message(st, below, v, threshold(st, "unit"), thr).alias("Message"),
+        alert_message(st, below, v, F.col("_unit"), thr).alias("Message"),
     )
 
 
