@@ -30,6 +30,10 @@ class Ctx:
         read ZoneId / SiteId)."""
         return td.readings(self.spark, self.sf_dir, located=False)
 
+    def locate(self, df: DataFrame, key: str = "SensorId") -> DataFrame:
+        """Attach ZoneId / SiteId to (partial or raw) fact rows."""
+        return td.locate(df, self.spark, self.sf_dir, key)
+
     @cached_property
     def alerts(self) -> DataFrame:
         return td.stored_alerts(self.spark, self.sf_dir, located=True)

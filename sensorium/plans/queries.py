@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from sensorium.functions.scalar import bin_time, pct, round_stable
 from sensorium.operators import relational as R
 from sensorium.plans.context import Ctx
-from sensorium.plans.views import VIEWS
+from sensorium.plans.views import VIEWS, Agg, ViewDef
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -29,10 +29,25 @@ def query(name: str):
 
 
 # ---------------------------------------------------------------- views ----
+LOCATION_KEYS = ("SiteId", "ZoneId")
+
+
 def view(ctx: Ctx, name: str) -> DataFrame:
+    """A view over its whole source.  Reading views aggregate per sensor
+    first and attach the location to the partial rows only; the alert view
+    needs each row's own threshold, so alerts are located row by row."""
     v = VIEWS[name]
-    src = ctx.readings if v.source == "readings" else ctx.alerts
-    return v.compute(src)
+    if v.source == "readings":
+        return located(ctx, v)
+    return v.compute(ctx.alerts)
+
+
+def located(ctx: Ctx, v: ViewDef) -> DataFrame:
+    return v.compute_located(ctx.readings_plain, ctx.locate, LOCATION_KEYS)
+
+
+_COUNT = Agg("n", "count")
+_ANOM = Agg("a", "countif", lambda: F.col("IsAnomaly"))
 
 
 for _name in VIEWS:
@@ -93,33 +108,47 @@ def tile_alerts_by_severity(ctx: Ctx) -> DataFrame:
     return R.count_by(ctx.alerts_plain, "Severity", name="Count").orderBy(F.col("Count").desc())
 
 
+def _per_sensor_alerts(ctx: Ctx, alerts: DataFrame) -> DataFrame:
+    """Alert count and value sum per sensor, then the sensor's type: the
+    dimension lookup sees one row per sensor, not one per alert."""
+    g = alerts.groupBy("SensorId").agg(F.count(F.lit(1)).alias("AlertCount"),
+                                       F.sum("ReadingValue").alias("_s"),
+                                       F.count("ReadingValue").alias("_c"))
+    from sensorium.sources.testdata import locate
+    return locate(g, ctx.spark, ctx.sf_dir, with_type=True).withColumnRenamed("_stype", "SensorType")
+
+
 @query("tile_top10_sensors")
 def tile_top10_sensors(ctx: Ctx) -> DataFrame:
-    g = ctx.alerts.groupBy("SensorId", "SensorType").agg(
-        F.count(F.lit(1)).alias("AlertCount"),
-        round_stable(F.avg("ReadingValue"), 2).alias("AvgReading"))
+    g = _per_sensor_alerts(ctx, ctx.alerts_plain).select(
+        "SensorId", "SensorType", "AlertCount",
+        round_stable(F.try_divide(F.col("_s"), F.col("_c").cast("double")), 2).alias("AvgReading"))
     return R.top_n(g, 10, "AlertCount", tie_break=["SensorId", "SensorType"])
 
 
 @query("tile_anomaly_rate_by_site")
 def tile_anomaly_rate_by_site(ctx: Ctx) -> DataFrame:
-    g = ctx.readings.groupBy("SiteId").agg(F.count(F.lit(1)).alias("Total"),
-                                           F.count_if(F.col("IsAnomaly")).alias("Anomalies"))
-    return (g.select("SiteId", pct("Anomalies", "Total", 2, scale_first=False).alias("AnomalyRate"))
+    g = located(ctx, ViewDef("by_site", "readings", None, ("SiteId",), (_COUNT, _ANOM)))
+    return (g.select("SiteId", pct("a", "n", 2, scale_first=False).alias("AnomalyRate"))
             .orderBy(F.col("AnomalyRate").desc()))
 
 
 @query("tile_readings_by_type_site")
 def tile_readings_by_type_site(ctx: Ctx) -> DataFrame:
-    return (R.count_by(ctx.readings, "SiteId", "SensorType", name="Count")
-            .orderBy(F.col("SiteId").asc(), F.col("SensorType").asc()))
+    g = located(ctx, ViewDef("by_type_site", "readings", None, ("SiteId", "SensorType"),
+                             (Agg("Count", "count"),)))
+    return g.orderBy(F.col("SiteId").asc(), F.col("SensorType").asc())
 
 
 @query("tile_latest50_alerts")
 def tile_latest50_alerts(ctx: Ctx) -> DataFrame:
     cols = ["Timestamp", "SiteId", "SensorType", "Severity", "AlertType", "ReadingValue",
             "ThresholdValue", "Message", "AlertId"]
-    return R.latest(ctx.alerts.select(*cols), 50, tie_break=["AlertId"])
+    # Pick the 50 newest first; only they are looked up in the dimensions.
+    newest = R.latest(ctx.alerts_plain, 50, tie_break=["AlertId"])
+    from sensorium.sources.testdata import enrich_alerts
+    return R.latest(enrich_alerts(newest, ctx.spark, ctx.sf_dir).select(*cols), 50,
+                    tie_break=["AlertId"])
 
 
 _AVG_TILES = [("Temperature", "AvgTemp", 1), ("Humidity", "AvgHumidity", 1),
@@ -153,11 +182,11 @@ def anomaly_rate_1h(ctx: Ctx) -> DataFrame:
 
 @query("temp_by_site_1m")
 def temp_by_site_1m(ctx: Ctx) -> DataFrame:
-    r = ctx.readings
-    recent = R.since(r.where(F.col("SensorType") == "Temperature"), "1h",
-                     as_of=R.as_of_max(ctx.readings_plain))
-    return recent.groupBy(bin_time("Timestamp", "1m").alias("Timestamp"), "SiteId") \
-        .agg(F.avg("ReadingValue").alias("AvgTemp"))
+    r = ctx.readings_plain
+    recent = R.since(r.where(F.col("SensorType") == "Temperature"), "1h", as_of=R.as_of_max(r))
+    v = ViewDef("temp_1m", "readings", "1m", ("SiteId",),
+                (Agg("AvgTemp", "avg", lambda: F.col("ReadingValue")),))
+    return v.compute_located(recent, ctx.locate, LOCATION_KEYS)
 
 
 @query("alerts_severity_30m")
@@ -168,18 +197,19 @@ def alerts_severity_30m(ctx: Ctx) -> DataFrame:
 
 @query("top_sensors_1h")
 def top_sensors_1h(ctx: Ctx) -> DataFrame:
-    a = ctx.alerts
-    g = R.count_by(R.since(a, "1h", as_of=R.as_of_max(ctx.alerts_plain)),
-                   "SensorId", "SensorType", name="AlertCount")
+    a = ctx.alerts_plain
+    g = _per_sensor_alerts(ctx, R.since(a, "1h", as_of=R.as_of_max(a))).select(
+        "SensorId", "SensorType", "AlertCount")
     return R.top_n(g, 10, "AlertCount", tie_break=["SensorId", "SensorType"])
 
 
 @query("temp_by_zone_1h")
 def temp_by_zone_1h(ctx: Ctx) -> DataFrame:
-    r = ctx.readings
-    recent = R.since(r, "1h", as_of=R.as_of_max(ctx.readings_plain)).where(
-        F.col("SensorType") == "Temperature")
-    return recent.groupBy("ZoneId").agg(F.avg("ReadingValue").alias("AvgValue"))
+    r = ctx.readings_plain
+    recent = R.since(r, "1h", as_of=R.as_of_max(r)).where(F.col("SensorType") == "Temperature")
+    v = ViewDef("temp_zone", "readings", None, ("ZoneId",),
+                (Agg("AvgValue", "avg", lambda: F.col("ReadingValue")),))
+    return v.compute_located(recent, ctx.locate, LOCATION_KEYS)
 
 
 @query("diag_time_range")
@@ -189,7 +219,8 @@ def diag_time_range(ctx: Ctx) -> DataFrame:
 
 @query("diag_by_site")
 def diag_by_site(ctx: Ctx) -> DataFrame:
-    return R.count_by(ctx.readings, "SiteId").orderBy(F.col("count_").desc())
+    g = located(ctx, ViewDef("diag_site", "readings", None, ("SiteId",), (Agg("count_", "count"),)))
+    return g.orderBy(F.col("count_").desc())
 
 
 @query("diag_by_type")
@@ -218,4 +249,7 @@ def check_anomaly_by_type(ctx: Ctx) -> DataFrame:
 
 @query("check_latest5")
 def check_latest5(ctx: Ctx) -> DataFrame:
-    return R.latest(ctx.readings, 5, tie_break=["ReadingId"])
+    newest = R.latest(ctx.readings_plain, 5, tie_break=["ReadingId"])
+    cols = ["ReadingId", "SensorId", "ZoneId", "SiteId", "Timestamp", "SensorType",
+            "ReadingValue", "Unit", "IsAnomaly", "QualityFlag"]
+    return R.latest(ctx.locate(newest).select(*cols), 5, tie_break=["ReadingId"])

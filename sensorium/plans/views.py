@@ -34,14 +34,19 @@ class Agg:
 class ViewDef:
     name: str
     source: str                     # "readings" | "alerts"
-    span: str
+    span: str | None                # time bin; None = no time key
     keys: tuple[str, ...]
     aggs: tuple[Agg, ...]
     ts: str = "Timestamp"
 
     # ---- whole-source evaluation ----------------------------------------
-    def _group(self, df: DataFrame):
-        return df.groupBy(bin_time(self.ts, self.span).alias(self.ts), *self.keys)
+    def _key_names(self) -> list[str]:
+        return ([self.ts] if self.span else []) + list(self.keys)
+
+    def _group(self, df: DataFrame, keys=None, extra=()):
+        keys = self.keys if keys is None else keys
+        cols = ([bin_time(self.ts, self.span).alias(self.ts)] if self.span else []) + list(keys)
+        return df.groupBy(*cols, *extra)
 
     def compute(self, df: DataFrame) -> DataFrame:
         out = []
@@ -61,7 +66,7 @@ class ViewDef:
         return self._group(df).agg(*out)
 
     # ---- incremental evaluation -----------------------------------------
-    def partial(self, df: DataFrame) -> DataFrame:
+    def partial(self, df: DataFrame, keys=None, extra=()) -> DataFrame:
         out = []
         for a in self.aggs:
             if a.kind == "count":
@@ -75,7 +80,7 @@ class ViewDef:
                 out.append(F.max(a.expr()).alias(f"{a.name}__max"))
             elif a.kind == "countif":
                 out.append(F.count_if(a.expr()).alias(f"{a.name}__n"))
-        return self._group(df).agg(*out)
+        return self._group(df, keys, extra).agg(*out)
 
     def fold(self, partials: DataFrame) -> DataFrame:
         """Partials → partials (one row per group): used by compaction."""
@@ -87,10 +92,10 @@ class ViewDef:
                 out.append(F.min(c).alias(c))
             elif c.endswith("__max"):
                 out.append(F.max(c).alias(c))
-        return partials.groupBy(self.ts, *self.keys).agg(*out)
+        return partials.groupBy(*self._key_names()).agg(*out)
 
     def finalize(self, folded: DataFrame) -> DataFrame:
-        cols = [F.col(self.ts), *[F.col(k) for k in self.keys]]
+        cols = [F.col(k) for k in self._key_names()]
         for a in self.aggs:
             if a.kind in ("count", "countif"):
                 cols.append(F.col(f"{a.name}__n").alias(a.name))
@@ -106,8 +111,22 @@ class ViewDef:
     def merge(self, partials: DataFrame) -> DataFrame:
         return self.finalize(self.fold(partials))
 
+    def compute_located(self, fact: DataFrame, locate, located_keys, key: str = "SensorId") -> DataFrame:
+        """``compute`` for a fact whose ``located_keys`` (SiteId, ZoneId …)
+        come from a dimension reached by ``key``.
+
+        The fact is first aggregated into mergeable pieces per (bin, own keys,
+        ``key``); only those partial rows meet the dimension (``locate``), and
+        are then folded to the view's keys.  The join input shrinks from every
+        row to one row per sensor and bin, and a hot sensor is folded on the
+        map side before any shuffle.
+        """
+        own = [k for k in self.keys if k not in located_keys]
+        partial = self.partial(fact, keys=own, extra=(key,))
+        return self.finalize(self.fold(locate(partial)))
+
     def output_columns(self) -> list[str]:
-        return [self.ts, *self.keys, *[a.name for a in self.aggs]]
+        return [*self._key_names(), *[a.name for a in self.aggs]]
 
 
 _value = lambda: F.col("ReadingValue")          # noqa: E731

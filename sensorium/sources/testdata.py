@@ -137,18 +137,32 @@ def sensors(spark: SparkSession, sf_dir: str, with_site: bool = True,
     return df
 
 
-def _locate(fact: DataFrame, spark: SparkSession, sf_dir: str, key: str,
-            want_type: bool = False) -> DataFrame:
-    """Attach ZoneId / SiteId (and optionally the sensor type) through the sensor."""
+def sensor_locations(spark: SparkSession, sf_dir: str, with_type: bool = False) -> DataFrame:
+    """sensor id → ZoneId, SiteId (and the sensor's type as ``_stype``)."""
     cust_cols = [F.col("c_custkey").alias("_sid"), F.col("c_nationkey").alias("ZoneId")]
-    if want_type:
+    if with_type:
         cust_cols.append(_case("c_mktsegment", SEGMENT_SENSOR_TYPE).alias("_stype"))
     cust = table(spark, sf_dir, "customer").select(*cust_cols)
     nat = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("_zid"), F.col("n_regionkey").alias("SiteId"))
-    out = fact.join(cust, fact[key] == cust["_sid"], "left").drop("_sid")
-    out = out.join(F.broadcast(nat), out["ZoneId"] == nat["_zid"], "left").drop("_zid")
-    return out
+    return cust.join(F.broadcast(nat), cust["ZoneId"] == nat["_zid"], "left").drop("_zid")
+
+
+def locate(fact: DataFrame, spark: SparkSession, sf_dir: str, key: str = "SensorId",
+           with_type: bool = False) -> DataFrame:
+    """Attach ZoneId / SiteId (and ``_stype``) to ``fact`` through its sensor.
+
+    Left join: an unknown sensor keeps its row with missing location.  The
+    location table is broadcast only when its row count is proven small.
+    """
+    from sensorium.operators.joins import broadcast_if_small
+    loc = broadcast_if_small(sensor_locations(spark, sf_dir, with_type))
+    return fact.join(loc, fact[key] == loc["_sid"], "left").drop("_sid")
+
+
+def _locate(fact: DataFrame, spark: SparkSession, sf_dir: str, key: str,
+            want_type: bool = False) -> DataFrame:
+    return locate(fact, spark, sf_dir, key, want_type)
 
 
 def readings(spark: SparkSession, sf_dir: str, located: bool = True) -> DataFrame:
@@ -187,7 +201,13 @@ def stored_alerts(spark: SparkSession, sf_dir: str, located: bool = True) -> Dat
                   F.col("o_totalprice").alias("ReadingValue")))
     if not located:
         return od
-    out = _locate(od, spark, sf_dir, "SensorId", want_type=True)
+    return enrich_alerts(od, spark, sf_dir)
+
+
+def enrich_alerts(od: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored alert rows → full SensorAlert rows: location, sensor type, and
+    type / threshold / message by the alert rules."""
+    out = locate(od, spark, sf_dir, "SensorId", with_type=True)
     out = out.select("*", threshold("_stype", "min_normal").alias("_min"),
                      threshold("_stype", "max_normal").alias("_max"),
                      threshold("_stype", "unit").alias("_unit"))
@@ -208,6 +228,6 @@ def stored_alerts(spark: SparkSession, sf_dir: str, located: bool = True) -> Dat
 
 __all__ = [
     "ALERT_HIGH_FACTOR", "ALERT_LOW_FACTOR", "EVENT_SENSOR_TYPE", "SEGMENT_SENSOR_TYPE",
-    "PRIORITY_SEVERITY", "TABLES", "readings", "sensors", "sites", "stored_alerts", "table",
-    "threshold", "zones",
+    "PRIORITY_SEVERITY", "TABLES", "enrich_alerts", "locate", "readings", "sensor_locations",
+    "sensors", "sites", "stored_alerts", "table", "threshold", "zones",
 ]
