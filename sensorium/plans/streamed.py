@@ -19,7 +19,7 @@ from sensorium.streaming.ingest import (
 )
 
 EVENTS_PER_FILE = 5000
-FILES_PER_TRIGGER = 4
+FILES_PER_TRIGGER = 8
 
 
 def run_ingest(ctx: Ctx, views: dict[str, str]) -> dict:
@@ -33,7 +33,7 @@ def run_ingest(ctx: Ctx, views: dict[str, str]) -> dict:
     inc = {v: IncrementalView(spark, VIEWS[v], f"{root}/views/{v}") for v in views}
     handlers: dict = {}
     for v, table in views.items():
-        handlers.setdefault(table, []).append(inc[v].attach(every_compact=3))
+        handlers.setdefault(table, []).append(inc[v].attach(every_compact=2))
     ing = Ingest(schemas=schemas,
                  tables={t: f"{root}/tables/{t}" for t in schemas},
                  quarantine=f"{root}/quarantine",

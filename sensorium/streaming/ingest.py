@@ -158,7 +158,10 @@ class Ingest:
 
     def process(self, raw: DataFrame, batch_id: int) -> None:
         # The batch feeds several writes: parse it once and keep it for them.
-        parsed = parse_events(raw, self.schemas).persist()
+        if "_table" in raw.columns:          # parsed (and deduplicated) upstream
+            parsed = raw.drop("_dkey", "_arrival").persist()
+        else:
+            parsed = parse_events(raw, self.schemas).persist()
         try:
             routed = route(parsed, self.schemas)
             for name, df in routed.items():
@@ -181,12 +184,28 @@ class Ingest:
             parsed.unpersist()
 
     def start(self, stream: DataFrame, checkpoint: str, trigger: str | None = None,
-              available_now: bool = False, observe: bool = True) -> StreamingQuery:
+              available_now: bool = False, observe: bool = True,
+              dedup_delay: str | None = None) -> StreamingQuery:
         """Start the query.  ``trigger="2 seconds"`` for periodic micro-batches
-        (T1), ``available_now=True`` to process what is there and stop (T3)."""
+        (T1), ``available_now=True`` to process what is there and stop (T3).
+
+        ``dedup_delay`` drops redelivered events (same table and ``dedup_key``)
+        arriving within that delay of the first copy, across micro-batches.
+        The watermark is on *arrival* time, not event time, so rows that are
+        late in event time are still kept (T9) and the dedup state stays
+        bounded by the delay.
+        """
         src = stream
         if observe:
             src = src.observe("ingest", F.count(F.lit(1)).alias("events"))
+        if dedup_delay and self.dedup_key:
+            parsed = parse_events(src, self.schemas)
+            key = F.coalesce(*[F.when(F.col("_table") == t, F.col(k).cast("string"))
+                               for t, k in self.dedup_key.items()], F.col("value"))
+            src = (parsed.withColumn("_dkey", key)
+                   .withColumn("_arrival", F.current_timestamp())
+                   .withWatermark("_arrival", dedup_delay)
+                   .dropDuplicatesWithinWatermark(["_table", "_dkey"]))
         w = src.writeStream.option("checkpointLocation", checkpoint).foreachBatch(self.process)
         if available_now:
             w = w.trigger(availableNow=True)
@@ -195,6 +214,18 @@ class Ingest:
         return w.start()
 
 
+def alert_handler(thresholds: DataFrame, path: str, by: str = "type",
+                  keep_p: float = 1.0) -> Callable[[DataFrame, int], None]:
+    """Live alert derivation on routed readings (T11): stateless, written per
+    batch id like every other destination."""
+    from sensorium.operators.alerts import derive_alerts
+
+    def handle(readings: DataFrame, batch_id: int) -> None:
+        write_batch_partition(derive_alerts(readings, thresholds, by=by, keep_p=keep_p),
+                              path, batch_id)
+    return handle
+
+
 # ----------------------------------------------------- query controls -----
 def run_once(q: StreamingQuery, timeout_sec: float | None = None) -> StreamingQuery:
     """Wait for an ``availableNow`` query to drain its input."""
