@@ -89,3 +89,14 @@ def test_clamp_pad_sec_of_day(spark):
                                                       / 86400.0).alias("x")).collect()[0]
     assert s["s"] == 21600.0
     assert abs(s["x"] - 1.0) < 1e-12   # the daily sine peaks at 06:00 UTC (N15)
+
+
+def test_named_queries_pin_utc(spark):
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        rows = E.queries()["mv_readings_daily"](spark, SF_SMALL).collect()
+        assert all(r["Timestamp"].hour == 0 for r in rows)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
