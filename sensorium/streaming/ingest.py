@@ -166,7 +166,9 @@ class Ingest:
             routed = route(parsed, self.schemas)
             for name, df in routed.items():
                 if name == "_quarantine":
-                    if self.quarantine:
+                    # Usually empty: a cheap check on the cached batch saves
+                    # an empty write job and its commit.
+                    if self.quarantine and not df.isEmpty():
                         write_batch_partition(df, self.quarantine, batch_id)
                     continue
                 if name in self.dedup_key:
