@@ -15,10 +15,13 @@ class Ctx:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.pin_utc()
+
+    def pin_utc(self) -> None:
         # Every time in the model is UTC (bins, "now", second of day); the
         # test tables store UTC wall-clock times without a zone.
-        if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        if self.spark.conf.get("spark.sql.session.timeZone") != "UTC":
+            self.spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def table(self, name: str) -> DataFrame:
         return td.table(self.spark, self.sf_dir, name)

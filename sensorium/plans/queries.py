@@ -21,9 +21,23 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
 
 
+_CONTEXTS: dict = {}
+
+
+def context(spark: SparkSession, sf_dir: str) -> Ctx:
+    """One context per (session, directory): its base DataFrames are lazy,
+    immutable plans, so every query of the directory can share them."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    if key not in _CONTEXTS:
+        _CONTEXTS[key] = Ctx(spark, sf_dir)
+    ctx = _CONTEXTS[key]
+    ctx.pin_utc()
+    return ctx
+
+
 def query(name: str):
     def deco(fn: Callable[[Ctx], DataFrame]) -> Callable[[Ctx], DataFrame]:
-        REGISTRY[name] = lambda spark, sf_dir, _fn=fn: _fn(Ctx(spark, sf_dir))
+        REGISTRY[name] = lambda spark, sf_dir, _fn=fn: _fn(context(spark, sf_dir))
         return fn
     return deco
 
