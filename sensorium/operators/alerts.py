@@ -5,8 +5,9 @@ readings with a threshold table.  Which threshold table is joined is the
 caller's choice:
 
 * ``by="sensor"`` — ``dim_sensors`` on ``SensorId = sensor_id`` (the sensor's
-  own thresholds).  The dimension grows with the data, so no broadcast hint is
-  given; the planner broadcasts it only when its measured size allows.
+  own thresholds).  The dimension grows with the data, so it is broadcast only
+  after ``broadcast_if_small`` proved its row count; otherwise the planner
+  picks a shuffle join.
 * ``by="type"`` — the fixed five-row threshold table on ``SensorType``; fixed
   size, so it is broadcast.
 """
@@ -48,7 +49,10 @@ def with_thresholds(readings: DataFrame, thresholds: DataFrame, by: str = "senso
     cols = [F.col(key_r).alias("_key")] + [F.col(c).alias(f"_{c}") for c in THRESHOLD_COLS + extra]
     thr = thresholds.select(*cols)
     if by == "type":
-        thr = F.broadcast(thr)
+        thr = F.broadcast(thr)          # the fixed five-row table
+    else:
+        from sensorium.operators.joins import broadcast_if_small
+        thr = broadcast_if_small(thr)   # the sensor dimension grows with the data
     return readings.join(thr, readings[key_l] == thr["_key"], "inner").drop("_key")
 
 

@@ -175,9 +175,9 @@ class SensorModel:
             lo, hi = time_range
             ts = F.col(self.timestamp_col)
             if lo is not None:
-                df = df.where(ts >= F.lit(lo))
+                df = df.where(ts >= (lo if isinstance(lo, Column) else F.lit(lo)))
             if hi is not None:
-                df = df.where(ts < F.lit(hi))
+                df = df.where(ts < (hi if isinstance(hi, Column) else F.lit(hi)))
         return df
 
     @staticmethod

@@ -25,6 +25,13 @@ def alerts_derived(ctx: Ctx) -> DataFrame:
     return A.derive_alerts(ctx.readings, ctx.thresholds, by="type")
 
 
+@query("alerts_derived_by_sensor")
+def alerts_derived_by_sensor(ctx: Ctx) -> DataFrame:
+    """J3 as written: each anomalous reading judged by its own sensor's
+    thresholds (dim_sensors on SensorId); the message names the sensor's type."""
+    return A.derive_alerts(ctx.readings, ctx.sensors, by="sensor")
+
+
 @query("alerts_derived_summary")
 def alerts_derived_summary(ctx: Ctx) -> DataFrame:
     d = A.derive_alerts(ctx.readings_plain.withColumn("ZoneId", F.lit(None).cast("int"))
@@ -157,8 +164,29 @@ hn AS (SELECT hz.*, k.k, hz.i * 4 + hz.j AS zone_ord, (hz.i * 4 + hz.j) * 5 + k.
        FROM hz, (SELECT range AS k FROM range(5)) k)
 """
 
+_SENS = ",\nsth AS (SELECT sensor_id, sensor_type AS st FROM sensors)\n"
+_ST = "t.st"
+_BELOW_S = f"(r.ReadingValue < {thr(_ST, 'min_normal')})"
+_THR_S = f"CASE WHEN {_BELOW_S} THEN {thr(_ST, 'min_normal')} ELSE {thr(_ST, 'max_normal')} END"
+_CRIT_S = (f"CASE WHEN {_BELOW_S} THEN r.ReadingValue < {thr(_ST, 'min_critical')} * 1.1 "
+           f"ELSE r.ReadingValue > {thr(_ST, 'max_critical')} * 0.9 END")
+_ALERTS_BY_SENSOR_SQL = f"""
+  SELECT 'AL-' || CAST(r.ReadingId AS VARCHAR) AS AlertId, r.SensorId, r.ZoneId, r.SiteId,
+         r."Timestamp", r.SensorType,
+         CASE WHEN {_BELOW_S} THEN 'BelowThreshold' ELSE 'AboveThreshold' END AS AlertType,
+         CASE WHEN {_CRIT_S} THEN 'Critical' ELSE 'Warning' END AS Severity,
+         r.ReadingValue,
+         {rnd(_THR_S, 2)} AS ThresholdValue,
+         t.st || CASE WHEN {_BELOW_S} THEN ' too low: ' ELSE ' too high: ' END
+           || CAST(r.ReadingValue AS VARCHAR) || ' ' || {thr(_ST, 'unit')}
+           || CASE WHEN {_BELOW_S} THEN ' (min: ' ELSE ' (max: ' END
+           || CAST({rnd(_THR_S, 2)} AS VARCHAR) || ')' AS Message
+  FROM readings r JOIN sth t ON r.SensorId = t.sensor_id
+  WHERE r.IsAnomaly"""
+
 ORACLE.update({
     "alerts_derived": with_base(_ALERTS_SQL),
+    "alerts_derived_by_sensor": with_base(_ALERTS_BY_SENSOR_SQL, _SENS),
     "alerts_derived_summary": with_base(
         f"""SELECT SensorType, AlertType, Severity, count(*) AS AlertCount,
                    {rnd('avg(ReadingValue)', 2)} AS AvgReading

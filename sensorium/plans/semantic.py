@@ -117,6 +117,17 @@ def measures_overview(ctx: Ctx) -> DataFrame:
     return ctx.model.query([], ALL_MEASURES)
 
 
+@query("fs_anomaly_by_zone_type_7d")
+def fs_anomaly_by_zone_type_7d(ctx: Ctx) -> DataFrame:
+    """The zone-type question restricted to the last 7 days of readings
+    (a half-open range on the fact's own timestamp, applied before its
+    aggregate)."""
+    hi = R.as_of_max(ctx.readings_plain)
+    lo = hi - F.make_dt_interval(days=F.lit(7))
+    return ctx.model.query([ZONE_TYPE], ["Anomaly Rate", "Total Readings", "Anomaly Count"],
+                           time_range=(lo, None))
+
+
 @query("fs_rate_by_site")
 def fs_rate_by_site(ctx: Ctx) -> DataFrame:
     """Flagship drill-across: both facts under one dimension chain."""
@@ -263,6 +274,14 @@ ORACLE.update({
                    NULLIF(a.c, 0) AS CriticalAlerts, NULLIF(a.w, 0) AS WarningAlerts,
                    {_div0('a.n', 'r.n')} AS AlertRate, w.v AS WorstZoneQuality
             FROM rsum r, asum a, wzq w""", _DIMS),
+    "fs_anomaly_by_zone_type_7d": with_base(
+        _members_join("zone_type", "SELECT DISTINCT zone_type AS k FROM zones",
+                      f"""SELECT zone_type AS k, {_RMEAS} FROM rdim
+                          WHERE "Timestamp" >= (SELECT max("Timestamp") FROM readings) - INTERVAL '7 days'
+                          GROUP BY zone_type""",
+                      f"zone_type, {_div0('a', 'n')} AS AnomalyRate, NULLIF(n, 0) AS TotalReadings, "
+                      "NULLIF(a, 0) AS AnomalyCount",
+                      "TRUE"), _DIMS),
     "fs_rate_by_site": with_base(
         f"""SELECT COALESCE(m.k, r.k, a.k) AS site_name, NULLIF(r.n, 0) AS TotalReadings,
                    {_div0('r.a', 'r.n')} AS AnomalyRate, NULLIF(a.n, 0) AS TotalAlerts,
