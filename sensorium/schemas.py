@@ -32,8 +32,6 @@ SEVERITY_WARNING = "Warning"
 ISO_MICROS_Z = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 # --------------------------------------------------------------------------
 
-SENSOR_TYPE_NAMES = [t[0] for t in SENSOR_TYPES]
-
 DIM_SITES = T.StructType([
     T.StructField("site_id", T.StringType()),
     T.StructField("site_name", T.StringType()),
@@ -98,21 +96,3 @@ SENSOR_ALERT = T.StructType([
 
 FACT_SCHEMAS = {"SensorReading": SENSOR_READING, "SensorAlert": SENSOR_ALERT}
 DIM_SCHEMAS = {"dim_sites": DIM_SITES, "dim_zones": DIM_ZONES, "dim_sensors": DIM_SENSORS}
-
-
-def wire_schema(schema: T.StructType) -> T.StructType:
-    """The JSON/CSV wire form of a fact row: every field as text, plus ``_table``.
-
-    Timestamps travel as ISO-8601 text and booleans as ``true``/``false``; the
-    parser (``streaming.ingest``) converts them back.
-    """
-    fields = [T.StructField(f.name, T.StringType()) for f in schema.fields]
-    return T.StructType(fields + [T.StructField("_table", T.StringType())])
-
-
-ENVELOPE = T.StructType(
-    [T.StructField(f.name, T.StringType()) for f in SENSOR_ALERT.fields]
-    + [T.StructField(f.name, T.StringType()) for f in SENSOR_READING.fields
-       if f.name not in SENSOR_ALERT.fieldNames()]
-    + [T.StructField("_table", T.StringType())]
-)

@@ -160,11 +160,6 @@ def locate(fact: DataFrame, spark: SparkSession, sf_dir: str, key: str = "Sensor
     return fact.join(loc, fact[key] == loc["_sid"], "left").drop("_sid")
 
 
-def _locate(fact: DataFrame, spark: SparkSession, sf_dir: str, key: str,
-            want_type: bool = False) -> DataFrame:
-    return locate(fact, spark, sf_dir, key, want_type)
-
-
 def readings(spark: SparkSession, sf_dir: str, located: bool = True) -> DataFrame:
     """SensorReading over ``events``.  ``located=False`` skips the sensor join
     for queries that never touch ZoneId / SiteId."""
@@ -184,7 +179,7 @@ def readings(spark: SparkSession, sf_dir: str, located: bool = True) -> DataFram
     )
     if not located:
         return ev
-    out = _locate(ev, spark, sf_dir, "SensorId")
+    out = locate(ev, spark, sf_dir, "SensorId")
     return out.select("ReadingId", "SensorId", "ZoneId", "SiteId", "Timestamp", "SensorType",
                       "ReadingValue", "Unit", "IsAnomaly", "QualityFlag")
 

@@ -149,3 +149,16 @@ def test_since_is_strict_and_anchored(spark):
                                 (T0 - dt.timedelta(minutes=6),)], "Timestamp timestamp_ntz")
     assert R.since(df, "5m", as_of="max").count() == 1
     assert R.since(df, "6m", as_of="max").count() == 2
+
+
+def test_small_relational_helpers(spark, model):
+    r = model.readings
+    assert R.preview(r, 2).count() == 2
+    assert sorted(x[0] for x in R.values(model.dim_zones, "zone_type").collect()) == \
+        ["HVAC", "Office", "Production", "Storage"]
+    assert R.between(r, T0, None).count() == 5 and R.between(r, None, T0).count() == 0
+    per_sensor_max = R.min_over(r, ["SensorId"], F.max("ReadingValue"), name="m").collect()[0]["m"]
+    assert per_sensor_max == 20.0            # min over sensors of their max value
+    assert R.count_by(r, "SensorId").count() == 4
+    assert R.time_range(r).collect()[0]["max_Timestamp"] == T0
+    assert R.sample_n(r, 3).count() == 3
