@@ -253,12 +253,16 @@ class SensorModel:
                 if name not in by_fact[fact]:
                     by_fact[fact].append(name)
 
-        parts = [self._fact_groups(f, names, keys, filters, time_range)
-                 for f, names in by_fact.items()]
+        parts = []
+        for f, names in by_fact.items():
+            if f == "readings" and WORST_ZONE_QUALITY in measures:
+                continue                      # folded into the zone-type pipeline below
+            parts.append(self._fact_groups(f, names, keys, filters, time_range))
+        if WORST_ZONE_QUALITY in measures:
+            parts.append(self._zone_pipeline(keys, filters, time_range,
+                                             by_fact.setdefault("readings", [])))
         if keys and base is None and any(m.defined_on_empty for m in plain):
             parts.append(self._members(keys, filters))
-        if WORST_ZONE_QUALITY in measures:
-            parts.append(self._worst_zone(keys, filters, time_range))
 
         if not parts:
             raise ValueError("no measure or base fact requested")
@@ -300,31 +304,33 @@ class SensorModel:
             result = result.where(cond)
         return result
 
-    def _worst_zone(self, keys: list[str], filters: dict, time_range) -> DataFrame:
-        """MINX over zone types of Good Quality Rate.
+    def _zone_pipeline(self, keys: list[str], filters: dict, time_range,
+                       names: list[str]) -> DataFrame:
+        """Readings pieces per (keys, zone type) plus MINX over zone types of
+        Good Quality Rate (G12/G13/G17), in one pass over the readings.
 
         The zone types iterated are the members visible in the group's filter
         context: zone types of the group's zones when grouping at site or zone
-        level, all zone types otherwise.  A zone type without readings rates 0
-        (DIVIDE's alternate); one with readings but no Good reading is missing
-        and skipped by the minimum.
+        level (a zone type without readings rates 0, DIVIDE's alternate); one
+        with readings but no Good reading is missing and skipped by the
+        minimum.  The output carries every readings piece (summed again by the
+        caller's final group-by) and ``_wzq`` per (keys, zone type).
         """
         zt = "dim_zones.zone_type"
-        levels = [LEVEL[self._split(k)[0]] for k in keys]
-        if any(lv == 2 for lv in levels):
+        if any(LEVEL[self._split(k)[0]] == 2 for k in keys):
             raise NotImplementedError("Worst Zone Quality is defined per site or zone group")
+        for piece in ("good", "n"):
+            if piece not in names:
+                names.append(piece)
         inner_keys = list(dict.fromkeys(keys + [zt]))
-        facts = self._fact_groups("readings", ["good", "n"], keys, filters, time_range,
+        facts = self._fact_groups("readings", names, keys, filters, time_range,
                                   extra_keys=[zt] if zt not in keys else [])
         members = self._members(inner_keys, {a: v for a, v in filters.items()
                                              if LEVEL[self._split(a)[0]] <= 1})
         both = facts.unionByName(members, allowMissingColumns=True)
         key_cols = [F.col(f"`{k}`").alias(k) for k in inner_keys]
         per_zone = both.groupBy(*key_cols).agg(
-            F.sum("readings__good").alias("g"), F.sum("readings__n").alias("n"))
-        rate = divide(_nz(F.col("g")), _nz(F.col("n")), 0.0)
-        outer = [F.col(f"`{k}`").alias(k) for k in keys]
-        per_zone = per_zone.select(*outer, rate.alias("_r"))
-        if keys:
-            return per_zone.groupBy(*outer).agg(F.min("_r").alias("_wzq"))
-        return per_zone.agg(F.min("_r").alias("_wzq"))
+            *[{"sum": F.sum, "min": F.min, "max": F.max}[PIECES[("readings", n)][1]](
+                f"readings__{n}").alias(f"readings__{n}") for n in names])
+        rate = divide(_nz(F.col("readings__good")), _nz(F.col("readings__n")), 0.0)
+        return per_zone.withColumn("_wzq", rate)
