@@ -65,3 +65,17 @@ def test_no_cartesian_anywhere(spark, q):
         f = formatted(q[name](spark, SF_SMALL))
         assert "CartesianProduct" not in f, name
         assert "BroadcastNestedLoopJoin" not in f, name
+
+
+def _scans(f: str, table: str) -> int:
+    return sum(1 for line in f.splitlines()
+               if line.startswith("Location:") and f"{table}.parquet" in line)
+
+
+def test_one_scan_per_fact(spark, q):
+    f = formatted(q["measures_overview"](spark, SF_SMALL))
+    assert _scans(f, "events") == 1 and _scans(f, "orders") == 1
+    f = formatted(q["fs_rate_by_site"](spark, SF_SMALL))
+    assert _scans(f, "events") == 1 and _scans(f, "orders") == 1
+    f = formatted(q["mv_readings_hourly"](spark, SF_SMALL))
+    assert _scans(f, "events") == 1
