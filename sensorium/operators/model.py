@@ -280,8 +280,15 @@ class SensorModel:
         for (fact, name), (_, kind) in PIECES.items():
             merge[f"{fact}__{name}"] = {"sum": F.sum, "min": F.min, "max": F.max}[kind]
         aggs = [merge[c](c).alias(c) for c in piece_cols]
+        wzq = F.col("_wzq")
         if WORST_ZONE_QUALITY in measures:
             aggs.append(F.min("_wzq").alias("_wzq"))
+            if any(LEVEL[self._split(k)[0]] == 2 for k in keys):
+                zt = "dim_zones.zone_type"
+                aggs.append(F.count_distinct(F.col(f"`{zt}`")).alias("_zt_seen"))
+                all_types = self._chain([zt], 1).select(F.col(f"`{zt}`").alias("z")) \
+                    .agg(F.count_distinct("z")).scalar()
+                wzq = F.when(F.col("_zt_seen") < all_types, F.lit(0.0)).otherwise(F.col("_wzq"))
         if base is not None:
             aggs.append(F.max(f"_in_{base}").alias(f"_in_{base}"))
         key_cols = [F.col(f"`{k}`").alias(k) for k in keys]
@@ -291,7 +298,7 @@ class SensorModel:
         out_cols = [F.col(f"`{k}`").alias(self._split(k)[1]) for k in keys]
         for m in measures:
             if m == WORST_ZONE_QUALITY:
-                out_cols.append(F.col("_wzq").alias("WorstZoneQuality"))
+                out_cols.append(wzq.alias("WorstZoneQuality"))
             else:
                 out_cols.append(MEASURES[m].final().alias(MEASURES[m].column))
         result = grouped.select(*out_cols)
@@ -311,23 +318,29 @@ class SensorModel:
 
         The zone types iterated are the members visible in the group's filter
         context: zone types of the group's zones when grouping at site or zone
-        level (a zone type without readings rates 0, DIVIDE's alternate); one
-        with readings but no Good reading is missing and skipped by the
-        minimum.  The output carries every readings piece (summed again by the
+        level, every zone type when grouping by a sensor attribute (a zone type
+        without readings rates 0, DIVIDE's alternate); one with readings but no
+        Good reading is missing and skipped by the minimum.  The output carries every readings piece (summed again by the
         caller's final group-by) and ``_wzq`` per (keys, zone type).
         """
         zt = "dim_zones.zone_type"
-        if any(LEVEL[self._split(k)[0]] == 2 for k in keys):
-            raise NotImplementedError("Worst Zone Quality is defined per site or zone group")
         for piece in ("good", "n"):
             if piece not in names:
                 names.append(piece)
         inner_keys = list(dict.fromkeys(keys + [zt]))
         facts = self._fact_groups("readings", names, keys, filters, time_range,
                                   extra_keys=[zt] if zt not in keys else [])
-        members = self._members(inner_keys, {a: v for a, v in filters.items()
-                                             if LEVEL[self._split(a)[0]] <= 1})
-        both = facts.unionByName(members, allowMissingColumns=True)
+        sensor_level = any(LEVEL[self._split(k)[0]] == 2 for k in keys)
+        if sensor_level:
+            # A sensor filter does not reach the zones: every zone type is
+            # visible.  Instead of pairing each group with each zone type, the
+            # caller compares the number of zone types with readings against
+            # the number of zone types (a missing one rates 0).
+            both = facts
+        else:
+            members = self._members(inner_keys, {a: v for a, v in filters.items()
+                                                 if LEVEL[self._split(a)[0]] <= 1})
+            both = facts.unionByName(members, allowMissingColumns=True)
         key_cols = [F.col(f"`{k}`").alias(k) for k in inner_keys]
         per_zone = both.groupBy(*key_cols).agg(
             *[{"sum": F.sum, "min": F.min, "max": F.max}[PIECES[("readings", n)][1]](

@@ -111,6 +111,11 @@ def worst_zone_quality_by_site(ctx: Ctx) -> DataFrame:
     return ctx.model.query([SITE], ["Worst Zone Quality"])
 
 
+@query("worst_zone_quality_by_sensor_type")
+def worst_zone_quality_by_sensor_type(ctx: Ctx) -> DataFrame:
+    return ctx.model.query([SENSOR_TYPE], ["Worst Zone Quality", "Total Readings"])
+
+
 @query("measures_overview")
 def measures_overview(ctx: Ctx) -> DataFrame:
     """All twelve measures in one row."""
@@ -266,6 +271,22 @@ ORACLE.update({
                ON m.site_name IS NOT DISTINCT FROM f.site_name
               AND m.zone_type IS NOT DISTINCT FROM f.zone_type)
            GROUP BY site_name HAVING min(rate) IS NOT NULL""", _DIMS),
+    "worst_zone_quality_by_sensor_type": with_base(
+        """SELECT sensor_type, WorstZoneQuality, TotalReadings FROM (
+             SELECT m.sensor_type,
+                    min(CASE WHEN NULLIF(f.n, 0) IS NULL THEN 0.0
+                             ELSE CAST(NULLIF(f.g, 0) AS DOUBLE) / f.n END) AS WorstZoneQuality,
+                    NULLIF(sum(f.n), 0) AS TotalReadings
+             FROM (SELECT s.sensor_type, z.zone_type
+                   FROM (SELECT DISTINCT sensor_type FROM rdim) s
+                   CROSS JOIN (SELECT DISTINCT zone_type FROM zones) z) m
+             LEFT JOIN (SELECT sensor_type, zone_type, count(*) AS n,
+                               count(*) FILTER (WHERE QualityFlag = 'Good') AS g
+                        FROM rdim GROUP BY sensor_type, zone_type) f
+               ON m.sensor_type IS NOT DISTINCT FROM f.sensor_type
+              AND m.zone_type IS NOT DISTINCT FROM f.zone_type
+             GROUP BY m.sensor_type)
+           WHERE WorstZoneQuality IS NOT NULL OR TotalReadings IS NOT NULL""", _DIMS),
     "measures_overview": with_base(
         f"""SELECT NULLIF(r.n, 0) AS TotalReadings, r.vs / NULLIF(r.vc, 0) AS AvgReadingValue,
                    r.vmax AS MaxReadingValue, r.vmin AS MinReadingValue,

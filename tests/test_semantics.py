@@ -162,3 +162,26 @@ def test_small_relational_helpers(spark, model):
     assert R.count_by(r, "SensorId").count() == 4
     assert R.time_range(r).collect()[0]["max_Timestamp"] == T0
     assert R.sample_n(r, 3).count() == 3
+
+
+def test_worst_zone_by_sensor_attribute(spark, model):
+    # Sensor-type groups see every zone type: Temperature and Humidity each
+    # miss some zone types, which rate 0.
+    out = by_key(model.query([SENSOR_TYPE], ["Worst Zone Quality"]), "sensor_type")
+    assert out["Temperature"]["WorstZoneQuality"] == 0.0
+    assert out["Humidity"]["WorstZoneQuality"] == 0.0
+
+    zones = spark.createDataFrame([(i, t, 1) for i, t in enumerate(
+        ["Production", "Storage", "Office", "HVAC"])], "zone_id int, zone_type string, site_id int")
+    sensors = spark.createDataFrame([(i, f"s{i}", "T", i) for i in range(4)],
+                                    "sensor_id long, sensor_name string, sensor_type string, zone_id int")
+    readings = spark.createDataFrame(
+        [(0, "Good"), (0, "Suspect"), (1, "Good"), (2, "Good"), (3, "Suspect")],
+        "SensorId long, QualityFlag string").withColumn("IsAnomaly", F.lit(False)) \
+        .withColumn("ReadingValue", F.lit(1.0)).withColumn("Timestamp", F.lit(T0).cast("timestamp_ntz"))
+    full = SensorModel(readings=readings, alerts=model.alerts.limit(0), dim_sites=model.dim_sites,
+                       dim_zones=zones, dim_sensors=sensors)
+    # Every zone type has readings; HVAC has no Good one (blank, skipped).
+    r = full.query([SENSOR_TYPE], ["Worst Zone Quality"]).collect()[0]
+    assert r["WorstZoneQuality"] == 0.5
+    assert full.query([], ["Worst Zone Quality"]).collect()[0]["WorstZoneQuality"] == 0.5
