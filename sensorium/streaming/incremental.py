@@ -7,6 +7,8 @@ any table location)::
     compacted/gen=G/…        all partials up to some batch, folded
     manifest/…               append-only rows (gen, upto_batch, …)
 
+Storage is a :class:`~sensorium.streaming.batchlog.BatchTable`:
+
 * ``apply_batch(df, N)`` overwrites exactly the ``_batch=N`` partition
   (dynamic partition overwrite), so a replayed batch replaces its own output
   instead of adding to it — exactly-once on top of at-least-once delivery.
@@ -24,74 +26,23 @@ watermark (T9); the backfill is batch id −1 (T8).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sensorium.plans.views import ViewDef
-
-BACKFILL_BATCH = -1
+from sensorium.streaming.batchlog import BACKFILL_BATCH, BatchTable
 
 
 class IncrementalView:
+    """A :class:`ViewDef` kept as mergeable partials in a :class:`BatchTable`
+    (one partial per micro-batch; compaction folds them)."""
+
     def __init__(self, spark: SparkSession, view: ViewDef, root: str):
         self.spark = spark
         self.view = view
-        self.root = root.rstrip("/")
-
-    # ---- paths -------------------------------------------------------------
-    @property
-    def parts_path(self) -> str:
-        return f"{self.root}/parts"
-
-    @property
-    def manifest_path(self) -> str:
-        return f"{self.root}/manifest"
-
-    def gen_path(self, gen: int) -> str:
-        return f"{self.root}/compacted/gen={gen}"
-
-    # ---- state -------------------------------------------------------------
-    def _manifest(self) -> tuple[int | None, int]:
-        """(generation, last folded batch) of the newest manifest row."""
-        try:
-            m = self.spark.read.parquet(self.manifest_path)
-        except Exception:  # noqa: BLE001  (no manifest yet)
-            return None, BACKFILL_BATCH - 1
-        row = m.orderBy(F.col("gen").desc()).limit(1).collect()
-        if not row:
-            return None, BACKFILL_BATCH - 1
-        return int(row[0]["gen"]), int(row[0]["upto_batch"])
-
-    def _parts(self, after: int, upto: int | None = None) -> DataFrame | None:
-        try:
-            p = self.spark.read.parquet(self.parts_path)
-        except Exception:  # noqa: BLE001  (nothing written yet)
-            return None
-        p = p.where(F.col("_batch") > after)
-        if upto is not None:
-            p = p.where(F.col("_batch") <= upto)
-        return p.drop("_batch")
-
-    def _state(self, upto: int | None = None) -> DataFrame | None:
-        gen, folded = self._manifest()
-        pieces = []
-        if gen is not None:
-            pieces.append(self.spark.read.parquet(self.gen_path(gen)))
-        parts = self._parts(folded, upto)
-        if parts is not None:
-            pieces.append(parts)
-        if not pieces:
-            return None
-        out = pieces[0]
-        for p in pieces[1:]:
-            out = out.unionByName(p)
-        return out
-
-    # ---- writes ------------------------------------------------------------
+        self.log = BatchTable(spark, root)
+
     def apply_batch(self, df: DataFrame, batch_id: int) -> None:
         """Fold one micro-batch (idempotent per ``batch_id``)."""
-        part = self.view.partial(df).withColumn("_batch", F.lit(int(batch_id)))
-        (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("_batch").parquet(self.parts_path))
+        self.log.write(self.view.partial(df), batch_id)
 
     def backfill(self, history: DataFrame) -> None:
         """Fold historical rows (``with (backfill=true)``) as batch −1."""
@@ -99,28 +50,16 @@ class IncrementalView:
 
     def compact(self, upto_batch: int) -> int | None:
         """Fold every batch ≤ ``upto_batch`` into a new generation."""
-        gen, folded = self._manifest()
-        if upto_batch <= folded:
-            return gen
-        state = self._state(upto=upto_batch)
-        if state is None:
-            return gen
-        new_gen = 0 if gen is None else gen + 1
-        self.view.fold(state).write.mode("overwrite").parquet(self.gen_path(new_gen))
-        (self.spark.createDataFrame([(new_gen, int(upto_batch))], "gen int, upto_batch long")
-         .write.mode("append").parquet(self.manifest_path))
-        return new_gen
-
-    # ---- reads -------------------------------------------------------------
+        return self.log.compact(upto_batch, fold=self.view.fold)
+
     def read(self, source_schema=None) -> DataFrame:
         """The view as of the last written batch, finalised.  Before any batch
         was written the view is empty; ``source_schema`` then gives its shape."""
-        state = self._state()
+        state = self.log.state()
         if state is None:
             if source_schema is None:
                 raise ValueError(f"view {self.view.name} has no data yet")
-            empty = self.spark.createDataFrame([], source_schema)
-            return self.view.compute(empty)
+            return self.view.compute(self.spark.createDataFrame([], source_schema))
         return self.view.merge(state)
 
     def attach(self, every_compact: int | None = None):

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorium.functions.scalar import bool_text, parse_bool, to_iso_text
+from sensorium.streaming.batchlog import BatchTable
 
 READING_TABLE = "SensorReading"
 ALERT_TABLE = "SensorAlert"
@@ -126,14 +127,13 @@ def csv_stream(spark: SparkSession, path: str, schema: T.StructType,
 def write_batch_partition(df: DataFrame, path: str, batch_id: int,
                           partition_by: list[str] | None = None) -> None:
     """Idempotent append: overwrite only this batch's partitions."""
-    (df.withColumn("_batch", F.lit(int(batch_id)))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*(partition_by or []), "_batch").parquet(path))
+    BatchTable(df.sparkSession, path, partition_by).write(df, batch_id)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Batch view of a stream-written table (S17): same files, no copy."""
-    return spark.read.parquet(path).drop("_batch")
+    """Batch view of a stream-written table (S17): the compacted generation
+    plus the later batches — same files, no copy."""
+    return BatchTable(spark, path).read()
 
 
 @dataclass
@@ -147,7 +147,9 @@ class Ingest:
       routed rows (incremental views, alert derivation …);
     * ``partition_by``   — table name → partition columns (``event_date`` …);
     * ``dedup_key``      — table name → unique id; duplicates inside one batch
-      are dropped (across batches use :func:`dedup_within_watermark`).
+      are dropped (across batches: ``start(dedup_delay=…)``);
+    * ``compact_every``  — every N batches, rewrite the committed batches of
+      each fact table into large files (a new generation, switched atomically).
     """
     schemas: dict[str, T.StructType]
     tables: dict[str, str] = field(default_factory=dict)
@@ -155,6 +157,7 @@ class Ingest:
     handlers: dict[str, list[Callable[[DataFrame, int], None]]] = field(default_factory=dict)
     partition_by: dict[str, list[str]] = field(default_factory=dict)
     dedup_key: dict[str, str] = field(default_factory=dict)
+    compact_every: int | None = None
 
     def process(self, raw: DataFrame, batch_id: int) -> None:
         # The batch feeds several writes: parse it once and keep it for them.
@@ -179,7 +182,10 @@ class Ingest:
                               if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)))
                     df = df.withColumn("event_date", F.to_date(ts))
                 if name in self.tables:
-                    write_batch_partition(df, self.tables[name], batch_id, parts)
+                    table = BatchTable(df.sparkSession, self.tables[name], parts)
+                    table.write(df, batch_id)
+                    if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
+                        table.compact(batch_id - 1)
                 for h in self.handlers.get(name, []):
                     h(df, batch_id)
         finally:
