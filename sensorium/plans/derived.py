@@ -73,6 +73,24 @@ def _hierarchy(ctx: Ctx):
     return build_hierarchy(ctx.table("region"), ordinal="r_regionkey", name="r_name")
 
 
+@query("dims_csv_roundtrip")
+def dims_csv_roundtrip(ctx: Ctx) -> DataFrame:
+    """The dimension setup flow end to end (S7 → S1 → S3 → S4): the hierarchy
+    built from the sites table is written as CSV, read back with the declared
+    schemas, written as tables, and verified by row and column counts."""
+    from sensorium.schemas import DIM_SCHEMAS
+    from sensorium.session import scratch_path
+    root = scratch_path(ctx.spark, "dims")
+    built = dict(zip(["dim_sites", "dim_zones", "dim_sensors"], _hierarchy(ctx)))
+    tables = {}
+    for name, df in built.items():
+        TB.write_csv(df.select(*DIM_SCHEMAS[name].fieldNames()), f"{root}/csv/{name}")
+        typed = TB.read_csv(ctx.spark, f"{root}/csv/{name}", DIM_SCHEMAS[name])
+        TB.write_table(typed, f"{root}/tables/{name}")
+        tables[name] = ctx.spark.read.parquet(f"{root}/tables/{name}")
+    return TB.verify_tables(tables)
+
+
 query("hierarchy_sites")(lambda ctx: _hierarchy(ctx)[0])
 query("hierarchy_zones")(lambda ctx: _hierarchy(ctx)[1])
 query("hierarchy_sensors")(lambda ctx: _hierarchy(ctx)[2])
@@ -221,6 +239,10 @@ ORACLE.update({
                   {thr('sensor_type', 'max_critical')} AS max_critical,
                   DATE '2024-06-15' AS install_date, TRUE AS is_active
            FROM hn""", _HIER),
+    "dims_csv_roundtrip": with_base(
+        """SELECT 'dim_sites' AS table_name, count(*) AS row_count, 7 AS column_count FROM hs
+           UNION ALL SELECT 'dim_zones', count(*), 7 FROM hz
+           UNION ALL SELECT 'dim_sensors', count(*), 12 FROM hn""", _HIER),
     "table_counts": with_base(
         """SELECT 'SensorReading' AS table_name, count(*) AS row_count FROM readings
            UNION ALL SELECT 'SensorAlert', count(*) FROM alerts
