@@ -63,3 +63,19 @@ def test_retention_filter(spark):
     df = spark.createDataFrame([(t0,), (t0 - dt.timedelta(days=3),), (t0 - dt.timedelta(days=40),)],
                                "Timestamp timestamp_ntz")
     assert TB.apply_retention(df, 7, as_of=F.lit(t0)).count() == 2
+
+
+def test_load_dim_and_sensors(spark, scratch):
+    from sensorium.operators.hierarchy import build_hierarchy
+    src = spark.createDataFrame([(0, "Paris HQ")], "i int, name string")
+    _, _, sensors = build_hierarchy(src, "i", "name")
+    path = f"{scratch}/dim_sensors_tbl"
+    spark.sql("DROP TABLE IF EXISTS dim_sensors_t")
+    sensors.write.mode("overwrite").option("path", path).saveAsTable("dim_sensors_t")
+    loaded = TB.load_dim(spark, "dim_sensors_t")
+    assert loaded.count() == 20
+    proj = TB.load_sensors(loaded.withColumn("min_normal", F.col("min_normal").cast("string")))
+    assert dict(proj.dtypes)["min_normal"] == "double"
+    assert proj.columns == ["sensor_id", "sensor_type", "unit", "zone_id", "site_id",
+                            "min_normal", "max_normal", "min_critical", "max_critical"]
+    spark.sql("DROP TABLE IF EXISTS dim_sensors_t")
