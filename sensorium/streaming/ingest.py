@@ -248,6 +248,21 @@ def run_for(q: StreamingQuery, seconds: float) -> StreamingQuery:
     return q
 
 
+def await_batches(q: StreamingQuery, n: int, timeout_sec: float = 120.0) -> bool:
+    """Block until the query completed ``n`` micro-batches (or failed, or the
+    timeout passed).  Returns whether ``n`` batches completed."""
+    import time
+    deadline = time.monotonic() + timeout_sec
+    while time.monotonic() < deadline:
+        if q.exception() is not None:
+            return False
+        done = [p for p in q.recentProgress if p.batchId is not None]
+        if len({p.batchId for p in done}) >= n:
+            return True
+        time.sleep(0.2)
+    return False
+
+
 def ingest_progress(q: StreamingQuery) -> dict[str, int]:
     """Running totals of the observed metrics over the recent batches."""
     totals: dict[str, int] = {}

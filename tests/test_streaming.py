@@ -144,7 +144,8 @@ def test_csv_stream_timed_trigger_and_live_alerts(spark, ctx, scratch):
     s = csv_stream(spark, f"{scratch}/csv_in", SENSOR_ALERT)
     q = (s.writeStream.format("memory").queryName("csv_out")
          .option("checkpointLocation", f"{scratch}/ck_csv").trigger(processingTime="1 second").start())
-    run_for(q, 6)                                          # T1 + T2
+    q.processAllAvailable()
+    run_for(q, 1)                                          # T1 + T2
     assert spark.table("csv_out").collect()[0]["Message"] == 'CO2 "too" high, really'
 
     # Alerts derived live from the routed readings.
@@ -159,9 +160,11 @@ def test_refresh_tables_and_view_catalog(spark, ctx, scratch):
     from sensorium.streaming.incremental import drop_view, list_views, recreate_view
     from sensorium.streaming.ingest import refresh_tables, run_for
 
+    from sensorium.streaming.ingest import await_batches
     q = refresh_tables(spark, {"tile_total": lambda: ctx.readings_plain.agg(F.count(F.lit(1)).alias("n"))},
                        f"{scratch}/tiles", f"{scratch}/ck_tiles", every="1 second")
-    run_for(q, 5)                                          # T12
+    assert await_batches(q, 2, timeout_sec=120)            # T12: two timed refreshes
+    run_for(q, 0.1)
     assert spark.read.parquet(f"{scratch}/tiles/tile_total").collect()[0]["n"] == \
         ctx.readings_plain.count()
 
