@@ -39,7 +39,7 @@ def run_ingest(ctx: Ctx, views: dict[str, str]) -> dict:
                  quarantine=f"{root}/quarantine",
                  handlers=handlers,
                  partition_by={READING_TABLE: ["event_date"]},
-                 compact_every=2)
+                 compact_every=2, parallel_writes=4)
     q = ing.start(event_stream(spark, f"{root}/in", max_files_per_trigger=FILES_PER_TRIGGER),
                   checkpoint=f"{root}/checkpoint", available_now=True)
     run_once(q)

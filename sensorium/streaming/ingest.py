@@ -149,7 +149,9 @@ class Ingest:
     * ``dedup_key``      — table name → unique id; duplicates inside one batch
       are dropped (across batches: ``start(dedup_delay=…)``);
     * ``compact_every``  — every N batches, rewrite the committed batches of
-      each fact table into large files (a new generation, switched atomically).
+      each fact table into large files (a new generation, switched atomically);
+    * ``parallel_writes`` — destinations written concurrently per batch (each
+      is its own Spark job; they share nothing but the cached batch).
     """
     schemas: dict[str, T.StructType]
     tables: dict[str, str] = field(default_factory=dict)
@@ -158,6 +160,7 @@ class Ingest:
     partition_by: dict[str, list[str]] = field(default_factory=dict)
     dedup_key: dict[str, str] = field(default_factory=dict)
     compact_every: int | None = None
+    parallel_writes: int = 1
 
     def process(self, raw: DataFrame, batch_id: int) -> None:
         # The batch feeds several writes: parse it once and keep it for them.
@@ -166,30 +169,49 @@ class Ingest:
         else:
             parsed = parse_events(raw, self.schemas).persist()
         try:
-            routed = route(parsed, self.schemas)
-            for name, df in routed.items():
-                if name == "_quarantine":
+            tasks = self._tasks(route(parsed, self.schemas), batch_id)
+            if self.parallel_writes > 1 and len(tasks) > 1:
+                # Independent destinations are independent Spark jobs: submit
+                # them together so small batches use the whole cluster.
+                from concurrent.futures import ThreadPoolExecutor
+                with ThreadPoolExecutor(max_workers=self.parallel_writes) as pool:
+                    for f in [pool.submit(t) for t in tasks]:
+                        f.result()
+            else:
+                for t in tasks:
+                    t()
+        finally:
+            parsed.unpersist()
+
+    def _tasks(self, routed: dict[str, DataFrame], batch_id: int) -> list:
+        tasks = []
+        for name, df in routed.items():
+            if name == "_quarantine":
+                if self.quarantine:
                     # Usually empty: a cheap check on the cached batch saves
                     # an empty write job and its commit.
-                    if self.quarantine and not df.isEmpty():
-                        write_batch_partition(df, self.quarantine, batch_id)
-                    continue
-                if name in self.dedup_key:
-                    df = df.dropDuplicates([self.dedup_key[name]])
-                parts = self.partition_by.get(name)
-                if parts and "event_date" in parts and "event_date" not in df.columns:
-                    ts = next(f.name for f in df.schema.fields
-                              if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)))
-                    df = df.withColumn("event_date", F.to_date(ts))
-                if name in self.tables:
+                    def quarantine(df=df):
+                        if not df.isEmpty():
+                            write_batch_partition(df, self.quarantine, batch_id)
+                    tasks.append(quarantine)
+                continue
+            if name in self.dedup_key:
+                df = df.dropDuplicates([self.dedup_key[name]])
+            parts = self.partition_by.get(name)
+            if parts and "event_date" in parts and "event_date" not in df.columns:
+                ts = next(f.name for f in df.schema.fields
+                          if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)))
+                df = df.withColumn("event_date", F.to_date(ts))
+            if name in self.tables:
+                def write(df=df, name=name, parts=parts):
                     table = BatchTable(df.sparkSession, self.tables[name], parts)
                     table.write(df, batch_id)
                     if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
                         table.compact(batch_id - 1)
-                for h in self.handlers.get(name, []):
-                    h(df, batch_id)
-        finally:
-            parsed.unpersist()
+                tasks.append(write)
+            for h in self.handlers.get(name, []):
+                tasks.append(lambda h=h, df=df: h(df, batch_id))
+        return tasks
 
     def start(self, stream: DataFrame, checkpoint: str, trigger: str | None = None,
               available_now: bool = False, observe: bool = True,

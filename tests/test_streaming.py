@@ -50,7 +50,8 @@ def test_stream_equals_batch_with_noise(spark, ctx, scratch):
                  quarantine=f"{scratch}/quarantine",
                  handlers={READING_TABLE: [view.attach(every_compact=2)]},
                  dedup_key={READING_TABLE: "ReadingId", ALERT_TABLE: "AlertId"},
-                 partition_by={READING_TABLE: ["event_date"]}, compact_every=2)
+                 partition_by={READING_TABLE: ["event_date"]}, compact_every=2,
+                 parallel_writes=3)
     # Redelivered events land in other files, so in other micro-batches:
     # the arrival-time dedup drops them across batches.
     q = ing.start(event_stream(spark, f"{scratch}/in/*", max_files_per_trigger=2),
