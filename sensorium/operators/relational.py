@@ -93,22 +93,31 @@ def latest(df: DataFrame, n: int, ts: str = "Timestamp", tie_break: list[str] |
     return top_n(df, n, ts, ascending=False, tie_break=tie_break)
 
 
-def top_n_ties(df: DataFrame, n: int, by: ColumnOrName) -> DataFrame:
-    """``TOPN(n, …, by, DESC)``: the first ``n`` rows plus every row tied with
-    the n-th (O6).  Missing values sort last.
+def top_n_ties(df: DataFrame, n: int, by: ColumnOrName, ascending: bool = False) -> DataFrame:
+    """``TOPN(n, …, by, DESC|ASC)``: the first ``n`` rows plus every row tied
+    with the n-th (O6).  Missing values rank lowest, as BLANK does: last when
+    descending, first when ascending ("worst N").
 
     The n-th value comes from a top-n (``TakeOrderedAndProject``) folded into
-    one scalar; the input is then filtered against it.  Same row set as
-    ``rank() <= n`` without a single-partition window.
+    one scalar subquery; the input is then filtered against it.  Same row set
+    as ``rank() <= n`` without a single-partition window.
     """
     x = _c(by)
-    head = df.select(x.alias("_v")).orderBy(F.col("_v").desc_nulls_last()).limit(n)
+    v = F.col("_v")
+    order = v.asc_nulls_first() if ascending else v.desc_nulls_last()
+    head = df.select(x.alias("_v")).orderBy(order).limit(n)
+    edge = F.max("_v") if ascending else F.min("_v")
     # One scalar subquery carrying the three numbers (evaluated once).
-    stats = head.agg(F.struct(F.min("_v").alias("nth"), F.count(F.lit(1)).alias("k"),
+    stats = head.agg(F.struct(edge.alias("nth"), F.count(F.lit(1)).alias("k"),
                               F.count("_v").alias("kv")).alias("s")).scalar()
-    # Fewer than n rows: keep all.  A missing n-th value: every non-missing
-    # row is already in the head and all missing rows tie with it.
-    keep = (stats["k"] < F.lit(n)) | (stats["kv"] < stats["k"]) | (x >= stats["nth"])
+    if ascending:
+        # Missing values come first: all of them are in the head or tie with
+        # its last row; non-missing rows qualify up to the n-th value.
+        keep = (stats["k"] < F.lit(n)) | x.isNull() | ((stats["kv"] > 0) & (x <= stats["nth"]))
+    else:
+        # Fewer than n rows: keep all.  A missing n-th value: every
+        # non-missing row is already in the head and all missing rows tie.
+        keep = (stats["k"] < F.lit(n)) | (stats["kv"] < stats["k"]) | (x >= stats["nth"])
     return df.where(keep)
 
 

@@ -185,3 +185,12 @@ def test_worst_zone_by_sensor_attribute(spark, model):
     r = full.query([SENSOR_TYPE], ["Worst Zone Quality"]).collect()[0]
     assert r["WorstZoneQuality"] == 0.5
     assert full.query([], ["Worst Zone Quality"]).collect()[0]["WorstZoneQuality"] == 0.5
+
+
+def test_topn_ascending_worst_n(spark):
+    df = spark.createDataFrame([("a", 5), ("b", 4), ("c", 4), ("d", 1)], "k string, x int")
+    assert sorted(r["k"] for r in R.top_n_ties(df, 2, "x", ascending=True).collect()) == ["b", "c", "d"]
+    nulls = spark.createDataFrame([("a", None), ("b", None), ("c", 3), ("d", 7)], "k string, x int")
+    assert sorted(r["k"] for r in R.top_n_ties(nulls, 1, "x", ascending=True).collect()) == ["a", "b"]
+    assert sorted(r["k"] for r in R.top_n_ties(nulls, 3, "x", ascending=True).collect()) == ["a", "b", "c"]
+    assert R.top_n_ties(nulls, 9, "x", ascending=True).count() == 4
