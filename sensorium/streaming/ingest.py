@@ -65,13 +65,15 @@ def envelope_schema(schemas: dict[str, T.StructType]) -> T.StructType:
 
 
 def _typed(col: Column, dtype: T.DataType) -> Column:
+    """Wire text → typed value.  A malformed value becomes missing instead of
+    failing the micro-batch (ANSI casts would raise)."""
     if isinstance(dtype, T.BooleanType):
         return parse_bool(col)
     if isinstance(dtype, T.TimestampNTZType):
         return F.try_to_timestamp(col).cast("timestamp_ntz")
     if isinstance(dtype, T.TimestampType):
         return F.try_to_timestamp(col)
-    return col.cast(dtype)
+    return col.try_cast(dtype)
 
 
 def parse_events(raw: DataFrame, schemas: dict[str, T.StructType]) -> DataFrame:

@@ -96,14 +96,17 @@ def test_incremental_view_exactly_once_and_late_rows(spark, ctx, scratch):
 
 def test_route_types_and_quarantine(spark, ctx):
     ev = to_events(ctx.readings.limit(5), ctx.alerts.limit(3))
-    raw = ev.unionByName(spark.createDataFrame([("garbage",)], "value string"))
+    bad_value = '{"_table": "SensorReading", "ReadingId": "987654321", "ReadingValue": "abc", "Timestamp": "nope"}'
+    raw = ev.unionByName(spark.createDataFrame([("garbage",), (bad_value,)], "value string"))
     schemas = {READING_TABLE: ctx.readings.schema, ALERT_TABLE: ctx.alerts.schema}
     routed = route(parse_events(raw, schemas), schemas)
     assert routed[READING_TABLE].schema == ctx.readings.schema or \
         [f.dataType for f in routed[READING_TABLE].schema] == [f.dataType for f in ctx.readings.schema]
-    assert routed[READING_TABLE].count() == 5 and routed[ALERT_TABLE].count() == 3
+    assert routed[READING_TABLE].count() == 6 and routed[ALERT_TABLE].count() == 3
     assert routed["_quarantine"].count() == 1
-    got = sorted(map(tuple, routed[READING_TABLE].collect()))
+    bad = routed[READING_TABLE].where(F.col("ReadingId") == 987654321).collect()[0]
+    assert bad["ReadingValue"] is None and bad["Timestamp"] is None   # malformed → missing
+    got = sorted(map(tuple, routed[READING_TABLE].where(F.col("ReadingId") != 987654321).collect()))
     want = sorted(map(tuple, ctx.readings.where(
         F.col("ReadingId").isin([r["ReadingId"] for r in routed[READING_TABLE].collect()])).collect()))
     assert got == want
