@@ -202,3 +202,41 @@ def test_batch_table_compaction_and_replay(spark, ctx, scratch):
     files = spark.read.parquet(t.gen_path(1)).select(F.input_file_name()).distinct().count()
     days = r.select("event_date").distinct().count()
     assert files <= days * 2                           # ≤ salt_buckets files per day
+
+
+def test_restart_after_failure_mid_batch(spark, ctx, scratch):
+    """T5: batch 1 fails after some of its outputs were written; the query is
+    restarted from its checkpoint, batch 1 runs again and overwrites its own
+    partial output — the end state equals the batch answer exactly."""
+    readings, alerts = ctx.readings, ctx.alerts
+    lines = [r["value"] for r in to_events(readings, alerts).collect()]
+    write_files(spark, lines, scratch, 4)
+    schemas = {READING_TABLE: readings.schema, ALERT_TABLE: alerts.schema}
+    view = IncrementalView(spark, VIEWS["mv_readings_daily"], f"{scratch}/view")
+    state = {"failed": False}
+
+    def flaky(df, batch_id):
+        if batch_id == 1 and not state["failed"]:
+            state["failed"] = True
+            raise RuntimeError("simulated executor loss")
+
+    def make():
+        return Ingest(schemas=schemas, tables={t: f"{scratch}/tables/{t}" for t in schemas},
+                      handlers={READING_TABLE: [view.attach(), flaky]})
+
+    src = f"{scratch}/in/*"
+    q = make().start(event_stream(spark, src, max_files_per_trigger=1),
+                     checkpoint=f"{scratch}/ckpt", available_now=True)
+    try:
+        q.awaitTermination()
+    except Exception:  # noqa: BLE001  (the simulated failure)
+        pass
+    assert state["failed"] and q.exception() is not None
+    q2 = make().start(event_stream(spark, src, max_files_per_trigger=1),
+                      checkpoint=f"{scratch}/ckpt", available_now=True)
+    run_once(q2)
+    assert q2.exception() is None
+    assert {p.batchId for p in q2.recentProgress} >= {1}      # batch 1 ran again
+    facts = read_table(spark, f"{scratch}/tables/{READING_TABLE}")
+    assert facts.count() == readings.count()
+    assert rows_of(view.read()) == rows_of(VIEWS["mv_readings_daily"].compute(readings))
