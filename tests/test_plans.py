@@ -79,3 +79,20 @@ def test_one_scan_per_fact(spark, q):
     assert _scans(f, "events") == 1 and _scans(f, "orders") == 1
     f = formatted(q["mv_readings_hourly"](spark, SF_SMALL))
     assert _scans(f, "events") == 1
+
+
+def test_since_prunes_date_partitions(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from sensorium.operators.relational import since
+    from sensorium.plans.context import Ctx
+    from sensorium.streaming.batchlog import BatchTable
+    r = Ctx(spark, SF_SMALL).readings_plain.withColumn("event_date", F.to_date("Timestamp"))
+    t = BatchTable(spark, f"{scratch}/readings", partition_by=["event_date"])
+    t.write(r, 0)
+    recent = since(t.read(), "1h", as_of=F.lit("2024-01-30 12:00:00").cast("timestamp_ntz"))
+    f = formatted(recent)
+    scan = [line for line in f.splitlines() if line.startswith("PartitionFilters:")]
+    assert scan and "event_date" in scan[0]
+    assert recent.count() == r.where(
+        (F.col("Timestamp") > F.lit("2024-01-30 11:00:00").cast("timestamp_ntz"))).count()
