@@ -15,14 +15,16 @@ caller's choice:
 from __future__ import annotations
 
 import math
+import string
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorium.functions.scalar import clamp, round_stable, sec_of_day
 from sensorium.schemas import (
-    ALERT_HIGH_FACTOR, ALERT_LOW_FACTOR, QUALITY_GOOD, QUALITY_SUSPECT, SENSOR_TYPES,
-    SEVERITY_CRITICAL, SEVERITY_WARNING,
+    ALERT_HIGH_FACTOR, ALERT_LOW_FACTOR, ALERT_MESSAGE_ABOVE, ALERT_MESSAGE_BELOW,
+    ALERT_TYPE_ABOVE, ALERT_TYPE_BELOW, EXPECTED_AMPLITUDE, EXPECTED_CLAMP, NOISE_SCALE,
+    QUALITY_GOOD, QUALITY_SUSPECT, SENSOR_TYPES, SEVERITY_CRITICAL, SEVERITY_WARNING,
 )
 
 THRESHOLD_COLS = ["unit", "min_normal", "max_normal", "min_critical", "max_critical"]
@@ -62,17 +64,23 @@ def _fmt_number(x: Column) -> Column:
     return F.when(x.isNull(), F.lit("None")).otherwise(s)
 
 
+def format_columns(template: str, **cols: Column) -> Column:
+    """``str.format``-style template → ``concat`` of literals and columns."""
+    parts = []
+    for literal, field, _spec, _conv in string.Formatter().parse(template):
+        if literal:
+            parts.append(F.lit(literal))
+        if field is not None:
+            parts.append(cols[field])
+    return F.concat(*parts)
+
+
 def alert_message(stype: Column, below: Column, value: Column, unit: Column,
                   thr: Column) -> Column:
-    """``{type} too low: {v} {unit} (min: {t})`` or ``… too high … (max: …)`` (A5)."""
-    return F.when(
-        below,
-        F.concat(stype, F.lit(" too low: "), _fmt_number(value), F.lit(" "), unit,
-                 F.lit(" (min: "), _fmt_number(thr), F.lit(")")),
-    ).otherwise(
-        F.concat(stype, F.lit(" too high: "), _fmt_number(value), F.lit(" "), unit,
-                 F.lit(" (max: "), _fmt_number(thr), F.lit(")")),
-    )
+    """The alert message (A5) from the fixed below / above templates."""
+    cols = dict(type=stype, value=_fmt_number(value), unit=unit, threshold=_fmt_number(thr))
+    return F.when(below, format_columns(ALERT_MESSAGE_BELOW, **cols)) \
+        .otherwise(format_columns(ALERT_MESSAGE_ABOVE, **cols))
 
 
 def keep_fraction(key: Column, p: float, seed: int = 42) -> Column:
@@ -119,7 +127,7 @@ def derive_alerts(readings: DataFrame, thresholds: DataFrame, by: str = "sensor"
     return r.select(
         F.concat(F.lit("AL-"), F.col(id_col).cast("string")).alias("AlertId"),
         "SensorId", "ZoneId", "SiteId", "Timestamp", "SensorType",
-        F.when(below, F.lit("BelowThreshold")).otherwise(F.lit("AboveThreshold")).alias("AlertType"),
+        F.when(below, F.lit(ALERT_TYPE_BELOW)).otherwise(F.lit(ALERT_TYPE_ABOVE)).alias("AlertType"),
         F.when(critical, F.lit(SEVERITY_CRITICAL)).otherwise(F.lit(SEVERITY_WARNING)).alias("Severity"),
         v.alias("ReadingValue"),
         round_stable(thr, 2).alias("ThresholdValue"),
@@ -128,8 +136,9 @@ def derive_alerts(readings: DataFrame, thresholds: DataFrame, by: str = "sensor"
 
 
 def expected_value(readings: DataFrame, thresholds: DataFrame, by: str = "sensor",
-                   amplitude: float = 0.4, phase_sec: float = 0.0,
-                   low_clamp: float = 0.98, high_clamp: float = 1.02) -> DataFrame:
+                   amplitude: float = EXPECTED_AMPLITUDE, phase_sec: float = 0.0,
+                   low_clamp: float = EXPECTED_CLAMP[0],
+                   high_clamp: float = EXPECTED_CLAMP[1]) -> DataFrame:
     """Expected value of each reading (A8): ``mid + amplitude·spread·sin(2π·s/86400)``
     with ``s`` the second of day (shifted by ``phase_sec``), clamped to
     ``[low_clamp·min_normal, high_clamp·max_normal]``."""
@@ -146,7 +155,7 @@ def expected_value(readings: DataFrame, thresholds: DataFrame, by: str = "sensor
 
 
 def residual_score(readings: DataFrame, thresholds: DataFrame, by: str = "sensor",
-                   noise_scale: float = 0.15) -> DataFrame:
+                   noise_scale: float = NOISE_SCALE) -> DataFrame:
     """(value − expected) / (noise_scale·spread) (A9); missing when spread is 0."""
     e = expected_value(readings, thresholds, by)
     score = F.try_divide(F.col("ReadingValue") - F.col("ExpectedValue"),

@@ -9,30 +9,48 @@ arithmetic on the parent's own ordinal.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import string
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorium.functions.scalar import pad_id
 from sensorium.schemas import (
-    SENSOR_INSTALL_DATE, SENSOR_TYPES, SENSORS_PER_ZONE, ZONE_TYPES, ZONES_PER_SITE,
+    SENSOR_ID_FORMAT, SENSOR_INSTALL_DATE, SENSOR_NAME_FORMAT, SENSOR_TYPES, SENSORS_PER_ZONE,
+    SITE_ID_FORMAT, SITE_LATITUDE, SITE_LONGITUDE, ZONE_AREA, ZONE_ID_FORMAT, ZONE_NAME_FORMAT,
+    ZONE_TYPES, ZONES_PER_SITE,
 )
 
 
+def _format(template: str, **cols: Column) -> Column:
+    """A fixed ``str.format`` template over columns; ``{n:03d}`` zero-pads."""
+    parts = []
+    for literal, field, spec, _conv in string.Formatter().parse(template):
+        if literal:
+            parts.append(F.lit(literal))
+        if field is None:
+            continue
+        c = cols[field].cast("string")
+        if spec and spec.endswith("d") and spec.startswith("0"):
+            c = F.lpad(c, int(spec[1:-1]), "0")
+        parts.append(c)
+    return F.concat(*parts)
+
+
 def build_sites(src: DataFrame, ordinal: str, name: str, region: str | None = None,
                 country: str | None = None) -> DataFrame:
     """dim_sites from a table of site rows; ``ordinal`` is 0-based.
 
-    id ``SITE_{i+1:03d}``, latitude ``43.3 + 2·i``, longitude ``2.3 + 1.5·i``
-    (4 digits), active.
+    Id, latitude and longitude follow the fixed formats and steps of
+    ``sensorium.schemas``; every site is active.
     """
     i = F.col(ordinal)
     return src.select(
-        pad_id("SITE_", i + 1, 3).alias("site_id"),
+        _format(SITE_ID_FORMAT, n=i + 1).alias("site_id"),
         F.col(name).alias("site_name"),
         (F.col(region) if region else F.lit(None).cast("string")).alias("region"),
         (F.col(country) if country else F.lit(None).cast("string")).alias("country"),
-        F.round(F.lit(43.3) + i * 2.0, 4).alias("latitude"),
-        F.round(F.lit(2.3) + i * 1.5, 4).alias("longitude"),
+        F.round(F.lit(SITE_LATITUDE[0]) + i * SITE_LATITUDE[1], 4).alias("latitude"),
+        F.round(F.lit(SITE_LONGITUDE[0]) + i * SITE_LONGITUDE[1], 4).alias("longitude"),
         F.lit(True).alias("is_active"),
         i.alias("_site_ord"),
     )
@@ -42,20 +60,21 @@ def build_zones(sites: DataFrame, per_site: int = ZONES_PER_SITE,
                 zone_types: list[str] = ZONE_TYPES) -> DataFrame:
     """dim_zones: ``per_site`` zones per site with cyclic type choice.
 
-    id ``{site_id}_Z{j+1:02d}``, name ``{type} - {site_name}``, floor
-    ``j // 2 + 1``, area ``100 + 50·j + 3·len(site_name)``.
+    Id and name follow the fixed formats; floor ``j // 2 + 1``; area from the
+    fixed base, step and per-letter factor (``ZONE_AREA``).
     """
     types = F.array(*[F.lit(t) for t in zone_types])
     z = sites.select("*", F.posexplode(F.array_repeat(F.lit(0), per_site)).alias("_j", "_unused"))
     j = F.col("_j")
     ztype = F.element_at(types, (F.pmod(j, F.lit(len(zone_types))) + 1).cast("int"))
+    area = F.lit(ZONE_AREA[0]) + j * ZONE_AREA[1] + F.length("site_name") * ZONE_AREA[2]
     return z.select(
-        F.concat(F.col("site_id"), F.lit("_"), pad_id("Z", j + 1, 2)).alias("zone_id"),
-        F.concat(ztype, F.lit(" - "), F.col("site_name")).alias("zone_name"),
+        _format(ZONE_ID_FORMAT, site_id=F.col("site_id"), n=j + 1).alias("zone_id"),
+        _format(ZONE_NAME_FORMAT, zone_type=ztype, site_name=F.col("site_name")).alias("zone_name"),
         ztype.alias("zone_type"),
         F.col("site_id"),
         (F.floor(j / 2) + 1).cast("int").alias("floor"),
-        F.round(F.lit(100.0) + j * 50 + F.length("site_name") * 3, 1).alias("area_sqm"),
+        F.round(area, 1).alias("area_sqm"),
         F.lit(True).alias("is_active"),
         (F.col("_site_ord") * per_site + j).alias("_zone_ord"),
     )
@@ -77,8 +96,8 @@ def build_sensors(zones: DataFrame, per_zone: int = SENSORS_PER_ZONE,
     t = F.element_at(info, (F.pmod(k, F.lit(len(sensor_types))) + 1).cast("int"))
     num = F.col("_zone_ord") * per_zone + k + 1
     return s.select(
-        pad_id("SN_", num, 4).alias("sensor_id"),
-        F.concat(t["name"], F.lit(" Sensor "), num.cast("string")).alias("sensor_name"),
+        _format(SENSOR_ID_FORMAT, n=num).alias("sensor_id"),
+        _format(SENSOR_NAME_FORMAT, sensor_type=t["name"], n=num).alias("sensor_name"),
         t["name"].alias("sensor_type"),
         t["unit"].alias("unit"),
         F.col("zone_id"),

@@ -30,6 +30,21 @@ QUALITY_SUSPECT = "Suspect"
 SEVERITY_CRITICAL = "Critical"
 SEVERITY_WARNING = "Warning"
 ISO_MICROS_Z = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+ALERT_TYPE_BELOW = "BelowThreshold"
+ALERT_TYPE_ABOVE = "AboveThreshold"
+ALERT_MESSAGE_BELOW = "{type} too low: {value} {unit} (min: {threshold})"
+ALERT_MESSAGE_ABOVE = "{type} too high: {value} {unit} (max: {threshold})"
+SITE_ID_FORMAT = "SITE_{n:03d}"              # n = site ordinal + 1
+ZONE_ID_FORMAT = "{site_id}_Z{n:02d}"         # n = zone ordinal in its site + 1
+SENSOR_ID_FORMAT = "SN_{n:04d}"               # n = running sensor number
+ZONE_NAME_FORMAT = "{zone_type} - {site_name}"
+SENSOR_NAME_FORMAT = "{sensor_type} Sensor {n}"
+SITE_LATITUDE = (43.3, 2.0)                   # base + step · site ordinal, 4 digits
+SITE_LONGITUDE = (2.3, 1.5)                   # base + step · site ordinal, 4 digits
+ZONE_AREA = (100.0, 50.0, 3.0)                # base + step · zone ordinal + per-letter · len(site name)
+EXPECTED_AMPLITUDE = 0.4                      # share of the half-range swung by the daily sine
+EXPECTED_CLAMP = (0.98, 1.02)                 # × min_normal, × max_normal
+NOISE_SCALE = 0.15                            # noise standard deviation as a share of the half-range
 # --------------------------------------------------------------------------
 
 DIM_SITES = T.StructType([

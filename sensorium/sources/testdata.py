@@ -36,7 +36,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorium.schemas import (
-    ALERT_HIGH_FACTOR, ALERT_LOW_FACTOR, SENSOR_TYPES, SEVERITY_CRITICAL,
+    ALERT_HIGH_FACTOR, ALERT_LOW_FACTOR, ALERT_TYPE_ABOVE, ALERT_TYPE_BELOW, SENSOR_TYPES,
+    SEVERITY_CRITICAL,
     SEVERITY_WARNING, ZONE_TYPES, QUALITY_GOOD, QUALITY_SUSPECT,
 )
 
@@ -214,7 +215,7 @@ def enrich_alerts(od: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "AlertId", "SensorId", "ZoneId", "SiteId", "Timestamp",
         st.alias("SensorType"),
-        F.when(below, F.lit("BelowThreshold")).otherwise(F.lit("AboveThreshold")).alias("AlertType"),
+        F.when(below, F.lit(ALERT_TYPE_BELOW)).otherwise(F.lit(ALERT_TYPE_ABOVE)).alias("AlertType"),
         "Severity", "ReadingValue",
         thr.alias("ThresholdValue"),
         alert_message(st, below, v, F.col("_unit"), thr).alias("Message"),
