@@ -256,10 +256,10 @@ class SensorModel:
         parts = []
         for f, names in by_fact.items():
             if f == "readings" and WORST_ZONE_QUALITY in measures:
-                continue                      # folded into the zone-type pipeline below
+                continue                      # folded into the zone-type pass below
             parts.append(self._fact_groups(f, names, keys, filters, time_range))
         if WORST_ZONE_QUALITY in measures:
-            parts.append(self._zone_pipeline(keys, filters, time_range,
+            parts.append(self._zone_pass(keys, filters, time_range,
                                              by_fact.setdefault("readings", [])))
         if keys and base is None and any(m.defined_on_empty for m in plain):
             parts.append(self._members(keys, filters))
@@ -311,7 +311,7 @@ class SensorModel:
             result = result.where(cond)
         return result
 
-    def _zone_pipeline(self, keys: list[str], filters: dict, time_range,
+    def _zone_pass(self, keys: list[str], filters: dict, time_range,
                        names: list[str]) -> DataFrame:
         """Readings pieces per (keys, zone type) plus MINX over zone types of
         Good Quality Rate (G12/G13/G17), in one pass over the readings.
