@@ -136,7 +136,6 @@ def test_dedup_within_watermark_and_windows(spark, ctx, scratch):
 def test_csv_stream_timed_trigger_and_live_alerts(spark, ctx, scratch):
     from sensorium.operators.alerts import threshold_table
     from sensorium.schemas import SENSOR_ALERT
-    from sensorium.sources.tables import write_csv
     from sensorium.streaming.ingest import alert_handler, csv_stream, run_for
 
     # Alerts as header-less CSV with quotes and commas in Message.
