@@ -96,3 +96,16 @@ def test_since_prunes_date_partitions(spark, scratch):
     assert scan and "event_date" in scan[0]
     assert recent.count() == r.where(
         (F.col("Timestamp") > F.lit("2024-01-30 11:00:00").cast("timestamp_ntz"))).count()
+
+
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+                "FlatMapCoGroupsInPandas", "PythonUDF", "AggregateInPandas")
+EAGER = ("stream_", "dims_csv_roundtrip", "mv_served_")
+
+
+def test_no_python_in_any_query_plan(spark, q):
+    for name, fn in sorted(q.items()):
+        if name.startswith(EAGER):
+            continue
+        f = formatted(fn(spark, SF_SMALL))
+        assert not any(node in f for node in PYTHON_NODES), name
