@@ -254,10 +254,17 @@ class SensorModel:
                     by_fact[fact].append(name)
 
         parts = []
+        marked = False
         for f, names in by_fact.items():
             if f == "readings" and WORST_ZONE_QUALITY in measures:
                 continue                      # folded into the zone-type pass below
-            parts.append(self._fact_groups(f, names, keys, filters, time_range))
+            part = self._fact_groups(f, names, keys, filters, time_range)
+            if f == base:
+                # Every group of the base fact's own aggregate is present in
+                # that fact: mark it here instead of aggregating the fact again.
+                part = part.withColumn(f"_in_{base}", F.lit(1))
+                marked = True
+            parts.append(part)
         if WORST_ZONE_QUALITY in measures:
             parts.append(self._zone_pass(keys, filters, time_range,
                                              by_fact.setdefault("readings", [])))
@@ -269,7 +276,7 @@ class SensorModel:
         allp = parts[0]
         for p in parts[1:]:
             allp = allp.unionByName(p, allowMissingColumns=True)
-        if base is not None:
+        if base is not None and not marked:
             # Only combinations present in the base fact survive.
             present = f"_in_{base}"
             base_part = (self._fact_groups(base, ["n"], keys, filters, time_range)
