@@ -194,3 +194,15 @@ def test_topn_ascending_worst_n(spark):
     assert sorted(r["k"] for r in R.top_n_ties(nulls, 1, "x", ascending=True).collect()) == ["a", "b"]
     assert sorted(r["k"] for r in R.top_n_ties(nulls, 3, "x", ascending=True).collect()) == ["a", "b", "c"]
     assert R.top_n_ties(nulls, 9, "x", ascending=True).count() == 4
+
+
+def test_grouping_across_two_dimension_tables_keeps_existing_combinations(model):
+    out = model.query([SITE, ZONE_TYPE], ["Total Readings", "Anomaly Rate"]).collect()
+    combos = {(r["site_name"], r["zone_type"]) for r in out}
+    # Members come from the zone hierarchy (zones with their site), plus the
+    # blank group of the unknown sensor — no site × zone-type cross product.
+    assert combos == {("A", "Production"), ("A", "Storage"), ("B", "Office"), ("C", "HVAC"),
+                      (None, None)}
+    by = {(r["site_name"], r["zone_type"]): r for r in out}
+    assert by[("A", "Production")]["TotalReadings"] == 2
+    assert by[("C", "HVAC")]["AnomalyRate"] == 0.0 and by[("C", "HVAC")]["TotalReadings"] is None
