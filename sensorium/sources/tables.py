@@ -8,7 +8,7 @@ nothing but the final numbers reaches the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,8 +109,12 @@ def apply_retention(df: DataFrame, days: int, as_of=None, ts: str = "Timestamp",
     On a table partitioned by ``date_col`` the filter prunes whole partitions;
     physically dropping them is a partition overwrite of the kept range.
     """
-    anchor = F.current_timestamp() if as_of is None else (
-        as_of if not isinstance(as_of, (str, int, float)) else F.lit(as_of))
+    if as_of is None:
+        anchor = F.current_timestamp()
+    elif isinstance(as_of, Column):
+        anchor = as_of
+    else:
+        anchor = F.lit(as_of)
     cut = anchor - F.make_dt_interval(days=F.lit(days))
     out = df.where(F.col(ts) >= cut)
     if date_col and date_col in df.columns:

@@ -63,6 +63,8 @@ def test_retention_filter(spark):
     df = spark.createDataFrame([(t0,), (t0 - dt.timedelta(days=3),), (t0 - dt.timedelta(days=40),)],
                                "Timestamp timestamp_ntz")
     assert TB.apply_retention(df, 7, as_of=F.lit(t0)).count() == 2
+    assert TB.apply_retention(df, 7, as_of=t0).count() == 2          # plain datetime
+    assert TB.apply_retention(df, 50, as_of=t0).count() == 3
 
 
 def test_load_dim_and_sensors(spark, scratch):
