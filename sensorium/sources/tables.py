@@ -1,8 +1,8 @@
 """Batch sources, sinks and table management.
 
 Formats are a parameter (Parquet by default; Delta, ORC or JSON when the
-cluster has them).  Table-level statistics are computed as one-row aggregates
-unioned together, so a check over many tables is one Spark job per table and
+cluster has them).  Table-level statistics are one-row aggregates unioned
+together: a check over many tables is one Spark job (one scan per table), and
 nothing but the final numbers reaches the driver.
 """
 
