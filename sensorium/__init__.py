@@ -12,5 +12,11 @@ Sub-packages:
 """
 
 from sensorium.session import get_spark, scratch_path
+from sensorium.operators.model import SensorModel
+from sensorium.plans.views import VIEWS, Agg, ViewDef
+from sensorium.streaming.batchlog import BatchTable
+from sensorium.streaming.incremental import IncrementalView
+from sensorium.streaming.ingest import Ingest, event_stream
 
-__all__ = ["get_spark", "scratch_path"]
+__all__ = ["Agg", "BatchTable", "IncrementalView", "Ingest", "SensorModel", "VIEWS", "ViewDef",
+           "event_stream", "get_spark", "scratch_path"]
