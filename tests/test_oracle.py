@@ -34,3 +34,19 @@ def test_entry_smoke(spark):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
+
+
+def test_rows_only_queries(spark):
+    """The sampling queries have no SQL oracle: check them against their own
+    definitions instead."""
+    from sensorium.plans.context import Ctx
+    ctx = Ctx(spark, SF_SMALL)
+    sample = QUERIES["sample_sensors"](spark, SF_SMALL)
+    rows = [tuple(r) for r in sample.collect()]
+    assert len(rows) == 10 and len(set(rows)) == 10
+    assert sample.exceptAll(ctx.sensors).count() == 0                 # drawn from the sensors
+    a = sorted(r["ReadingId"] for r in QUERIES["thin_anomalies"](spark, SF_SMALL).collect())
+    b = sorted(r["ReadingId"] for r in QUERIES["thin_anomalies"](spark, SF_SMALL).collect())
+    anomalies = ctx.readings_plain.where("IsAnomaly").count()
+    assert a == b                                                     # replayable
+    assert 0 <= len(a) <= anomalies and abs(len(a) - 0.05 * anomalies) <= 4 * (0.05 * anomalies) ** 0.5 + 2
