@@ -4,6 +4,7 @@ broadcasts, white space."""
 from __future__ import annotations
 
 import atexit
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,6 +64,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def workers_see_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.  On a
+    cluster whose nodes don't, submit it with ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
+def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+    """``mapInArrow`` with a function of this package."""
+    workers_see_package(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def salted(key: Column, copies: int) -> Column:
     """A salt in [0, copies) that depends on the row's key alone, so a task that
     runs again deals its rows alike."""

@@ -31,6 +31,8 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 MIN_POSTERIOR = 0.5
 MAX_STEPS = 30
+#: A word of letters, with marks of a sentence around it.
+PLAIN_WORD = r"""^[("'\u00ab\u201c]*\p{L}[\p{L}'\u2019-]*[.,;:!?)"'\u00bb\u201d]*$"""
 TOLERANCE = 1e-6
 
 
@@ -70,6 +72,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
         F.size("_lines").cast("long").alias("n_lines"),
         F.size(F.array_distinct("_hashes")).cast("long").alias("n_distinct"),
+        F.size(F.filter("_words", lambda w: F.rlike(w, F.lit(PLAIN_WORD)))).cast("long").alias("n_plain"),
         _removed("_text", r"\p{Lu}+").cast("long").alias("n_upper"),
         _removed("_text", r"[!?]+").cast("long").alias("n_shouts"))
 
@@ -83,10 +86,11 @@ def votes() -> dict[str, Column]:
         "upper": (share("n_upper", F.greatest(c("word_chars"), F.lit(1))) > 0.4,
                   share("n_upper", F.greatest(c("word_chars"), F.lit(1))) < 0.2),
         "shouts": (share("n_shouts") > 0.2, share("n_shouts") < 0.05),
-        "repeats": (share("n_repeat_words") > 0.2, share("n_repeat_words") < 0.02),
-        "lines": (share("n_dup_lines", F.greatest(c("n_lines"), F.lit(1))) > 0.3, c("n_dup_lines") == 0),
+        "repeats": (share("n_repeat_words") > 0.35, share("n_repeat_words") < 0.02),
+        "lines": (share("n_dup_lines", F.greatest(c("n_lines"), F.lit(1))) > 0.5, c("n_dup_lines") == 0),
         "variety": ((n >= 50) & (share("n_distinct", F.least(n, F.lit(400))) < 0.15),
                     (n >= 50) & (share("n_distinct", F.least(n, F.lit(400))) > 0.3)),
+        "plain": (share("n_plain") < 0.6, share("n_plain") > 0.85),
         "word_length": ((share("word_chars") < 2.5) | (share("word_chars") > 14),
                         share("word_chars").between(3.5, 10)),
     }
@@ -105,10 +109,11 @@ def posterior(model: dict, names: list[str]) -> Column:
 def estimate(patterns: DataFrame, names: list[str]) -> dict:
     """EM over the pattern counts.  ``model[rule, class, vote]`` is the rate of a
     vote among the rule's votes on documents of the class (abstentions carry no
-    weight).  It starts from the assumption that rules are right in 4 of 5
-    votes on bad documents and wrong in 1 of 50 on good ones, and keeps a
-    thousandth of the corpus as pseudo-counts in favour of it."""
-    start = {(1, 1): 0.98, (1, -1): 0.02, (0, 1): 0.5, (0, -1): 0.5}
+    weight).  It starts from the assumption that a bad document offends against
+    three rules in ten and a good one against one in a hundred, and keeps a
+    thousandth of the corpus as pseudo-counts in favour of it: one rule alone
+    may then tell a kind of bad document."""
+    start = {(1, 1): 0.99, (1, -1): 0.01, (0, 1): 0.7, (0, -1): 0.3}
     model = {(name, *k): v for name in names for k, v in start.items()} | {"prior": 0.85}
     for _ in range(MAX_STEPS):
         good = posterior(model, names) * F.col("n")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from sensorium.llm import exact_dedup, licenses, quality, url_filter
+from sensorium.llm import exact_dedup, licenses, mixing, packing, quality, url_filter
 
 QUERIES = {
+    "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op4_url_filters": url_filter.op4_url_filters,
     "op5_quality_rules": quality.op5_quality_rules,
+    "op6_mixing": mixing.op6_mixing,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op10_license_scans": licenses.op10_license_scans,
 }
