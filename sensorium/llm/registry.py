@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sensorium.llm import exact_dedup, licenses, mixing, packing, quality, url_filter
+from sensorium.llm import chat, exact_dedup, licenses, mixing, packing, pii, quality, url_filter
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -10,10 +10,13 @@ QUERIES = {
     "op5_quality_rules": quality.op5_quality_rules,
     "op6_mixing": mixing.op6_mixing,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op8_private_data": pii.op8_private_data,
+    "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_license_scans": licenses.op10_license_scans,
 }
 
 ORACLE = {
     "op4_url_filters": url_filter.ORACLE,
     "op7_exact_dedup": exact_dedup.ORACLE,
+    "op9_chat_formatting": chat.ORACLE,
 }
