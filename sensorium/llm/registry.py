@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from sensorium.llm import chat, exact_dedup, html_extract, licenses, mixing, packing, pii, quality, url_filter
+from sensorium.llm import chat, exact_dedup, html_extract, licenses, mixing, ngram_join, packing, pii, quality, url_filter
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op2_ngram_jaccard": ngram_join.op2_ngram_jaccard,
     "op3_html_extraction": html_extract.op3_html_extraction,
     "op4_url_filters": url_filter.op4_url_filters,
     "op5_quality_rules": quality.op5_quality_rules,
