@@ -80,6 +80,11 @@ def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def whole_row(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """All (or these) columns as one struct, so that no helper column can clash with them."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in columns or df.columns])
+
+
 def salted(key: Column, copies: int) -> Column:
     """A salt in [0, copies) that depends on the row's key alone, so a task that
     runs again deals its rows alike."""

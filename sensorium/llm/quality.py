@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorium.llm.common import SPACE, SPACE_CHARS, materialise, table, words
+from sensorium.llm.common import SPACE, SPACE_CHARS, materialise, table, whole_row, words
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -41,9 +41,10 @@ def _removed(text: str, pattern: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
 
 
-def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Counts of each text, from the whole text, one row per row of ``docs``."""
-    df = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+def features(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """Counts of each text, from the whole text, one row per row of ``docs``, whose
+    columns (all, or ``carry``) go along as the struct ``row``."""
+    df = docs.select(whole_row(docs, carry).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     lines = F.filter(F.split("_text", "\n"), lambda x: F.btrim(x, F.lit(SPACE_CHARS)) != "")
     df = df.select("_id", "_text", words(F.col("_text")).alias("_words"), lines.alias("_lines"))
     hashes = F.transform("_words", lambda w: F.xxhash64(w))
@@ -65,7 +66,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.transform("_places", lambda p, i: F.least(F.lit(WINDOW), F.coalesce(
             F.get(F.col("_places"), i + 1) - p, F.lit(WINDOW)))), F.lit(0).cast("long"), lambda a, x: a + x)
     return df.select(
-        F.col("_id").alias(id_col), F.size("_words").cast("long").alias("n_words"),
+        F.col("_id").alias("row"), F.size("_words").cast("long").alias("n_words"),
         F.aggregate("_words", F.lit(0).cast("long"), lambda a, w: a + F.length(w)).alias("word_chars"),
         _removed("_text", r"[#*$%&|<>]+").cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
@@ -134,17 +135,23 @@ def estimate(patterns: DataFrame, names: list[str]) -> dict:
     return model
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Features, ``base_failed``, ``quality`` (posterior) and ``kept`` per row of ``docs``."""
+def judge(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """``row`` (the columns of ``docs``, or ``carry``), the features, ``base_failed``, ``quality`` (posterior)
+    and ``kept`` per row of ``docs``."""
     rules = votes()
     names = list(rules)
-    seen = materialise(features(docs, id_col, text_col).withColumns(rules), "quality-votes")
+    seen = materialise(features(docs, text_col, carry).withColumns(rules), "quality-votes")
     patterns = materialise(seen.groupBy(*names).agg(F.count("*").alias("n")), "vote-patterns")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return seen.withColumn("base_failed", failed).withColumn("quality", posterior(estimate(patterns, names), names)) \
         .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= MIN_POSTERIOR))
 
 
+def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns."""
+    return judge(docs, text_col).where("kept").select("row.*")
+
+
 def op5_quality_rules(spark, sf_dir: str) -> DataFrame:
-    return judge(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+    return judge(table(spark, sf_dir, "documents"), carry=["doc_id"]).select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from sensorium.llm import chat, exact_dedup, html_extract, licenses, mixing, ngram_join, packing, pii, quality, url_filter
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_private_data": pii.op8_private_data,
     "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_license_scans": licenses.op10_license_scans,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
@@ -22,3 +24,6 @@ ORACLE = {
     "op7_exact_dedup": exact_dedup.ORACLE,
     "op9_chat_formatting": chat.ORACLE,
 }
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
