@@ -19,7 +19,7 @@ of the input only the named columns are read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorium.llm.common import materialise, table
@@ -66,7 +66,7 @@ def template_grams(spark: SparkSession, templates: list[tuple[str, str]] = TEMPL
         rows += [(t, label, len(w), i, *w[i:i + k]) for i in range(len(w) - k + 1)]
     names = [f"w{j}" for j in range(k)]
     df = spark.createDataFrame(rows, "t int, label string, t_words int, t_pos int, " + ", ".join(f"{n} string" for n in names))
-    return df.withColumn("t_gram", F.array(*names)).withColumn("t_hash", F.xxhash64(*names)).drop(*names)
+    return df.withColumn("t_gram", F.concat_ws(" ", *names)).withColumn("t_hash", F.xxhash64("t_gram")).drop(*names)
 
 
 def _places(words: Column, phrase: str) -> Column:
@@ -83,16 +83,14 @@ def spans(docs: DataFrame, keys: list[str], words: str, templates: DataFrame, k:
     """Candidate spans: ``keys``, template, label, first and last word, and
     ``coverage`` (share of the template's words that the span's hits cover)."""
     count = F.size(words) - (k - 1)
-    grams = F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1),
-                                          lambda i: F.xxhash64(*[F.get(F.col(words), i + j) for j in range(k)])))
-    rolled = docs.select(*keys, F.col(words).alias("_w"), F.posexplode(grams).alias("_pos", "_hash"))
-    hits = rolled.join(F.broadcast(templates), F.col("_hash") == F.col("t_hash"))
-    hits = hits.where(F.slice("_w", F.col("_pos") + 1, k) == F.col("t_gram"))
+    grams = F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.concat_ws(
+        " ", *[F.get(F.col(words), i + j) for j in range(k)])))
+    rolled = docs.select(*keys, F.posexplode(grams).alias("_pos", "_gram"))
+    hits = rolled.join(F.broadcast(templates), (F.xxhash64("_gram") == F.col("t_hash")) & (F.col("_gram") == F.col("t_gram")))
     hits = hits.select(*keys, "t", "label", "t_words", "t_pos", "_pos", (F.col("_pos") - F.col("t_pos")).alias("_diagonal"))
     votes = hits.groupBy(*keys, "t", "label", "t_words", "_diagonal").agg(
         F.collect_set("t_pos").alias("_at"), F.min("_pos").alias("_from"), (F.max("_pos") + k - 1).alias("_to"))
     # One document's diagonals for one template: no more than the document has words.
-    from pyspark.sql import Window
     w = Window.partitionBy(*keys, "t").orderBy("_diagonal")
     apart = F.coalesce(F.col("_diagonal") - F.lag("_diagonal").over(w) > gap, F.lit(True))
     merged = votes.withColumn("_span", F.sum(apart.cast("int")).over(w))
