@@ -1,0 +1,74 @@
+import re
+
+from sensorium.llm import licenses as L
+
+SF = "/root/testdata/sf0.01"
+
+
+def words_of(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def base(text):
+    words, places, labels = words_of(text), [], set()
+    for phrase, label in L.PHRASES.items():
+        p = phrase.split()
+        hits = [i for i in range(len(words)) if words[i:i + len(p)] == p]
+        places += hits
+        labels |= {label} if hits else set()
+    return (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels)))
+
+
+def by_hand(text):
+    """Diagonal voting over all word positions of one text, without hashes or joins."""
+    words, score, labels = words_of(text), 0.0, set()
+    for label, wording in L.TEMPLATES:
+        t = wording.split()
+        votes = {}
+        for i in range(len(words) - L.K + 1):
+            for j in range(len(t) - L.K + 1):
+                if words[i:i + L.K] == t[j:j + L.K]:
+                    votes.setdefault(i - j, set()).update(range(j, j + L.K))
+        covered, last = set(), None
+        spans = []
+        for d in sorted(votes):
+            if last is None or d - last > L.GAP:
+                spans.append(set())
+            spans[-1] |= votes[d]
+            last = d
+        for covered in spans:
+            share = len(covered) / len(t)
+            score = max(score, share)
+            if share >= L.MIN_COVERAGE:
+                labels.add(label)
+    return score, labels
+
+
+TEXTS = [None, "", "mit license", "MIT\nLicense mit-license", "the Apache License and the GNU General Public License; MIT license",
+         "Released under the MIT License.", "Licensed under CC BY-NC 4.0", "licensed under the very Apache License, Version 2.0",
+         "licensed under the public license", "M\u0130T license", "mit licen\u212ae", "x " * 30000 + "Released under the MIT License " * 50,
+         "Permission is hereby granted, free of charge, to any person obtaining some copy of this software and associated "
+         "documentation files (the \"Software\"), to deal in the Software without restriction"]
+
+
+def test_equals_by_hand(spark, docs_of):
+    docs = [*enumerate(TEXTS), (None, TEXTS[2]), (3, TEXTS[3]), (3, TEXTS[3])]
+    rows = L.scan(docs_of(docs)).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        text = TEXTS[2] if r.doc_id is None else TEXTS[r.doc_id]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == base(text)
+        score, labels = by_hand(text)
+        assert abs(r.score - score) < 1e-9
+        assert r.labels == ",".join(sorted(labels | set(filter(None, r.base_labels.split(",")))))
+    assert L.scan(docs_of([])).collect() == []
+
+
+def test_whole_table(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = L.op10_license_scans(spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == base(texts[r.doc_id])
+        assert 0 <= r.score <= 1

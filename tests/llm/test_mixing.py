@@ -1,0 +1,77 @@
+import math
+import re
+
+import pytest
+
+from sensorium.llm import mixing as M
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_targets_by_hand():
+    # 150 % of 100 is 150; weights 5, 2, 1: 93.75, 37.5, 18.75; a may have 40 at most, the rest is shared 2 to 1.
+    got = M.targets({"a": 20, "b": 50, None: 30})
+    assert got == {"a": 40.0, "b": pytest.approx(110 * 2 / 3), None: pytest.approx(110 / 3)}
+    assert M.targets({}) == {} and M.targets({"a": 0}) == {"a": 0.0}
+    got = M.targets({"a": 1, "b": 1, "c": 1000})
+    assert got["a"] == 2 and got["b"] == 2 and got["c"] == pytest.approx(1.5 * 1002 - 4)
+
+
+def test_whole_table(spark):
+    sources = {r.doc_id: (r.source, len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")))
+               for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = M.op6_mixing(spark, SF).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(sources)
+    size, taken, target = {}, {}, {}
+    for r in rows:
+        s, n = sources[r.doc_id]
+        assert r.size == n and r.taken in (0, n, 2 * n)
+        size[s], taken[s], target[s] = size.get(s, 0) + n, taken.get(s, 0) + r.taken, r.target
+    expected = M.targets(size)
+    for s in size:
+        assert target[s] == pytest.approx(expected[s])
+        assert abs(taken[s] - target[s]) <= 0.01 * target[s]
+    assert {r.source_size for r in rows} == set(size.values())
+    again = {(r.doc_id, r.taken) for r in M.op6_mixing(spark, SF).collect()}
+    assert again == {(r.doc_id, r.taken) for r in rows}
+
+
+def test_rates_solve_the_dual(spark):
+    """Multipliers against bisection, one source at a time."""
+    cells = [("a", s, n) for s, n in ((1, 50), (10, 30), (100, 8), (1000, 1))] + [("b", 7, 100), ("b", 70, 3)]
+    df = spark.createDataFrame(cells, "source string, size long, n long")
+    sizes = {x: sum(s * n for y, s, n in cells if y == x) for x in "ab"}
+    counts = {x: sum(n for y, _, n in cells if y == x) for x in "ab"}
+    goal = {"a": 0.3 * sizes["a"], "b": 1.4 * sizes["b"]}
+    for s, _, lam, mean, _ in M.solve(df, sizes, counts, goal):
+        total = lambda x: sum(z * n * min(2, math.exp(x * z / mean)) for y, z, n in cells if y == s)  # noqa: B023, E731
+        low, high = -50.0, 50.0
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if total(mid) < goal[s] else (low, mid)
+        assert lam == pytest.approx(low, abs=1e-4) and total(lam) == pytest.approx(goal[s], rel=1e-6)
+
+
+def test_nulls_ties_and_hot_cells(spark, docs_of):
+    docs = [(i, "same size words here", "hot") for i in range(5000)] + [(None, "a b", None), (1, None, "x"), (1, "", "x"), (2, "q", "x")]
+    bucket, M.BUCKET_ROWS = M.BUCKET_ROWS, 300
+    try:
+        rows = M.mix(docs_of(docs)).collect()
+    finally:
+        M.BUCKET_ROWS = bucket
+    assert len(rows) == len(docs)
+    hot = [r for r in rows if r.size == 4]
+    assert abs(sum(r.taken for r in hot) - hot[0].target) <= 4
+    assert all(0 <= r.taken <= 2 * r.size for r in rows)
+    assert M.mix(docs_of([])).collect() == []
+
+
+def test_mixed_repeats_rows(spark, docs_of):
+    docs = docs_of([(i, "one two three", "ab"[i % 2]) for i in range(40)])
+    out = M.mixed(docs)
+    assert out.columns == docs.columns
+    copies = {}
+    for r in out.collect():
+        copies[r.doc_id] = copies.get(r.doc_id, 0) + 1
+    by_id = {r.doc_id: r.copies for r in M.mix(docs).collect()}
+    assert copies == {k: v for k, v in by_id.items() if v}
