@@ -80,9 +80,16 @@ def sec_of_day(ts: ColumnOrName) -> Column:
     return F.pmod(micros, F.lit(86_400_000_000)) / F.lit(1e6)
 
 
+def zero_pad(n: ColumnOrName, width: int) -> Column:
+    """``n`` as text with zeros on the left up to ``width``; longer numbers stay
+    whole (``lpad`` would cut them)."""
+    text = _c(n).cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
 def pad_id(prefix: str, n: ColumnOrName, width: int) -> Column:
     """``prefix`` followed by ``n`` left-padded with zeros to ``width``."""
-    return F.concat(F.lit(prefix), F.lpad(_c(n).cast("string"), width, "0"))
+    return F.concat(F.lit(prefix), zero_pad(n, width))
 
 
 _SPAN = re.compile(r"^\s*(\d+)\s*([a-zA-Z]+)\s*$")

@@ -6,10 +6,11 @@ caller's choice:
 
 * ``by="sensor"`` — ``dim_sensors`` on ``SensorId = sensor_id`` (the sensor's
   own thresholds).  The dimension grows with the data, so it is broadcast only
-  after ``broadcast_if_small`` proved its row count; otherwise the planner
+  after ``broadcast_if_small`` proved its size; otherwise the planner
   picks a shuffle join.
-* ``by="type"`` — the fixed five-row threshold table on ``SensorType``; fixed
-  size, so it is broadcast.
+* ``by="type"`` — the fixed five-row threshold table on ``SensorType``.
+
+Either table is broadcast only if its size proves small (``broadcast_if_small``).
 """
 
 from __future__ import annotations
@@ -38,8 +39,10 @@ def threshold_table(spark: SparkSession) -> DataFrame:
         "min_critical double, max_critical double")
 
 
-def with_thresholds(readings: DataFrame, thresholds: DataFrame, by: str = "sensor") -> DataFrame:
-    """Attach ``_unit``/``_min_normal``/… columns to each reading (inner join)."""
+def with_thresholds(readings: DataFrame, thresholds: DataFrame, by: str = "sensor",
+                    how: str = "left") -> DataFrame:
+    """Attach ``_unit``/``_min_normal``/… columns to each reading; readings
+    without thresholds keep their row with missing values (``how="left"``)."""
     if by == "sensor":
         key_l, key_r = "SensorId", "sensor_id"
         extra = ["sensor_type"]
@@ -49,19 +52,28 @@ def with_thresholds(readings: DataFrame, thresholds: DataFrame, by: str = "senso
     else:
         raise ValueError("by must be 'sensor' or 'type'")
     cols = [F.col(key_r).alias("_key")] + [F.col(c).alias(f"_{c}") for c in THRESHOLD_COLS + extra]
-    thr = thresholds.select(*cols)
-    if by == "type":
-        thr = F.broadcast(thr)          # the fixed five-row table
-    else:
-        from sensorium.operators.joins import broadcast_if_small
-        thr = broadcast_if_small(thr)   # the sensor dimension grows with the data
-    return readings.join(thr, readings[key_l] == thr["_key"], "inner").drop("_key")
-
-
-def _fmt_number(x: Column) -> Column:
-    """Double → text the way Python prints a float (``5.0``, ``12.34``)."""
-    s = x.cast("string")
-    return F.when(x.isNull(), F.lit("None")).otherwise(s)
+    from sensorium.operators.joins import broadcast_if_small
+    thr = broadcast_if_small(thresholds.select(*cols))
+    return readings.join(thr, readings[key_l] == thr["_key"], how).drop("_key")
+
+
+def fmt_number(x: Column) -> Column:
+    """Double → text the way Python prints a float: plain from 0.0001 up to below
+    1e16 (``12345678.5``, ``0.0005``), else with a two-digit exponent (``5e-05``)."""
+    s = x.cast("string")                         # 1.23456785E7, 5.0E-4, 12.34
+    digits, exponent = F.substring_index(s, "E", 1), F.substring_index(s, "E", -1).try_cast("int")
+    plain = F.regexp_replace(s.try_cast("decimal(38,20)").cast("string"), "0+$", "")
+    plain = F.when(F.endswith(plain, F.lit(".")), F.concat(plain, F.lit("0"))).otherwise(plain)
+    mantissa = F.regexp_replace(digits, r"\.0$", "")
+    sign = F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+"))
+    power = F.abs(exponent).cast("string")
+    power = F.when(F.length(power) < 2, F.lpad(power, 2, "0")).otherwise(power)
+    return (F.when(x.isNull(), F.lit("None"))
+            .when(F.isnan(x), F.lit("nan"))
+            .when(F.abs(x) == float("inf"), F.when(x > 0, F.lit("inf")).otherwise(F.lit("-inf")))
+            .when(~F.contains(s, F.lit("E")), s)
+            .when((F.abs(x) >= 1e-4) & (F.abs(x) < 1e16), plain)
+            .otherwise(F.concat(mantissa, sign, power)))
 
 
 def format_columns(template: str, **cols: Column) -> Column:
@@ -78,7 +90,7 @@ def format_columns(template: str, **cols: Column) -> Column:
 def alert_message(stype: Column, below: Column, value: Column, unit: Column,
                   thr: Column) -> Column:
     """The alert message (A5) from the fixed below / above templates."""
-    cols = dict(type=stype, value=_fmt_number(value), unit=unit, threshold=_fmt_number(thr))
+    cols = dict(type=stype, value=fmt_number(value), unit=unit, threshold=fmt_number(thr))
     return F.when(below, format_columns(ALERT_MESSAGE_BELOW, **cols)) \
         .otherwise(format_columns(ALERT_MESSAGE_ABOVE, **cols))
 
@@ -86,14 +98,14 @@ def alert_message(stype: Column, below: Column, value: Column, unit: Column,
 def keep_fraction(key: Column, p: float, seed: int = 42) -> Column:
     """Deterministic Bernoulli(p) on a key (O8 / A7): replayable, no state.
 
-    Uses 53 bits of a 64-bit hash so the draw is uniform on [0, 1).
+    The first 52 bits of the MD5 of key and seed are a uniform draw.
     """
     if p >= 1.0:
         return F.lit(True)
     if p <= 0.0:
         return F.lit(False)
-    u = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    return u < F.lit(p)
+    draw = F.substring(F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(seed))).cast("binary")), 1, 13)
+    return draw < F.lit(format(int(p * 16**13), "013x"))
 
 
 def derive_alerts(readings: DataFrame, thresholds: DataFrame, by: str = "sensor",
@@ -117,7 +129,7 @@ def derive_alerts(readings: DataFrame, thresholds: DataFrame, by: str = "sensor"
     r = readings.where(F.col("IsAnomaly"))
     if keep_p < 1.0:
         r = r.where(keep_fraction(F.col(id_col), keep_p))
-    r = with_thresholds(r, thresholds, by)
+    r = with_thresholds(r, thresholds, by, how="inner")
     v = F.col("ReadingValue")
     below = v < F.col("_min_normal")
     thr = F.when(below, F.col("_min_normal")).otherwise(F.col("_max_normal"))
@@ -126,7 +138,7 @@ def derive_alerts(readings: DataFrame, thresholds: DataFrame, by: str = "sensor"
     stype = F.col("_sensor_type") if by == "sensor" else F.col("SensorType")
     return r.select(
         F.concat(F.lit("AL-"), F.col(id_col).cast("string")).alias("AlertId"),
-        "SensorId", "ZoneId", "SiteId", "Timestamp", "SensorType",
+        "SensorId", "ZoneId", "SiteId", "Timestamp", stype.alias("SensorType"),
         F.when(below, F.lit(ALERT_TYPE_BELOW)).otherwise(F.lit(ALERT_TYPE_ABOVE)).alias("AlertType"),
         F.when(critical, F.lit(SEVERITY_CRITICAL)).otherwise(F.lit(SEVERITY_WARNING)).alias("Severity"),
         v.alias("ReadingValue"),
@@ -164,12 +176,13 @@ def residual_score(readings: DataFrame, thresholds: DataFrame, by: str = "sensor
 
 
 def flag_quality(readings: DataFrame, thresholds: DataFrame, by: str = "sensor") -> DataFrame:
-    """Out-of-normal-range flag and the quality flag it implies (A10)."""
+    """Out-of-normal-range flag and the quality flag it implies (A10); both are
+    missing where the value or the thresholds are."""
     r = with_thresholds(readings, thresholds, by)
     v = F.col("ReadingValue")
     out = (v < F.col("_min_normal")) | (v > F.col("_max_normal"))
     return r.select(*readings.columns, out.alias("OutOfRange"),
-                    F.when(out, F.lit(QUALITY_SUSPECT)).otherwise(F.lit(QUALITY_GOOD))
+                    F.when(out, F.lit(QUALITY_SUSPECT)).when(~out, F.lit(QUALITY_GOOD))
                     .alias("DerivedQuality"))
 
 
@@ -181,7 +194,7 @@ def range_band(readings: DataFrame, thresholds: DataFrame, by: str = "sensor") -
     """
     r = with_thresholds(readings, thresholds, by)
     v = F.col("ReadingValue")
-    band = (F.when(v.isNull(), F.lit(None).cast("string"))
+    band = (F.when(v.isNull() | F.col("_min_normal").isNull(), F.lit(None).cast("string"))
             .when((v >= F.col("_min_normal")) & (v <= F.col("_max_normal")), F.lit("normal"))
             .when((v < F.col("_min_critical")) | (v > F.col("_max_critical")), F.lit("critical"))
             .otherwise(F.lit("warning")))

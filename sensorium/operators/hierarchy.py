@@ -14,6 +14,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorium.functions.scalar import zero_pad
 from sensorium.schemas import (
     SENSOR_ID_FORMAT, SENSOR_INSTALL_DATE, SENSOR_NAME_FORMAT, SENSOR_TYPES, SENSORS_PER_ZONE,
     SITE_ID_FORMAT, SITE_LATITUDE, SITE_LONGITUDE, ZONE_AREA, ZONE_ID_FORMAT, ZONE_NAME_FORMAT,
@@ -31,7 +32,7 @@ def _format(template: str, **cols: Column) -> Column:
             continue
         c = cols[field].cast("string")
         if spec and spec.endswith("d") and spec.startswith("0"):
-            c = F.lpad(c, int(spec[1:-1]), "0")
+            c = zero_pad(c, int(spec[1:-1]))
         parts.append(c)
     return F.concat(*parts)
 

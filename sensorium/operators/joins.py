@@ -5,27 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_SIZE_PROOFS: dict = {}
+#: Bytes on disk; in memory a dimension of this size takes about ten times as much.
+MAX_SOURCE_BYTES = 8 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Hint a broadcast only when ``df`` provably has at most ``max_rows`` rows.
+def source_bytes(df: DataFrame) -> int:
+    """Total size of the sources that ``df`` reads, by the optimizer's statistics.
+    Nothing is run for it."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
-    The proof is a bounded count (``limit(max_rows + 1)``), which stops reading
-    as soon as the bound is exceeded.  Above the bound the planner decides
-    (sort-merge join; AQE may still switch at runtime and splits skewed
-    partitions).  Proofs are memoised per (plan, input files): new files in
-    the table mean a new proof.
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_SOURCE_BYTES) -> DataFrame:
+    """Hint a broadcast only while the sources of ``df`` are at most ``max_bytes``.
+
+    For dimensions and chains of them joined on their keys, whose rows are
+    bounded by their sources'.  Beyond the bound the planner decides (AQE may
+    still switch at runtime and splits skewed partitions).
     """
-    try:
-        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    except Exception:  # noqa: BLE001  (plans without file inputs)
-        key = None
-    small = _SIZE_PROOFS.get(key) if key is not None else None
-    if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        if key is not None:
-            if len(_SIZE_PROOFS) > 4096:
-                _SIZE_PROOFS.clear()
-            _SIZE_PROOFS[key] = small
-    return F.broadcast(df) if small else df
+    return F.broadcast(df) if source_bytes(df) <= max_bytes else df

@@ -10,7 +10,7 @@ Plan shape of :meth:`SensorModel.query` (no fact is ever joined to another):
 2. the per-sensor pieces meet the dimension chain sensors → zones → sites
    (left joins, so unknown sensors form the missing group; dimension filters
    make them inner).  A dimension side is broadcast only after
-   :func:`broadcast_if_small` proved its row count, otherwise the planner
+   :func:`broadcast_if_small` proved its size, otherwise the planner
    chooses (AQE);
 3. pieces are re-aggregated by the group attributes;
 4. drill-across: every fact's aggregate and the dimension members (for
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorium.functions.scalar import divide, ieq
-from sensorium.operators.joins import broadcast_if_small
+from sensorium.operators.joins import MAX_SOURCE_BYTES, broadcast_if_small
 from sensorium.schemas import QUALITY_GOOD
 
 
@@ -41,19 +41,25 @@ def _nz(c: Column) -> Column:
     return F.when(c == 0, F.lit(None)).otherwise(c)
 
 
-# Mergeable pieces: (fact, name) → (partial aggregate, merge kind).
-PIECES: dict[tuple[str, str], tuple[Callable[[], Column], str]] = {
-    ("readings", "n"): (lambda: F.count(F.lit(1)), "sum"),
-    ("readings", "anom"): (lambda: F.count_if(F.col("IsAnomaly")), "sum"),
-    ("readings", "good"): (lambda: F.count_if(F.col("QualityFlag") == QUALITY_GOOD), "sum"),
-    ("readings", "vsum"): (lambda: F.sum("ReadingValue"), "sum"),
-    ("readings", "vcnt"): (lambda: F.count("ReadingValue"), "sum"),
-    ("readings", "vmin"): (lambda: F.min("ReadingValue"), "min"),
-    ("readings", "vmax"): (lambda: F.max("ReadingValue"), "max"),
-    ("alerts", "n"): (lambda: F.count(F.lit(1)), "sum"),
-    ("alerts", "crit"): (lambda: F.count_if(ieq("Severity", "CRITICAL")), "sum"),
-    ("alerts", "warn"): (lambda: F.count_if(ieq("Severity", "WARNING")), "sum"),
+def _where(condition: Column) -> Column:
+    """1 where the condition holds, else missing."""
+    return F.when(condition, F.lit(1))
+
+
+# Mergeable pieces: (fact, name) → (partial aggregate, input, merge kind, column that the piece filters itself).
+PIECES: dict[tuple[str, str], tuple[Callable, Callable[[], Column], str, str | None]] = {
+    ("readings", "n"): (F.count, lambda: F.lit(1), "sum", None),
+    ("readings", "anom"): (F.count, lambda: _where(F.col("IsAnomaly")), "sum", "IsAnomaly"),
+    ("readings", "good"): (F.count, lambda: _where(F.col("QualityFlag") == QUALITY_GOOD), "sum", "QualityFlag"),
+    ("readings", "vsum"): (F.sum, lambda: F.col("ReadingValue"), "sum", None),
+    ("readings", "vcnt"): (F.count, lambda: F.col("ReadingValue"), "sum", None),
+    ("readings", "vmin"): (F.min, lambda: F.col("ReadingValue"), "min", None),
+    ("readings", "vmax"): (F.max, lambda: F.col("ReadingValue"), "max", None),
+    ("alerts", "n"): (F.count, lambda: F.lit(1), "sum", None),
+    ("alerts", "crit"): (F.count, lambda: _where(ieq("Severity", "CRITICAL")), "sum", "Severity"),
+    ("alerts", "warn"): (F.count, lambda: _where(ieq("Severity", "WARNING")), "sum", "Severity"),
 }
+FACTS = ("readings", "alerts")
 
 
 def _p(fact: str, name: str) -> Column:
@@ -117,7 +123,7 @@ class SensorModel:
     dim_zones: DataFrame
     dim_sensors: DataFrame
     timestamp_col: str = "Timestamp"
-    broadcast_max_rows: int = 200_000
+    broadcast_max_bytes: int = MAX_SOURCE_BYTES
     _checked: dict = field(default_factory=dict)
 
     # ---- dimension chain -------------------------------------------------
@@ -132,7 +138,7 @@ class SensorModel:
         df = getattr(self, name).select(*cols)
         key = (name, tuple(cols))
         if key not in self._checked:
-            self._checked[key] = broadcast_if_small(df, self.broadcast_max_rows)
+            self._checked[key] = broadcast_if_small(df, self.broadcast_max_bytes)
         return self._checked[key]
 
     def _chain(self, attrs: list[str], top_level: int) -> DataFrame:
@@ -190,21 +196,33 @@ class SensorModel:
     def _fact_groups(self, fact: str, names: list[str], keys: list[str], filters: dict,
                      time_range, extra_keys: list[str] = ()) -> DataFrame:
         """Pieces of one fact aggregated by the group attributes."""
+        own = {a.split(".", 1)[1]: v for a, v in filters.items() if a.split(".", 1)[0] == fact}
+        filters = {a: v for a, v in filters.items() if a.split(".", 1)[0] not in FACTS}
         pieces = [(n, *PIECES[(fact, n)]) for n in names]
-        per_sensor = (self._fact(fact, time_range)
-                      .groupBy(F.col("SensorId").alias("_sensor"))
-                      .agg(*[agg().alias(f"{fact}__{n}") for n, agg, _ in pieces]))
+        rows = self._fact(fact, time_range)
+        # A piece's own filter replaces the caller's on the same column.
+        replaced = {column for _, _, _, _, column in pieces if column in own}
+        for column in [c for c in own if c not in replaced]:
+            rows = rows.where(self._filter_col(column, own[column]))
+
+        def kept(value: Column, column: str | None) -> Column:
+            for c in replaced - {column}:
+                value = F.when(self._filter_col(c, own[c]), value)
+            return value
+
+        per_sensor = rows.groupBy(F.col("SensorId").alias("_sensor")).agg(
+            *[agg(kept(value(), column)).alias(f"{fact}__{n}") for n, agg, value, _, column in pieces])
         attrs = list(dict.fromkeys(list(keys) + list(extra_keys) + list(filters)))
         if attrs:
             chain = self._apply_filters(self._chain(attrs, 2), filters)
-            chain = broadcast_if_small(chain, self.broadcast_max_rows)
+            chain = broadcast_if_small(chain, self.broadcast_max_bytes)
             joined = per_sensor.join(chain, "_sensor", "inner" if filters else "left")
         else:
             joined = per_sensor
         merge = {"sum": F.sum, "min": F.min, "max": F.max}
         group_cols = [F.col(f"`{k}`").alias(k) for k in list(keys) + list(extra_keys)]
         return joined.groupBy(*group_cols).agg(
-            *[merge[kind](f"{fact}__{n}").alias(f"{fact}__{n}") for n, _, kind in pieces])
+            *[merge[kind](f"{fact}__{n}").alias(f"{fact}__{n}") for n, _, _, kind, _ in pieces])
 
     def _apply_filters(self, df: DataFrame, filters: dict) -> DataFrame:
         for attr, value in filters.items():
@@ -216,7 +234,7 @@ class SensorModel:
         owning table; filters on that table or tables above it apply)."""
         level = max(LEVEL[self._split(k)[0]] for k in keys)
         member_filters = {a: v for a, v in filters.items()
-                          if LEVEL[self._split(a)[0]] <= level}
+                          if LEVEL.get(a.split(".", 1)[0], 3) <= level}
         chain = self._chain(list(keys) + list(member_filters), level)
         chain = self._apply_filters(chain, member_filters)
         return chain.select(*[F.col(f"`{k}`").alias(k) for k in keys]).distinct()
@@ -229,8 +247,10 @@ class SensorModel:
 
         * ``group_by`` — ``"dim_sites.site_name"`` style attributes; empty for
           one row (ROW);
-        * ``filters`` — ``{attribute: value or list}`` on dimension attributes
-          (CALCULATE / CALCULATETABLE filters);
+        * ``filters`` — ``{attribute: value or list}`` (CALCULATE / CALCULATETABLE
+          filters) on dimension attributes, and on columns of a fact as
+          ``"alerts.Severity"``.  A measure that filters the same fact column
+          itself replaces the caller's filter with its own;
         * ``time_range`` — ``(lo, hi)``, half-open, on each fact's timestamp;
         * ``base`` — ``"readings"``/``"alerts"``: only combinations present in
           that fact (SUMMARIZE); default: all dimension members
@@ -245,6 +265,9 @@ class SensorModel:
         for m in measures:
             if m not in ALL_MEASURES:
                 raise KeyError(f"unknown measure {m!r}")
+        for a in filters:
+            if a.split(".", 1)[0] not in FACTS:
+                self._split(a)
         plain = [MEASURES[m] for m in measures if m in MEASURES]
         by_fact: dict[str, list[str]] = {}
         for m in plain:
@@ -268,7 +291,7 @@ class SensorModel:
         if WORST_ZONE_QUALITY in measures:
             parts.append(self._zone_pass(keys, filters, time_range,
                                              by_fact.setdefault("readings", [])))
-        if keys and base is None and any(m.defined_on_empty for m in plain):
+        if keys and base is None and (WORST_ZONE_QUALITY in measures or any(m.defined_on_empty for m in plain)):
             parts.append(self._members(keys, filters))
 
         if not parts:
@@ -284,7 +307,7 @@ class SensorModel:
             allp = allp.unionByName(base_part, allowMissingColumns=True)
         piece_cols = [c for c in allp.columns if "__" in c]
         merge = {}
-        for (fact, name), (_, kind) in PIECES.items():
+        for (fact, name), (_, _, kind, _) in PIECES.items():
             merge[f"{fact}__{name}"] = {"sum": F.sum, "min": F.min, "max": F.max}[kind]
         aggs = [merge[c](c).alias(c) for c in piece_cols]
         wzq = F.col("_wzq")
@@ -293,8 +316,9 @@ class SensorModel:
             if any(LEVEL[self._split(k)[0]] == 2 for k in keys):
                 zt = "dim_zones.zone_type"
                 aggs.append(F.count_distinct(F.col(f"`{zt}`")).alias("_zt_seen"))
-                all_types = self._chain([zt], 1).select(F.col(f"`{zt}`").alias("z")) \
-                    .agg(F.count_distinct("z")).scalar()
+                visible = {a: v for a, v in filters.items() if LEVEL.get(a.split(".", 1)[0], 3) <= 1}
+                all_types = self._apply_filters(self._chain([zt, *visible], 1), visible) \
+                    .agg(F.count_distinct(F.col(f"`{zt}`"))).scalar()
                 wzq = F.when(F.col("_zt_seen") < all_types, F.lit(0.0)).otherwise(F.col("_wzq"))
         if base is not None:
             aggs.append(F.max(f"_in_{base}").alias(f"_in_{base}"))
@@ -346,11 +370,11 @@ class SensorModel:
             both = facts
         else:
             members = self._members(inner_keys, {a: v for a, v in filters.items()
-                                                 if LEVEL[self._split(a)[0]] <= 1})
+                                                 if LEVEL.get(a.split(".", 1)[0], 3) <= 1})
             both = facts.unionByName(members, allowMissingColumns=True)
         key_cols = [F.col(f"`{k}`").alias(k) for k in inner_keys]
         per_zone = both.groupBy(*key_cols).agg(
-            *[{"sum": F.sum, "min": F.min, "max": F.max}[PIECES[("readings", n)][1]](
+            *[{"sum": F.sum, "min": F.min, "max": F.max}[PIECES[("readings", n)][2]](
                 f"readings__{n}").alias(f"readings__{n}") for n in names])
         rate = divide(_nz(F.col("readings__good")), _nz(F.col("readings__n")), 0.0)
         return per_zone.withColumn("_wzq", rate)

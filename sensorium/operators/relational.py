@@ -20,10 +20,15 @@ def _c(x: ColumnOrName) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def as_of_max(df: DataFrame, ts: str = "Timestamp") -> Column:
+def as_of_max(df: DataFrame, ts: str = "Timestamp", minus: str | int | None = None) -> Column:
     """The table's own latest timestamp as a scalar subquery (lazy, one
-    aggregate job), for repeatable "last N minutes" queries (N19)."""
-    return df.agg(F.max(ts)).scalar()
+    aggregate job), for repeatable "last N minutes" queries (N19).  ``minus``
+    is taken off inside the subquery, so that a comparison with it is a
+    comparison with one value, which prunes row groups."""
+    latest = F.max(ts)
+    if minus is not None:
+        latest = latest - F.make_dt_interval(secs=F.lit(parse_span(minus)))
+    return df.agg(latest).scalar()
 
 
 def since(df: DataFrame, span: str | int, as_of: Column | str | None = None,
@@ -39,12 +44,12 @@ def since(df: DataFrame, span: str | int, as_of: Column | str | None = None,
     if as_of is None:
         anchor = F.current_timestamp()
     elif isinstance(as_of, str) and as_of == "max":
-        anchor = as_of_max(df, ts)
+        anchor = None
     elif isinstance(as_of, Column):
         anchor = as_of
     else:
         anchor = F.lit(as_of)
-    lower = anchor - F.make_dt_interval(secs=F.lit(secs))
+    lower = as_of_max(df, ts, span) if anchor is None else anchor - F.make_dt_interval(secs=F.lit(secs))
     out = df.where(F.col(ts) > lower)
     if date_col and date_col in df.columns:
         out = out.where(F.col(date_col) >= F.to_date(lower))
@@ -126,13 +131,14 @@ def preview(df: DataFrame, n: int = 10) -> DataFrame:
     return df.limit(n)
 
 
-def sample_n(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """``n`` rows drawn without replacement.
+def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
+    """``n`` rows drawn without replacement (O7), the same on every run.
 
-    A seeded random key plus top-n: each task keeps only its ``n`` smallest
-    keys, so the driver never sees more than ``n × tasks`` rows.
+    The order is the MD5 of the row's key and the seed, whatever the
+    partitioning; a top-n, so each task keeps only ``n`` rows.
     """
-    return (df.withColumn("_r", F.rand(seed)).orderBy("_r").limit(n).drop("_r"))
+    draw = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
+    return df.withColumn("_r", draw).orderBy("_r", key).limit(n).drop("_r")
 
 
 def thin(df: DataFrame, p: float, key: ColumnOrName, seed: int = 42) -> DataFrame:

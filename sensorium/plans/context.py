@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sensorium.operators.alerts import threshold_table
 from sensorium.operators.model import SensorModel
+from sensorium.plans.views import VIEWS
+from sensorium.session import scratch_path
 from sensorium.sources import testdata as td
+from sensorium.streaming.incremental import IncrementalView
 
 
 class Ctx:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._stores: dict[str, IncrementalView] = {}
         self.pin_utc()
 
     def pin_utc(self) -> None:
@@ -41,6 +45,17 @@ class Ctx:
         """Attach ZoneId / SiteId to (partial or raw) fact rows."""
         return td.locate(df, self.spark, self.sf_dir, key)
 
+    def stored_view(self, name: str) -> IncrementalView:
+        """The view as a store of its own, built once from its whole source; queries
+        that serve from it read the store."""
+        if name not in self._stores:
+            view = VIEWS[name]
+            store = IncrementalView(self.spark, view, f"{scratch_path(self.spark, 'store')}/{name}")
+            store.backfill(self.readings if view.source == "readings" else self.alerts)
+            store.compact(0, "backfill")
+            self._stores[name] = store
+        return self._stores[name]
+
     @cached_property
     def alerts(self) -> DataFrame:
         return td.stored_alerts(self.spark, self.sf_dir, located=True)

@@ -7,6 +7,7 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorium.functions.scalar import round_stable
 from sensorium.operators import alerts as A
@@ -96,6 +97,15 @@ query("hierarchy_zones")(lambda ctx: _hierarchy(ctx)[1])
 query("hierarchy_sensors")(lambda ctx: _hierarchy(ctx)[2])
 
 
+@query("hierarchy_sensors_large")
+def hierarchy_sensors_large(ctx: Ctx) -> DataFrame:
+    """S8 with as many sites as there are customers, whose numbers outgrow the ids' width."""
+    sensors = build_hierarchy(ctx.table("customer"), ordinal="c_custkey", name="c_name")[2]
+    return sensors.agg(F.count(F.lit(1)).alias("sensors"), F.count_distinct("sensor_id").alias("sensor_ids"),
+                       F.count_distinct("zone_id").alias("zone_ids"), F.count_distinct("site_id").alias("site_ids"),
+                       F.max(F.length("sensor_id")).alias("longest"))
+
+
 def _model_tables(ctx: Ctx) -> dict[str, DataFrame]:
     return {"SensorReading": ctx.readings_plain, "SensorAlert": ctx.alerts_plain,
             "dim_sites": ctx.sites, "dim_zones": ctx.zones, "dim_sensors": ctx.sensors}
@@ -118,7 +128,7 @@ def retention_readings_7d(ctx: Ctx) -> DataFrame:
 @query("sample_sensors")
 def sample_sensors(ctx: Ctx) -> DataFrame:
     """Ten sensors drawn without replacement (seeded)."""
-    return R.sample_n(ctx.sensors, 10, seed=7)
+    return R.sample_n(ctx.sensors, 10, "sensor_id", seed=7)
 
 
 @query("thin_anomalies")
@@ -127,13 +137,73 @@ def thin_anomalies(ctx: Ctx) -> DataFrame:
     return R.thin(ctx.readings_plain.where(F.col("IsAnomaly")), 0.05, "ReadingId")
 
 
+@query("alerts_derived_fraction")
+def alerts_derived_fraction(ctx: Ctx) -> DataFrame:
+    """Alerts of a fixed fraction of the anomalies."""
+    return A.derive_alerts(ctx.readings, ctx.thresholds, by="type", keep_p=0.25)
+
+
+@query("diag_file_counts")
+def diag_file_counts(ctx: Ctx) -> DataFrame:
+    """S21 without the times: files and rows of the readings' table."""
+    return TB.file_stats(ctx.table("events")).select((F.col("file_count") > 0).alias("has_files"), "row_count")
+
+
+@query("load_sensors_typed")
+def load_sensors_typed(ctx: Ctx) -> DataFrame:
+    """The projecting scan of the sensors, thresholds as doubles."""
+    return TB.load_sensors(ctx.sensors)
+
+
+@query("csv_inferred_sensors")
+def csv_inferred_sensors(ctx: Ctx) -> DataFrame:
+    """The sensors through CSV without a schema."""
+    from sensorium.session import scratch_path
+    root = scratch_path(ctx.spark, "inferred")
+    TB.write_csv(ctx.sensors.select("sensor_id", "sensor_name", "sensor_type", "min_normal", "max_critical"), f"{root}/csv")
+    return TB.read_csv(ctx.spark, f"{root}/csv")
+
+
+@query("merged_table_readings")
+def merged_table_readings(ctx: Ctx) -> DataFrame:
+    """A catalog table that gains a column by create-merge, a
+    shortcut to its files, and a view table rebuilt from it by name."""
+    from sensorium.plans.views import VIEWS
+    from sensorium.session import scratch_path
+    from sensorium.streaming.incremental import drop_view, list_views, recreate_view
+    root, spark = scratch_path(ctx.spark, "catalog"), ctx.spark
+    rows = ctx.readings
+    name, link, view = (f"{x}_{root.rsplit('-', 1)[1]}" for x in ("merged", "linked", "mv_quality_daily"))
+    narrow = T.StructType([f for f in rows.schema.fields if f.name != "QualityFlag"])
+    TB.create_merge_table(spark, name, narrow, f"{root}/table")
+    rows.where("IsAnomaly").drop("QualityFlag").write.mode("append").parquet(f"{root}/table")
+    TB.create_merge_table(spark, name, rows.schema, f"{root}/table")
+    rows.where("NOT IsAnomaly").write.mode("append").parquet(f"{root}/table")
+    spark.catalog.refreshTable(name)
+    TB.shortcut(spark, link, f"{root}/table", schema=rows.schema)
+    built = recreate_view(spark, view, VIEWS["mv_quality_daily"], TB.load_dim(spark, link), f"{root}/view")
+    if view not in list_views(spark, "mv_quality_daily_*"):
+        raise RuntimeError("the rebuilt view is not in the catalog")
+    out = spark.read.schema(built.schema).parquet(f"{root}/view")
+    for x in (name, link, view):
+        drop_view(spark, x)  # the files stay: external tables
+    return out
+
+
+@query("fetch_preview")
+def fetch_preview(ctx: Ctx) -> DataFrame:
+    """A preview as large as the sites' table, fetched and given back as rows."""
+    columns, rows = TB.fetch(R.preview(ctx.sites, 100))
+    return ctx.spark.createDataFrame(rows, ctx.sites.schema).select(*columns)
+
+
 # ------------------------------------------------------------- oracle -----
 _RT = "r.SensorType"
 _BELOW_R = f"(r.ReadingValue < {thr(_RT, 'min_normal')})"
 _THR_R = f"CASE WHEN {_BELOW_R} THEN {thr(_RT, 'min_normal')} ELSE {thr(_RT, 'max_normal')} END"
 _CRIT_R = (f"CASE WHEN {_BELOW_R} THEN r.ReadingValue < {thr(_RT, 'min_critical')} * 1.1 "
            f"ELSE r.ReadingValue > {thr(_RT, 'max_critical')} * 0.9 END")
-_ALERTS_SQL = f"""
+ALERTS_SQL = f"""
   SELECT 'AL-' || CAST(r.ReadingId AS VARCHAR) AS AlertId, r.SensorId, r.ZoneId, r.SiteId,
          r."Timestamp", r.SensorType,
          CASE WHEN {_BELOW_R} THEN 'BelowThreshold' ELSE 'AboveThreshold' END AS AlertType,
@@ -158,11 +228,15 @@ _EXPECTED = f"""
     FROM (SELECT *, {thr('SensorType', 'min_normal')} AS mn, {thr('SensorType', 'max_normal')} AS mx,
                  ({thr('SensorType', 'min_normal')} + {thr('SensorType', 'max_normal')}) / 2.0 AS mid,
                  ({thr('SensorType', 'max_normal')} - {thr('SensorType', 'min_normal')}) / 2.0 AS spread
-          FROM readings WHERE SensorType IS NOT NULL))"""
+          FROM readings))"""
+
+def _pad(n: str, width: int) -> str:
+    return f"CASE WHEN length({n}) < {width} THEN lpad({n}, {width}, '0') ELSE {n} END"
+
 
 _OUT = (f"(ReadingValue < {thr('SensorType', 'min_normal')} "
         f"OR ReadingValue > {thr('SensorType', 'max_normal')})")
-_BAND = f"""CASE WHEN ReadingValue IS NULL THEN NULL
+_BAND = f"""CASE WHEN ReadingValue IS NULL OR SensorType IS NULL THEN NULL
      WHEN ReadingValue >= {thr('SensorType', 'min_normal')}
       AND ReadingValue <= {thr('SensorType', 'max_normal')} THEN 'normal'
      WHEN ReadingValue < {thr('SensorType', 'min_critical')}
@@ -172,9 +246,9 @@ _BAND = f"""CASE WHEN ReadingValue IS NULL THEN NULL
 _ZT = "CASE j % 4 " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(ZONE_TYPES)) + " END"
 _HIER = f""",
 hs AS (SELECT r_regionkey AS i, r_name AS site_name,
-              'SITE_' || lpad(CAST(r_regionkey + 1 AS VARCHAR), 3, '0') AS site_id FROM region),
+              'SITE_' || {_pad('CAST(r_regionkey + 1 AS VARCHAR)', 3)} AS site_id FROM region),
 hz AS (SELECT hs.*, g.j, {_ZT} AS zone_type,
-              hs.site_id || '_Z' || lpad(CAST(g.j + 1 AS VARCHAR), 2, '0') AS zone_id
+              hs.site_id || '_Z' || {_pad('CAST(g.j + 1 AS VARCHAR)', 2)} AS zone_id
        FROM hs, (SELECT range AS j FROM range(4)) g),
 hn AS (SELECT hz.*, k.k, hz.i * 4 + hz.j AS zone_ord, (hz.i * 4 + hz.j) * 5 + k.k + 1 AS num,
               CASE k.k % 5 WHEN 0 THEN 'Temperature' WHEN 1 THEN 'Humidity' WHEN 2 THEN 'Pressure'
@@ -190,7 +264,7 @@ _CRIT_S = (f"CASE WHEN {_BELOW_S} THEN r.ReadingValue < {thr(_ST, 'min_critical'
            f"ELSE r.ReadingValue > {thr(_ST, 'max_critical')} * 0.9 END")
 _ALERTS_BY_SENSOR_SQL = f"""
   SELECT 'AL-' || CAST(r.ReadingId AS VARCHAR) AS AlertId, r.SensorId, r.ZoneId, r.SiteId,
-         r."Timestamp", r.SensorType,
+         r."Timestamp", t.st AS SensorType,
          CASE WHEN {_BELOW_S} THEN 'BelowThreshold' ELSE 'AboveThreshold' END AS AlertType,
          CASE WHEN {_CRIT_S} THEN 'Critical' ELSE 'Warning' END AS Severity,
          r.ReadingValue,
@@ -203,23 +277,56 @@ _ALERTS_BY_SENSOR_SQL = f"""
   WHERE r.IsAnomaly"""
 
 ORACLE.update({
-    "alerts_derived": with_base(_ALERTS_SQL),
+    "alerts_derived": with_base(ALERTS_SQL),
     "alerts_derived_by_sensor": with_base(_ALERTS_BY_SENSOR_SQL, _SENS),
     "alerts_derived_summary": with_base(
         f"""SELECT SensorType, AlertType, Severity, count(*) AS AlertCount,
                    {rnd('avg(ReadingValue)', 2)} AS AvgReading
-            FROM ({_ALERTS_SQL}) GROUP BY SensorType, AlertType, Severity"""),
+            FROM ({ALERTS_SQL}) GROUP BY SensorType, AlertType, Severity"""),
     "readings_expected": with_base(
         f"""SELECT ReadingId, SensorType, {rnd('ev', 6)} AS ExpectedValue,
                    {rnd('rs', 6)} AS ResidualScore FROM ({_EXPECTED})"""),
     "readings_quality_flags": with_base(
         f"""SELECT SensorType, {_OUT} AS OutOfRange,
-                   CASE WHEN {_OUT} THEN 'Suspect' ELSE 'Good' END AS DerivedQuality,
+                   CASE WHEN {_OUT} THEN 'Suspect' WHEN NOT {_OUT} THEN 'Good' END AS DerivedQuality,
                    count(*) AS Readings, count(*) FILTER (WHERE IsAnomaly) AS Anomalies
-            FROM readings WHERE SensorType IS NOT NULL GROUP BY 1, 2, 3"""),
+            FROM readings GROUP BY 1, 2, 3"""),
     "readings_range_band": with_base(
         f"""SELECT SensorType, {_BAND} AS RangeBand, count(*) AS Readings
-            FROM readings WHERE SensorType IS NOT NULL GROUP BY 1, 2"""),
+            FROM readings GROUP BY 1, 2"""),
+    "hierarchy_sensors_large": """SELECT count(*) AS sensors, count(*) AS sensor_ids, count(DISTINCT (c_custkey, j)) AS zone_ids,
+           count(DISTINCT c_custkey) AS site_ids,
+           max(3 + greatest(4, length(CAST((c_custkey * 4 + j) * 5 + k + 1 AS VARCHAR)))) AS longest
+           FROM customer, (SELECT range AS j FROM range(4)), (SELECT range AS k FROM range(5))""",
+    "alerts_derived_fraction": with_base(
+        f"{ALERTS_SQL} AND substr(md5(CAST(r.ReadingId AS VARCHAR) || ':42'), 1, 13) < '4000000000000'"),
+    "sample_sensors": with_base(
+        f"""SELECT s.sensor_id, s.sensor_name, s.sensor_type, s.zone_id, {thr('s.sensor_type', 'unit')} AS unit,
+                   {thr('s.sensor_type', 'min_normal')} AS min_normal, {thr('s.sensor_type', 'max_normal')} AS max_normal,
+                   {thr('s.sensor_type', 'min_critical')} AS min_critical,
+                   {thr('s.sensor_type', 'max_critical')} AS max_critical, z.site_id
+            FROM sensors s LEFT JOIN zones z ON s.zone_id = z.zone_id
+            ORDER BY md5(CAST(s.sensor_id AS VARCHAR) || ':7'), s.sensor_id LIMIT 10"""),
+    "thin_anomalies": with_base(
+        """SELECT ReadingId, SensorId, "Timestamp", SensorType, ReadingValue, Unit, IsAnomaly, QualityFlag
+           FROM readings r
+           WHERE IsAnomaly AND substr(md5(CAST(ReadingId AS VARCHAR) || ':42'), 1, 13) < '0cccccccccccc'"""),
+    "diag_file_counts": "SELECT TRUE AS has_files, count(*) AS row_count FROM events",
+    "load_sensors_typed": with_base(
+        f"""SELECT s.sensor_id, s.sensor_type, {thr('s.sensor_type', 'unit')} AS unit, s.zone_id, z.site_id,
+                   {thr('s.sensor_type', 'min_normal')} AS min_normal, {thr('s.sensor_type', 'max_normal')} AS max_normal,
+                   {thr('s.sensor_type', 'min_critical')} AS min_critical,
+                   {thr('s.sensor_type', 'max_critical')} AS max_critical
+            FROM sensors s LEFT JOIN zones z ON s.zone_id = z.zone_id"""),
+    "csv_inferred_sensors": with_base(
+        f"""SELECT sensor_id, sensor_name, sensor_type, {thr('sensor_type', 'min_normal')} AS min_normal,
+                   {thr('sensor_type', 'max_critical')} AS max_critical FROM sensors"""),
+    "merged_table_readings": with_base(
+        """SELECT time_bucket(INTERVAL '1 day', "Timestamp") AS "Timestamp", SensorType, SiteId, count(*) AS TotalReadings,
+                  count(*) FILTER (WHERE QualityFlag = 'Good' AND NOT IsAnomaly) AS GoodCount,
+                  count(*) FILTER (WHERE QualityFlag IS DISTINCT FROM 'Good' OR IsAnomaly) AS DegradedCount
+           FROM readings GROUP BY 1, 2, 3"""),
+    "fetch_preview": with_base("SELECT site_id, site_name FROM sites"),
     "hierarchy_sites": with_base(
         """SELECT site_id, site_name, CAST(NULL AS VARCHAR) AS region, CAST(NULL AS VARCHAR) AS country,
                   CAST(round(43.3 + i * 2.0, 4) AS DOUBLE) AS latitude, CAST(round(2.3 + i * 1.5, 4) AS DOUBLE) AS longitude,
@@ -230,7 +337,7 @@ ORACLE.update({
                   CAST(round(100.0 + j * 50 + length(site_name) * 3, 1) AS DOUBLE) AS area_sqm, TRUE AS is_active
            FROM hz""", _HIER),
     "hierarchy_sensors": with_base(
-        f"""SELECT 'SN_' || lpad(CAST(num AS VARCHAR), 4, '0') AS sensor_id,
+        f"""SELECT 'SN_' || {_pad('CAST(num AS VARCHAR)', 4)} AS sensor_id,
                   sensor_type || ' Sensor ' || CAST(num AS VARCHAR) AS sensor_name, sensor_type,
                   {thr('sensor_type', 'unit')} AS unit, zone_id, site_id,
                   {thr('sensor_type', 'min_normal')} AS min_normal,

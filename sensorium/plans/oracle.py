@@ -1,4 +1,6 @@
-"""Independent SQL formulations of the named queries, for DuckDB.
+"""SQL formulations of the named queries, for DuckDB.  The model's fixed values
+(thresholds and the mapping of the test tables) are shared with the library;
+the queries are written apart from it.
 
 The test-table mapping (``sources.testdata``) is spelled out once as CTEs;
 every query is then plain SQL over ``readings`` / ``alerts`` / dimension CTEs.
@@ -82,8 +84,7 @@ alerts AS (
               ELSE s.stype || ' too high: ' || CAST(o.o_totalprice AS VARCHAR) || ' '
                    || {thr('s.stype', 'unit')} || ' (max: ' || CAST({_THRESH} AS VARCHAR) || ')'
          END AS Message
-  FROM orders o LEFT JOIN sensor_loc s ON o.o_custkey = s.sid
-  WHERE o.o_orderpriority IN ('1-URGENT', '2-HIGH'))
+  FROM orders o LEFT JOIN sensor_loc s ON o.o_custkey = s.sid)
 """
 
 _STATS = """count(*) AS ReadingCount, avg(ReadingValue) AS AvgValue, min(ReadingValue) AS MinValue,

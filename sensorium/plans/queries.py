@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from sensorium.functions.scalar import bin_time, pct, round_stable
 from sensorium.operators import relational as R
 from sensorium.plans.context import Ctx
+from sensorium.operators.joins import MAX_SOURCE_BYTES, source_bytes
 from sensorium.plans.views import VIEWS, Agg, ViewDef
+from sensorium.sources import testdata as td
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -47,17 +49,23 @@ LOCATION_KEYS = ("SiteId", "ZoneId")
 
 
 def view(ctx: Ctx, name: str) -> DataFrame:
-    """A view over its whole source.  Reading views aggregate per sensor
-    first and attach the location to the partial rows only; the alert view
-    needs each row's own threshold, so alerts are located row by row."""
+    """A view over its whole source.  The alert view needs each row's own
+    threshold, so alerts are located row by row."""
     v = VIEWS[name]
     if v.source == "readings":
         return located(ctx, v)
     return v.compute(ctx.alerts)
 
 
-def located(ctx: Ctx, v: ViewDef) -> DataFrame:
-    return v.compute_located(ctx.readings_plain, ctx.locate, LOCATION_KEYS)
+def located(ctx: Ctx, v: ViewDef, readings: DataFrame | None = None) -> DataFrame:
+    """A view of the readings by site or zone.  While the sensors' locations are
+    broadcast, rows are located first and aggregated once: one shuffle, of bins
+    by sites.  Else the rows are aggregated per sensor first, so that partial
+    rows meet the dimension."""
+    readings = ctx.readings_plain if readings is None else readings
+    if source_bytes(td.sensor_locations(ctx.spark, ctx.sf_dir)) <= MAX_SOURCE_BYTES:
+        return v.compute(ctx.locate(readings))
+    return v.compute_located(readings, ctx.locate, LOCATION_KEYS)
 
 
 _COUNT = Agg("n", "count")
@@ -71,9 +79,10 @@ for _name in VIEWS:
 @query("mv_hourly_recent")
 def mv_hourly_recent(ctx: Ctx) -> DataFrame:
     """Hourly view rows of the last 24 h, newest first."""
-    hourly = view(ctx, "mv_readings_hourly")
-    anchor = R.as_of_max(ctx.readings_plain)
-    return R.since(hourly, "24h", as_of=anchor).orderBy(F.col("Timestamp").desc())
+    lower = R.as_of_max(ctx.readings_plain, minus="24h")
+    # A bin is never later than its rows, so rows up to the bound can't matter.
+    hourly = located(ctx, VIEWS["mv_readings_hourly"], ctx.readings_plain.where(F.col("Timestamp") > lower))
+    return hourly.where(F.col("Timestamp") > lower).orderBy(F.col("Timestamp").desc())
 
 
 @query("mv_anomaly_over_5")

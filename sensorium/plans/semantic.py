@@ -116,6 +116,31 @@ def worst_zone_quality_by_sensor_type(ctx: Ctx) -> DataFrame:
     return ctx.model.query([SENSOR_TYPE], ["Worst Zone Quality", "Total Readings"])
 
 
+@query("worst_zone_quality_by_sensor_type_in_production")
+def worst_zone_quality_by_sensor_type_in_production(ctx: Ctx) -> DataFrame:
+    return ctx.model.query([SENSOR_TYPE], ["Worst Zone Quality"], filters={ZONE_TYPE: "Production"})
+
+
+@query("worst_zone_quality_by_sensor_type_in_site")
+def worst_zone_quality_by_sensor_type_in_site(ctx: Ctx) -> DataFrame:
+    return ctx.model.query([SENSOR_TYPE], ["Worst Zone Quality", "Total Readings"], filters={SITE: "ASIA"})
+
+
+@query("alerts_by_site_severity_filter")
+def alerts_by_site_severity_filter(ctx: Ctx) -> DataFrame:
+    """A caller's filter on Severity.  Total Alerts takes it; Critical and Warning
+    Alerts have a Severity filter of their own, which replaces it."""
+    return ctx.model.query([SITE], ["Total Alerts", "Critical Alerts", "Warning Alerts"],
+                           filters={"alerts.Severity": "Warning"})
+
+
+@query("quality_of_anomalies_by_zone_type")
+def quality_of_anomalies_by_zone_type(ctx: Ctx) -> DataFrame:
+    """Measures over anomalous readings of one quality."""
+    return ctx.model.query([ZONE_TYPE], ["Total Readings", "Anomaly Count", "Max Reading Value"],
+                           filters={"readings.IsAnomaly": True, "readings.QualityFlag": ["Suspect", "Good"]})
+
+
 @query("measures_overview")
 def measures_overview(ctx: Ctx) -> DataFrame:
     """All twelve measures in one row."""
@@ -187,6 +212,32 @@ _RMEAS = ("count(*) AS n, count(*) FILTER (WHERE IsAnomaly) AS a, "
           "count(*) FILTER (WHERE QualityFlag = 'Good') AS g, "
           "sum(ReadingValue) AS vs, count(ReadingValue) AS vc")
 
+# What a dimension filter leaves of the zones (z, st) and, through them, of sensors and readings.
+_IN_PRODUCTION = "zone_type = 'Production'"
+_IN_SITE = "site_name = 'ASIA'"
+
+
+def _wzq_by_type(condition: str) -> str:
+    """Worst zone quality by sensor type: the groups are the sensors' types, the zone
+    types iterated are all that the filter leaves, whether they have readings or not."""
+    return f"""
+        SELECT m.sensor_type,
+               min(CASE WHEN NULLIF(f.n, 0) IS NULL THEN 0.0
+                        ELSE CAST(NULLIF(f.g, 0) AS DOUBLE) / f.n END) AS WorstZoneQuality,
+               CAST(NULLIF(sum(f.n), 0) AS BIGINT) AS TotalReadings
+        FROM (SELECT s.sensor_type, z.zone_type
+              FROM (SELECT DISTINCT sd.sensor_type FROM (
+                      SELECT s.sensor_type, z.zone_type, st.site_name FROM sensors s
+                      LEFT JOIN zones z ON s.zone_id = z.zone_id LEFT JOIN sites st ON z.site_id = st.site_id
+                      UNION ALL SELECT sensor_type, zone_type, site_name FROM rdim) sd WHERE {condition}) s
+              CROSS JOIN (SELECT DISTINCT zone_type FROM zones z LEFT JOIN sites st ON z.site_id = st.site_id
+                          WHERE {condition}) z) m
+        LEFT JOIN (SELECT sensor_type, zone_type, count(*) AS n, count(*) FILTER (WHERE QualityFlag = 'Good') AS g
+                   FROM rdim WHERE {condition} GROUP BY sensor_type, zone_type) f
+          ON m.sensor_type IS NOT DISTINCT FROM f.sensor_type AND m.zone_type IS NOT DISTINCT FROM f.zone_type
+        GROUP BY m.sensor_type"""
+
+
 ORACLE.update({
     "fs_total_readings": with_base("SELECT NULLIF(n, 0) AS TotalReadings FROM rsum", _DIMS),
     "fs_anomaly_rate": with_base(
@@ -272,21 +323,23 @@ ORACLE.update({
               AND m.zone_type IS NOT DISTINCT FROM f.zone_type)
            GROUP BY site_name HAVING min(rate) IS NOT NULL""", _DIMS),
     "worst_zone_quality_by_sensor_type": with_base(
-        """SELECT sensor_type, WorstZoneQuality, TotalReadings FROM (
-             SELECT m.sensor_type,
-                    min(CASE WHEN NULLIF(f.n, 0) IS NULL THEN 0.0
-                             ELSE CAST(NULLIF(f.g, 0) AS DOUBLE) / f.n END) AS WorstZoneQuality,
-                    NULLIF(sum(f.n), 0) AS TotalReadings
-             FROM (SELECT s.sensor_type, z.zone_type
-                   FROM (SELECT DISTINCT sensor_type FROM rdim) s
-                   CROSS JOIN (SELECT DISTINCT zone_type FROM zones) z) m
-             LEFT JOIN (SELECT sensor_type, zone_type, count(*) AS n,
-                               count(*) FILTER (WHERE QualityFlag = 'Good') AS g
-                        FROM rdim GROUP BY sensor_type, zone_type) f
-               ON m.sensor_type IS NOT DISTINCT FROM f.sensor_type
-              AND m.zone_type IS NOT DISTINCT FROM f.zone_type
-             GROUP BY m.sensor_type)
-           WHERE WorstZoneQuality IS NOT NULL OR TotalReadings IS NOT NULL""", _DIMS),
+        f"SELECT sensor_type, WorstZoneQuality, TotalReadings FROM ({_wzq_by_type('TRUE')})", _DIMS),
+    "worst_zone_quality_by_sensor_type_in_production": with_base(
+        f"SELECT sensor_type, WorstZoneQuality FROM ({_wzq_by_type(_IN_PRODUCTION)}) WHERE WorstZoneQuality IS NOT NULL", _DIMS),
+    "worst_zone_quality_by_sensor_type_in_site": with_base(
+        f"SELECT sensor_type, WorstZoneQuality, TotalReadings FROM ({_wzq_by_type(_IN_SITE)})", _DIMS),
+    "alerts_by_site_severity_filter": with_base(
+        """SELECT site_name, NULLIF(count(*) FILTER (WHERE Severity = 'Warning'), 0) AS TotalAlerts,
+                  NULLIF(count(*) FILTER (WHERE upper(Severity) = 'CRITICAL'), 0) AS CriticalAlerts,
+                  NULLIF(count(*) FILTER (WHERE upper(Severity) = 'WARNING'), 0) AS WarningAlerts
+           FROM adim GROUP BY site_name
+           HAVING count(*) FILTER (WHERE upper(Severity) IN ('CRITICAL', 'WARNING')) > 0""", _DIMS),
+    "quality_of_anomalies_by_zone_type": with_base(
+        """SELECT zone_type, NULLIF(count(*) FILTER (WHERE IsAnomaly), 0) AS TotalReadings,
+                  NULLIF(count(*) FILTER (WHERE IsAnomaly), 0) AS AnomalyCount,
+                  max(ReadingValue) FILTER (WHERE IsAnomaly) AS MaxReadingValue
+           FROM rdim WHERE QualityFlag IN ('Suspect', 'Good') GROUP BY zone_type
+           HAVING count(*) FILTER (WHERE IsAnomaly) > 0""", _DIMS),
     "measures_overview": with_base(
         f"""SELECT NULLIF(r.n, 0) AS TotalReadings, r.vs / NULLIF(r.vc, 0) AS AvgReadingValue,
                    r.vmax AS MaxReadingValue, r.vmin AS MinReadingValue,

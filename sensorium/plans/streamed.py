@@ -1,95 +1,223 @@
 """Streaming end states as named queries: the test tables are encoded as a
-JSON event stream, ingested by one ``availableNow`` query (several
-micro-batches), routed, and folded into incremental views.  The result must
+JSON event stream (or CSV files), ingested by ``availableNow`` queries in several
+micro-batches, routed, and folded into incremental views.  The result must
 equal the batch answer (stream = batch)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from sensorium.plans.context import Ctx
+from sensorium.plans.derived import ALERTS_SQL
 from sensorium.plans.oracle import ORACLE, VIEW_SQL, with_base
 from sensorium.plans.queries import query
 from sensorium.plans.views import VIEWS
-from sensorium.session import scratch_path
+from sensorium.session import remove_path, scratch_path
+from sensorium.streaming.batchlog import children
 from sensorium.streaming.incremental import IncrementalView
 from sensorium.streaming.ingest import (
-    ALERT_TABLE, READING_TABLE, Ingest, event_stream, read_table, run_once, to_events,
+    ALERT_TABLE, READING_TABLE, Ingest, alert_handler, append_history, csv_stream, event_stream,
+    read_table, run_once, to_events,
 )
 
-EVENTS_PER_FILE = 5000
-FILES_PER_TRIGGER = 8
+BATCHES = 3
 
 
-def run_ingest(ctx: Ctx, views: dict[str, str]) -> dict:
-    """Encode readings and alerts as events, stream them through routing into
-    fact tables and the given incremental views ({view name: fact table})."""
-    spark = ctx.spark
-    root = scratch_path(spark, "ingest")
-    (to_events(ctx.readings, ctx.alerts).write.option("maxRecordsPerFile", EVENTS_PER_FILE)
-     .mode("overwrite").text(f"{root}/in"))
+def files_per_trigger(ctx: Ctx, path: str, batches: int = BATCHES) -> int:
+    """Files per micro-batch, so that the input makes about ``batches`` of any size."""
+    files = [n for n in children(ctx.spark, path) if not n.startswith(("_", "."))]
+    return max(1, -(-len(files) // batches))
+
+
+def drained(q: StreamingQuery) -> None:
+    run_once(q)
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+def run_events(ctx: Ctx, events: DataFrame, ingest: Ingest, root: str, name: str = "in", **start) -> None:
+    """Write ``events`` as files and stream them through ``ingest``; the files and the
+    checkpoint go when it is done."""
+    events.write.mode("overwrite").text(f"{root}/{name}")
+    stream = event_stream(ctx.spark, f"{root}/{name}", max_files_per_trigger=files_per_trigger(ctx, f"{root}/{name}"))
+    drained(ingest.start(stream, checkpoint=f"{root}/checkpoint-{name}", available_now=True, **start))
+    for path in (f"{root}/{name}", f"{root}/checkpoint-{name}"):
+        remove_path(ctx.spark, path)
+
+
+def model_ingest(ctx: Ctx, root: str, **options) -> Ingest:
     schemas = {READING_TABLE: ctx.readings.schema, ALERT_TABLE: ctx.alerts.schema}
-    inc = {v: IncrementalView(spark, VIEWS[v], f"{root}/views/{v}") for v in views}
+    return Ingest(schemas=schemas, tables={t: f"{root}/tables/{t}" for t in schemas}, quarantine=f"{root}/quarantine",
+                  partition_by={READING_TABLE: ["event_date"]}, parallel_writes=4, **options)
+
+
+def run_ingest(ctx: Ctx, views: dict[str, str]) -> dict:
+    """Stream readings and alerts as events into fact tables and the given
+    incremental views ({view name: fact table})."""
+    root = scratch_path(ctx.spark, "ingest")
+    inc = {v: IncrementalView(ctx.spark, VIEWS[v], f"{root}/views/{v}") for v in views}
     handlers: dict = {}
     for v, table in views.items():
         handlers.setdefault(table, []).append(inc[v].attach(every_compact=2))
-    ing = Ingest(schemas=schemas,
-                 tables={t: f"{root}/tables/{t}" for t in schemas},
-                 quarantine=f"{root}/quarantine",
-                 handlers=handlers,
-                 partition_by={READING_TABLE: ["event_date"]},
-                 compact_every=2, parallel_writes=4)
-    q = ing.start(event_stream(spark, f"{root}/in", max_files_per_trigger=FILES_PER_TRIGGER),
-                  checkpoint=f"{root}/checkpoint", available_now=True)
-    run_once(q)
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return {"root": root, "views": inc, "query": q}
+    run_events(ctx, to_events(ctx.readings, ctx.alerts), model_ingest(ctx, root, handlers=handlers), root)
+    return {"root": root, "views": inc}
 
 
 @query("stream_views_daily")
 def stream_views_daily(ctx: Ctx) -> DataFrame:
-    run = run_ingest(ctx, {"mv_readings_daily": READING_TABLE})
-    return run["views"]["mv_readings_daily"].read()
+    return run_ingest(ctx, {"mv_readings_daily": READING_TABLE})["views"]["mv_readings_daily"].read()
 
 
 @query("stream_alerts_daily")
 def stream_alerts_daily(ctx: Ctx) -> DataFrame:
-    run = run_ingest(ctx, {"mv_alerts_daily": ALERT_TABLE})
-    return run["views"]["mv_alerts_daily"].read()
+    return run_ingest(ctx, {"mv_alerts_daily": ALERT_TABLE})["views"]["mv_alerts_daily"].read()
 
 
 @query("stream_route_counts")
 def stream_route_counts(ctx: Ctx) -> DataFrame:
-    run = run_ingest(ctx, {})
-    root = run["root"]
+    root = run_ingest(ctx, {})["root"]
     parts = [read_table(ctx.spark, f"{root}/tables/{t}")
              .agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "*")
              for t in (READING_TABLE, ALERT_TABLE)]
     return parts[0].unionByName(parts[1])
 
 
+@query("stream_live_alerts")
+def stream_live_alerts(ctx: Ctx) -> DataFrame:
+    """Alerts derived from each micro-batch of readings."""
+    root = scratch_path(ctx.spark, "live")
+    ingest = Ingest(schemas={READING_TABLE: ctx.readings.schema},
+                    handlers={READING_TABLE: [alert_handler(ctx.thresholds, f"{root}/alerts", by="type")]})
+    run_events(ctx, to_events(ctx.readings), ingest, root)
+    return read_table(ctx.spark, f"{root}/alerts")
+
+
+@query("stream_quarantine")
+def stream_quarantine(ctx: Ctx) -> DataFrame:
+    """S13 with bad input: of ten events one has a bad timestamp and value, one an
+    unknown table and one is cut off; each row says where events went and why."""
+    root = scratch_path(ctx.spark, "quarantine")
+    events = to_events(ctx.readings).withColumn("n", F.get_json_object("value", "$.ReadingId").cast("long"))
+    kind = F.pmod("n", F.lit(10))
+    stamp = F.regexp_replace("value", '"Timestamp":"[^"]*"', '"Timestamp":"garbage"')
+    value = F.when(kind == 3, F.regexp_replace(stamp, '"ReadingValue":[^,]*', '"ReadingValue":"x"')) \
+        .when(kind == 5, F.replace("value", F.lit('"SensorReading"'), F.lit('"Unheard"'))) \
+        .when(kind == 7, F.substring("value", 1, 12)).otherwise(F.col("value"))
+    ingest = model_ingest(ctx, root)
+    run_events(ctx, events.select(value.alias("value")), ingest, root)
+    kept = read_table(ctx.spark, f"{root}/tables/{READING_TABLE}").select(F.lit(READING_TABLE).alias("destination"),
+                                                                         F.lit("").alias("reason"))
+    bad = read_table(ctx.spark, f"{root}/quarantine").select(F.lit("quarantine").alias("destination"), "reason")
+    return kept.unionByName(bad).groupBy("destination", "reason").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("stream_dedup_replay")
+def stream_dedup_replay(ctx: Ctx) -> DataFrame:
+    """Redelivered events: a quarter comes twice, and a ninth has no id, of which
+    all must stay."""
+    root = scratch_path(ctx.spark, "dedup")
+    readings = ctx.readings.withColumn("ReadingId", F.when(F.pmod("ReadingId", F.lit(9)) != 0, F.col("ReadingId")))
+    again = ctx.readings.where(F.pmod("ReadingId", F.lit(4)) == 0).withColumn(
+        "ReadingId", F.when(F.pmod("ReadingId", F.lit(9)) != 0, F.col("ReadingId")))
+    ingest = model_ingest(ctx, root, dedup_key={READING_TABLE: "ReadingId"})
+    run_events(ctx, to_events(readings.unionByName(again)), ingest, root, dedup_delay="1 day")
+    return read_table(ctx.spark, f"{root}/tables/{READING_TABLE}").groupBy(
+        F.col("ReadingId").isNotNull().alias("has_id")).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("stream_restart_new_checkpoint")
+def stream_restart_new_checkpoint(ctx: Ctx) -> DataFrame:
+    """One table written by a stream, by a second stream with a checkpoint of its own
+    (whose batch ids start at 0 again), and by a batch of history (S11, S15)."""
+    root = scratch_path(ctx.spark, "restart")
+    ingest, table = model_ingest(ctx, root), f"{root}/tables/{READING_TABLE}"
+    third = F.pmod("ReadingId", F.lit(3))
+    run_events(ctx, to_events(ctx.readings.where(third == 0)), ingest, root, "first")
+    run_events(ctx, to_events(ctx.readings.where(third == 1)), ingest, root, "second")
+    append_history(ctx.readings.where(third == 2), table, "third", ["event_date"])
+    return read_table(ctx.spark, table).groupBy("SensorType").agg(
+        F.count(F.lit(1)).alias("Readings"), F.count_distinct("ReadingId").alias("Ids"),
+        F.max("ReadingValue").alias("MaxValue"))
+
+
+@query("csv_stream_readings")
+def csv_stream_readings(ctx: Ctx) -> DataFrame:
+    """Readings as CSV files (with quotes in a text), streamed into a table."""
+    root = scratch_path(ctx.spark, "csv")
+    rows = ctx.readings_plain.withColumn("Note", F.concat(F.lit('a "'), "SensorType", F.lit('", b')))
+    rows.withColumn("Timestamp", F.date_format("Timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")).write.option(
+        "quote", '"').option("escape", '"').csv(f"{root}/in")
+    stream = csv_stream(ctx.spark, f"{root}/in", rows.schema, files_per_trigger(ctx, f"{root}/in"))
+    q = stream.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True) \
+        .format("parquet").start(f"{root}/table")
+    drained(q)
+    return ctx.spark.read.parquet(f"{root}/table").select("ReadingId", "SensorId", "Timestamp", "SensorType",
+                                                          "ReadingValue", "IsAnomaly", "QualityFlag", "Note")
+
+
+@query("append_batch_readings")
+def append_batch_readings(ctx: Ctx) -> DataFrame:
+    """A table appended to in two batches."""
+    from sensorium.sources import tables as TB
+    root = scratch_path(ctx.spark, "append")
+    good = F.col("QualityFlag").eqNullSafe("Good")
+    for part in (ctx.readings_plain.where(good), ctx.readings_plain.where(~good)):
+        TB.append_batch(part, f"{root}/table", chunk_rows=5000)
+    return ctx.spark.read.parquet(f"{root}/table").groupBy("QualityFlag", "SensorType").agg(
+        F.count(F.lit(1)).alias("Readings"))
+
+
+# ------------------------------------------------- serving a stored view ----
 @query("mv_served_hourly_recent")
 def mv_served_hourly_recent(ctx: Ctx) -> DataFrame:
-    """Serving from the stored view: the hourly view is backfilled from the
-    readings (T8), compacted into one generation, and the dashboard's
-    "last 24 h, newest first" query reads the small view table instead of the
-    raw facts."""
+    """The "last 24 h, newest first" query over the stored hourly view: it opens
+    the days it needs of the view, not the raw facts."""
     from sensorium.operators import relational as R
-    view = IncrementalView(ctx.spark, VIEWS["mv_readings_hourly"],
-                           f"{scratch_path(ctx.spark, 'served')}/mv_readings_hourly")
-    view.backfill(ctx.readings)
-    view.compact(0)
-    return (R.since(view.read(), "24h", as_of=R.as_of_max(ctx.readings_plain))
-            .orderBy(F.col("Timestamp").desc()))
+    lower = R.as_of_max(ctx.readings_plain, minus="24h")
+    recent = ctx.stored_view("mv_readings_hourly").read(days=(lower, None))
+    return recent.where(F.col("Timestamp") > lower).orderBy(F.col("Timestamp").desc())
+
+
+@query("mv_served_anomaly_over_5")
+def mv_served_anomaly_over_5(ctx: Ctx) -> DataFrame:
+    rate = F.try_divide(F.col("AnomalyCount") * 100.0, F.col("TotalReadings").cast("double"))
+    return (ctx.stored_view("mv_anomaly_rate_hourly").read().withColumn("AnomalyRate", rate)
+            .where(F.col("AnomalyRate") > 5).orderBy(F.col("Timestamp").desc()))
+
+
+@query("mv_served_alerts_by_site")
+def mv_served_alerts_by_site(ctx: Ctx) -> DataFrame:
+    return ctx.stored_view("mv_alerts_daily").read().groupBy("SiteId").agg(F.sum("AlertCount").alias("TotalAlerts"))
 
 
 ORACLE.update({
     "mv_served_hourly_recent": ORACLE["mv_hourly_recent"],
+    "mv_served_anomaly_over_5": ORACLE["mv_anomaly_over_5"],
+    "mv_served_alerts_by_site": ORACLE["mv_alerts_by_site"],
     "stream_views_daily": with_base(VIEW_SQL["mv_readings_daily"]),
     "stream_alerts_daily": with_base(VIEW_SQL["mv_alerts_daily"]),
+    "stream_live_alerts": with_base(ALERTS_SQL),
     "stream_route_counts": with_base(
         """SELECT 'SensorReading' AS table_name, count(*) AS row_count FROM readings
            UNION ALL SELECT 'SensorAlert', count(*) FROM alerts"""),
+    "stream_quarantine": with_base(
+        """SELECT CASE WHEN ReadingId % 10 IN (3, 5, 7) THEN 'quarantine' ELSE 'SensorReading' END AS destination,
+                  CASE ReadingId % 10 WHEN 3 THEN 'does not convert: Timestamp, ReadingValue'
+                       WHEN 5 THEN 'unknown table' WHEN 7 THEN 'no table' ELSE '' END AS reason,
+                  count(*) AS row_count
+           FROM readings GROUP BY 1, 2"""),
+    "stream_dedup_replay": with_base(
+        """SELECT ReadingId % 9 <> 0 AS has_id,
+                  CAST(sum(CASE WHEN ReadingId % 9 = 0 AND ReadingId % 4 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS row_count
+           FROM readings GROUP BY 1"""),
+    "stream_restart_new_checkpoint": with_base(
+        """SELECT SensorType, count(*) AS Readings, count(DISTINCT ReadingId) AS Ids, max(ReadingValue) AS MaxValue
+           FROM readings GROUP BY SensorType"""),
+    "csv_stream_readings": with_base(
+        """SELECT ReadingId, SensorId, "Timestamp", SensorType, ReadingValue, IsAnomaly, QualityFlag,
+                  'a "' || SensorType || '", b' AS Note FROM readings"""),
+    "append_batch_readings": with_base(
+        "SELECT QualityFlag, SensorType, count(*) AS Readings FROM readings GROUP BY 1, 2"),
 })

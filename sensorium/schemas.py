@@ -17,9 +17,6 @@ SENSOR_TYPES = [
     ("Vibration", "mm/s", 0.0, 4.5, 0.0, 11.0),
 ]
 ZONE_TYPES = ["Production", "Storage", "Office", "HVAC"]
-SITE_NAMES = ["Paris HQ", "Lyon Factory", "Marseille Warehouse"]
-SITE_REGIONS = ["Île-de-France", "Auvergne-Rhône-Alpes", "Provence-Alpes-Côte d'Azur"]
-SITE_COUNTRIES = ["France", "France", "France"]
 ZONES_PER_SITE = 4
 SENSORS_PER_ZONE = 5
 SENSOR_INSTALL_DATE = "2024-06-15"

@@ -8,7 +8,7 @@ has none, which is the situation in local tests.
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
 import uuid
 
@@ -22,7 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Timestamps in written tables that scans can prune by (the default, INT96, has no statistics).
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 
@@ -54,25 +55,44 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint directory named by the session (set one if unset)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared checkpoint directory named by the session.  Where none is set, a
+    local session gets one of its own; on a cluster that is an error, since a
+    folder of the driver's machine is not seen by the executors."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        # Only reached in local runs without a configured directory.
-        root = tempfile.mkdtemp(prefix="sensorium-ckpt-")
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="sensorium-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique directory path under the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    path = f"{root}/sensorium/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    elif "://" not in path:
-        os.makedirs(path, exist_ok=True)
+    """A fresh, unique path under the shared checkpoint root (made by whoever
+    writes to it).  It lasts until ``release_scratch`` or the end of the driver."""
+    path = f"{checkpoint_root(spark)}/sensorium/{name}-{uuid.uuid4().hex[:12]}"
+    app = spark.sparkContext.applicationId
+    if app not in _SCRATCH:
+        atexit.register(release_scratch, spark)
+    _SCRATCH.setdefault(app, []).append(path)
     return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder of any file system that Spark knows."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Remove every scratch folder of this session; results read from them are gone."""
+    context = spark.sparkContext
+    if context._jsc is None or context._jsc.sc().isStopped():
+        return
+    for path in _SCRATCH.pop(context.applicationId, []):
+        remove_path(spark, path)

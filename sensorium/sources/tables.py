@@ -32,8 +32,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
                 partition_by: list[str] | None = None, max_records_per_file: int | None = None) -> None:
-    """Table sink (S3, S11 with ``mode="append"``)."""
-    w = df.write.mode(mode).format(fmt)
+    """Table sink (S3, S11 with ``mode="append"``).  Overwriting replaces the whole
+    table, partitioned or not."""
+    w = df.write.mode(mode).format(fmt).option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if max_records_per_file:
@@ -107,7 +108,7 @@ def apply_retention(df: DataFrame, days: int, as_of=None, ts: str = "Timestamp",
     """Rows younger than ``days`` relative to ``as_of`` (S20), as a read filter.
 
     On a table partitioned by ``date_col`` the filter prunes whole partitions;
-    physically dropping them is a partition overwrite of the kept range.
+    ``drop_expired`` removes them from storage.
     """
     if as_of is None:
         anchor = F.current_timestamp()
@@ -139,21 +140,49 @@ def create_merge_table(spark: SparkSession, name: str, schema: T.StructType, loc
     return [f.name for f in missing]
 
 
-def shortcut(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
-    """Zero-copy table over existing files (S16): no data is moved."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
+def shortcut(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
+             schema: T.StructType | None = None) -> DataFrame:
+    """Zero-copy table over existing files (S16): no data is moved.  ``schema`` says
+    which columns to read where the files don't all have the same."""
+    columns = "(" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) + ") " if schema else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {columns}USING {fmt} LOCATION '{path}'")
     return spark.table(name)
 
 
-def register_all(spark: SparkSession, tables: dict[str, DataFrame]) -> list[str]:
-    """Named access for BI tools (S18): one temp view per table."""
-    for n, df in tables.items():
-        df.createOrReplaceTempView(n)
+def register_all(spark: SparkSession, tables: dict[str, DataFrame | str], fmt: str = "parquet") -> list[str]:
+    """Named access for BI tools (S18).  A path becomes a catalog table over its
+    files, which other sessions of the catalog see; a DataFrame a temp view of
+    this session."""
+    for n, t in tables.items():
+        if isinstance(t, str):
+            shortcut(spark, n, t, fmt)
+        else:
+            t.createOrReplaceTempView(n)
     return sorted(tables)
 
 
+def drop_expired(spark: SparkSession, path: str, days: int, as_of: str, date_col: str = "event_date") -> list[str]:
+    """Remove the day folders of a table that are older than ``days`` before the date
+    ``as_of`` (S20 as storage).  Returns their dates.  ``path`` is the folder
+    that holds the ``date_col=…`` folders."""
+    from datetime import date, timedelta
+
+    from sensorium.session import remove_path
+    from sensorium.streaming.batchlog import children
+    cut = date.fromisoformat(as_of) - timedelta(days=days)
+    gone = []
+    for name in children(spark, path):
+        key, _, value = name.partition("=")
+        if key == date_col and value != "__HIVE_DEFAULT_PARTITION__" and date.fromisoformat(value) < cut:
+            remove_path(spark, f"{path.rstrip('/')}/{name}")
+            gone.append(value)
+    return gone
+
+
 def fetch(df: DataFrame, max_rows: int = 1000) -> tuple[list[str], list[tuple]]:
-    """A small result to the client as (columns, rows) (S23); bounded by
-    ``max_rows`` — the only place a result is collected."""
-    rows = [tuple(r) for r in df.limit(max_rows).collect()]
+    """A small result to the client as (columns, rows) (S23).  A result of more
+    than ``max_rows`` rows raises; nothing is cut silently."""
+    rows = [tuple(r) for r in df.limit(max_rows + 1).collect()]
+    if len(rows) > max_rows:
+        raise ValueError(f"the result has more than {max_rows} rows")
     return df.columns, rows

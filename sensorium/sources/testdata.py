@@ -15,18 +15,17 @@ readings              events:   event_id → ReadingId, user_id → SensorId,
                       IsAnomaly = value > 100, QualityFlag = missing if
                       value < 1, Suspect if value > 150, else Good;
                       ZoneId / SiteId through the sensor (left joins)
-stored alerts         orders with priority 1-URGENT (Critical) or 2-HIGH
-                      (Warning): o_orderkey → AlertId, o_custkey → SensorId,
+stored alerts         orders, priority 1-URGENT as Critical and the others as
+                      Warning: o_orderkey → AlertId, o_custkey → SensorId,
                       o_orderdate → Timestamp, o_totalprice → ReadingValue;
                       type, threshold and message by the alert rules
 ====================  =========================================================
 
 Joins and scale.  ``nation`` and ``region`` have a fixed size (25 and 5 rows
 at every scale factor) and are broadcast explicitly.  ``customer`` grows with
-the data, so it is *not* hinted: Spark's planner broadcasts it only when its
-measured size is under ``spark.sql.autoBroadcastJoinThreshold`` (AQE
-re-checks at runtime) and otherwise plans a sort-merge join, whose hot keys
-AQE's skew-join handling splits.  Joins to dimensions are left joins so that a
+the data: ``locate`` hints a broadcast only while the optimizer's statistics
+prove it small (``broadcast_if_small``); otherwise the planner chooses, and
+AQE's skew-join handling splits hot keys of a sort-merge join.  Joins to dimensions are left joins so that a
 fact with an unknown sensor keeps its row with missing zone and site.
 """
 
@@ -56,7 +55,13 @@ SEGMENT_SENSOR_TYPE = {
     "HOUSEHOLD": "CO2",
     "MACHINERY": "Vibration",
 }
-PRIORITY_SEVERITY = {"1-URGENT": SEVERITY_CRITICAL, "2-HIGH": SEVERITY_WARNING}
+PRIORITY_SEVERITY = {
+    "1-URGENT": SEVERITY_CRITICAL,
+    "2-HIGH": SEVERITY_WARNING,
+    "3-MEDIUM": SEVERITY_WARNING,
+    "4-NOT SPECIFIED": SEVERITY_WARNING,
+    "5-LOW": SEVERITY_WARNING,
+}
 ANOMALY_ABOVE = 100.0
 SUSPECT_ABOVE = 150.0
 MISSING_QUALITY_BELOW = 1.0
@@ -186,10 +191,9 @@ def readings(spark: SparkSession, sf_dir: str, located: bool = True) -> DataFram
 
 
 def stored_alerts(spark: SparkSession, sf_dir: str, located: bool = True) -> DataFrame:
-    """SensorAlert over ``orders`` (urgent → Critical, high → Warning)."""
+    """SensorAlert over ``orders`` (urgent → Critical, else Warning)."""
     sev = _case("o_orderpriority", PRIORITY_SEVERITY)
     od = (table(spark, sf_dir, "orders")
-          .where(F.col("o_orderpriority").isin(list(PRIORITY_SEVERITY)))
           .select(F.col("o_orderkey").alias("AlertId"),
                   F.col("o_custkey").alias("SensorId"),
                   F.col("o_orderdate").alias("Timestamp"),

@@ -1,125 +1,69 @@
-"""Batch-keyed tables with compaction: the storage under stream sinks.
-
-Layout under ``root``::
-
-    parts/[p=…/]_batch=N/…      rows written by micro-batch N
-    compacted/gen=G/[p=…/]…     all batches up to some id, rewritten in large files
-    manifest/…                  append-only rows (gen, upto_batch)
-
-* ``write(df, N)`` overwrites exactly the partitions of batch N (dynamic
-  partition overwrite): a replayed batch replaces its own output.
-* ``read()`` = newest generation G (per the manifest) ∪ the batches after
-  its cut-off ``B`` (partition pruning on ``_batch``).
-* ``compact(upto, fold)`` writes a new generation from generation G plus the
-  batches ≤ ``upto``, and only then appends the manifest row.  Readers see the
-  old or the new state, never a batch twice.  ``fold`` lets aggregate tables
-  merge rows (incremental views); fact tables just rewrite them, turning many
-  small per-batch files into few large ones.
-
-Only committed batch ids may be compacted: inside ``foreachBatch`` of batch N,
-every batch < N is committed.
+"""Batch-keyed tables: what a stream's writes leave under a path.
+
+    root/_source=<query id>/_batch=N/[p=…/]…    rows written by micro-batch N
+
+* ``write(df, N)`` replaces exactly the folder of its own (query, batch), so a
+  replayed batch replaces its own output whatever it held before, and two
+  queries (or one with a new checkpoint, whose batch ids start again at 0) never
+  touch each other's rows.
+* ``read()`` is every row of every folder.  An unreadable folder fails the read.
+
+Rows are written once; nothing rewrites them.  Each batch is clustered by its
+partition columns, so it leaves few files.
 """
 
 from __future__ import annotations
 
-from typing import Callable
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-BACKFILL_BATCH = -1
+SOURCE_PROPERTY = "sql.streaming.queryId"
+BATCH_SOURCE = "batch"
+
+
+def current_source(spark: SparkSession) -> str:
+    """The id of the streaming query whose batch is being processed.  It stays the
+    same over restarts from one checkpoint."""
+    return spark.sparkContext.getLocalProperty(SOURCE_PROPERTY) or BATCH_SOURCE
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    if not exists(spark, path):
+        return []
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(target)
+    return sorted(f.getPath().getName() for f in found)
 
 
 class BatchTable:
-    def __init__(self, spark: SparkSession, root: str, partition_by: list[str] | None = None,
-                 max_records_per_file: int = 5_000_000, salt_buckets: int = 8):
+    def __init__(self, spark: SparkSession, root: str, partition_by: list[str] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition_by = list(partition_by or [])
-        self.max_records_per_file = max_records_per_file
-        self.salt_buckets = salt_buckets
-
-    @property
-    def parts_path(self) -> str:
-        return f"{self.root}/parts"
-
-    @property
-    def manifest_path(self) -> str:
-        return f"{self.root}/manifest"
-
-    def gen_path(self, gen: int) -> str:
-        return f"{self.root}/compacted/gen={gen}"
-
-    # ---- state -------------------------------------------------------------
-    def manifest(self) -> tuple[int | None, int]:
-        """(generation, last compacted batch) of the newest manifest row."""
-        try:
-            m = self.spark.read.parquet(self.manifest_path)
-        except Exception:  # noqa: BLE001  (no manifest yet)
-            return None, BACKFILL_BATCH - 1
-        row = m.orderBy(F.col("gen").desc()).limit(1).collect()
-        if not row:
-            return None, BACKFILL_BATCH - 1
-        return int(row[0]["gen"]), int(row[0]["upto_batch"])
-
-    def _parts(self, after: int, upto: int | None = None) -> DataFrame | None:
-        try:
-            p = self.spark.read.parquet(self.parts_path)
-        except Exception:  # noqa: BLE001  (nothing written yet)
-            return None
-        p = p.where(F.col("_batch") > after)
-        if upto is not None:
-            p = p.where(F.col("_batch") <= upto)
-        return p.drop("_batch")
-
-    def state(self, upto: int | None = None) -> DataFrame | None:
-        """Rows of the current generation plus later batches (≤ ``upto``)."""
-        gen, folded = self.manifest()
-        pieces = []
-        if gen is not None:
-            pieces.append(self.spark.read.parquet(self.gen_path(gen)))
-        parts = self._parts(folded, upto)
-        if parts is not None:
-            pieces.append(parts)
-        if not pieces:
-            return None
-        out = pieces[0]
-        for p in pieces[1:]:
-            out = out.unionByName(p)
-        return out
 
-    def read(self) -> DataFrame:
-        s = self.state()
-        if s is None:
-            raise ValueError(f"nothing written to {self.root} yet")
-        return s
-
-    # ---- writes ------------------------------------------------------------
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        (df.withColumn("_batch", F.lit(int(batch_id)))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*self.partition_by, "_batch").parquet(self.parts_path))
-
-    def compact(self, upto_batch: int,
-                fold: Callable[[DataFrame], DataFrame] | None = None) -> int | None:
-        gen, folded = self.manifest()
-        if upto_batch <= folded:
-            return gen
-        state = self.state(upto=upto_batch)
-        if state is None:
-            return gen
-        new_gen = 0 if gen is None else gen + 1
-        out = fold(state) if fold is not None else state
+    def batch_path(self, batch_id: int, source: str) -> str:
+        return f"{self.root}/_source={source}/_batch={int(batch_id)}"
+
+    def write(self, df: DataFrame, batch_id: int, source: str | None = None) -> None:
+        """Write (or write again) the rows of one batch."""
+        source = source or current_source(self.spark)
         if self.partition_by:
-            # Few files per partition value, but a hot value (a day holding a
-            # third of the rows) is still split over ``salt_buckets`` tasks; the
-            # salt is a hash of the row, so a retried task sees the same split.
-            salt = F.pmod(F.xxhash64(*[F.col(c) for c in out.columns]), F.lit(self.salt_buckets))
-            out = out.repartition(*[F.col(c) for c in self.partition_by], salt)
-        w = out.write.mode("overwrite").option("maxRecordsPerFile", self.max_records_per_file)
+            df = df.hint("rebalance", *self.partition_by)  # a hot value is split over tasks
+        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
-        w.parquet(self.gen_path(new_gen))
-        (self.spark.createDataFrame([(new_gen, int(upto_batch))], "gen int, upto_batch long")
-         .write.mode("append").parquet(self.manifest_path))
-        return new_gen
+        w.parquet(self.batch_path(batch_id, source))
+
+    def is_empty(self) -> bool:
+        """Whether nothing has been written yet."""
+        return not any(name.startswith("_source=") for name in children(self.spark, self.root))
+
+    def read(self) -> DataFrame:
+        if self.is_empty():
+            raise ValueError(f"nothing written to {self.root} yet")
+        return self.spark.read.option("mergeSchema", "true").parquet(self.root).drop("_source", "_batch")

@@ -1,74 +1,168 @@
 """Incremental aggregate views kept current by a stream.
 
-Storage layout under ``root`` (a directory in the shared checkpoint folder or
-any table location)::
-
-    parts/_batch=N/…         partial aggregates of micro-batch N
-    compacted/gen=G/…        all partials up to some batch, folded
-    manifest/…               append-only rows (gen, upto_batch, …)
-
-Storage is a :class:`~sensorium.streaming.batchlog.BatchTable`:
-
-* ``apply_batch(df, N)`` overwrites exactly the ``_batch=N`` partition
-  (dynamic partition overwrite), so a replayed batch replaces its own output
-  instead of adding to it — exactly-once on top of at-least-once delivery.
-* ``read()`` takes the newest manifest row (G, B), reads generation G plus the
-  partials of batches > B (partition pruning), folds and finalises.
-* ``compact(upto)`` folds generation G and the partials ≤ ``upto`` into a new
-  generation and only then appends the manifest row: readers see either the
-  old or the new state, never a batch twice.  Only committed batches may be
-  folded; inside ``foreachBatch`` of batch N every batch < N is committed.
-
+A view is stored as mergeable partial aggregates, one write per micro-batch
+(keyed by query and batch like every stream write, so a replayed batch replaces
+its own partials), partitioned by the day of the bin.  ``read`` folds the
+partials it needs and finalises them: reading a time range opens only its days.
 Partials are order-free, so late rows of any age are folded in without a
-watermark (T9); the backfill is batch id −1 (T8).
+watermark (T9).  A backfill (T8) is one more source of partials.
+
+``compact`` folds partials into fewer rows: the batches that it covers are
+folded into one new part, and when ``FAN_IN`` parts of one tier have gathered
+they are folded into one of the next.  A partial is thus rewritten a number of
+times that is logarithmic in the number of compactions.  A part becomes
+visible by one row in an append-only log; readers see it or what it covers,
+never both.  What is covered is removed by ``vacuum``, after a delay that
+leaves running readers their files.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sensorium.plans.views import ViewDef
-from sensorium.streaming.batchlog import BACKFILL_BATCH, BatchTable
+from sensorium.session import remove_path
+from sensorium.streaming.batchlog import BatchTable, children, current_source
+
+DAY = "bin_date"
+FAN_IN = 8
+_LOG = "part int, tier int, source string, upto_batch long, replaces array<int>, written double"
 
 
 class IncrementalView:
-    """A :class:`ViewDef` kept as mergeable partials in a :class:`BatchTable`
-    (one partial per micro-batch; compaction folds them)."""
+    """A :class:`ViewDef` kept as mergeable partials."""
 
     def __init__(self, spark: SparkSession, view: ViewDef, root: str):
         self.spark = spark
         self.view = view
-        self.log = BatchTable(spark, root)
-
-    def apply_batch(self, df: DataFrame, batch_id: int) -> None:
-        """Fold one micro-batch (idempotent per ``batch_id``)."""
-        self.log.write(self.view.partial(df), batch_id)
+        self.root = root.rstrip("/")
+        self.log = BatchTable(spark, f"{self.root}/partials", [DAY])
 
-    def backfill(self, history: DataFrame) -> None:
-        """Fold historical rows (``with (backfill=true)``) as batch −1."""
-        self.apply_batch(history, BACKFILL_BATCH)
+    # ---- writing -----------------------------------------------------------
+    def _dated(self, partials: DataFrame) -> DataFrame:
+        day = F.to_date(self.view.ts) if self.view.span else F.lit(None).cast("date")
+        return partials.withColumn(DAY, day)
 
-    def compact(self, upto_batch: int) -> int | None:
-        """Fold every batch ≤ ``upto_batch`` into a new generation."""
-        return self.log.compact(upto_batch, fold=self.view.fold)
+    def apply_batch(self, df: DataFrame, batch_id: int, source: str | None = None) -> None:
+        """Fold one micro-batch (idempotent per source and ``batch_id``)."""
+        self.log.write(self._dated(self.view.partial(df)), batch_id, source)
 
-    def read(self, source_schema=None) -> DataFrame:
-        """The view as of the last written batch, finalised.  Before any batch
-        was written the view is empty; ``source_schema`` then gives its shape."""
-        state = self.log.state()
+    def backfill(self, history: DataFrame) -> None:
+        """Fold historical rows (``with (backfill=true)``)."""
+        self.apply_batch(history, 0, "backfill")
+
+    # ---- state -------------------------------------------------------------
+    def _parts(self) -> list[tuple]:
+        """Rows of the log: one for each compaction."""
+        if not children(self.spark, f"{self.root}/log"):
+            return []
+        return [tuple(r) for r in self.spark.read.schema(_LOG).parquet(f"{self.root}/log").collect()]
+
+    def _pieces(self, parts: list[tuple]) -> tuple[list[int], list[tuple[str, int]]]:
+        """Parts that are live, and the (source, batch) folders that no part covers."""
+        replaced = {p for row in parts for p in row[4]}
+        covered: dict[str, int] = {}
+        for _, _, source, upto, _, _ in parts:
+            if source is not None:
+                covered[source] = max(covered.get(source, -1), upto)
+        batches = []
+        for name in children(self.spark, self.log.root):
+            if name.startswith("_source="):
+                source = name.removeprefix("_source=")
+                batches += [(source, int(b.removeprefix("_batch="))) for b in children(self.spark, f"{self.log.root}/{name}")
+                            if b.startswith("_batch=") and int(b.removeprefix("_batch=")) > covered.get(source, -1)]
+        return [row[0] for row in parts if row[0] not in replaced], batches
+
+    def _load(self, parts: list[int], batches: list[tuple[str, int]]) -> DataFrame | None:
+        out = None
+        for path, base in [(f"{self.root}/parts/{p}", f"{self.root}/parts/{p}") for p in parts] + \
+                [(self.log.batch_path(b, s), self.log.batch_path(b, s)) for s, b in batches]:
+            if not any("=" in n or n.endswith(".parquet") for n in children(self.spark, path)):
+                continue  # a batch without rows
+            df = self.spark.read.option("basePath", base).parquet(path)
+            out = df if out is None else out.unionByName(df)
+        return out
+
+    def partials(self) -> DataFrame | None:
+        return self._load(*self._pieces(self._parts()))
+
+    def read(self, source_schema=None, days: tuple | None = None) -> DataFrame:
+        """The view as of the last written batch, finalised; only bins of ``days``
+        (first, last; either may be None) if given.  Before any batch was written
+        the view is empty; ``source_schema`` then gives its shape."""
+        state = self.partials()
         if state is None:
             if source_schema is None:
                 raise ValueError(f"view {self.view.name} has no data yet")
             return self.view.compute(self.spark.createDataFrame([], source_schema))
-        return self.view.merge(state)
+        first, last = days or (None, None)
+        if first is not None:
+            state = state.where(F.col(DAY) >= F.to_date(first if not isinstance(first, str) else F.lit(first)))
+        if last is not None:
+            state = state.where(F.col(DAY) <= F.to_date(last if not isinstance(last, str) else F.lit(last)))
+        return self.view.merge(state.drop(DAY))
+
+    # ---- compaction --------------------------------------------------------
+    def _fold(self, part: int, tier: int, state: DataFrame, source: str | None, upto: int, replaces: list[int]) -> None:
+        folded = self._dated(self.view.fold(state.drop(DAY)))
+        folded.hint("rebalance", DAY).write.mode("overwrite").option("partitionOverwriteMode", "static") \
+            .partitionBy(DAY).parquet(f"{self.root}/parts/{part}")
+        self.spark.createDataFrame([(part, tier, source, upto, replaces, time.time())], _LOG) \
+            .write.mode("append").parquet(f"{self.root}/log")
+
+    def compact(self, upto_batch: int, source: str | None = None) -> None:
+        """Fold the batches of ``source`` up to ``upto_batch`` that no part covers
+        yet.  Only committed batches may be folded; inside ``foreachBatch`` of
+        batch N every batch < N is committed.  One compaction runs at a time."""
+        source = source or current_source(self.spark)
+        parts = self._parts()
+        todo = [(s, b) for s, b in self._pieces(parts)[1] if s == source and b <= upto_batch]
+        state = self._load([], todo)
+        if state is None:
+            return
+        part = 1 + max((row[0] for row in parts), default=-1)
+        self._fold(part, 0, state, source, upto_batch, [])
+        while True:
+            parts = self._parts()
+            live = set(self._pieces(parts)[0])
+            tiers: dict[int, list[int]] = {}
+            for row in parts:
+                if row[0] in live:
+                    tiers.setdefault(row[1], []).append(row[0])
+            full = next((t for t, ids in sorted(tiers.items()) if len(ids) >= FAN_IN), None)
+            if full is None:
+                return
+            part = 1 + max(row[0] for row in parts)
+            self._fold(part, full + 1, self._load(tiers[full], []), None, -1, sorted(tiers[full]))
+
+    def vacuum(self, older_than_sec: float = 3600.0) -> int:
+        """Remove partials and parts that parts written at least ``older_than_sec``
+        ago cover.  Returns the number of folders removed."""
+        now, removed = time.time(), 0
+        old = [row for row in self._parts() if now - row[5] >= older_than_sec]
+        gone = [f"{self.root}/parts/{p}" for row in old for p in row[4]]
+        for _, _, source, upto, _, _ in old:
+            if source is not None:
+                base = f"{self.log.root}/_source={source}"
+                gone += [f"{base}/{b}" for b in children(self.spark, base)
+                         if b.startswith("_batch=") and int(b.removeprefix("_batch=")) <= upto]
+        for path in dict.fromkeys(gone):
+            folder, _, name = path.rpartition("/")
+            if name in children(self.spark, folder):
+                remove_path(self.spark, path)
+                removed += 1
+        return removed
 
     def attach(self, every_compact: int | None = None):
         """A ``foreachBatch`` function folding each batch into this view;
         compacts the committed batches every ``every_compact`` batches."""
-        def handle(df: DataFrame, batch_id: int) -> None:
-            self.apply_batch(df, batch_id)
+        def handle(df: DataFrame, batch_id: int, source: str | None = None) -> None:
+            self.apply_batch(df, batch_id, source)
             if every_compact and batch_id > 0 and batch_id % every_compact == 0:
-                self.compact(batch_id - 1)
+                self.compact(batch_id - 1, source)
         return handle
 
 

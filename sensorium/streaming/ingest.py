@@ -3,9 +3,9 @@
 One streaming query reads the source once and, per micro-batch
 (``foreachBatch``), routes the rows to every destination: fact tables,
 quarantine, derived alerts and incremental views.  Each destination write is
-keyed by the batch id (dynamic overwrite of a ``_batch=N`` partition), so a
-batch replayed after a failure replaces its own output: the checkpoint plus
-idempotent writes give exactly-once results on at-least-once delivery (T5).
+keyed by the query and batch id, so a batch replayed after a failure replaces
+its own output: the checkpoint plus idempotent writes give exactly-once results
+on at-least-once delivery (T5).
 
 Wire form (S12): one JSON object per event, the columns of one fact table plus
 ``_table``; timestamps as ISO-8601 text with microseconds and ``Z``, booleans
@@ -14,16 +14,19 @@ as ``true``/``false``.
 
 from __future__ import annotations
 
+import threading
+import time
 from dataclasses import dataclass, field
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from sensorium.functions.scalar import bool_text, parse_bool, to_iso_text
-from sensorium.streaming.batchlog import BatchTable
+from sensorium.session import remove_path
+from sensorium.streaming.batchlog import BatchTable, children, current_source
 
 READING_TABLE = "SensorReading"
 ALERT_TABLE = "SensorAlert"
@@ -88,26 +91,43 @@ def parse_events(raw: DataFrame, schemas: dict[str, T.StructType]) -> DataFrame:
 
 def route(parsed: DataFrame, schemas: dict[str, T.StructType]) -> dict[str, DataFrame]:
     """Demultiplex parsed events to one typed DataFrame per table, plus
-    ``_quarantine`` (unknown or missing ``_table``) with the raw text."""
+    ``_quarantine``: events with an unknown or missing ``_table``, and events
+    of which a field is there but does not convert, with the raw text and the
+    reason.  Every event goes to exactly one of them."""
     out = {}
+    known = list(schemas)
+    reason = F.when(F.col("_table").isNull(), F.lit("no table")).when(~F.col("_table").isin(known), F.lit("unknown table"))
     for name, schema in schemas.items():
-        rows = parsed.where(F.col("_table") == name)
+        bad = F.concat_ws(", ", *[F.when(F.col(f.name).isNotNull() & _typed(F.col(f.name), f.dataType).isNull(), F.lit(f.name))
+                                  for f in schema.fields])
+        rows = parsed.where((F.col("_table") == name) & (bad == ""))
         out[name] = rows.select(*[_typed(F.col(f.name), f.dataType).alias(f.name)
                                   for f in schema.fields])
-    known = list(schemas)
-    out["_quarantine"] = parsed.where(F.col("_table").isNull() | ~F.col("_table").isin(known)) \
-        .select("value", "_table")
+        reason = reason.when((F.col("_table") == name) & (bad != ""), F.concat(F.lit("does not convert: "), bad))
+    out["_quarantine"] = parsed.withColumn("reason", reason).where(F.col("reason").isNotNull()) \
+        .select("value", "_table", "reason")
     return out
 
 
 # -------------------------------------------------------------- sources ---
+def batch_cap(fmt: str, max_files_per_trigger: int | None, max_offsets_per_trigger: int | None) -> dict[str, int]:
+    """The source option that bounds a micro-batch (T4)."""
+    if fmt == "kafka":
+        if max_files_per_trigger:
+            raise ValueError("a message bus is capped by max_offsets_per_trigger")
+        return {"maxOffsetsPerTrigger": max_offsets_per_trigger} if max_offsets_per_trigger else {}
+    if max_offsets_per_trigger:
+        raise ValueError("files are capped by max_files_per_trigger")
+    return {"maxFilesPerTrigger": max_files_per_trigger} if max_files_per_trigger else {}
+
+
 def event_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                 fmt: str = "text", **options) -> DataFrame:
+                 fmt: str = "text", max_offsets_per_trigger: int | None = None, **options) -> DataFrame:
     """A stream of ``value`` texts: files in a directory (default) or a
     message bus via ``fmt="kafka"`` (untested here: no Kafka jar present)."""
     reader = spark.readStream.format(fmt)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    for k, v in batch_cap(fmt, max_files_per_trigger, max_offsets_per_trigger).items():
+        reader = reader.option(k, v)
     for k, v in options.items():
         reader = reader.option(k, v)
     if fmt == "kafka":
@@ -127,14 +147,35 @@ def csv_stream(spark: SparkSession, path: str, schema: T.StructType,
 
 # ---------------------------------------------------------------- sinks ---
 def write_batch_partition(df: DataFrame, path: str, batch_id: int,
-                          partition_by: list[str] | None = None) -> None:
-    """Idempotent append: overwrite only this batch's partitions."""
-    BatchTable(df.sparkSession, path, partition_by).write(df, batch_id)
+                          partition_by: list[str] | None = None, source: str | None = None) -> None:
+    """Idempotent append: replace only what this query's batch wrote."""
+    BatchTable(df.sparkSession, path, partition_by).write(df, batch_id, source)
+
+
+def append_history(df: DataFrame, path: str, name: str, partition_by: list[str] | None = None) -> None:
+    """Append a batch of rows to a stream-written table (S11 and S15 into one
+    table).  Appending again under the same ``name`` replaces the first one."""
+    BatchTable(df.sparkSession, path, partition_by).write(with_event_date(df, partition_by), 0, f"history-{name}")
+
+
+def with_event_date(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
+    """Add the ``event_date`` that the table is partitioned by, from its first timestamp."""
+    if "event_date" not in (partition_by or []) or "event_date" in df.columns:
+        return df
+    ts = next(f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)))
+    return df.withColumn("event_date", F.to_date(ts))
+
+
+def one_of_each(df: DataFrame, key: str) -> DataFrame:
+    """One row per key, the smallest of those that share it, so that a replay keeps
+    the same one; rows without a key all stay."""
+    row = F.struct(*[F.col(c) for c in df.columns])
+    kept = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(row).alias("_row")).select("_row.*")
+    return kept.unionByName(df.where(F.col(key).isNull()))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Batch view of a stream-written table (S17): the compacted generation
-    plus the later batches — same files, no copy."""
+    """Batch view of a stream-written table (S17): same files, no copy."""
     return BatchTable(spark, path).read()
 
 
@@ -145,23 +186,21 @@ class Ingest:
     * ``schemas``        — table name → typed schema of that table;
     * ``tables``         — table name → output path (facts appended, S15);
     * ``quarantine``     — path for rows that cannot be routed;
-    * ``handlers``       — table name → list of ``f(df, batch_id)`` run on the
+    * ``handlers``       — table name → list of ``f(df, batch_id, source)`` run on the
       routed rows (incremental views, alert derivation …);
     * ``partition_by``   — table name → partition columns (``event_date`` …);
     * ``dedup_key``      — table name → unique id; duplicates inside one batch
-      are dropped (across batches: ``start(dedup_delay=…)``);
-    * ``compact_every``  — every N batches, rewrite the committed batches of
-      each fact table into large files (a new generation, switched atomically);
+      are dropped (across batches: ``start(dedup_delay=…)``).  Rows without an
+      id, and tables without a ``dedup_key``, keep every row;
     * ``parallel_writes`` — destinations written concurrently per batch (each
       is its own Spark job; they share nothing but the cached batch).
     """
     schemas: dict[str, T.StructType]
     tables: dict[str, str] = field(default_factory=dict)
     quarantine: str | None = None
-    handlers: dict[str, list[Callable[[DataFrame, int], None]]] = field(default_factory=dict)
+    handlers: dict[str, list[Callable[..., None]]] = field(default_factory=dict)
     partition_by: dict[str, list[str]] = field(default_factory=dict)
     dedup_key: dict[str, str] = field(default_factory=dict)
-    compact_every: int | None = None
     parallel_writes: int = 1
 
     def process(self, raw: DataFrame, batch_id: int) -> None:
@@ -170,8 +209,9 @@ class Ingest:
             parsed = raw.drop("_dkey", "_arrival").persist()
         else:
             parsed = parse_events(raw, self.schemas).persist()
+        source = current_source(raw.sparkSession)   # a property of this thread
         try:
-            tasks = self._tasks(route(parsed, self.schemas), batch_id)
+            tasks = self._tasks(route(parsed, self.schemas), batch_id, source)
             if self.parallel_writes > 1 and len(tasks) > 1:
                 # Independent destinations are independent Spark jobs: submit
                 # them together so small batches use the whole cluster.
@@ -185,7 +225,7 @@ class Ingest:
         finally:
             parsed.unpersist()
 
-    def _tasks(self, routed: dict[str, DataFrame], batch_id: int) -> list:
+    def _tasks(self, routed: dict[str, DataFrame], batch_id: int, source: str) -> list:
         tasks = []
         for name, df in routed.items():
             if name == "_quarantine":
@@ -194,25 +234,18 @@ class Ingest:
                     # an empty write job and its commit.
                     def quarantine(df=df):
                         if not df.isEmpty():
-                            write_batch_partition(df, self.quarantine, batch_id)
+                            write_batch_partition(df, self.quarantine, batch_id, source=source)
                     tasks.append(quarantine)
                 continue
             if name in self.dedup_key:
-                df = df.dropDuplicates([self.dedup_key[name]])
+                df = one_of_each(df, self.dedup_key[name])
             parts = self.partition_by.get(name)
-            if parts and "event_date" in parts and "event_date" not in df.columns:
-                ts = next(f.name for f in df.schema.fields
-                          if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)))
-                df = df.withColumn("event_date", F.to_date(ts))
+            df = with_event_date(df, parts)
             if name in self.tables:
-                def write(df=df, name=name, parts=parts):
-                    table = BatchTable(df.sparkSession, self.tables[name], parts)
-                    table.write(df, batch_id)
-                    if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
-                        table.compact(batch_id - 1)
-                tasks.append(write)
+                tasks.append(lambda df=df, name=name, parts=parts: write_batch_partition(
+                    df, self.tables[name], batch_id, parts, source))
             for h in self.handlers.get(name, []):
-                tasks.append(lambda h=h, df=df: h(df, batch_id))
+                tasks.append(lambda h=h, df=df: h(df, batch_id, source))
         return tasks
 
     def start(self, stream: DataFrame, checkpoint: str, trigger: str | None = None,
@@ -232,12 +265,14 @@ class Ingest:
             src = src.observe("ingest", F.count(F.lit(1)).alias("events"))
         if dedup_delay and self.dedup_key:
             parsed = parse_events(src, self.schemas)
-            key = F.coalesce(*[F.when(F.col("_table") == t, F.col(k).cast("string"))
-                               for t, k in self.dedup_key.items()], F.col("value"))
+            # Rows without an id, and tables without a dedup key, never equal another row.
+            key = F.coalesce(*[F.when(F.col("_table") == t, F.concat(F.lit("="), F.col(k)))
+                               for t, k in self.dedup_key.items()], F.uuid())
             src = (parsed.withColumn("_dkey", key)
                    .withColumn("_arrival", F.current_timestamp())
                    .withWatermark("_arrival", dedup_delay)
                    .dropDuplicatesWithinWatermark(["_table", "_dkey"]))
+        watch_totals(stream.sparkSession)
         w = src.writeStream.option("checkpointLocation", checkpoint).foreachBatch(self.process)
         if available_now:
             w = w.trigger(availableNow=True)
@@ -247,14 +282,14 @@ class Ingest:
 
 
 def alert_handler(thresholds: DataFrame, path: str, by: str = "type",
-                  keep_p: float = 1.0) -> Callable[[DataFrame, int], None]:
+                  keep_p: float = 1.0) -> Callable[..., None]:
     """Live alert derivation on routed readings (T11): stateless, written per
     batch id like every other destination."""
     from sensorium.operators.alerts import derive_alerts
 
-    def handle(readings: DataFrame, batch_id: int) -> None:
+    def handle(readings: DataFrame, batch_id: int, source: str | None = None) -> None:
         write_batch_partition(derive_alerts(readings, thresholds, by=by, keep_p=keep_p),
-                              path, batch_id)
+                              path, batch_id, source=source)
     return handle
 
 
@@ -272,28 +307,73 @@ def run_for(q: StreamingQuery, seconds: float) -> StreamingQuery:
     return q
 
 
+class _Totals(StreamingQueryListener):
+    """Batches done and metrics observed, per run of a query, from its first batch on."""
+
+    def __init__(self):
+        self.lock = threading.Condition()
+        self.runs: dict[str, dict[int, dict[str, int]]] = {}
+
+    def onQueryStarted(self, event):  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event):  # noqa: N802
+        p = event.progress
+        seen = {f"{name}.{k}": int(v or 0) for name, row in (p.observedMetrics or {}).items()
+                for k, v in row.asDict().items()}
+        with self.lock:
+            self.runs.setdefault(str(p.runId), {})[p.batchId] = seen
+            self.lock.notify_all()
+
+    def onQueryIdle(self, event):  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event):  # noqa: N802
+        with self.lock:
+            self.lock.notify_all()
+
+
+_TOTALS: dict[str, _Totals] = {}
+
+
+def watch_totals(spark: SparkSession) -> _Totals:
+    """The session's listener for running totals; the first call adds it."""
+    app = spark.sparkContext.applicationId
+    if app not in _TOTALS:
+        _TOTALS[app] = _Totals()
+        spark.streams.addListener(_TOTALS[app])
+    return _TOTALS[app]
+
+
+def _batches(q: StreamingQuery) -> dict[int, dict[str, int]]:
+    totals = watch_totals(SparkSession.active())
+    for p in q.recentProgress:  # what the listener has yet to be told
+        seen = {f"{n}.{k}": int(v or 0) for n, row in (p.observedMetrics or {}).items() for k, v in row.asDict().items()}
+        with totals.lock:
+            totals.runs.setdefault(str(q.runId), {}).setdefault(p.batchId, seen)
+    with totals.lock:
+        return dict(totals.runs.get(str(q.runId), {}))
+
+
 def await_batches(q: StreamingQuery, n: int, timeout_sec: float = 120.0) -> bool:
-    """Block until the query completed ``n`` micro-batches (or failed, or the
-    timeout passed).  Returns whether ``n`` batches completed."""
-    import time
+    """Block until this run of the query completed ``n`` micro-batches (or failed,
+    or the timeout passed).  Returns whether ``n`` batches completed."""
     deadline = time.monotonic() + timeout_sec
     while time.monotonic() < deadline:
         if q.exception() is not None:
             return False
-        done = [p for p in q.recentProgress if p.batchId is not None]
-        if len({p.batchId for p in done}) >= n:
+        if len(_batches(q)) >= n:
             return True
         time.sleep(0.2)
     return False
 
 
 def ingest_progress(q: StreamingQuery) -> dict[str, int]:
-    """Running totals of the observed metrics over the recent batches."""
+    """Running totals of the observed metrics over all batches of this run."""
     totals: dict[str, int] = {}
-    for p in q.recentProgress:
-        for name, row in (p.observedMetrics or {}).items():
-            for k, v in row.asDict().items():
-                totals[f"{name}.{k}"] = totals.get(f"{name}.{k}", 0) + int(v or 0)
+    for seen in _batches(q).values():
+        for k, v in seen.items():
+            totals[k] = totals.get(k, 0) + v
     return totals
 
 
@@ -323,14 +403,32 @@ def refresh_tables(spark: SparkSession, queries: dict[str, Callable[[], DataFram
                    out_root: str, checkpoint: str, every: str = "30 seconds") -> StreamingQuery:
     """Recompute small result tables on a timer.
 
-    A ``rate`` source drives one micro-batch per interval; each batch
-    overwrites every result table.  Results are small aggregates, written
-    whole.
+    A ``rate`` source drives one micro-batch per interval; each batch writes
+    every result table whole into a folder of its own, which ``read_refreshed``
+    takes up once it is complete.  The last two versions are kept.
     """
-    def refresh(_df: DataFrame, _batch_id: int) -> None:
+    def refresh(_df: DataFrame, batch_id: int) -> None:
         for name, fn in queries.items():
-            fn().write.mode("overwrite").parquet(f"{out_root.rstrip('/')}/{name}")
+            base = f"{out_root.rstrip('/')}/{name}"
+            fn().write.mode("overwrite").parquet(f"{base}/version={batch_id}")
+            for old in _versions(spark, base)[:-2]:
+                remove_path(spark, f"{base}/version={old}")
 
     tick = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     return (tick.writeStream.option("checkpointLocation", checkpoint)
             .foreachBatch(refresh).trigger(processingTime=every).start())
+
+
+def _versions(spark: SparkSession, base: str) -> list[int]:
+    """Complete versions of a refreshed table, oldest first."""
+    found = [int(n.removeprefix("version=")) for n in children(spark, base) if n.startswith("version=")]
+    return sorted(v for v in found if "_SUCCESS" in children(spark, f"{base}/version={v}"))
+
+
+def read_refreshed(spark: SparkSession, out_root: str, name: str) -> DataFrame:
+    """The newest complete version of a refreshed table."""
+    base = f"{out_root.rstrip('/')}/{name}"
+    versions = _versions(spark, base)
+    if not versions:
+        raise ValueError(f"{name} has not been refreshed yet")
+    return spark.read.parquet(f"{base}/version={versions[-1]}")

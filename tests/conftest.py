@@ -19,8 +19,7 @@ def spark():
                .config("spark.sql.shuffle.partitions", "4")
                .config("spark.ui.enabled", "false")
                .config("spark.sql.session.timeZone", "UTC")
-               .config("spark.sql.adaptive.enabled", "true")
-               .config("spark.sql.sources.partitionOverwriteMode", "dynamic"))
+               .config("spark.sql.adaptive.enabled", "true"))
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():

@@ -89,3 +89,22 @@ def test_expected_value_and_bands(spark, readings):
     q = {r["ReadingId"]: r["DerivedQuality"] for r in
          A.flag_quality(readings, A.threshold_table(spark), by="type").collect()}
     assert q["normal"] == "Good" and q["r0"] == "Suspect"
+
+
+def test_numbers_as_python_prints_them(spark):
+    from sensorium.operators.alerts import fmt_number
+    values = [0.0005, 12345678.5, 5.0, 12.34, -0.25, 0.0, 1e15, 123456789012345.6, 1e16, 1.5e300, 0.0001, 9.9e-5, 5e-5, -1.25e-7,
+              1e7, 123.0, 0.001, 99999999.0, float("nan"), float("inf"), float("-inf")]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r[0] for r in df.select(fmt_number(F.col("x"))).collect()] == [repr(v) for v in values]
+
+
+def test_readings_without_thresholds_keep_their_row(spark):
+    from sensorium.operators import alerts as A
+    r = spark.createDataFrame([(1, "Unheard", 5.0), (2, "CO2", 500.0)], "ReadingId int, SensorType string, ReadingValue double")
+    r = r.withColumn("Timestamp", F.lit("2024-01-01 06:00:00").cast("timestamp"))
+    t = A.threshold_table(spark)
+    for fn, column in ((A.expected_value, "ExpectedValue"), (A.residual_score, "ResidualScore"), (A.flag_quality, "DerivedQuality"),
+                       (A.range_band, "RangeBand")):
+        got = {x["ReadingId"]: x[column] for x in fn(r, t, by="type").collect()}
+        assert set(got) == {1, 2} and got[1] is None and got[2] is not None, column

@@ -1,7 +1,13 @@
 """Hierarchy build (S8) against the known configuration output."""
 
+from pyspark.sql import functions as F
+
 from sensorium.operators.hierarchy import build_hierarchy
-from sensorium.schemas import SITE_COUNTRIES, SITE_NAMES, SITE_REGIONS
+
+# The configured sites.
+SITE_NAMES = ["Paris HQ", "Lyon Factory", "Marseille Warehouse"]
+SITE_REGIONS = ["Île-de-France", "Auvergne-Rhône-Alpes", "Provence-Alpes-Côte d'Azur"]
+SITE_COUNTRIES = ["France", "France", "France"]
 
 
 def test_hierarchy_golden_rows(spark):
@@ -28,3 +34,12 @@ def test_hierarchy_golden_rows(spark):
     assert n["SN_0060"]["zone_id"] == "SITE_003_Z04"
     assert (n["SN_0003"]["min_normal"], n["SN_0003"]["max_critical"]) == (990.0, 1060.0)
     assert str(n["SN_0002"]["install_date"]) == "2024-06-15"
+
+
+def test_long_numbers_keep_all_their_digits(spark):
+    src = spark.range(2000).select(F.col("id").cast("int").alias("i"), F.concat(F.lit("site"), "id").alias("name"))
+    sites, zones, sensors = build_hierarchy(src, "i", "name")
+    assert sites.select("site_id").distinct().count() == 2000
+    assert zones.select("zone_id").distinct().count() == 8000
+    assert sensors.select("sensor_id").distinct().count() == 40000
+    assert sensors.where("sensor_id = 'SN_40000'").count() == 1

@@ -27,8 +27,15 @@ def q():
 
 
 def test_filter_pushed_to_scan(spark, q):
-    f = formatted(q["tile_total_alerts"](spark, SF_SMALL))
-    assert "PushedFilters: [In(o_orderpriority, [1-URGENT,2-HIGH])]" in f
+    from sensorium.plans.context import Ctx
+    f = formatted(Ctx(spark, SF_SMALL).readings_plain.where("ReadingValue > 150"))
+    assert "GreaterThan(value,150.0)" in f
+
+
+def test_located_view_shuffles_once(spark, q):
+    """With broadcast locations the raw rows are located first: one exchange, of bins by sites."""
+    p = plan(q["mv_readings_hourly"](spark, SF_SMALL))
+    assert p.count("Exchange hashpartitioning") == 1
 
 
 def test_columns_pruned(spark, q):

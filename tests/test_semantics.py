@@ -161,7 +161,9 @@ def test_small_relational_helpers(spark, model):
     assert per_sensor_max == 20.0            # min over sensors of their max value
     assert R.count_by(r, "SensorId").count() == 4
     assert R.time_range(r).collect()[0]["max_Timestamp"] == T0
-    assert R.sample_n(r, 3).count() == 3
+    r = r.withColumn("ReadingId", F.monotonically_increasing_id())
+    drawn = [sorted(map(str, R.sample_n(x, 3, "ReadingId").collect())) for x in (r, r.repartition(5))]
+    assert len(drawn[0]) == 3 and drawn[0] == drawn[1]          # the same whatever the partitioning
 
 
 def test_worst_zone_by_sensor_attribute(spark, model):

@@ -1,5 +1,6 @@
 """Sources, sinks and table management."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from sensorium.schemas import DIM_SITES, SENSOR_ALERT
@@ -29,8 +30,26 @@ def test_write_append_and_counts(spark, scratch):
     v = {r["table_name"]: r for r in TB.verify_tables({"t": back, "u": df}).collect()}
     assert (v["t"]["row_count"], v["t"]["column_count"]) == (20, 2)
     assert {r["table_name"]: r["row_count"] for r in TB.table_counts({"t": back}).collect()} == {"t": 20}
-    cols, rows = TB.fetch(back.orderBy("id"), 3)
-    assert cols == ["id", "x"] and len(rows) == 3
+    cols, rows = TB.fetch(back.orderBy("id"), 20)
+    assert cols == ["id", "x"] and len(rows) == 20
+    with pytest.raises(ValueError, match="more than 3 rows"):
+        TB.fetch(back, 3)
+
+
+def test_expired_days_are_dropped(spark, scratch):
+    path = f"{scratch}/days"
+    df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-05"), (3, "2024-01-06")], "x int, d string")
+    TB.write_table(df.select("x", F.col("d").cast("date").alias("event_date")), path, partition_by=["event_date"])
+    assert TB.drop_expired(spark, path, 3, "2024-01-08") == ["2024-01-01"]
+    assert sorted(r["x"] for r in spark.read.parquet(path).collect()) == [2, 3]
+
+
+def test_catalog_registration_of_files(spark, scratch):
+    spark.range(4).write.parquet(f"{scratch}/reg")
+    spark.sql("DROP TABLE IF EXISTS reg_t")
+    TB.register_all(spark, {"reg_t": f"{scratch}/reg"})
+    assert spark.newSession().table("reg_t").count() == 4        # another session of the catalog sees it
+    spark.sql("DROP TABLE IF EXISTS reg_t")
 
 
 def test_create_merge_table_adds_columns(spark, scratch):

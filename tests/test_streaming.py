@@ -1,5 +1,5 @@
 """Stream = batch: events split across files, shuffled, duplicated, late,
-with a malformed line and an unknown table; replay of a batch; compaction."""
+with a malformed line and an unknown table; replay of a batch; folding of views."""
 
 import datetime as dt
 import random
@@ -50,8 +50,7 @@ def test_stream_equals_batch_with_noise(spark, ctx, scratch):
                  quarantine=f"{scratch}/quarantine",
                  handlers={READING_TABLE: [view.attach(every_compact=2)]},
                  dedup_key={READING_TABLE: "ReadingId", ALERT_TABLE: "AlertId"},
-                 partition_by={READING_TABLE: ["event_date"]}, compact_every=2,
-                 parallel_writes=3)
+                 partition_by={READING_TABLE: ["event_date"]}, parallel_writes=3)
     # Redelivered events land in other files, so in other micro-batches:
     # the arrival-time dedup drops them across batches.
     q = ing.start(event_stream(spark, f"{scratch}/in/*", max_files_per_trigger=2),
@@ -102,11 +101,10 @@ def test_route_types_and_quarantine(spark, ctx):
     routed = route(parse_events(raw, schemas), schemas)
     assert routed[READING_TABLE].schema == ctx.readings.schema or \
         [f.dataType for f in routed[READING_TABLE].schema] == [f.dataType for f in ctx.readings.schema]
-    assert routed[READING_TABLE].count() == 6 and routed[ALERT_TABLE].count() == 3
-    assert routed["_quarantine"].count() == 1
-    bad = routed[READING_TABLE].where(F.col("ReadingId") == 987654321).collect()[0]
-    assert bad["ReadingValue"] is None and bad["Timestamp"] is None   # malformed → missing
-    got = sorted(map(tuple, routed[READING_TABLE].where(F.col("ReadingId") != 987654321).collect()))
+    assert routed[READING_TABLE].count() == 5 and routed[ALERT_TABLE].count() == 3
+    bad = {r["value"]: r["reason"] for r in routed["_quarantine"].collect()}
+    assert bad == {"garbage": "no table", bad_value: "does not convert: Timestamp, ReadingValue"}
+    got = sorted(map(tuple, routed[READING_TABLE].collect()))
     want = sorted(map(tuple, ctx.readings.where(
         F.col("ReadingId").isin([r["ReadingId"] for r in routed[READING_TABLE].collect()])).collect()))
     assert got == want
@@ -161,15 +159,14 @@ def test_csv_stream_timed_trigger_and_live_alerts(spark, ctx, scratch):
 
 def test_refresh_tables_and_view_catalog(spark, ctx, scratch):
     from sensorium.streaming.incremental import drop_view, list_views, recreate_view
-    from sensorium.streaming.ingest import refresh_tables, run_for
+    from sensorium.streaming.ingest import read_refreshed, refresh_tables, run_for
 
     from sensorium.streaming.ingest import await_batches
     q = refresh_tables(spark, {"tile_total": lambda: ctx.readings_plain.agg(F.count(F.lit(1)).alias("n"))},
                        f"{scratch}/tiles", f"{scratch}/ck_tiles", every="1 second")
     assert await_batches(q, 2, timeout_sec=120)            # T12: two timed refreshes
     run_for(q, 0.1)
-    assert spark.read.parquet(f"{scratch}/tiles/tile_total").collect()[0]["n"] == \
-        ctx.readings_plain.count()
+    assert read_refreshed(spark, f"{scratch}/tiles", "tile_total").collect()[0]["n"] == ctx.readings_plain.count()
 
     v = VIEWS["mv_readings_daily"]
     t = recreate_view(spark, "mv_test_daily", v, ctx.readings, f"{scratch}/mv_test_daily")
@@ -179,28 +176,104 @@ def test_refresh_tables_and_view_catalog(spark, ctx, scratch):
     assert "mv_test_daily" not in list_views(spark, "mv_test*")
 
 
-def test_batch_table_compaction_and_replay(spark, ctx, scratch):
+def test_batch_table_replay_and_two_writers(spark, ctx, scratch):
     from sensorium.streaming.batchlog import BatchTable
     r = ctx.readings_plain.withColumn("event_date", F.to_date("Timestamp"))
-    t = BatchTable(spark, f"{scratch}/bt", partition_by=["event_date"], salt_buckets=2)
+    t = BatchTable(spark, f"{scratch}/bt", partition_by=["event_date"])
     a = r.where(F.col("SensorType") == "Temperature")
     b = r.where(F.col("SensorType") != "Temperature")
-    t.write(a, 0)
-    t.write(b, 1)
-    t.write(b, 1)                                     # replay
+    t.write(a, 0, "one")
+    t.write(r, 0, "two")                              # a second query, or a new checkpoint: ids start at 0 again
+    t.write(b, 0, "two")                              # its replay replaces all that it wrote
     want = sorted(map(tuple, r.select(*sorted(r.columns)).collect()), key=repr)
+    d = t.read()
+    assert sorted(map(tuple, d.select(*sorted(d.columns)).collect()), key=repr) == want
+    plan = t.read().where(F.col("event_date") == F.lit(dt.date(2024, 1, 15)))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
 
-    def got():
-        d = t.read()
-        return sorted(map(tuple, d.select(*sorted(d.columns)).collect()), key=repr)
-    assert got() == want
-    assert t.compact(0) == 0 and got() == want
-    t.write(b, 1)                                     # replay after compaction
-    assert t.compact(1) == 1 and got() == want
-    assert t.manifest() == (1, 1)
-    files = spark.read.parquet(t.gen_path(1)).select(F.input_file_name()).distinct().count()
-    days = r.select("event_date").distinct().count()
-    assert files <= days * 2                           # ≤ salt_buckets files per day
+
+def test_unreadable_rows_fail_the_read(spark, scratch):
+    from sensorium.streaming.batchlog import BatchTable
+    t = BatchTable(spark, f"{scratch}/broken")
+    with pytest.raises(ValueError, match="nothing written"):
+        t.read()
+    t.write(spark.range(3), 0, "one")
+    path = t.batch_path(1, "one")
+    spark.createDataFrame([("not parquet",)], "value string").coalesce(1).write.text(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for f in fs.listStatus(target):
+        if f.getPath().getName().endswith(".txt"):
+            fs.rename(f.getPath(), spark._jvm.org.apache.hadoop.fs.Path(path + "/part-0.parquet"))
+    with pytest.raises(Exception):  # noqa: B017
+        t.read().count()
+
+
+def test_rows_written_do_not_grow_with_the_table(spark, ctx, scratch):
+    """Every batch leaves exactly its own rows; nothing rewrites them."""
+    from sensorium.streaming.batchlog import BatchTable, children
+    t = BatchTable(spark, f"{scratch}/linear")
+    for i in range(6):
+        t.write(spark.range(100), i, "q")
+        stored = spark.read.parquet(*[t.batch_path(int(b[7:]), "q") for b in children(spark, f"{t.root}/_source=q")])
+        assert stored.count() == 100 * (i + 1)
+
+
+def test_view_tiers_vacuum_and_day_pruning(spark, ctx, scratch):
+    v, r = VIEWS["mv_readings_hourly"], ctx.readings
+    iv = IncrementalView(spark, v, f"{scratch}/tiers")
+    rows = r.withColumn("_part", F.pmod("ReadingId", F.lit(10)))
+    for i in range(10):
+        iv.apply_batch(rows.where(F.col("_part") == i).drop("_part"), i, "q")
+        if i:
+            iv.compact(i - 1, "q")
+    expect = rows_of(v.compute(r))
+    assert rows_of(iv.read()) == expect
+    tiers = [row[1] for row in iv._parts()]
+    assert tiers.count(0) == 9 and tiers.count(1) == 1      # each part folded once more, not nine times
+    assert iv.vacuum(3600) == 0 and iv.vacuum(0) == 9 + 8   # batches 0-8, and the parts of the first tier
+    assert rows_of(iv.read()) == expect
+    day = iv.read(days=("2024-01-10", "2024-01-10"))
+    assert rows_of(day) == rows_of(v.compute(r.where(F.to_date("Timestamp") == F.lit(dt.date(2024, 1, 10)))))
+    assert "bin_date" in day._jdf.queryExecution().toString().split("PartitionFilters: [", 1)[1][:80]
+
+
+def test_rows_without_key_bypass_the_dedup(spark, ctx, scratch):
+    from sensorium.streaming.ingest import one_of_each
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (None, "x"), (None, "x"), (2, None)], "k int, v string")
+    assert sorted(map(str, one_of_each(df, "k").collect())) == sorted(map(str, spark.createDataFrame(
+        [(1, "a"), (None, "x"), (None, "x"), (2, None)], "k int, v string").collect()))
+    alerts = [r["value"] for r in to_events(alerts=ctx.alerts.limit(1)).collect()] * 3
+    write_files(spark, alerts + ["{bad", "{bad"], scratch, 2)
+    schemas = {READING_TABLE: ctx.readings.schema, ALERT_TABLE: ctx.alerts.schema}
+    ing = Ingest(schemas=schemas, tables={t: f"{scratch}/t/{t}" for t in schemas}, quarantine=f"{scratch}/q",
+                 dedup_key={READING_TABLE: "ReadingId"})
+    run_once(ing.start(event_stream(spark, f"{scratch}/in/*", max_files_per_trigger=1), f"{scratch}/ck", available_now=True,
+                       dedup_delay="10 minutes"))
+    assert read_table(spark, f"{scratch}/t/{ALERT_TABLE}").count() == 3 and read_table(spark, f"{scratch}/q").count() == 2
+
+
+def test_progress_over_many_batches(spark, ctx, scratch):
+    """Totals and waiting cover all batches, also beyond those that a query remembers."""
+    from sensorium.streaming.ingest import await_batches
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        write_files(spark, [r["value"] for r in to_events(ctx.readings.limit(80)).collect()], scratch, 8)
+        ing = Ingest(schemas={READING_TABLE: ctx.readings.schema}, tables={READING_TABLE: f"{scratch}/t"})
+        q = ing.start(event_stream(spark, f"{scratch}/in/*", max_files_per_trigger=1), f"{scratch}/ck", available_now=True)
+        run_once(q)
+        assert len(q.recentProgress) <= 3
+        assert await_batches(q, 8, 30) and ingest_progress(q)["ingest.events"] == 80
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+
+
+def test_batch_caps(spark):
+    from sensorium.streaming.ingest import batch_cap
+    assert batch_cap("kafka", None, 500) == {"maxOffsetsPerTrigger": 500} and batch_cap("text", 3, None) == {"maxFilesPerTrigger": 3}
+    with pytest.raises(ValueError):
+        batch_cap("kafka", 3, None)
 
 
 def test_restart_after_failure_mid_batch(spark, ctx, scratch):
@@ -214,7 +287,7 @@ def test_restart_after_failure_mid_batch(spark, ctx, scratch):
     view = IncrementalView(spark, VIEWS["mv_readings_daily"], f"{scratch}/view")
     state = {"failed": False}
 
-    def flaky(df, batch_id):
+    def flaky(df, batch_id, source):
         if batch_id == 1 and not state["failed"]:
             state["failed"] = True
             raise RuntimeError("simulated executor loss")
