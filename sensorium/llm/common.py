@@ -17,6 +17,10 @@ SPACE = r"\x20\x09-\x0D"
 #: The same characters as a plain string.
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
+#: Rows of whole texts that go to a Python worker at once, while ``materialise`` writes.
+BATCH_ROWS = 1000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _WRITTEN: dict[str, list[str]] = {}
 
 
@@ -33,7 +37,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     if app not in _WRITTEN:
         atexit.register(release, spark)
     _WRITTEN.setdefault(app, []).append(path)
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH_ROWS)
+    spark.conf.set(_BATCH_ROWS, str(min(int(before), BATCH_ROWS)))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
