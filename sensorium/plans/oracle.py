@@ -139,6 +139,11 @@ ORACLE.update({
     "mv_alerts_by_site": with_base(
         "SELECT SiteId, CAST(sum(AlertCount) AS BIGINT) AS TotalAlerts FROM mv_alerts_daily GROUP BY SiteId",
         _view_cte("mv_alerts_daily")),
+    "view_lineitem_daily": """
+        SELECT CAST(l_shipdate AS TIMESTAMP) AS "Timestamp", l_returnflag AS SensorType, l_linestatus AS SiteId,
+               count(*) AS ReadingCount, avg(l_quantity) AS AvgValue, min(l_quantity) AS MinValue, max(l_quantity) AS MaxValue,
+               count(*) FILTER (WHERE l_quantity > 45) AS AnomalyCount, count(*) FILTER (WHERE l_quantity > 25) AS GoodQualityCount
+        FROM lineitem GROUP BY 1, 2, 3""",
     "tile_total_readings": with_base("SELECT count(*) AS Count FROM readings"),
     "tile_anomaly_rate": with_base(
         f"""SELECT {rnd(tdiv('Anomalies', 'Total') + ' * 100.0', 2)} AS AnomalyRate

@@ -100,6 +100,19 @@ def mv_alerts_by_site(ctx: Ctx) -> DataFrame:
     return view(ctx, "mv_alerts_daily").groupBy("SiteId").agg(F.sum("AlertCount").alias("TotalAlerts"))
 
 
+@query("view_lineitem_daily")
+def view_lineitem_daily(ctx: Ctx) -> DataFrame:
+    """The daily readings view over the largest table: line items as readings, by
+    their shipping day and return flag, through mergeable partials."""
+    rows = ctx.table("lineitem").select(
+        F.col("l_shipdate").cast("timestamp_ntz").alias("Timestamp"), F.col("l_returnflag").alias("SensorType"),
+        F.col("l_linestatus").alias("SiteId"), F.col("l_quantity").cast("double").alias("ReadingValue"),
+        (F.col("l_quantity") > 45).alias("IsAnomaly"),
+        F.when(F.col("l_quantity") > 25, F.lit("Good")).otherwise(F.lit("Suspect")).alias("QualityFlag"))
+    v = VIEWS["mv_readings_daily"]
+    return v.merge(v.partial(rows))
+
+
 # ---------------------------------------------------------------- tiles ----
 @query("tile_total_readings")
 def tile_total_readings(ctx: Ctx) -> DataFrame:
