@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorium.session import checkpoint_root
+from sensorium.session import checkpoint_root, remove_path
 
 #: White space that separates words, as a character class body (Java, Python and RE2 alike).
 SPACE = r"\x20\x09-\x0D"
@@ -46,15 +46,25 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Remove every table that ``materialise`` wrote in this session.  Call it
-    when the results built on them have been stored."""
+def written(spark: SparkSession) -> list[str]:
+    """Paths of the tables that ``materialise`` wrote in this session and that are still there."""
+    return list(_WRITTEN.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, paths: list[str] | None = None, keep: DataFrame | None = None) -> None:
+    """Remove the tables that ``materialise`` wrote in this session (or those of ``paths``),
+    but for those that ``keep`` reads.  Call it when the results built on them
+    have been stored."""
     context = spark.sparkContext
     if context._jsc is None or context._jsc.sc().isStopped():
         return
-    for path in _WRITTEN.pop(context.applicationId, []):
-        target = context._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    known = _WRITTEN.get(context.applicationId, [])
+    read = keep.inputFiles() if keep is not None else []
+    for path in list(known) if paths is None else paths:
+        name = path.rsplit("/", 1)[-1]  # unique
+        if path in known and not any(f"/{name}/" in f for f in read):
+            known.remove(path)
+            remove_path(spark, path)
 
 
 def broadcast_checked(table: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
