@@ -4,7 +4,7 @@ import re
 
 import corpus_pipeline
 from sensorium.llm import quality
-from tests_shared import prose
+from .tests_shared import prose
 
 SF = "/root/testdata/sf0.001"
 
