@@ -41,7 +41,7 @@ MAX_COPIES = 2
 MAX_SOURCES = 100_000
 MAX_STEPS = 80
 UNIT = 1 << 20  # rates are rounded to this grid, so that their sums are exact
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 1_000
 
 
 def targets(sizes: dict, weights=WEIGHTS, budget: float = BUDGET, cap: float = MAX_COPIES) -> dict:
