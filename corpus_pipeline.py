@@ -7,32 +7,55 @@ kept and returns a DataFrame; all but the last return the columns of
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 from sensorium.llm import exact_dedup, mixing, ngram_join, packing, quality
-from sensorium.llm.common import materialise, table
+from sensorium.llm.common import materialise, release, table, written
+
+_TABLES: dict[str, list[str]] = {}
+
+
+def stage(function):
+    """A stage first removes the tables that the stages before it wrote for
+    themselves, unless ``docs`` still reads them."""
+    @functools.wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        app = spark.sparkContext.applicationId
+        release(spark, _TABLES.pop(app, []), keep=docs)
+        before = set(written(spark))
+        out = function(spark, docs, sf_dir)
+        _TABLES[app] = [path for path in written(spark) if path not in before]
+        return out
+    return run_stage
 
 
+@stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules' model rejects go."""
     return quality.keep_good(docs)
 
 
+@stage
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the largest id stays."""
     return exact_dedup.drop_copies(docs)
 
 
+@stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by 5-word shingles (Jaccard 0.8 or more) the one with the smallest id stays."""
     return ngram_join.keep_one(docs)
 
 
+@stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are left out or repeated so that sources meet their weights."""
     return mixing.mixed(docs)
 
 
+@stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents, placed in sequences of 1024 tokens."""
     return packing.pack(docs)
@@ -51,9 +74,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+    docs, before = table(spark, sf_dir, "documents"), []
+    for i, (name, function) in enumerate(STAGES):
+        docs = function(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = materialise(docs, name.replace(" ", "-"))
+            release(spark, before)
+            before = written(spark)[-1:]
     return docs
