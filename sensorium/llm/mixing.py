@@ -29,11 +29,11 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorium.llm.common import broadcast_checked, materialise, table, words, workers_see_package
+from sensorium.llm.common import broadcast_checked, materialise, table, whole_row, words, workers_see_package
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BUDGET = 1.5
@@ -112,17 +112,17 @@ def solve(cells: DataFrame, sizes: dict, counts: dict, goal: dict, cap: float =
     return rows()
 
 
-def _quotas(pdf: pd.DataFrame) -> pd.DataFrame:
+def _quotas(cells: pa.Table) -> pa.Table:
     """Extra copies per cell of one source, largest sizes first.  One source has
     at most one cell per size, so its rows are bounded by the longest text."""
-    pdf = pdf.sort_values("size", ascending=False)
+    cells = cells.sort_by([("size", "descending")])
     carry, out = 0, []
-    for size, n, part in zip(pdf["size"].tolist(), pdf["n"].tolist(), pdf["part"].tolist(), strict=True):
+    for size, n, part in zip(*(cells[c].to_pylist() for c in ("size", "n", "part")), strict=True):
         wanted = n * part * size + carry  # words, in units of the grid
         quota = min(max((2 * wanted + size * UNIT) // (2 * size * UNIT), 0), n) if size else 0
         carry = wanted - quota * size * UNIT
         out.append(quota)
-    return pdf.assign(quota=out)
+    return cells.append_column("quota", pa.array(out, pa.int64()))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -148,7 +148,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                          F.round((F.col("rate") - whole) * UNIT).cast("long").alias("part"))
     workers_see_package(spark)
     schema = "source string, size long, n long, whole long, part long, quota long"
-    quotas = materialise(rated.groupBy("source").applyInPandas(_quotas, schema), "quotas")
+    quotas = materialise(rated.groupBy("source").applyInArrow(_quotas, schema), "quotas")
     info = spark.createDataFrame([(s, sizes[s], float(goal[s])) for s in sizes],
                                  "i_source string, source_size long, target double")
 
@@ -174,5 +174,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                        (copies * F.col("size")).alias("taken"), *(carry or {}))
 
 
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it, with their columns."""
+    rows = mix(docs, id_col, text_col, source_col, carry={"_doc": whole_row(docs)})
+    return rows.select(F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))), "_doc").select("_doc.*")
+
+
 def op6_mixing(spark, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))

@@ -19,6 +19,7 @@ result; only the named columns are read.
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -33,7 +34,7 @@ MIN_POSTERIOR = 0.5
 MAX_STEPS = 30
 #: A word of letters, with marks of a sentence around it.
 PLAIN_WORD = r"""^[("'\u00ab\u201c]*\p{L}[\p{L}'\u2019-]*[.,;:!?)"'\u00bb\u201d]*$"""
-TOLERANCE = 1e-6
+TOLERANCE = 1e-4
 
 
 def _removed(text: str, pattern: str) -> Column:
@@ -99,12 +100,13 @@ def votes() -> dict[str, Column]:
 
 
 def posterior(model: dict, names: list[str]) -> Column:
-    """Probability that a document with these votes is good."""
-    odds = F.lit(math.log(model["prior"]) - math.log(1 - model["prior"]))
-    for name in names:
-        up, down = (F.lit(math.log(model[name, 1, v]) - math.log(model[name, 0, v])) for v in (1, -1))
-        odds = odds + F.when(F.col(name) == 1, up).when(F.col(name) == -1, down).otherwise(0.0)
-    return 1 / (1 + F.exp(-odds))
+    """Probability that a document with these votes is good.  The model is one array, looked
+    up by rule and vote, so that all EM steps share one generated code."""
+    odds = lambda name, v: math.log(model[name, 1, v]) - math.log(model[name, 0, v]) if v else 0.0
+    prior = math.log(model["prior"]) - math.log(1 - model["prior"])
+    weights = F.array(*[F.lit(odds(name, v) + (prior if i == 0 else 0.0)) for i, name in enumerate(names) for v in (-1, 0, 1)])
+    total = functools.reduce(lambda a, b: a + b, [F.get(weights, F.col(name) + (3 * i + 1)) for i, name in enumerate(names)])
+    return 1 / (1 + F.exp(-total))
 
 
 def estimate(patterns: DataFrame, names: list[str]) -> dict:
@@ -117,10 +119,10 @@ def estimate(patterns: DataFrame, names: list[str]) -> dict:
     start = {(1, 1): 0.99, (1, -1): 0.01, (0, 1): 0.7, (0, -1): 0.3}
     model = {(name, *k): v for name in names for k, v in start.items()} | {"prior": 0.85}
     for _ in range(MAX_STEPS):
-        good = posterior(model, names) * F.col("n")
-        cells = {(name, y, v): F.sum(F.when(F.col(name) == v, good if y else F.col("n") - good))
+        weighed = patterns.withColumn("good", posterior(model, names) * F.col("n"))
+        cells = {(name, y, v): F.sum(F.when(F.col(name) == v, F.col("good") if y else F.col("n") - F.col("good")))
                  for name in names for y in (0, 1) for v in (1, -1)}
-        row = patterns.agg(F.sum("n"), F.sum(good), *cells.values()).first()
+        row = weighed.agg(F.sum("n"), F.sum("good"), *cells.values()).first()
         total = row[0] or 0
         if not total:
             return model
