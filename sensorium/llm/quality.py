@@ -5,6 +5,8 @@ two-class model gives every rule a rate of each vote among good and among bad
 documents; expectation-maximisation estimates these rates and the share of
 good documents from the votes of all documents, without labels.  A document's
 posterior probability of being good decides, in place of "every rule must pass".
+No rule is taken to err on fewer than ``MIN_ERROR`` of the documents of a class:
+else rates fall to nearly 0 and one bad vote outweighs all good ones.
 
 The votes of a document are one of 3^rules patterns, so the statistics that
 EM needs of the whole corpus are one count per pattern: a single aggregation
@@ -32,8 +34,14 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 MIN_POSTERIOR = 0.5
 MAX_STEPS = 30
-#: A word of letters, with marks of a sentence around it.
-PLAIN_WORD = r"""^[("'\u00ab\u201c]*\p{L}[\p{L}'\u2019-]*[.,;:!?)"'\u00bb\u201d]*$"""
+#: Least rate of either vote in either class.
+MIN_ERROR = 0.01
+#: A word of letters with their combining marks and joiners, with marks of a sentence around it
+#: (Latin and Greek, Arabic, Indic, Ethiopic, Armenian, East Asian).
+PLAIN_WORD = (r"""^[("'\u00ab\u2039\u2018\u201c\u201a\u201e\u00bf\u00a1\u300c\u300e\uff08]*"""
+              r"""\p{L}[\p{L}\p{M}\u200c\u200d'\u2019-]*"""
+              r"""[.,;:!?)"'\u00bb\u203a\u2019\u201c\u201d\u2026\u037e\u0387\u060c\u061b\u061f\u06d4\u0964\u0965"""
+              r"""\u0589\u1362-\u1368\u104a\u104b\u17d4\u17d5\u3001\u3002\u300d\u300f\uff01\uff09\uff0c\uff1a\uff1b\uff1f]*$""")
 TOLERANCE = 1e-4
 
 
@@ -109,13 +117,14 @@ def posterior(model: dict, names: list[str]) -> Column:
     return 1 / (1 + F.exp(-total))
 
 
-def estimate(patterns: DataFrame, names: list[str]) -> dict:
+def estimate(patterns: DataFrame, names: list[str], least: float = 0.0) -> dict:
     """EM over the pattern counts.  ``model[rule, class, vote]`` is the rate of a
     vote among the rule's votes on documents of the class (abstentions carry no
     weight).  It starts from the assumption that a bad document offends against
     three rules in ten and a good one against one in a hundred, and keeps a
-    thousandth of the corpus as pseudo-counts in favour of it: one rule alone
-    may then tell a kind of bad document."""
+    thousandth of the corpus as pseudo-counts in favour of it.  Rates stay
+    between ``least`` and ``1 - least``, whatever the size of the corpus (the
+    likelihood of each rate has one peak, so the nearest bound is its maximum)."""
     start = {(1, 1): 0.99, (1, -1): 0.01, (0, 1): 0.7, (0, -1): 0.3}
     model = {(name, *k): v for name in names for k, v in start.items()} | {"prior": 0.85}
     for _ in range(MAX_STEPS):
@@ -128,7 +137,7 @@ def estimate(patterns: DataFrame, names: list[str]) -> dict:
             return model
         pseudo = max(1.0, total / 1000)
         sums = {k: (x or 0.0) + pseudo * start[k[1:]] for k, x in zip(cells, row[2:], strict=True)}
-        new = {k: sums[k] / (sums[k[0], k[1], 1] + sums[k[0], k[1], -1]) for k in cells}
+        new = {k: min(max(sums[k] / (sums[k[0], k[1], 1] + sums[k[0], k[1], -1]), least), 1 - least) for k in cells}
         new["prior"] = min(max((row[1] + pseudo * 0.85) / (total + pseudo), 1e-6), 1 - 1e-6)
         moved = max(abs(new[k] - model[k]) for k in model)
         model = new
@@ -145,7 +154,7 @@ def judge(docs: DataFrame, text_col: str = "text", carry: list[str] | None = Non
     seen = materialise(features(docs, text_col, carry).withColumns(rules), "quality-votes")
     patterns = materialise(seen.groupBy(*names).agg(F.count("*").alias("n")), "vote-patterns")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return seen.withColumn("base_failed", failed).withColumn("quality", posterior(estimate(patterns, names), names)) \
+    return seen.withColumn("base_failed", failed).withColumn("quality", posterior(estimate(patterns, names, MIN_ERROR), names)) \
         .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= MIN_POSTERIOR))
 
 

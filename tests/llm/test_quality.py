@@ -93,3 +93,41 @@ def test_em_equals_plain_em(spark):
         if moved < Q.TOLERANCE:
             break
     assert all(abs(got[k] - model[k]) < 1e-6 for k in model)
+
+
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+PROSE = [f"so{LETTERS[i % 26]}me{LETTERS[i // 26]}" for i in range(80)]
+HINDI = ("बारिश के बाद नदी का पानी फिर बढ़ गया। अधिकारियों ने कहा कि सड़क की मरम्मत में एक सप्ताह लगेगा। किसी को चोट नहीं आई। "
+         "पुराने पुल की जाँच सोमवार को होगी। गाँव के लोगों ने रात भर इंतज़ार किया। विद्यालय अगले दिन बंद रहेगा। "
+         "मौसम विभाग ने बताया कि आने वाले दिनों में हल्की वर्षा हो सकती है। किसानों को अपनी फसल बचाने की सलाह दी गई है।")
+
+
+def with_documents(spark, texts):
+    """The documents of sf0.01, to learn from, and these."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    return docs.unionByName(spark.createDataFrame([(-1 - i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+
+
+def test_one_bad_vote_against_seven_good_ones_does_not_decide(spark):
+    texts = {"symbols": " ".join(PROSE) + " ############", "upper": " ".join(PROSE[:40] + [w.upper() for w in PROSE[40:]]),
+             "shouts": " ".join(PROSE) + " " + "!" * 30, "lines": "\n".join(f"{w}\nand\nso" for w in PROSE),
+             "plain": " ".join(w if i % 2 else f"{w}9" for i, w in enumerate(PROSE)),
+             "word_length": " ".join(w * 3 for w in PROSE)}
+    rows = Q.judge(with_documents(spark, list(texts.values())), carry=["doc_id"]).where("row.doc_id < 0").collect()
+    names = list(Q.votes())
+    for r in rows:
+        rule = list(texts)[-1 - r.row.doc_id]
+        assert {n: r[n] for n in names} == {n: -1 if n == rule else 1 for n in names}, rule
+        assert r.kept and r.quality >= Q.MIN_POSTERIOR, (rule, r.quality)
+    assert len(rows) == len(texts)
+
+
+def test_several_bad_votes_decide(spark):
+    texts = ["###### ab9 " * 60, " ".join(w.upper() + "!!!" for w in PROSE)]
+    rows = Q.judge(with_documents(spark, texts), carry=["doc_id"]).where("row.doc_id < 0").collect()
+    assert len(rows) == 2 and not any(r.kept for r in rows)
+
+
+def test_clean_hindi_is_kept(spark):
+    r = Q.judge(with_documents(spark, [HINDI]), carry=["doc_id"]).where("row.doc_id < 0").first()
+    assert r.n_plain == r.n_words and r.plain == 1 and r.kept
