@@ -68,9 +68,8 @@ CONTENT_WORDS = frozenset("article articlebody body content entry main post stor
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)",
                     re.S)
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
-_MARK = re.compile(r"""data-content\s*=\s*["']?([01])""")
+_ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s>]+)))?""")
+_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)", re.I)
 _WORDS = re.compile("[a-z]+")
 _SENTENCE = re.compile(r"[.!?。！？…]")
 
@@ -88,11 +87,16 @@ class Node:
         self.names: set[str] = set()
         self.hidden, self.mark = False, None
         if attributes.strip():
-            for m in _NAMED.finditer(attributes):
-                self.names.update(_WORDS.findall((m[1] or m[2] or m[3] or "").lower()))
-            self.hidden = bool(_HIDDEN.search(attributes))
-            if m := _MARK.search(attributes):
-                self.mark = m[1] == "1"
+            values: dict[str, str] = {}
+            for m in _ATTRIBUTE.finditer(attributes):
+                values.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")  # the first of a name counts
+            for name in ("class", "id", "role"):
+                self.names.update(_WORDS.findall(values.get(name, "").lower()))
+            display = _DISPLAY.findall(values.get("style", ""))
+            self.hidden = ("hidden" in values or values.get("aria-hidden", "").strip().lower() == "true"
+                           or bool(display) and display[-1].lower() == "none")
+            if values.get("data-content") in ("0", "1"):
+                self.mark = values["data-content"] == "1"
         self.parts: list[str] = []
         self.link_chars = 0
         self.text = ""

@@ -103,3 +103,19 @@ def test_nulls_and_empty_tables(spark):
     assert sorted((r.page_id or 0, r.url, r.text, r.n_chars) for r in rows.collect()) == [
         (0, "u", "", 0), (1, None, "", 0), (2, "u", "Only. Text.", 11)]
     assert H.extract(spark.createDataFrame([], schema)).collect() == []
+
+
+@pytest.mark.parametrize("attributes", [
+    'data-title="The hidden cost of rain"', 'title="a hidden gem"', 'class="post hidden md"', "title='hidden'", "data-x=hidden",
+    'title="aria-hidden=true"', 'data-css="display:none"', 'data-hidden', 'aria-hidden="false"', 'title="x" data-y="\'hidden\'"',
+    'style="--display:none"'])
+def test_the_word_hidden_in_a_value_hides_nothing(model, attributes):
+    assert H.main_text(f"<article {attributes}><p>Rain fell all night. Nobody slept.</p></article>", model) == (
+        "Rain fell all night. Nobody slept.")
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "HIDDEN", 'hidden=""', 'class="a"hidden', 'aria-hidden="true"', "aria-hidden=true",
+                                        "style='color:red; Display : none'", "title='x' hidden"])
+def test_hidden_elements_stay_hidden(model, attributes):
+    page = f"<main><p {attributes}>Secret words. No.</p><p>Open words. Yes.</p></main>"
+    assert H.main_text(page, model) == "Open words. Yes."
