@@ -15,14 +15,16 @@ authors' marks say what is content, and at most ``max_labelled`` pages of the
 corpus (the documented bound) that label themselves: what they have inside
 ``<article>`` or ``<main>``, less the menus, asides, forms and the like in it,
 is content.  Markup that isn't text (scripts, styles, comments, attributes)
-never becomes a node.
+never becomes a node, and controls, drawings and media with what they hold
+leave the tree.  One whose end tag is missing takes only its own text with it,
+not the blocks that follow.
 
 Inference is linear in a page's size and runs where the page is read; nothing
 is shuffled.  The model is a few hundred numbers.
 
 Defined results: null and empty html gives the empty text; broken markup is
 read as browsers do (unclosed paragraphs end at the next block, unknown end
-tags are ignored, a cut-off tag ends the page); repeated rows get the same
+tags are ignored, a cut-off tag or raw text without an end ends the page); repeated rows get the same
 text; an empty table gives an empty result; only the named columns are read.
 """
 
@@ -46,15 +48,19 @@ MAX_LABELLED = 400
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s "
                    "samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object canvas audio video select option "
-                "button xmp noembed noframes".split())
+RAW = frozenset("script style noscript textarea title iframe xmp noembed noframes".split())
+#: Ordinary elements in a page's tree, but never content.
+CONTROLS = frozenset("template svg math object canvas audio video select optgroup option button".split())
 P_CLOSERS = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer "
                       "form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul li "
                       "dd dt".split())
+P_SCOPES = CONTROLS | {"td", "th", "caption", "table"}
 SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
-               "th": {"td", "th"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "option": {"option"}}
+               "th": {"td", "th"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "option": {"option"},
+               "optgroup": {"option", "optgroup"}, "button": {"button"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"},
-          "th": {"table", "tr"}, "tbody": {"table"}, "option": {"select"}}
+          "th": {"table", "tr"}, "tbody": {"table"}, "option": {"select", "datalist", "optgroup"}, "optgroup": {"select", "datalist"},
+          "button": {"object", "template"}}
 CONTENT_TAGS = frozenset("article main".split())
 NOISE_TAGS = frozenset("nav aside footer form dialog menu fieldset search".split())
 # Words in class, id and role that name what isn't the article.
@@ -80,7 +86,7 @@ NEVER_TAGS = frozenset("nav aside footer dialog menu search form".split())
 
 
 class Node:
-    __slots__ = ("parent", "kind", "tag", "names", "hidden", "mark", "parts", "link_chars", "features", "text")
+    __slots__ = ("parent", "kind", "tag", "names", "hidden", "mark", "parts", "link_chars", "features", "text", "closed")
 
     def __init__(self, parent: int, kind: int, tag: str, attributes: str = ""):
         self.parent, self.kind, self.tag = parent, kind, tag
@@ -100,6 +106,7 @@ class Node:
         self.parts: list[str] = []
         self.link_chars = 0
         self.text = ""
+        self.closed = False  # by its own end tag
 
 
 def parse(html: str) -> list[Node]:
@@ -108,6 +115,7 @@ def parse(html: str) -> list[Node]:
     stack = [0]  # open elements, block and inline; inline ones are (tag,) entries
     inline: list[str] = []
     run: Node | None = None  # the run of text that is being read
+    around: dict[int, tuple[Node | None, list[str]]] = {}  # the run and inline elements that a control stands in
     at, size = 0, len(html)
 
     def add_text(raw: str) -> None:
@@ -158,7 +166,13 @@ def parse(html: str) -> list[Node]:
             else:
                 for depth in range(len(stack) - 1, 0, -1):
                     if nodes[stack[depth]].tag == tag:
+                        control = stack[depth]
+                        nodes[control].closed = True
                         close_to(depth)
+                        if tag in CONTROLS:
+                            run, inline[:] = around[control]
+                            if run is not None:
+                                add_text(" ")
                         break
                 else:
                     if tag in P_CLOSERS:
@@ -190,7 +204,7 @@ def parse(html: str) -> list[Node]:
                 if open_tag == "p":
                     close_to(depth)
                     break
-                if open_tag in ("td", "th", "button", "caption", "table"):
+                if open_tag in P_SCOPES:
                     break
         if tag in SAME_CLOSES:
             for depth in range(len(stack) - 1, 0, -1):
@@ -200,16 +214,44 @@ def parse(html: str) -> list[Node]:
                 if open_tag in SAME_CLOSES[tag]:
                     close_to(depth)
                     break
+        if tag in CONTROLS:
+            if m[3].endswith("/"):
+                if run is not None:
+                    add_text(" ")
+                continue
+            around[len(nodes)] = run, inline.copy()
+            inline.clear()
         run = None
         nodes.append(Node(stack[-1], ELEMENT, tag, m[3]))
         if not m[3].endswith("/"):
             stack.append(len(nodes) - 1)
+    nodes = _without_controls(nodes) if around else nodes
     for node in nodes:
         if node.kind == TEXT:
             node.text = " ".join("".join(node.parts).split())
     return nodes
 
 
+def _without_controls(nodes: list[Node]) -> list[Node]:
+    """The tree less its controls and what they hold.  Blocks in a control that has
+    no end tag belong to the page around it."""
+    kept: list[Node] = []
+    place = [-1] * len(nodes)  # in ``kept``: of the node, or of what holds its children; -1: they go, too
+    for i, node in enumerate(nodes):
+        if i:
+            above = nodes[node.parent]
+            holder = place[node.parent]
+            if holder < 0 or above.tag in CONTROLS and node.kind == TEXT:
+                continue
+            if node.tag in CONTROLS and node.kind == ELEMENT:
+                place[i] = -1 if node.closed else holder
+                continue
+            node.parent = holder
+        place[i] = len(kept)
+        kept.append(node)
+    return kept
+
+
 def _bin(x: float, edges: tuple) -> int:
     return sum(x >= e for e in edges)
 

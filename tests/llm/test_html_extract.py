@@ -119,3 +119,30 @@ def test_the_word_hidden_in_a_value_hides_nothing(model, attributes):
 def test_hidden_elements_stay_hidden(model, attributes):
     page = f"<main><p {attributes}>Secret words. No.</p><p>Open words. Yes.</p></main>"
     assert H.main_text(page, model) == "Open words. Yes."
+
+
+RAIN = "<article><p>Rain fell all night. Nobody slept.</p><p>The road is closed. Boats help.</p></article>"
+RAIN_TEXT = "Rain fell all night. Nobody slept.\nThe road is closed. Boats help."
+
+
+@pytest.mark.parametrize("before", [
+    "<datalist><option value=a><option value=b></datalist>", "<select><option>One<option>Two</select>", "<option>One", "<button>Menu",
+    "<select><optgroup label=a><option>One<optgroup label=b><option>Two</select>", "<div><button>Menu</div>", "<div><svg><path d=M0></div>",
+    "<object data=x>", "<video src=x>", "<audio>", "<canvas>", "<svg><path d=M0>", "<math><mi>", "<template>", "<select><option>One",
+    "<button>A<button>B</button>", "<svg viewBox=x />", "<video><p>Get a browser. Please.</p></video>",
+    "<template><p>Not shown. Never.</p><div><p>Nor this. Never.</p></div></template>"])
+def test_page_goes_on_after_a_control(model, before):
+    page = f"<html><body>{before}{RAIN}<select><option>Z</option></select></body></html>"
+    assert H.main_text(page, model) == RAIN_TEXT
+
+
+@pytest.mark.parametrize("control", ["<button>Play</button>", "<svg><title>i</title><path d=M0></svg>", "<video><p>Old. Browser.</p></video>",
+                                     "<svg/>", "<select><option>One<option>Two</select>", "<math><mi>x</mi></math>"])
+def test_a_control_does_not_split_the_text_around_it(model, control):
+    assert H.main_text(f"<article><p>Rain fell {control} all night. Nobody slept.</p></article>", model) == "Rain fell all night. Nobody slept."
+    link, = [n for n in H.parse(f"<p><a href=x>one {control} two</a></p>") if n.kind == H.TEXT]
+    assert link.link_chars == sum(map(len, link.parts))
+
+
+def test_raw_text_without_an_end_ends_the_page(model):
+    assert H.main_text(RAIN + "<script>var x = '<p>More. Text.</p>'", model) == RAIN_TEXT
