@@ -1,0 +1,97 @@
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from sensorium.llm import lexical_search as S
+
+TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def brute_force(docs, items, k=10):
+    bags = [(i, Counter(TERM.findall((t or "").translate(LOWER)))) for i, t in docs]
+    bags = [(i, b) for i, b in bags if b]
+    N, L = len(bags), sum(sum(b.values()) for _, b in bags)
+    df = Counter(t for _, b in bags for t in b)
+    out = set()
+    for item, text in items:
+        asked, scores = set(TERM.findall((text or "").translate(LOWER))), []
+        for i, bag in bags:
+            m = 10 + (90 * sum(bag.values()) * N) // L
+            score = sum(math.floor(1000 * math.log((2 * N + 2) / (2 * df[t] + 1))) * ((1000000000 * bag[t]) // (1000 * bag[t] + 8 * m))
+                        for t in asked if t in bag)
+            if score > 0:
+                scores.append((-score, i is None, i or 0, i))
+        out |= {(item, rank, i, -s) for rank, (s, _, _, i) in enumerate(sorted(scores, key=lambda x: x[:3])[:k], 1)}
+    return out
+
+
+@pytest.fixture()
+def items_of(spark):
+    return lambda rows: spark.createDataFrame(rows, "item_id long, text string")
+
+
+def found(df):
+    return {(r["item_id"], r["rank"], r["doc_id"], r["score"]) for r in df.collect()}
+
+
+def some_docs(n, seed):
+    rng = random.Random(seed)
+    words = ["alpha", "Beta", "gamma", "ÉTÉ", "été", "x1", "42", "of", "the", "zeta"]
+    docs = [(i, " ".join(rng.choices(words, k=rng.randint(0, 12)))) for i in range(n)]
+    docs += [(n + i, docs[i % 3][1].upper()) for i in range(30)]  # equal bags, as É is no A-Z
+    docs += [(1000 + i, "the of " * 3) for i in range(40)]
+    return docs
+
+
+ITEMS = [(1, "alpha the été"), (2, "The BETA, 42!"), (3, "unknown words"), (4, None), (5, "..."), (6, "x1 zeta gamma ÉTÉ of")]
+
+
+@pytest.mark.parametrize("max_bytes", [S.MAX_BYTES, 300])  # 300: terms joined, items in several blocks
+def test_equals_brute_force(docs_of, items_of, max_bytes):
+    docs = some_docs(60, 1)
+    assert found(S.search(docs_of(docs), items_of(ITEMS), max_bytes=max_bytes)) == brute_force(docs, ITEMS)
+
+
+def test_whole_numbers_where_doubles_would_not_do(docs_of, items_of, monkeypatch):
+    docs = some_docs(40, 2)
+    expected = brute_force(docs, ITEMS, 4)
+    monkeypatch.setattr(S, "TOP_SCORE", 1 << 30)
+    assert S._item_blocks([(0, [1, 2], S.np.array([1 << 40, 5]))])[0][2].dtype == S.np.int64
+    assert S._item_blocks([(0, [1, 2], S.np.array([9000, 5]))])[0][2].dtype == S.np.float64
+    monkeypatch.undo()
+    assert found(S.search(docs_of(docs), items_of(ITEMS), k=4)) == expected
+
+
+def test_class_of_copies_is_scored_once_and_expanded_by_id(spark, docs_of, items_of):
+    docs = [(i, "needle hay") for i in range(500, 0, -1)] + [(1000 + i, f"hay {'straw ' * (i % 7)}") for i in range(100)]
+    got = found(S.search(docs_of(docs).repartition(7), items_of([(9, "Needle")])))
+    assert {(rank, i) for _, rank, i, _ in got} == {(r, r) for r in range(1, 11)}
+    assert got == brute_force(docs, [(9, "Needle")])
+
+
+def test_equal_hashes_of_different_bags_stay_apart(docs_of, items_of, monkeypatch):
+    docs = some_docs(50, 3)
+    real = F.xxhash64
+    monkeypatch.setattr(S.F, "xxhash64", lambda *c: real(*c) % 2 if c == ("m", "terms", "tfs") else real(*c))
+    assert found(S.search(docs_of(docs), items_of(ITEMS))) == brute_force(docs, ITEMS)
+
+
+def test_nulls_repeats_and_clashing_names(docs_of, items_of):
+    docs = [(None, "alpha beta"), (None, "alpha beta"), (3, "alpha"), (3, "alpha"), (4, None), (5, "")]
+    rows = S.search(docs_of(docs).withColumn("n", F.lit(1)).withColumn("class", F.lit("x")).withColumn("item", F.lit(1)),
+                    items_of([(1, "alpha"), (1, "alpha"), (2, "alpha beta"), (None, "beta")])).collect()
+    of = lambda item: [(r["rank"], r["doc_id"]) for r in sorted(rows, key=lambda r: r["rank"]) if r["item_id"] == item]
+    assert of(1) == [(1, 3), (2, 3), (3, None), (4, None)]
+    assert of(None) == [(1, None), (2, None)]
+    assert [d for _, d in of(2)][:2] == [None, None]
+
+
+def test_empty_tables(docs_of, items_of):
+    assert S.search(docs_of([]), items_of(ITEMS)).count() == 0
+    assert S.search(docs_of([(1, "alpha")]), items_of([])).count() == 0
+    assert S.search(docs_of([(1, "..."), (2, None)]), items_of(ITEMS)).count() == 0
