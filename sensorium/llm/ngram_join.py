@@ -204,8 +204,8 @@ def prefixes(docs: DataFrame, nodes: DataFrame, k: int, percent: int, hot_df: in
     first = materialise(first.where((F.col("size") - F.col("hot") < _need(percent)) & (F.col("size") < F.col("n"))), "short-first")
     sets = whole_sets(docs, first.select("node", "digest", "first_id"), k, True, "short-first-sets")
     again = sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("df"))
-    again = materialise(again.where(F.col("df") > hot_df).join(hot, "token", "left_anti"), "hot-again")
-    hot = materialise(hot.unionByName(again.select("token", _level(F.col("df")).alias("level"))), "hot-all")
+    again = again.where(F.col("df") > hot_df).select("token", _level(F.col("df")).alias("level"))
+    hot = materialise(hot.unionByName(again).groupBy("token").agg(F.max("level").alias("level")), "hot-all")
     hot, _ = broadcast_checked(hot, BROADCAST_ROWS)
 
     ordered = materialise(_in_order(nodes, hot, percent), "ordered")
@@ -223,9 +223,9 @@ def prefixes(docs: DataFrame, nodes: DataFrame, k: int, percent: int, hot_df: in
 
     rows = ordered.where("prefix is not null").select("node", "n", "prefix").unionByName(full)
     rows = rows.select("node", "n", F.posexplode("prefix").alias("rank", "token"))
-    new = full.select(F.explode("prefix").alias("token")).groupBy("token").agg((F.count("*") + 1).alias("df"))
-    counted = shared.unionByName(new.join(shared, "token", "left_anti"))  # one more: a list may have it, too
-    met = rows.join(counted, "token")
+    rows = materialise(rows, "prefix-rows")
+    # What counts from here on is in how many prefixes a token really is.
+    met = rows.join(rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "token")
 
     # The candidate cost of the plain prefix decides on the number of matches.
     cost = F.sum(F.when(F.col("rank") < base, F.col("df") - 1)).alias("cost")
