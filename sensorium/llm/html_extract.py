@@ -1,13 +1,20 @@
 """Main text of web pages by inference in the page's tree.
 
 A page is parsed into a tree of block elements whose leaves are runs of text.
-Each node has a hidden state, content or not (an element is content if it
-holds content).  The joint distribution is a tree-structured graphical model:
-a node's evidence (its tag, the words of its class, id and role, and for text
-its length, link share and punctuation) and potentials between a parent's
-state and its child's.  Sum-product messages go up from the leaves and down
-from the root; the product of what reaches a node is its exact marginal.  Text
-whose marginal of being content exceeds one half is the page's main text.
+Each node has a hidden state: inside the main text or not.  The joint
+distribution is a tree-structured graphical model: a node's evidence and
+potentials between a parent's state and its child's.  Sum-product messages go up
+from the leaves and down from the root; the product of what reaches a node is
+its exact marginal.  Text whose marginal of being inside exceeds one half, given
+that a page has some main text, is the page's main text.
+
+Evidence of an element is its tag and where it stands (inside a page's ``article``
+or ``main``, outside of them, or on a page without), the words of its class, id
+and role and of its heading, and the share of links in what it holds; of a text its
+length, share of links and punctuation taken together, where it stands, and
+whether it comes before the page's first ``h1``.  A state is passed down a chain
+of elements at no cost but for changes, and elements with one child and no text
+are one node with it, so depth alone says nothing.
 
 Both tables are trained: by counting over labelled pages, with a prior of one
 count in each cell.  The labelled pages are the templates below, whose
@@ -69,7 +76,11 @@ NOISE_WORDS = frozenset("ad ads adv advert adverts advertisement advertising ban
                         "sidebar side aside rail widget related recommended popular trending share sharing social follow "
                         "comment comments reply replies discussion disqus cookie cookies consent notice notices alert "
                         "gdpr popup modal overlay newsletter subscribe signup login search form pagination pager tags "
-                        "skip toolbar legal disclaimer".split())
+                        "skip toolbar legal disclaimer opinions reader readers response responses feedback thread remarks "
+                        "guestbook talkback reviews".split())
+#: Words of short headings over what isn't the article.
+NOISE_HEADINGS = frozenset("comment comments reply replies discussion opinions readers responses feedback reviews related "
+                           "recommended popular trending share newsletter subscribe sponsored advertisement menu".split())
 CONTENT_WORDS = frozenset("article articlebody body content entry main post story text prose maintext".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)",
@@ -80,16 +91,22 @@ _WORDS = re.compile("[a-z]+")
 _SENTENCE = re.compile(r"[.!?。！？…]")
 
 ELEMENT, TEXT = 0, 1
-#: Log potential of what can't be: content in what isn't, and in landmarks that are never the article.
+#: Log potential of what can't be: content in landmarks that are never the article.
 NEVER = -40.0
+#: A page whose texts are all this unlikely to be content has none.
+NO_CONTENT = 1e-6
 NEVER_TAGS = frozenset("nav aside footer dialog menu search form".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Of the tags of a chain of elements these say more than the innermost one.
+SPEAKING = CONTENT_TAGS | NOISE_TAGS | HEADINGS | {"header", "section", "p", "li", "blockquote", "pre"}
 
 
 class Node:
-    __slots__ = ("parent", "kind", "tag", "names", "hidden", "mark", "parts", "link_chars", "features", "text", "closed")
+    __slots__ = ("parent", "kind", "tag", "tags", "names", "hidden", "mark", "parts", "link_chars", "features", "text", "closed")
 
     def __init__(self, parent: int, kind: int, tag: str, attributes: str = ""):
         self.parent, self.kind, self.tag = parent, kind, tag
+        self.tags = {tag}  # of all elements that became this node
         self.names: set[str] = set()
         self.hidden, self.mark = False, None
         if attributes.strip():
@@ -229,7 +246,42 @@ def parse(html: str) -> list[Node]:
     for node in nodes:
         if node.kind == TEXT:
             node.text = " ".join("".join(node.parts).split())
-    return nodes
+    return _without_chains(nodes)
+
+
+def _without_chains(nodes: list[Node]) -> list[Node]:
+    """The tree with each element that holds one element and nothing else joined to it."""
+    children = [0] * len(nodes)
+    only = [-1] * len(nodes)
+    for i in range(1, len(nodes)):
+        children[nodes[i].parent] += 1
+        only[nodes[i].parent] = i
+    kept: list[Node] = []
+    place = [0] * len(nodes)
+    above: dict[int, list[Node]] = {}  # the chain that ends in a node
+    for i, node in enumerate(nodes):
+        chain = above.pop(i, [])
+        if i and node.kind == ELEMENT and children[i] == 1 and nodes[only[i]].kind == ELEMENT:
+            above[only[i]] = [*chain, node] if len(chain) < 2 else [_joined(chain[0], chain[1]), node]
+            place[i] = place[node.parent]  # where the chain hangs
+            continue
+        for x in chain:
+            _joined(node, x)
+        if i:
+            node.parent = place[node.parent]
+        place[i] = len(kept)
+        kept.append(node)
+    return kept
+
+
+def _joined(node: Node, outer: Node) -> Node:
+    """The node with what an element around it says; a mark of its own stays."""
+    node.tags |= outer.tags
+    node.names |= outer.names
+    node.hidden |= outer.hidden
+    if node.mark is None:
+        node.mark = outer.mark
+    return node
 
 
 def _without_controls(nodes: list[Node]) -> list[Node]:
@@ -258,15 +310,49 @@ def _bin(x: float, edges: tuple) -> int:
 
 def evidence(nodes: list[Node]) -> None:
     """Set each node's features: (name, value) pairs that the model has tables for."""
-    for node in nodes:
-        if node.kind == ELEMENT:
-            noise, good = bool(node.names & NOISE_WORDS), bool(node.names & CONTENT_WORDS)
-            node.features = (("tag", node.tag), ("names", (noise, good)), ("hidden", node.hidden))
-        else:
+    n = len(nodes)
+    chars, links = [0] * n, [0] * n
+    first_h1, heading = n, [None] * n
+    for i, node in enumerate(nodes):
+        if node.kind == TEXT:
+            chars[i], links[i] = sum(map(len, node.parts)), node.link_chars
+        elif "h1" in node.tags:
+            first_h1 = min(first_h1, i)
+    for i in range(n - 1, 0, -1):
+        above = nodes[i].parent
+        chars[above] += chars[i]
+        links[above] += links[i]
+    kin: dict[tuple, list[tuple[int, int]]] = {}  # the two longest children of each tag that a node has
+    for i, node in enumerate(nodes):
+        if i and node.kind == ELEMENT:
+            longest = kin.setdefault((node.parent, node.tag), [])
+            longest.append((chars[i], i))
+            longest.sort(reverse=True)
+            del longest[2:]
+        # A short heading speaks for the element that it opens.
+        if node.kind == TEXT and node.tag in HEADINGS and node.text.count(" ") < 6:
+            holder = nodes[node.parent].parent
+            if holder > 0 and heading[holder] is None:
+                heading[holder] = bool(set(_WORDS.findall(node.text.lower())) & NOISE_HEADINGS)
+    landmarks = any(node.kind == ELEMENT and node.tags & CONTENT_TAGS for node in nodes)
+    where = ["out" if landmarks else "none"] * n
+    for i, node in enumerate(nodes):
+        above = where[node.parent] if i else where[i]
+        share = _bin(links[i] / max(chars[i], 1), (0.01, 0.3, 0.8))
+        if node.kind == TEXT:
+            where[i] = above
             count = node.text.count(" ") + 1 if node.text else 0
-            node.features = (("length", _bin(count, (1, 4, 10, 25))),
-                             ("links", _bin(node.link_chars / max(sum(map(len, node.parts)), 1), (0.01, 0.3, 0.8))),
-                             ("sentence", bool(_SENTENCE.search(node.text))))
+            node.features = (("text", (_bin(count, (1, 4, 10, 25)), share, bool(_SENTENCE.search(node.text)))),
+                             ("h1", (where[i], "none" if first_h1 == n else "before" if i < first_h1 else "after")))
+            continue
+        noise, good = bool(node.names & NOISE_WORDS), bool(node.names & CONTENT_WORDS)
+        # What is named as something else, and doesn't hold most of the page, stands aside with all that it holds.
+        aside = (noise and not good or heading[i] or node.tags & NOISE_TAGS) and 2 * chars[i] <= chars[0]
+        where[i] = "aside" if aside or above == "aside" else "in" if node.tags & CONTENT_TAGS else above
+        longest = next((c for c, j in kin.get((node.parent, node.tag), ()) if j != i), 0)
+        node.features = (*((("tag", (t, where[i])) for t in sorted(node.tags & SPEAKING) or [node.tag]) if i else ()),
+                         ("names", (noise, good)), ("hidden", node.hidden), ("heading", heading[i] is True),
+                         ("share", (share, _bin(chars[i], (20, 200)))), ("kin", _bin(longest, (1, 60, 200))))
 
 
 def labels(nodes: list[Node], marked: bool) -> list[bool]:
@@ -277,15 +363,11 @@ def labels(nodes: list[Node], marked: bool) -> list[bool]:
         above = inside[node.parent] if i else False
         if marked:
             inside[i] = above if node.mark is None else node.mark
-        elif node.kind == ELEMENT and (node.tag in NOISE_TAGS or node.hidden or node.names & NOISE_WORDS):
+        elif node.kind == ELEMENT and (node.tags & NOISE_TAGS or node.hidden or node.names & NOISE_WORDS):
             inside[i] = False
         else:
-            inside[i] = above or (node.kind == ELEMENT and node.tag in CONTENT_TAGS)
-    state = [node.kind == TEXT and inside[i] for i, node in enumerate(nodes)]
-    for i in range(len(nodes) - 1, 0, -1):
-        if state[i]:
-            state[nodes[i].parent] = True
-    return state
+            inside[i] = above or (node.kind == ELEMENT and bool(node.tags & CONTENT_TAGS))
+    return inside
 
 
 class Model:
@@ -299,10 +381,11 @@ class Model:
     def learn(self, nodes: list[Node], state: list[bool], weight: float = 1.0) -> None:
         evidence(nodes)
         for node, s in zip(nodes, state, strict=True):
+            if node.parent < 0:
+                continue  # the root is no one's child, and like any page's
             for feature in node.features:
                 self.counts[feature][s] += weight
-            if node.parent >= 0:
-                self.links[state[node.parent]][s] += weight
+            self.links[state[node.parent]][s] += weight
 
     def finish(self) -> Model:
         totals: dict = defaultdict(lambda: [0.0, 0.0])
@@ -311,48 +394,70 @@ class Model:
             totals[name][1] += c[1]
         self.emit = {(name, value): tuple(math.log(c[s] / totals[name][s]) for s in (0, 1))
                      for (name, value), c in self.counts.items()}
-        # An element that holds no content has no child that is: a definition, not a rate.
-        self.link = ((0.0, NEVER), tuple(math.log(x / sum(self.links[1])) for x in self.links[1]))
+        self.link = tuple(tuple(math.log(x / sum(row)) for x in row) for row in self.links)
         del self.counts, self.links
         return self
 
-    def marginals(self, nodes: list[Node]) -> list[float]:
-        """Probability of content for each node, by one pass of messages up and one down."""
+    def unary(self, nodes: list[Node]) -> list[list[float]]:
+        """The evidence of each node for each state."""
         evidence(nodes)
-        n, link, never = len(nodes), self.link, _never(nodes)
-        unary, belief, message = [None] * n, [None] * n, [None] * n
+        never, out = _never(nodes), []
         for i, node in enumerate(nodes):
             a, b = 0.0, NEVER if i in never else 0.0
-            for feature in node.features:
+            for feature in node.features if i else ():
                 x = self.emit.get(feature)
                 if x:
                     a += x[0]
                     b += x[1]
-            unary[i] = [a, b]
-        for i in range(n - 1, 0, -1):  # up: a node's message is its subtree's evidence, for each state of its parent
-            a, b = unary[i]
-            up = tuple(_add(link[s][0] + a, link[s][1] + b) for s in (0, 1))
-            message[i] = up
-            above = unary[nodes[i].parent]
+            out.append([a, b])
+        return out
+
+    def _up(self, nodes: list[Node], scores: list[list[float]]) -> list[tuple]:
+        """Messages from the leaves to the root: a node's is its subtree's evidence, for each state of
+        its parent.  ``scores`` gains them."""
+        link, message = self.link, [None] * len(nodes)
+        for i in range(len(nodes) - 1, 0, -1):
+            a, b = scores[i]
+            up = message[i] = tuple(_add(link[s][0] + a, link[s][1] + b) for s in (0, 1))
+            above = scores[nodes[i].parent]
             above[0] += up[0]
             above[1] += up[1]
-        belief[0] = tuple(unary[0])
-        for i in range(1, n):  # down: what the parent believes without this child's own message
+        return message
+
+    def marginals(self, nodes: list[Node], scores: list[list[float]] | None = None) -> list[float]:
+        """Probability of content for each node, by one pass of messages up and one down.
+        ``scores``: the nodes' evidence, if it is known; it gains the messages."""
+        link, scores = self.link, self.unary(nodes) if scores is None else scores
+        message = self._up(nodes, scores)
+        belief = [tuple(scores[0])] + [(0.0, 0.0)] * (len(nodes) - 1)
+        for i in range(1, len(nodes)):  # down: what the parent believes without this child's own message
             parent = belief[nodes[i].parent]
             outside = (parent[0] - message[i][0], parent[1] - message[i][1])
-            belief[i] = tuple(unary[i][s] + _add(outside[0] + link[0][s], outside[1] + link[1][s]) for s in (0, 1))
+            belief[i] = tuple(scores[i][s] + _add(outside[0] + link[0][s], outside[1] + link[1][s]) for s in (0, 1))
         return [1 / (1 + math.exp(min(max(a - b, -700.0), 700.0))) for a, b in belief]
 
+    def beliefs(self, nodes: list[Node]) -> tuple[list[float], float]:
+        """The marginals, and the probability that any text is content: less the weight of all
+        states in which none is."""
+        scores = self.unary(nodes)
+        none = [[a, -1e9 if n.kind == TEXT and n.text else b] for (a, b), n in zip(scores, nodes, strict=True)]
+        self._up(nodes, none)
+        content = self.marginals(nodes, scores)
+        return content, -math.expm1(min(_add(*none[0]) - _add(*scores[0]), 0.0))
+
 
 def _never(nodes: list[Node]) -> set[int]:
     """Nodes that can't be content: hidden ones and the landmarks, but for a form
     around most of the page's text (some sites put one around the whole page)."""
-    found = {i for i, x in enumerate(nodes) if x.hidden or x.kind == ELEMENT and x.tag in NEVER_TAGS}
-    if any(nodes[i].tag == "form" for i in found):
+    found = {i for i, x in enumerate(nodes) if x.hidden or x.kind == ELEMENT and x.tags & NEVER_TAGS}
+    if any("form" in nodes[i].tags for i in found):
         held = [len(x.text) for x in nodes]
         for i in range(len(nodes) - 1, 0, -1):
             held[nodes[i].parent] += held[i]
-        found -= {i for i in found if nodes[i].tag == "form" and not nodes[i].hidden and 2 * held[i] > held[0]}
+        found -= {i for i in found if nodes[i].tags & NEVER_TAGS == {"form"} and not nodes[i].hidden and 2 * held[i] > held[0]}
+    for i, x in enumerate(nodes):  # and all that they hold
+        if i and x.parent in found:
+            found.add(i)
     return found
 
 
@@ -373,6 +478,10 @@ _BODY = ("".join(f"<p>{s} {t}</p>" for s in _SENTENCES for t in ("", _SENTENCES[
          + "<blockquote><p>We waited all night.</p></blockquote><pre>level 3.2 m</pre>"
          + "<table><tr><td>Monday</td><td>3.2</td></tr></table>")
 _LINKS = "".join(f'<li><a href="/{w}">{w}</a></li>' for w in ("Home", "News", "Sport", "Weather", "About us"))
+#: Links, lists of links and short items that are the article's own.
+_LINKED = ('<ul><li><a href="/map">Map of the roads</a></li><li>Boots</li><li>Buy three pumps</li><li><a href="/l">Levels, hour by hour</a></li></ul>'
+           '<p><a href="/report">Read the full report of the office.</a></p><ol><li><a href="/1">One</a></li><li>two</li></ol>'
+           '<table><tr><th>Day</th><th>Level</th></tr><tr><td>Tuesday</td><td><a href="/t">3.4</a></td></tr></table>')
 _TEMPLATES = [
     '<body data-content=0><header><h2>Daily News</h2><nav><ul>{links}</ul></nav></header><main><article data-content=1><h1>River rises</h1>{body}'
     '</article></main><aside class="sidebar"><h3>Related</h3><ul>{links}</ul><p>Most read this week, by our readers.</p></aside>'
@@ -392,15 +501,28 @@ _TEMPLATES = [
     '<div><form><fieldset><p>Find more. Search all our reports.</p></fieldset></form></div></div></body>',
     '<body data-content=0><div class="banner">Special offer: read four weeks for free.</div><div><ul>{links}</ul></div><div><div data-content=1><h1>River rises</h1>'
     '{body}</div></div><div class="footer"><p>About this site. Terms of use.</p></div></body>',
+    '<body data-content=0><header><h1>Daily News</h1><p>All that happens here, every day.</p></header><main data-content=1><h1>River rises</h1>{body}'
+    '{linked}</main><section class="readers"><h3>What readers say</h3><p>I saw it from my window. What a night.</p><p>Stay safe!</p></section></body>',
+    '<body data-content=0><header><p>Your paper since 1901. Printed and online.</p><ul>{links}</ul></header><article data-content=1>{body}{linked}</article>'
+    '<section><h2>Readers&#39; opinions</h2><p>They should have built a dam. I said so years ago.</p></section><footer><p>Terms.</p></footer></body>',
+    '<body data-content=0><div><div><ul>{links}</ul></div><p>You are here: News.</p></div><div><div><div data-content=1><h2>River rises</h2>{body}{linked}'
+    '</div></div></div><div><ul>{links}</ul></div></body>',
+    '<body data-content=1><h1>River rises</h1>{body}{linked}</body>',
+    '<body data-content=0><div><ul>{links}</ul></div><main data-content=1><p>{first}</p><p>{first}</p></main><div><p>Imprint. All rights reserved.</p></div></body>',
+    '<body data-content=0><div><div><div data-content=1><p>{first}</p><p>A short day.</p></div></div></div></body>',
 ]
 
 
+def template_page(template: str) -> str:
+    return "<html>" + template.format(links=_LINKS, body=_BODY, linked=_LINKED, first=_SENTENCES[0]) + "</html>"
+
+
 def train(labelled: list[str]) -> Model:
     """The templates together weigh as much as ``MAX_LABELLED`` pages of the corpus,
     so that a corpus of one layout doesn't hide what other layouts show."""
     model = Model()
     for template in _TEMPLATES:
-        nodes = parse("<html>" + template.format(links=_LINKS, body=_BODY) + "</html>")
+        nodes = parse(template_page(template))
         model.learn(nodes, labels(nodes, marked=True), weight=MAX_LABELLED / len(_TEMPLATES))
     for page in labelled:
         nodes = parse(page)
@@ -410,8 +532,10 @@ def train(labelled: list[str]) -> Model:
 
 def main_text(page: str, model: Model) -> str:
     nodes = parse(page)
-    content = model.marginals(nodes)
-    return "\n".join(n.text for n, p in zip(nodes, content, strict=True) if n.kind == TEXT and n.text and p > 0.5)
+    content, some = model.beliefs(nodes)
+    if some < NO_CONTENT:
+        return ""
+    return "\n".join(n.text for n, p in zip(nodes, content, strict=True) if n.kind == TEXT and n.text and p > 0.5 * some)
 
 
 def _extract(model: Model):

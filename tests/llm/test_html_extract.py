@@ -43,11 +43,11 @@ def test_held_out_templates():
     """Accuracy on each template's text by a model that hasn't seen it."""
     right = total = 0
     for i in range(len(H._TEMPLATES)):
-        page = "<html>" + H._TEMPLATES[i].format(links=H._LINKS, body=H._BODY) + "</html>"
+        page = H.template_page(H._TEMPLATES[i])
         model = H.Model()
         for j, t in enumerate(H._TEMPLATES):
             if i != j:
-                nodes = H.parse("<html>" + t.format(links=H._LINKS, body=H._BODY) + "</html>")
+                nodes = H.parse(H.template_page(t))
                 model.learn(nodes, H.labels(nodes, marked=True), weight=50)
         model.finish()
         nodes = H.parse(page)
@@ -64,22 +64,19 @@ def test_marginals_equal_enumeration(model):
     import itertools
     import math
     nodes = H.parse("<html><body><div class=content><p>One sentence here. And more words.</p><p>Two</p></div><ul><li><a>x</a></li></ul></body></html>")
-    H.evidence(nodes)
-    never = H._never(nodes)
-    unary = []
-    for i, n in enumerate(nodes):
-        scores = [model.emit.get(f, (0.0, 0.0)) for f in n.features]
-        unary.append((sum(s[0] for s in scores), sum(s[1] for s in scores) + (H.NEVER if i in never else 0.0)))
+    unary = model.unary(nodes)
     weight = [0.0] * len(nodes)
-    total = 0.0
+    total = some = 0.0
     for states in itertools.product((0, 1), repeat=len(nodes)):
         x = sum(unary[i][s] for i, s in enumerate(states))
         x += sum(model.link[states[n.parent]][states[i]] for i, n in enumerate(nodes) if n.parent >= 0)
         x = math.exp(x)
         total += x
+        some += x * any(s and n.kind == H.TEXT for s, n in zip(states, nodes, strict=True))
         for i, s in enumerate(states):
             weight[i] += x * s
     assert model.marginals(nodes) == pytest.approx([w / total for w in weight])
+    assert model.beliefs(nodes)[1] == pytest.approx(some / total)
 
 
 @pytest.mark.parametrize(("page", "text"), [
@@ -91,8 +88,69 @@ def test_broken_and_odd_markup(model, page, text):
     assert H.main_text(page, model) == text
 
 
+GOOD = ["The harbour was closed on Monday after a storm, and boats stayed in.", "Nobody was hurt. Work goes on, said the office."]
+
+
+@pytest.mark.parametrize("depth", [0, 1, 2, 5, 20, 60, 200, 1000, 2000])
+def test_depth_says_nothing(model, depth):
+    body = "".join(f"<p>{x}</p>" for x in GOOD)
+    assert H.main_text("<div>" * depth + body + "</div>" * depth, model) == "\n".join(GOOD)
+    menu = "<ul>" + "".join(f'<li><a href="/{w}">{w}</a></li>' for w in ("Home", "News", "Sport")) + "</ul>"
+    page = "<body>" + menu + "<div>" * depth + body + "</div>" * depth + "<footer>Imprint. Terms.</footer></body>"
+    assert H.main_text(page, model) == "\n".join(GOOD)
+    # Each level has a menu of its own beside the next one.
+    page = ("<div>" + menu) * min(depth, 60) + "<main>" + body + "</main>" + "</div>" * min(depth, 60)
+    assert H.main_text(page, model) == "\n".join(GOOD)
+
+
+ARTICLE = "<h1>Storm</h1>" + "".join(f"<p>{x}</p>" for x in GOOD)
+
+
+@pytest.mark.parametrize(("inside", "text"), [
+    ("<ul><li>One item</li><li>two</li><li>Buy three eggs</li></ul>", "One item\ntwo\nBuy three eggs"),
+    ('<ul><li><a href="/a">A link item</a></li><li>two</li><li>Buy three eggs</li></ul>', "A link item\ntwo\nBuy three eggs"),
+    ('<p><a href="/r">The full report of the office</a></p>', "The full report of the office"),
+    ('<p><a href="/r">Report</a></p>', "Report"),
+    ("<table><tr><th>Day</th><td>3.2</td></tr><tr><td>Monday</td><td>x</td></tr></table>", "Day\n3.2\nMonday\nx"),
+    ("<h2>Then</h2><ol><li>x</li></ol><dl><dt>Term</dt><dd>meaning</dd></dl>", "Then\nx\nTerm\nmeaning"),
+    ("<blockquote>So be it.</blockquote><pre>a  b</pre><figure><figcaption>A boat</figcaption></figure>", "So be it.\na b\nA boat")])
+@pytest.mark.parametrize("around", ["<article>%s</article>", "<body><nav><a href=/>Home</a></nav><main>%s</main><footer>Terms.</footer></body>"])
+def test_lists_tables_and_links_of_the_article(model, around, inside, text):
+    assert H.main_text(around % (ARTICLE + inside + "<p>At last the sun came out again.</p>"), model) == "\n".join(
+        ["Storm", *GOOD, text, "At last the sun came out again."])
+
+
+@pytest.mark.parametrize("before", [
+    "<header><h1>Daily News</h1><p>All that happens, every day.</p></header>", "<header><h2>The Paper</h2>Since 1901. Your paper.</header>",
+    '<header class="site"><a href="/">Daily News</a><p>Read by many. Loved by all.</p></header>',
+    '<div id="masthead"><p>Daily News. Every day.</p></div>', "<div><header><p>Our paper. Your news.</p></header></div>"])
+def test_headers_before_the_article(model, before):
+    for tag in ("main", "article"):
+        assert H.main_text(f"<body>{before}<{tag}>{ARTICLE}</{tag}></body>", model) == "\n".join(["Storm", *GOOD])
+
+
+def test_a_header_of_the_article_stays(model):
+    page = f"<body><main><article><header><h1>Storm</h1></header><p>{GOOD[0]}</p><p>{GOOD[1]}</p></article></main></body>"
+    assert H.main_text(page, model) == "\n".join(["Storm", *GOOD])
+
+
+@pytest.mark.parametrize("after", [
+    '<section class="reader-opinions"><h3>Opinions</h3><p>I think that it was bad. Very bad.</p></section>',
+    '<section id="comments"><p>What a night it was, I could not sleep. Stay safe.</p></section>',
+    '<section><h2>What readers say</h2><p>They should have known. I told them so last year.</p><p>True!</p></section>',
+    '<div class="responses"><p>I saw it from my window. What a storm it was.</p></div>'])
+def test_reader_opinions(model, after):
+    for tag in ("main", "article"):
+        assert H.main_text(f"<body><{tag}>{ARTICLE}</{tag}>{after}</body>", model) == "\n".join(["Storm", *GOOD])
+        assert H.main_text(f"<body><{tag}>{ARTICLE}{after}</{tag}></body>", model) == "\n".join(["Storm", *GOOD])
+
+
+def test_pages_without_main_text(model):
+    assert H.main_text("<nav><a href=/>Home</a><p>Long text. In a menu.</p></nav><footer>Imprint. All rights reserved.</footer>", model) == ""
+
+
 def test_deep_and_long_pages_are_linear(model):
-    H.main_text("<div>" * 20000 + "<p>Deep text. Yes.</p>", model)
+    assert H.main_text("<div>" * 20000 + "<p>Deep text. Yes.</p>", model) == "Deep text. Yes."
     long = "<article>" + "<p>Some words here. More of them.</p>" * 20000 + "</article>"
     assert H.main_text(long, model).count("\n") == 19999
 
