@@ -34,7 +34,9 @@ from __future__ import annotations
 
 import functools
 import json
+import struct
 from collections.abc import Iterator
+from operator import sub
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +47,7 @@ from pyspark.sql import functions as F
 from sensorium.llm.common import map_arrow, table
 
 LIMIT = 1024
-MAX_UNITS = 300_000
+MAX_UNITS = 500_000
 MAX_LENGTH = 64
 MAX_PAIRS = 500_000
 _SHIFT = 20  # bits of a token's number
@@ -127,8 +129,7 @@ class Prefixes:
         count = self.counts(data)
         if len(data) == len(text):
             return count
-        ends = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80).tolist()
-        return [count[i] for i in ends] + [count[-1]]
+        return [n for n, b in zip(count, data, strict=False) if b & 0xC0 != 0x80] + count[-1:]
 
 
 class Units(dict):
@@ -139,7 +140,8 @@ class Units(dict):
         self.prefixes, self.spaces = prefixes, spaces
 
     def __missing__(self, unit: str) -> bytes:
-        steps = np.diff(np.asarray(self.counts(unit))).astype("<i2").tobytes()
+        counts = self.counts(unit)
+        steps = struct.pack(f"<{len(unit)}h", *map(sub, counts[1:], counts))
         if len(unit) <= MAX_LENGTH:
             if len(self) >= MAX_UNITS:
                 self.clear()
@@ -148,10 +150,10 @@ class Units(dict):
 
     def counts(self, unit: str) -> list[int]:
         of = self.prefixes.of_text
+        if unit[0] == " " and len(unit) > 1 and not unit[1].isspace():  # the common case of those below
+            return of(unit)
         blank = self.spaces.match(unit).end()
         space, piece = unit[:blank], unit[blank:]
-        if space == " " and piece:
-            return of(unit)
         out = of(space)  # a prefix that ends in the run has all of it in one piece
         if not piece:
             return out
