@@ -2,28 +2,29 @@
 
 1. Detection.  Emails, IP addresses, card and phone numbers are matched in the
    whole text and validated.  Each match is a mention of an entity (its
-   normalised value), and the words beside it are its context.
-2. Disclosure.  Over the corpus it is counted how often a term stands beside an
-   entity (``n(t, e)`` distinct contexts and documents) and in how many
-   documents the term occurs at all (``df(t)``).  The information that a term
-   gives about an entity is the pointwise mutual information of the two, and
-   the share of the term's documents that hold the entity beside it estimates
-   P(e | t).
-3. Sanitisation.  A term that recurs with an entity in at least
-   ``min_contexts`` *different* contexts (copies of one text are one context),
-   with P(e | t) at or over ``generalise_at`` and at least ``min_bits`` of
-   information, reveals it.  Where it stands beside the entity it is
-   generalised (``<term>``), or removed at or over ``remove_at``.
+   normalised value); the words beside it are the mention's context.
+2. Disclosure.  Over the corpus it is counted in how many documents a term stands
+   at all (``df(t)``), in how many it stands together with an entity, anywhere in
+   the document (``n(t, e)``), and in how many *different* contexts the entity is
+   mentioned there (copies of one text, and of one passage, are one context).
+   n(t, e) / df(t) estimates P(e | t), and log2 P(e | t) / P(e) is the information
+   in bits that the term gives about the entity.
+3. Threshold.  A term reveals an entity if P(e | t) is at or over ``generalise_at``,
+   the information at or over ``min_bits``, and the evidence - bits times contexts,
+   ``min_contexts`` at least - over what naming one pair among all tested terms
+   and entities costs (log2 of their product), so that words which few documents
+   share by chance aren't taken.  Words of everyday use fail by their frequency.
+4. Sanitisation.  Every occurrence of a revealing term in every document, with or
+   without the entity, is generalised to its class (``name``, ``number``, ``term``),
+   or removed where P(e | t) is at or over ``remove_at``.
 
 Spans of the method never overlap those of the patterns, which are kept as
 they are.
 
-Contexts are bounded per mention (``reach`` words on each side).  Counting
-pre-aggregates before each shuffle, and contexts are made distinct before they
-are counted, so a hot entity or term is folded on the map side.  Document
-frequencies are counted over all words of all documents, but only the words
-that are candidates leave the scan: the candidate terms are broadcast if they
-are few by a count, else joined.
+Only entities with enough contexts, and only terms most of whose documents mention
+some such entity, are paired; both filters are exact.  Every count pre-aggregates
+before its shuffle, so a hot entity or term is folded on the map side.  Tables of
+terms and documents are broadcast if a count says they are few, else joined.
 
 Defined results: a null or empty text has no spans; repeated rows get the same
 result each; a null id stays null; an empty table gives an empty result; only
@@ -37,20 +38,26 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorium.llm.common import SPACE, broadcast_checked, map_arrow, materialise, table, words
+from sensorium.llm.common import SPACE, broadcast_checked, map_arrow, materialise, table
 
 KINDS = ("email", "ip", "card", "phone")
-TERM_KINDS = ("term", "removed")
+#: Classes that revealing terms are generalised to, and the kind of those that are removed.
+CLASSES = ("name", "number", "term")
+REMOVED = "removed"
+#: Words on each side of a mention that make its context.
 REACH = 3
 MIN_CONTEXTS = 2
 GENERALISE_AT = 0.5
 REMOVE_AT = 0.8
 MIN_BITS = 4.0
 BROADCAST_TERMS = 100_000
+BROADCAST_ROWS = 100_000
 EDGE = ".,;:!?\"'()[]<>|*#$%&"
+#: What separates terms, as a character class body.
+_BETWEEN = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 
 # The spans of these equal those of the plain patterns in the docstrings below;
 # they are written so that no text makes them backtrack over long runs.
@@ -61,6 +68,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile("[^0-9]")
 _WORD = re.compile(f"[^{SPACE}]+")
+_TERM = re.compile(f"[^{_BETWEEN}]+")
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -141,11 +149,16 @@ def _beside(text: str, start: int, end: int, reach: int) -> list[tuple[int, int]
     return out
 
 
-_CONTEXT = "array<struct<entity:string,term:string,start:int,stop:int,context:long>>"
-_FOUND = (f"_id long, _row long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
-          f"base string, beside {_CONTEXT}")
-_BESIDE_ARROW = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()),
-                                    ("stop", pa.int32()), ("context", pa.int64())]))
+_FOUND = ("_id long, _row long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
+          "base string, mentions array<struct<entity:string,context:long>>")
+_MENTIONS = pa.list_(pa.struct([("entity", pa.string()), ("context", pa.int64())]))
+
+
+def context_of(text: str, start: int, end: int, reach: int) -> int:
+    """A hash of the words beside a mention."""
+    near = _beside(text, start, end, reach)
+    key = "\0".join(text[a:b] for a, b in near).encode("utf-8", "surrogatepass")
+    return int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "little", signed=True)
 
 
 def _detect(reach: int):
@@ -153,82 +166,119 @@ def _detect(reach: int):
         names = [f.split(" ")[0] for f in _FOUND.split(", ")]
         for batch in batches:
             counts: dict[str, list[int]] = {k: [] for k in KINDS}
-            digests, bases, contexts = [], [], []
+            digests, bases, mentions = [], [], []
             for text in batch.column(2).to_pylist():
                 spans = find(text)
                 base = ",".join(f"{k}:{s}:{e}" for k in KINDS for s, e in spans[k])
                 bases.append(base)
                 digests.append(hashlib.sha256(base.encode()).hexdigest())
-                rows, taken = [], [x for k in KINDS for x in spans[k]]
                 for kind in KINDS:
                     counts[kind].append(len(spans[kind]))
-                    for s, e in spans[kind]:
-                        near = _beside(text, s, e, reach)
-                        key = "\0".join(text[a:b] for a, b in near).encode("utf-8", "surrogatepass")
-                        context = int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "little", signed=True)
-                        entity = _entity(kind, text[s:e])
-                        rows += [{"entity": entity, "term": text[a:b], "start": a, "stop": b, "context": context}
-                                 for a, b in near if not any(a < y and x < b for x, y in taken)]
-                contexts.append(rows)
+                here = {(_entity(kind, text[s:e]), context_of(text, s, e, reach)) for kind in KINDS for s, e in spans[kind]}
+                mentions.append([{"entity": e, "context": c} for e, c in sorted(here)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *[pa.array(counts[k], pa.int64()) for k in KINDS],
-                 pa.array(digests), pa.array(bases), pa.array(contexts, _BESIDE_ARROW)], names=names)
+                 pa.array(digests), pa.array(bases), pa.array(mentions, _MENTIONS)], names=names)
     return run
 
 
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text).alias("_row"), text.alias("_text"))
+
+
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH) -> DataFrame:
     """Pattern spans and the contexts of their mentions, one row per row of ``docs``."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text).alias("_row"), text.alias("_text"))
-    return map_arrow(rows, _detect(reach), _FOUND)
-
-
-def disclosures(found: DataFrame, docs: DataFrame, text_col: str = "text", min_contexts: int = MIN_CONTEXTS,
-                generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT, min_bits: float = MIN_BITS) -> DataFrame:
-    """(entity, term, share, bits, kind) of the terms that reveal an entity."""
-    beside = found.select("_id", "_row", F.explode("beside").alias("b")).select("_id", "_row", "b.*")
-    in_contexts = beside.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(
-        F.count("*").alias("contexts")).where(F.col("contexts") >= min_contexts)
-    in_docs = beside.select("entity", "term", "_id", "_row").distinct().groupBy("entity", "term").agg(
-        F.count("*").alias("both"))
-    # Documents that hold the term beside any mention: no more than hold it at all, so
-    # pairs that fall short by this count fall short by the document frequency, too.
-    anywhere = beside.select("term", "_id", "_row").distinct().groupBy("term").agg(F.count("*").alias("beside"))
-    pairs = in_contexts.join(in_docs, ["entity", "term"]).join(anywhere, "term")
-    pairs = materialise(pairs.where(F.col("both") >= generalise_at * F.col("beside")).drop("beside"), "pii-pairs")
-    mentions = found.select("_id", "_row", F.explode("beside.entity").alias("entity")).distinct().groupBy("entity").agg(
-        F.count("*").alias("n_entity"))
-
-    terms = materialise(pairs.select("term").distinct(), "pii-terms")
-    terms, _ = broadcast_checked(terms, BROADCAST_TERMS)
-    every = docs.select(F.xxhash64(text_col).alias("_row"), F.array_distinct(F.transform(
-        words(F.col(text_col)), lambda w: F.btrim(w, F.lit(EDGE)))).alias("_terms"))
-    held = every.select("_row", F.explode("_terms").alias("term")).join(terms, "term", "left_semi")
-    frequency = held.groupBy("term").agg(F.count("*").alias("df"))
-    total = docs.count()
+    return map_arrow(_texts(docs, id_col, text_col), _detect(reach), _FOUND)
+
+
+def _terms_of(texts: DataFrame) -> DataFrame:
+    """(_row, term) of the distinct terms of each row of ``texts``."""
+    found = F.array_remove(F.array_distinct(F.split("_text", f"[{_BETWEEN}]+")), "")
+    return texts.select("_row", F.explode(found).alias("term"))
+
+
+def disclosures(found: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                min_contexts: int = MIN_CONTEXTS, generalise_at: float = GENERALISE_AT, min_bits: float = MIN_BITS,
+                weigh_evidence: bool = True) -> DataFrame:
+    """(entity, term, share, bits, contexts) of the terms that reveal an entity.  ``found`` is what
+    ``detect`` says of ``docs``, as a written table."""
+    texts = _texts(docs, id_col, text_col)
+    mentioned = found.select("_row", F.explode("mentions").alias("m")).select("_row", "m.*")
+    contexts = mentioned.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("c"))
+    # Each document mentions an entity once here; copies of a document are documents, but bring no context.
+    n_entity = mentioned.select("_row", "entity").distinct().join(found.groupBy("_row").agg(F.count("*").alias("copies")), "_row")
+    n_entity = n_entity.groupBy("entity").agg(F.sum("copies").alias("n_entity"))
+    entities = materialise(contexts.where(F.col("c") >= min_contexts).select("entity").join(n_entity, "entity"), "pii-entities")
+    held = materialise(mentioned.join(entities.select("entity"), "entity").distinct(), "pii-held")
+    rows = materialise(held.select("_row").distinct(), "pii-rows")
+
+    here = _terms_of(texts.join(broadcast_checked(rows, BROADCAST_ROWS)[0], "_row", "left_semi"))
+    near = materialise(here.groupBy("term").agg(F.count("*").alias("near")).where(F.col("near") >= min_contexts), "pii-near")
+    every = _terms_of(texts).join(broadcast_checked(near.select("term"), BROADCAST_TERMS)[0], "term", "left_semi")
+    frequency = every.groupBy("term").agg(F.count("*").alias("df"))
+    terms = materialise(near.join(frequency, "term").where(F.col("near") >= generalise_at * F.col("df")).select("term", "df"), "pii-terms")
+    total, n_terms, n_entities = found.count(), terms.count(), entities.count()
+
+    here = materialise(here.join(broadcast_checked(terms.select("term"), BROADCAST_TERMS)[0], "term", "left_semi")
+                       .groupBy("_row", "term").agg(F.count("*").alias("copies")), "pii-here")
+    both = here.join(held.select("_row", "entity").distinct(), "_row").groupBy("entity", "term").agg(F.sum("copies").alias("both"))
+    seen = here.select("_row", "term").join(held, "_row").select("entity", "term", "context").distinct()
+    seen = seen.groupBy("entity", "term").agg(F.count("*").alias("contexts")).where(F.col("contexts") >= min_contexts)
 
     share = F.least(F.col("both") / F.col("df"), F.lit(1.0))
     bits = F.log2(share * total / F.col("n_entity"))
-    kind = F.when(F.col("share") >= remove_at, TERM_KINDS[1]).otherwise(TERM_KINDS[0])
-    return (pairs.join(frequency, "term").join(mentions, "entity").withColumn("share", share).withColumn("bits", bits)
-            .where((F.col("share") >= generalise_at) & (F.col("bits") >= min_bits))
-            .select("entity", "term", "share", "bits", kind.alias("kind")))
+    cost = F.log2(F.lit(float(max(n_terms * n_entities, 1)))) if weigh_evidence else F.lit(float("-inf"))
+    return (both.join(seen, ["entity", "term"]).join(terms, "term").join(entities, "entity")
+            .select("entity", "term", share.alias("share"), bits.alias("bits"), "contexts")
+            .where((F.col("share") >= generalise_at) & (F.col("bits") >= min_bits)
+                   & (F.col("bits") * F.col("contexts") > cost)))
+
 
+def kind_of(term: Column, share: Column, remove_at: float) -> Column:
+    number = term.rlike("^[0-9]+$")
+    name = F.upper(F.substring(term, 1, 1)) == F.substring(term, 1, 1)
+    return F.when(share >= remove_at, REMOVED).when(number, CLASSES[1]).when(name, CLASSES[0]).otherwise(CLASSES[2])
 
-def private_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
-    """All spans per row of ``docs``: counts and digest of the patterns' and ``spans``
-    (kind:start:end; patterns by kind, then the method's by start)."""
+
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    order = {k: i for i, k in enumerate((*CLASSES, REMOVED))}
+    for batch in batches:
+        added = []
+        for text, marks in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            kinds = {m["term"]: m["kind"] for m in marks}
+            taken = sorted(x for spans in find(text).values() for x in spans)
+            at, out, reached = 0, [], 0  # spans of different patterns may overlap
+            for m in _TERM.finditer(text):
+                while at < len(taken) and taken[at][0] < m.end():
+                    reached = max(reached, taken[at][1])
+                    at += 1
+                if m[0] in kinds and reached <= m.start():
+                    out.append((order[kinds[m[0]]], *m.span(), kinds[m[0]]))
+            added.append(",".join(f"{k}:{s}:{e}" for _, s, e, k in sorted(out)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(added, pa.string())],
+                                         names=["_aid", "_arow", "added"])
+
+
+def private_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remove_at: float = REMOVE_AT, **limits) -> DataFrame:
+    """All spans per row of ``docs``: counts and digest of the patterns' and ``spans`` (kind:start:end,
+    by kind - the patterns', then the classes, then removed terms - and start)."""
+    texts = _texts(docs, id_col, text_col)
     found = materialise(detect(docs, id_col, text_col), "pii-found")
-    reveal = materialise(disclosures(found, docs, text_col, **limits), "pii-reveal")
-    beside = found.select("_id", "_row", F.explode("beside").alias("b")).select("_id", "_row", "b.entity", "b.term",
-                                                                               "b.start", "b.stop")
-    reveal, _ = broadcast_checked(reveal, BROADCAST_TERMS)
-    added = beside.join(reveal, ["entity", "term"]).groupBy("_id", "_row", "start", "stop").agg(F.min("kind").alias("kind"))
-    added = added.groupBy("_id", "_row").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "kind"))).alias("added"))
-    added = added.withColumnsRenamed({"_id": "_aid", "_row": "_arow"})
-    out = found.drop("beside").join(added, F.col("_id").eqNullSafe(F.col("_aid")) & (F.col("_row") == F.col("_arow")), "left")
-    extra = F.transform("added", lambda x: F.concat_ws(":", x["kind"], x["start"], x["stop"]))
-    spans = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.array_join(extra, ","))
+    reveal = disclosures(found, docs, id_col, text_col, **limits)
+    reveal = materialise(reveal.groupBy("term").agg(F.max("share").alias("share")), "pii-reveal")
+    kinds = reveal.select("term", kind_of(F.col("term"), F.col("share"), remove_at).alias("kind"))
+
+    # Wherever a revealing term stands, with an entity or without.
+    marks = _terms_of(texts).join(broadcast_checked(kinds, BROADCAST_TERMS)[0], "term").groupBy("_row").agg(
+        F.collect_set(F.struct("term", "kind")).alias("marks"))
+    marks = materialise(marks, "pii-marks")
+    marked = texts.join(broadcast_checked(marks, BROADCAST_ROWS)[0], "_row").select("_id", "_row", "_text", "marks")
+    added = materialise(map_arrow(marked, _mark, "_aid long, _arow long, added string").distinct(), "pii-added")
+
+    out = found.drop("mentions").join(broadcast_checked(added, BROADCAST_ROWS)[0],
+                                      F.col("_id").eqNullSafe(F.col("_aid")) & (F.col("_row") == F.col("_arow")), "left")
+    spans = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.when(F.col("added") != "", F.col("added")))
     return out.select(F.col("_id").alias(id_col), "n_email", "n_ip", "n_card", "n_phone", "base_sha256",
                       spans.alias("spans"), "_row")
 
@@ -242,7 +292,7 @@ def _blank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for start, end, kind in cut:
                 if end <= at:
                     continue
-                out += [text[at:max(start, at)], "" if kind == TERM_KINDS[1] else f"<{kind}>"]
+                out += [text[at:max(start, at)], "" if kind == REMOVED else f"<{kind}>"]
                 at = end
             texts.append("".join(out) + text[at:])
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])

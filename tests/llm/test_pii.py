@@ -1,10 +1,13 @@
 import hashlib
+import math
+import random
 import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from sensorium.llm import pii as P
+from sensorium.llm.common import materialise
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
@@ -52,51 +55,97 @@ def test_whole_table(spark):
 
 
 def corpus():
-    """"Zorblatt" stands beside one address in differing texts; "the" everywhere; "copyword" in copies of one text only."""
-    docs = [(i, f"text{i} of page{i} with the word") for i in range(60)]
-    docs += [(100 + i, f"{v} Zorblatt, {w} x@y.org {w} the") for i, (v, w) in enumerate([
-        ("Ask", "today"), ("Call", "later"), ("Meet", "now"), ("Write", "soon")])]
-    docs += [(200 + i, "see copyword at c@d.org please") for i in range(5)]
-    return docs
+    """"Zorblatt" and "Quimby" go with one address each in differing texts, near it or far, and once without it;
+    "the" stands everywhere; "copyword" in copies of one text only."""
+    verbs = ["Ask", "Call", "Meet", "Write", "Visit"]
+    docs = [(i, f"text{i} of page{i} with the word writes") for i in range(150)]
+    docs += [(200 + i, f"{v} Zorblatt, today{i} joe@example.org {i}x the. Much later Zorblatt writes") for i, v in enumerate(verbs)]
+    docs += [(300 + i, f"{v} Quimby one two{i} three four five ann@example.org on{i} the") for i, v in enumerate(verbs)]
+    docs += [(400 + i, f"at{i} Name:bob@site.net {v} the") for i, v in enumerate(verbs + ["See"])]
+    docs += [(500 + i, "see copyword at c@d.org please") for i in range(5)]
+    return docs + [(600, "Nobody but Zorblatt, and Zorblatt-like the"), (601, "text Names and quimby the")]
 
 
 def test_revealing_terms(spark, docs_of):
     rows = {r.doc_id: r.spans for r in P.private_spans(docs_of(corpus())).collect()}
-    assert rows[100] == "email:20:27,removed:4:12"
-    assert rows[200] == "email:16:23" and rows[3] == ""
+    texts = dict(corpus())
+
+    def spans(doc_id, **words):
+        return {f"{kind}:{m.start()}:{m.end()}" for kind, w in words.items() for m in re.finditer(rf"\b{w}\b", texts[doc_id])}
+
+    for i in range(5):
+        added = set(rows[200 + i].split(",")[1:])
+        assert added == spans(200 + i, removed="Zorblatt") and len(added) == 2           # beside the address and away from it
+        assert set(rows[300 + i].split(",")[1:]) == spans(300 + i, removed="(?:Quimby|one|three|four|five)")
+    for i in range(6):
+        assert spans(400 + i, removed="Name") <= set(rows[400 + i].split(","))            # a fragment beside the match
+    assert set(rows[600].split(",")) == spans(600, removed="Zorblatt")                    # a document without the address
+    assert rows[500] == "email:16:23" and rows[3] == "" and rows[601] == ""
+
+
+def test_spans_come_by_kind_then_start(spark, docs_of):
+    docs = corpus() + [(700 + i, f"plain{i} Zorblatt") for i in range(2)]                 # P(e | Zorblatt) = 5 / 8
+    rows = {r.doc_id: r.spans for r in P.private_spans(docs_of(docs + [(800, "Zorblatt Quimby Zorblatt Quimby a@b.org")])).collect()}
+    kinds = [x.split(":")[0] for x in rows[800].split(",")]
+    assert kinds == ["email", "name", "name", "removed", "removed"]
+    starts = [int(x.split(":")[1]) for x in rows[800].split(",")]
+    assert starts == [32, 0, 16, 9, 25]
+
+
+def test_classes(spark):
+    rows = spark.createDataFrame([("Zorblatt", 0.6), ("0815", 0.6), ("zorb", 0.6), ("Émile", 0.7), ("Zorblatt", 0.9)], "t string, s double")
+    got = [r[0] for r in rows.select(P.kind_of(rows["t"], rows["s"], 0.8)).collect()]
+    assert got == ["name", "number", "term", "name", "removed"]
 
 
 def test_sanitised_texts(spark, docs_of):
     rows = {r.doc_id: r.text for r in P.sanitise(docs_of(corpus())).collect()}
-    assert rows[100] == "Ask , today <email> today the" and rows[3] == "text3 of page3 with the word"
-    assert len(rows) == len(corpus())
+    assert rows[200] == "Ask , today0 <email> 0x the. Much later  writes" and rows[3] == "text3 of page3 with the word writes"
+    assert rows[600] == "Nobody but , and -like the" and len(rows) == len(corpus())
 
 
 def test_disclosure_equals_brute_force(spark, docs_of):
     docs = docs_of(corpus())
-    found = P.detect(docs)
-    got = {(r.entity, r.term): (r.share, r.bits) for r in P.disclosures(found, docs, generalise_at=0.0, min_bits=-99.0).collect()}
-    import math
-    both, contexts, df, mentions = {}, {}, {}, {}
-    for i, t in corpus():
-        words = [w.strip(P.EDGE) for w in t.split()]
-        for w in set(words):
-            df[w] = df.get(w, 0) + 1
-        for s, e in brute(t)["email"]:
-            near = [x.strip(P.EDGE) for x in t[:s].split()[-P.REACH:] + t[e:].split()[:P.REACH]]
-            entity = "email:" + t[s:e]
-            mentions.setdefault(entity, set()).add(i)
-            for w in near:
-                both.setdefault((entity, w), set()).add(i)
-                contexts.setdefault((entity, w), set()).add(tuple(near))
-    expected = {}
-    for k, v in both.items():
-        if len(contexts[k]) >= P.MIN_CONTEXTS:
-            share = min(len(v) / df[k[1]], 1.0)
-            expected[k] = (share, math.log2(share * len(corpus()) / len(mentions[k[0]])))
-    assert got.keys() == expected.keys()
+    found = materialise(P.detect(docs), "test-found")
+    got = {(r.entity, r.term): (r.share, r.bits, r.contexts) for r in P.disclosures(
+        found, docs, generalise_at=0.3, min_bits=-99.0, weigh_evidence=False).collect()}
+    expected = co_occurrence(corpus(), 0.3)
+    assert got.keys() == expected.keys() and len(got) > 20
     for k in got:
-        assert all(abs(a - b) < 1e-9 for a, b in zip(got[k], expected[k]))
+        assert all(abs(a - b) < 1e-9 for a, b in zip(got[k], expected[k], strict=True))
+
+
+def co_occurrence(rows, least_share):
+    both, contexts, df, mentions, seen = {}, {}, {}, {}, {}
+    for i, t in rows:
+        terms = set(re.findall("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", t))
+        for w in terms:
+            df[w] = df.get(w, 0) + 1
+        for kind, spans in brute(t).items():
+            for s, e in spans:
+                entity = f"{kind}:{t[s:e]}"
+                context = (*[x.strip(P.EDGE) for x in t[:s].split()[-P.REACH:]], *[x.strip(P.EDGE) for x in t[e:].split()[:P.REACH]])
+                mentions.setdefault(entity, set()).add(i)
+                seen.setdefault(entity, set()).add(context)
+                for w in terms:
+                    both.setdefault((entity, w), set()).add(i)
+                    contexts.setdefault((entity, w), set()).add(context)
+    out = {}
+    for (entity, w), docs in both.items():
+        share = len(docs) / df[w]
+        if len(contexts[entity, w]) >= P.MIN_CONTEXTS and share >= least_share:
+            out[entity, w] = (share, math.log2(share * len(rows) / len(mentions[entity])), len(contexts[entity, w]))
+    return out
+
+
+def test_chance_pairs_need_more_evidence(spark, docs_of):
+    """Two documents that mention one address share some rare words by chance; the evidence of two
+    contexts isn't enough among so many words."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(3000)]
+    docs = [(i, " ".join(rng.sample(words, 40))) for i in range(200)]
+    docs += [(300 + i, f"w{i} " + " ".join(rng.sample(words, 500)) + f" x{i} list@site.org y{i}") for i in range(2)]
+    assert all(r.spans.count(":") <= 2 for r in P.private_spans(docs_of(docs)).collect())
 
 
 def test_edges(spark, docs_of):
