@@ -124,6 +124,8 @@ class SensorModel:
     dim_sensors: DataFrame
     timestamp_col: str = "Timestamp"
     broadcast_max_bytes: int = MAX_SOURCE_BYTES
+    #: fact → stored pieces by sensor (``operators.navigate.SensorPieces``), used where they cover a question.
+    stored: dict = field(default_factory=dict)
     _checked: dict = field(default_factory=dict)
 
     # ---- dimension chain -------------------------------------------------
@@ -193,12 +195,8 @@ class SensorModel:
             return c.isin(list(value))
         return c == F.lit(value)
 
-    def _fact_groups(self, fact: str, names: list[str], keys: list[str], filters: dict,
-                     time_range, extra_keys: list[str] = ()) -> DataFrame:
-        """Pieces of one fact aggregated by the group attributes."""
-        own = {a.split(".", 1)[1]: v for a, v in filters.items() if a.split(".", 1)[0] == fact}
-        filters = {a: v for a, v in filters.items() if a.split(".", 1)[0] not in FACTS}
-        pieces = [(n, *PIECES[(fact, n)]) for n in names]
+    def _per_sensor(self, fact: str, pieces: list, own: dict, time_range) -> DataFrame:
+        """Pieces of one fact by sensor, from its rows; ``own`` are filters on its columns."""
         rows = self._fact(fact, time_range)
         # A piece's own filter replaces the caller's on the same column.
         replaced = {column for _, _, _, _, column in pieces if column in own}
@@ -210,8 +208,18 @@ class SensorModel:
                 value = F.when(self._filter_col(c, own[c]), value)
             return value
 
-        per_sensor = rows.groupBy(F.col("SensorId").alias("_sensor")).agg(
+        return rows.groupBy(F.col("SensorId").alias("_sensor")).agg(
             *[agg(kept(value(), column)).alias(f"{fact}__{n}") for n, agg, value, _, column in pieces])
+
+    def _fact_groups(self, fact: str, names: list[str], keys: list[str], filters: dict,
+                     time_range, extra_keys: list[str] = ()) -> DataFrame:
+        """Pieces of one fact aggregated by the group attributes."""
+        own = {a.split(".", 1)[1]: v for a, v in filters.items() if a.split(".", 1)[0] == fact}
+        filters = {a: v for a, v in filters.items() if a.split(".", 1)[0] not in FACTS}
+        pieces = [(n, *PIECES[(fact, n)]) for n in names]
+        per_sensor = self.stored[fact].per_sensor(fact, names, own, time_range) if fact in self.stored else None
+        if per_sensor is None:
+            per_sensor = self._per_sensor(fact, pieces, own, time_range)
         attrs = list(dict.fromkeys(list(keys) + list(extra_keys) + list(filters)))
         if attrs:
             chain = self._apply_filters(self._chain(attrs, 2), filters)

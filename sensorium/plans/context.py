@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sensorium.operators.alerts import threshold_table
 from sensorium.operators.model import SensorModel
-from sensorium.plans.views import VIEWS
+from sensorium.operators.navigate import BY_SENSOR, Lattice, SensorPieces
+from sensorium.plans.views import LATTICE_BASE, VIEWS, ViewDef
 from sensorium.session import scratch_path
 from sensorium.sources import testdata as td
+from sensorium.sources.stored import footers
+from sensorium.streaming.batchlog import BatchTable
 from sensorium.streaming.incremental import IncrementalView
 
 
@@ -19,6 +24,7 @@ class Ctx:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._stores: dict[str, IncrementalView] = {}
+        self._facts: dict[str, BatchTable] = {}
         self.pin_utc()
 
     def pin_utc(self) -> None:
@@ -45,16 +51,46 @@ class Ctx:
         """Attach ZoneId / SiteId to (partial or raw) fact rows."""
         return td.locate(df, self.spark, self.sf_dir, key)
 
-    def stored_view(self, name: str) -> IncrementalView:
-        """The view as a store of its own, built once from its whole source; queries
+    def _store(self, view: ViewDef) -> IncrementalView:
+        """A view kept as a store of its own, built once from its whole source; queries
         that serve from it read the store."""
-        if name not in self._stores:
-            view = VIEWS[name]
-            store = IncrementalView(self.spark, view, f"{scratch_path(self.spark, 'store')}/{name}")
-            store.backfill(self.readings if view.source == "readings" else self.alerts)
-            store.compact(0, "backfill")
-            self._stores[name] = store
-        return self._stores[name]
+        if view.name not in self._stores:
+            store = IncrementalView(self.spark, view, f"{scratch_path(self.spark, 'store')}/{view.name}")
+            located = "SiteId" in view.keys
+            if view.source == "readings":
+                rows = self.readings if located else self.readings_plain
+            else:
+                rows = self.alerts if located else self.alerts_plain
+            store.backfill(rows)
+            self._stores[view.name] = store
+        return self._stores[view.name]
+
+    def stored_view(self, name: str) -> IncrementalView:
+        return self._store(VIEWS[name])
+
+    @cached_property
+    def lattice(self) -> Lattice:
+        """The readings' views, all served from one store of hourly partials."""
+        return Lattice([self._store(LATTICE_BASE)], lambda: self.readings)
+
+    @cached_property
+    def stored_model(self) -> SensorModel:
+        """The measure layer over partials by sensor and day."""
+        return replace(self.model, stored={f: SensorPieces(self._store(v)) for f, v in BY_SENSOR.items()})
+
+    def footers(self, name: str) -> DataFrame:
+        """A test table whose counts come from its footers."""
+        return footers(self.spark, f"{self.sf_dir}/{name}.parquet")
+
+    def stored_facts(self, fact: str) -> BatchTable:
+        """Readings stored by day, or alerts by month, as ingest stores them."""
+        if fact not in self._facts:
+            column, unit, rows = {"readings": ("event_date", "day", self.readings_plain),
+                                  "alerts": ("event_month", "month", self.alerts_plain)}[fact]
+            table = BatchTable(self.spark, f"{scratch_path(self.spark, 'facts')}/{fact}", [column])
+            table.write(rows.withColumn(column, F.to_date(F.date_trunc(unit, "Timestamp"))), 0, "history")
+            self._facts[fact] = table
+        return self._facts[fact]
 
     @cached_property
     def alerts(self) -> DataFrame:

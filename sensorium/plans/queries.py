@@ -18,6 +18,7 @@ from sensorium.plans.context import Ctx
 from sensorium.operators.joins import MAX_SOURCE_BYTES, source_bytes
 from sensorium.plans.views import VIEWS, Agg, ViewDef
 from sensorium.sources import testdata as td
+from sensorium.sources.stored import footer_time_range
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -29,7 +30,7 @@ _CONTEXTS: dict = {}
 def context(spark: SparkSession, sf_dir: str) -> Ctx:
     """One context per (session, directory): its base DataFrames are lazy,
     immutable plans, so every query of the directory can share them."""
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _CONTEXTS:
         _CONTEXTS[key] = Ctx(spark, sf_dir)
     ctx = _CONTEXTS[key]
@@ -116,7 +117,8 @@ def view_lineitem_daily(ctx: Ctx) -> DataFrame:
 # ---------------------------------------------------------------- tiles ----
 @query("tile_total_readings")
 def tile_total_readings(ctx: Ctx) -> DataFrame:
-    return R.row_count(ctx.readings_plain)
+    # One reading per stored row: footers know their number.
+    return R.row_count(ctx.footers("events"))
 
 
 @query("tile_anomaly_rate")
@@ -128,7 +130,7 @@ def tile_anomaly_rate(ctx: Ctx) -> DataFrame:
 
 @query("tile_total_alerts")
 def tile_total_alerts(ctx: Ctx) -> DataFrame:
-    return R.row_count(ctx.alerts_plain)
+    return R.row_count(ctx.footers("orders"))
 
 
 @query("tile_readings_15m")
@@ -176,15 +178,16 @@ def tile_readings_by_type_site(ctx: Ctx) -> DataFrame:
     return g.orderBy(F.col("SiteId").asc(), F.col("SensorType").asc())
 
 
-@query("tile_latest50_alerts")
-def tile_latest50_alerts(ctx: Ctx) -> DataFrame:
+def alert_tile(ctx: Ctx, newest: DataFrame) -> DataFrame:
+    """The tile of the 50 newest alerts; only these are looked up in the dimensions."""
     cols = ["Timestamp", "SiteId", "SensorType", "Severity", "AlertType", "ReadingValue",
             "ThresholdValue", "Message", "AlertId"]
-    # Pick the 50 newest first; only they are looked up in the dimensions.
-    newest = R.latest(ctx.alerts_plain, 50, tie_break=["AlertId"])
-    from sensorium.sources.testdata import enrich_alerts
-    return R.latest(enrich_alerts(newest, ctx.spark, ctx.sf_dir).select(*cols), 50,
-                    tie_break=["AlertId"])
+    return R.latest(td.enrich_alerts(newest, ctx.spark, ctx.sf_dir).select(*cols), 50, tie_break=["AlertId"])
+
+
+@query("tile_latest50_alerts")
+def tile_latest50_alerts(ctx: Ctx) -> DataFrame:
+    return alert_tile(ctx, R.latest(ctx.alerts_plain, 50, tie_break=["AlertId"]))
 
 
 _AVG_TILES = [("Temperature", "AvgTemp", 1), ("Humidity", "AvgHumidity", 1),
@@ -205,13 +208,13 @@ for _t, _n, _d in _AVG_TILES:
 @query("live_count_5m")
 def live_count_5m(ctx: Ctx) -> DataFrame:
     r = ctx.readings_plain
-    return R.row_count(R.since(r, "5m", as_of=R.as_of_max(r)))
+    return R.row_count(R.since(r, "5m", as_of="max"))
 
 
 @query("anomaly_rate_1h")
 def anomaly_rate_1h(ctx: Ctx) -> DataFrame:
     r = ctx.readings_plain
-    g = R.since(r, "1h", as_of=R.as_of_max(r)).agg(
+    g = R.since(r, "1h", as_of="max").agg(
         F.count(F.lit(1)).alias("TotalReadings"), F.count_if(F.col("IsAnomaly")).alias("Anomalies"))
     return g.withColumn("AnomalyRate", pct("Anomalies", "TotalReadings", 2))
 
@@ -219,22 +222,23 @@ def anomaly_rate_1h(ctx: Ctx) -> DataFrame:
 @query("temp_by_site_1m")
 def temp_by_site_1m(ctx: Ctx) -> DataFrame:
     r = ctx.readings_plain
-    recent = R.since(r.where(F.col("SensorType") == "Temperature"), "1h", as_of=R.as_of_max(r))
+    # The hour ends with the latest reading of any type.
+    recent = r.where((F.col("Timestamp") > R.as_of_max(r, minus="1h")) & (F.col("SensorType") == "Temperature"))
     v = ViewDef("temp_1m", "readings", "1m", ("SiteId",),
                 (Agg("AvgTemp", "avg", lambda: F.col("ReadingValue")),))
-    return v.compute_located(recent, ctx.locate, LOCATION_KEYS)
+    return located(ctx, v, recent)
 
 
 @query("alerts_severity_30m")
 def alerts_severity_30m(ctx: Ctx) -> DataFrame:
     a = ctx.alerts_plain
-    return R.count_by(R.since(a, "30m", as_of=R.as_of_max(a)), "Severity", name="AlertCount")
+    return R.count_by(R.since(a, "30m", as_of="max"), "Severity", name="AlertCount")
 
 
 @query("top_sensors_1h")
 def top_sensors_1h(ctx: Ctx) -> DataFrame:
     a = ctx.alerts_plain
-    g = _per_sensor_alerts(ctx, R.since(a, "1h", as_of=R.as_of_max(a))).select(
+    g = _per_sensor_alerts(ctx, R.since(a, "1h", as_of="max")).select(
         "SensorId", "SensorType", "AlertCount")
     return R.top_n(g, 10, "AlertCount", tie_break=["SensorId", "SensorType"])
 
@@ -242,15 +246,15 @@ def top_sensors_1h(ctx: Ctx) -> DataFrame:
 @query("temp_by_zone_1h")
 def temp_by_zone_1h(ctx: Ctx) -> DataFrame:
     r = ctx.readings_plain
-    recent = R.since(r, "1h", as_of=R.as_of_max(r)).where(F.col("SensorType") == "Temperature")
+    recent = R.since(r, "1h", as_of="max").where(F.col("SensorType") == "Temperature")
     v = ViewDef("temp_zone", "readings", None, ("ZoneId",),
                 (Agg("AvgValue", "avg", lambda: F.col("ReadingValue")),))
-    return v.compute_located(recent, ctx.locate, LOCATION_KEYS)
+    return located(ctx, v, recent)
 
 
 @query("diag_time_range")
 def diag_time_range(ctx: Ctx) -> DataFrame:
-    return R.time_range(ctx.readings_plain)
+    return footer_time_range(ctx.spark, f"{ctx.sf_dir}/events.parquet", "ts", "Timestamp")
 
 
 @query("diag_by_site")

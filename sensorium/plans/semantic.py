@@ -152,8 +152,7 @@ def fs_anomaly_by_zone_type_7d(ctx: Ctx) -> DataFrame:
     """The zone-type question restricted to the last 7 days of readings
     (a half-open range on the fact's own timestamp, applied before its
     aggregate)."""
-    hi = R.as_of_max(ctx.readings_plain)
-    lo = hi - F.make_dt_interval(days=F.lit(7))
+    lo = R.as_of_max(ctx.readings_plain, minus="7d")
     return ctx.model.query([ZONE_TYPE], ["Anomaly Rate", "Total Readings", "Anomaly Count"],
                            time_range=(lo, None))
 

@@ -11,18 +11,26 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sensorium.plans.context import Ctx
 from sensorium.plans.derived import ALERTS_SQL
+from sensorium.functions.scalar import pct, round_stable
+from sensorium.operators import relational as R
+from sensorium.operators.model import ALL_MEASURES
 from sensorium.plans.oracle import ORACLE, VIEW_SQL, with_base
-from sensorium.plans.queries import query
-from sensorium.plans.views import VIEWS
+from sensorium.plans.queries import alert_tile, query
+from sensorium.plans.semantic import SITE
+from sensorium.plans.views import VIEWS, Agg, ViewDef
 from sensorium.session import remove_path, scratch_path
-from sensorium.streaming.batchlog import children
-from sensorium.streaming.incremental import IncrementalView
+from sensorium.sources.stored import latest_stored
+from sensorium.sources.tables import drop_expired
+from sensorium.streaming.batchlog import BatchTable, children
+from sensorium.streaming.incremental import PERIOD, IncrementalView
 from sensorium.streaming.ingest import (
     ALERT_TABLE, READING_TABLE, Ingest, alert_handler, append_history, csv_stream, event_stream,
-    read_table, run_once, to_events,
+    ingest_totals, read_recent, read_table, run_once, to_events, window_handler,
 )
 
 BATCHES = 3
+WINDOWS_15M = ViewDef("windows_15m", "readings", "15m", ("SensorType",), (
+    Agg("Readings", "count"), Agg("MaxValue", "max", lambda: F.col("ReadingValue"))))
 
 
 def files_per_trigger(ctx: Ctx, path: str, batches: int = BATCHES) -> int:
@@ -169,14 +177,64 @@ def append_batch_readings(ctx: Ctx) -> DataFrame:
         F.count(F.lit(1)).alias("Readings"))
 
 
+@query("stream_windowed_15m")
+def stream_windowed_15m(ctx: Ctx) -> DataFrame:
+    """Tumbling windows with a watermark.  Files come in any order, so many rows are late;
+    on-time rows are in the windows and late ones in a table of their own, each row in one."""
+    root = scratch_path(ctx.spark, "windowed")
+    view = IncrementalView(ctx.spark, WINDOWS_15M, f"{root}/windows")
+    ingest = Ingest(schemas={READING_TABLE: ctx.readings_plain.schema},
+                    handlers={READING_TABLE: [window_handler(view, f"{root}/late", "10 minutes")]})
+    run_events(ctx, to_events(ctx.readings_plain), ingest, root)
+    late = read_table(ctx.spark, f"{root}/late", ctx.readings_plain.schema)
+    return WINDOWS_15M.merge(view.partials().drop(PERIOD).unionByName(WINDOWS_15M.partial(late)))
+
+
+@query("stream_totals_restart")
+def stream_totals_restart(ctx: Ctx) -> DataFrame:
+    """A stream fails in its second batch and is started again; totals per destination
+    are those of all batches, each counted once."""
+    root = scratch_path(ctx.spark, "totals")
+    failed = []
+
+    def fail_once(rows: DataFrame, batch_id: int, source: str) -> None:
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("a failure on purpose")
+
+    ingest = model_ingest(ctx, root, totals=f"{root}/totals", handlers={READING_TABLE: [fail_once]})
+    to_events(ctx.readings, ctx.alerts).write.mode("overwrite").text(f"{root}/in")
+    for _ in range(2):
+        stream = event_stream(ctx.spark, f"{root}/in", max_files_per_trigger=files_per_trigger(ctx, f"{root}/in"))
+        q = ingest.start(stream, checkpoint=f"{root}/checkpoint", available_now=True)
+        try:
+            drained(q)
+        except Exception:
+            if "a failure on purpose" not in str(q.exception()):
+                raise
+    return ingest_totals(ctx.spark, f"{root}/totals").select("destination", "events")
+
+
+@query("retention_stream_table")
+def retention_stream_table(ctx: Ctx) -> DataFrame:
+    """S20 as storage: a table that ingest wrote, after its days of more than a week before
+    the last one were dropped."""
+    root = scratch_path(ctx.spark, "retention")
+    run_events(ctx, to_events(ctx.readings), model_ingest(ctx, root), root)
+    table = f"{root}/tables/{READING_TABLE}"
+    drop_expired(ctx.spark, table, 7, BatchTable(ctx.spark, table).days()[-1])
+    return read_table(ctx.spark, table, ctx.readings.schema).groupBy(F.to_date("Timestamp").alias("Day")).agg(
+        F.count(F.lit(1)).alias("Readings"))
+
+
 # ------------------------------------------------- serving a stored view ----
 @query("mv_served_hourly_recent")
 def mv_served_hourly_recent(ctx: Ctx) -> DataFrame:
-    """The "last 24 h, newest first" query over the stored hourly view: it opens
-    the days it needs of the view, not the raw facts."""
-    from sensorium.operators import relational as R
-    lower = R.as_of_max(ctx.readings_plain, minus="24h")
-    recent = ctx.stored_view("mv_readings_hourly").read(days=(lower, None))
+    """The "last 24 h, newest first" query over the stored hourly view.  Bins after the latest
+    bin less a day are those after the latest reading less a day: the view alone is read."""
+    store = ctx.stored_view("mv_readings_hourly")
+    lower = store.latest(minus="24h")
+    recent = store.read(days=(lower, None))
     return recent.where(F.col("Timestamp") > lower).orderBy(F.col("Timestamp").desc())
 
 
@@ -192,10 +250,89 @@ def mv_served_alerts_by_site(ctx: Ctx) -> DataFrame:
     return ctx.stored_view("mv_alerts_daily").read().groupBy("SiteId").agg(F.sum("AlertCount").alias("TotalAlerts"))
 
 
+# ---------------------------------------- one store of hourly partials ------
+_FOLDED = ("mv_readings_hourly", "mv_readings_daily", "mv_quality_daily", "mv_anomaly_rate_hourly")
+for _name in _FOLDED:
+    query(f"lattice_{_name}")(lambda ctx, _n=_name: ctx.lattice.answer(VIEWS[_n]))
+
+_COUNT = Agg("n", "count")
+_ANOMALIES = Agg("a", "countif", VIEWS["mv_anomaly_rate_hourly"].aggs[1].expr)
+_VALUE = Agg("v", "avg", VIEWS["mv_readings_hourly"].aggs[1].expr)
+
+
+@query("lattice_tile_anomaly_rate_by_site")
+def lattice_tile_anomaly_rate_by_site(ctx: Ctx) -> DataFrame:
+    g = ctx.lattice.answer(ViewDef("by_site", "readings", None, ("SiteId",), (_COUNT, _ANOMALIES)))
+    return g.select("SiteId", pct("a", "n", 2, scale_first=False).alias("AnomalyRate")).orderBy(F.col("AnomalyRate").desc())
+
+
+@query("lattice_tile_readings_by_type_site")
+def lattice_tile_readings_by_type_site(ctx: Ctx) -> DataFrame:
+    g = ctx.lattice.answer(ViewDef("by_type_site", "readings", None, ("SiteId", "SensorType"), (_COUNT,)))
+    return g.withColumnRenamed("n", "Count").orderBy(F.col("SiteId").asc(), F.col("SensorType").asc())
+
+
+@query("lattice_tile_avg_temperature")
+def lattice_tile_avg_temperature(ctx: Ctx) -> DataFrame:
+    g = ctx.lattice.answer(ViewDef("avg", "readings", None, (), (_VALUE,)), filters={"SensorType": "Temperature"})
+    return g.select(round_stable("v", 1).alias("AvgTemp"))
+
+
+# ------------------------------- measures from partials by sensor and day ----
+@query("stored_fs_rate_by_site")
+def stored_fs_rate_by_site(ctx: Ctx) -> DataFrame:
+    return ctx.stored_model.query([SITE], ["Total Readings", "Anomaly Rate", "Total Alerts", "Alert Rate"])
+
+
+@query("stored_measures_overview")
+def stored_measures_overview(ctx: Ctx) -> DataFrame:
+    return ctx.stored_model.query([], ALL_MEASURES)
+
+
+# --------------------------------------------- tables stored by day folders ----
+@query("stored_latest5_readings")
+def stored_latest5_readings(ctx: Ctx) -> DataFrame:
+    """The five latest readings of a stored table: the newest day alone is read."""
+    newest = latest_stored(ctx.stored_facts("readings"), 5, tie_break=["ReadingId"], schema=ctx.readings_plain.schema)
+    cols = ["ReadingId", "SensorId", "ZoneId", "SiteId", "Timestamp", "SensorType",
+            "ReadingValue", "Unit", "IsAnomaly", "QualityFlag"]
+    return R.latest(ctx.locate(newest).select(*cols), 5, tie_break=["ReadingId"])
+
+
+@query("stored_latest50_alerts")
+def stored_latest50_alerts(ctx: Ctx) -> DataFrame:
+    newest = latest_stored(ctx.stored_facts("alerts"), 50, tie_break=["AlertId"], schema=ctx.alerts_plain.schema)
+    return alert_tile(ctx, newest.drop("event_month"))
+
+
+@query("stored_live_count_5m")
+def stored_live_count_5m(ctx: Ctx) -> DataFrame:
+    """The last five minutes of a stored table: its newest days are listed and opened."""
+    return R.row_count(read_recent(ctx.spark, ctx.stored_facts("readings").root, "5m", ctx.readings_plain.schema))
+
+
 ORACLE.update({
     "mv_served_hourly_recent": ORACLE["mv_hourly_recent"],
     "mv_served_anomaly_over_5": ORACLE["mv_anomaly_over_5"],
     "mv_served_alerts_by_site": ORACLE["mv_alerts_by_site"],
+    **{f"lattice_{n}": ORACLE[n] for n in _FOLDED},
+    "lattice_tile_anomaly_rate_by_site": ORACLE["tile_anomaly_rate_by_site"],
+    "lattice_tile_readings_by_type_site": ORACLE["tile_readings_by_type_site"],
+    "lattice_tile_avg_temperature": ORACLE["tile_avg_temperature"],
+    "stored_fs_rate_by_site": ORACLE["fs_rate_by_site"],
+    "stored_measures_overview": ORACLE["measures_overview"],
+    "stored_latest5_readings": ORACLE["check_latest5"],
+    "stored_latest50_alerts": ORACLE["tile_latest50_alerts"],
+    "stored_live_count_5m": ORACLE["live_count_5m"],
+    "stream_windowed_15m": with_base(
+        """SELECT time_bucket(INTERVAL '15 minutes', "Timestamp") AS "Timestamp", SensorType, count(*) AS Readings,
+                  max(ReadingValue) AS MaxValue FROM readings GROUP BY 1, 2"""),
+    "stream_totals_restart": with_base(
+        """SELECT 'SensorReading' AS destination, count(*) AS events FROM readings
+           UNION ALL SELECT 'SensorAlert', count(*) FROM alerts UNION ALL SELECT 'quarantine', 0"""),
+    "retention_stream_table": with_base(
+        """SELECT CAST("Timestamp" AS DATE) AS Day, count(*) AS Readings FROM readings
+           WHERE CAST("Timestamp" AS DATE) >= (SELECT CAST(max("Timestamp") AS DATE) - 7 FROM readings) GROUP BY 1"""),
     "stream_views_daily": with_base(VIEW_SQL["mv_readings_daily"]),
     "stream_alerts_daily": with_base(VIEW_SQL["mv_alerts_daily"]),
     "stream_live_alerts": with_base(ALERTS_SQL),

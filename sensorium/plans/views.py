@@ -82,9 +82,10 @@ class ViewDef:
                 out.append(F.count_if(a.expr()).alias(f"{a.name}__n"))
         return self._group(df, keys, extra).agg(*out)
 
-    def fold(self, partials: DataFrame) -> DataFrame:
-        """Partials → partials (one row per group): used by compaction."""
-        out = []
+    def fold(self, partials: DataFrame, extra=(), latest=()) -> DataFrame:
+        """Partials → partials (one row per group): used by compaction.  ``extra`` are
+        further keys, ``latest`` columns of which the greatest value is kept."""
+        out = [F.max(c).alias(c) for c in latest]
         for c in partials.columns:
             if c.endswith("__n") or c.endswith("__s") or c.endswith("__c"):
                 out.append(F.sum(c).alias(c))
@@ -92,7 +93,7 @@ class ViewDef:
                 out.append(F.min(c).alias(c))
             elif c.endswith("__max"):
                 out.append(F.max(c).alias(c))
-        return partials.groupBy(*self._key_names()).agg(*out)
+        return partials.groupBy(*self._key_names(), *extra).agg(*out)
 
     def finalize(self, folded: DataFrame) -> DataFrame:
         cols = [F.col(k) for k in self._key_names()]
@@ -161,3 +162,7 @@ VIEWS: dict[str, ViewDef] = {v.name: v for v in [
         Agg("DegradedCount", "countif", lambda: ne_safe("QualityFlag", QUALITY_GOOD)),
     )),
 ]}
+
+#: Hourly partials that hold the pieces of every view of the readings; the others are folded from them.
+LATTICE_BASE = ViewDef("readings_hourly", "readings", "1h", ("SensorType", "SiteId"), (
+    *_READING_STATS, Agg("DegradedCount", "countif", lambda: ne_safe("QualityFlag", QUALITY_GOOD))))

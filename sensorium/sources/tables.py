@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sensorium.operators.relational import as_of_max
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              header: bool = True, **options) -> DataFrame:
@@ -107,16 +109,15 @@ def apply_retention(df: DataFrame, days: int, as_of=None, ts: str = "Timestamp",
                     date_col: str | None = "event_date") -> DataFrame:
     """Rows younger than ``days`` relative to ``as_of`` (S20), as a read filter.
 
+    ``as_of``: a Column or literal; ``"max"`` = the table's latest time; default now.
     On a table partitioned by ``date_col`` the filter prunes whole partitions;
     ``drop_expired`` removes them from storage.
     """
-    if as_of is None:
-        anchor = F.current_timestamp()
-    elif isinstance(as_of, Column):
-        anchor = as_of
+    if isinstance(as_of, str) and as_of == "max":
+        cut = as_of_max(df, ts, days * 86400)
     else:
-        anchor = F.lit(as_of)
-    cut = anchor - F.make_dt_interval(days=F.lit(days))
+        anchor = F.current_timestamp() if as_of is None else as_of if isinstance(as_of, Column) else F.lit(as_of)
+        cut = anchor - F.make_dt_interval(days=F.lit(days))
     out = df.where(F.col(ts) >= cut)
     if date_col and date_col in df.columns:
         out = out.where(F.col(date_col) >= F.to_date(cut))
@@ -163,19 +164,19 @@ def register_all(spark: SparkSession, tables: dict[str, DataFrame | str], fmt: s
 
 def drop_expired(spark: SparkSession, path: str, days: int, as_of: str, date_col: str = "event_date") -> list[str]:
     """Remove the day folders of a table that are older than ``days`` before the date
-    ``as_of`` (S20 as storage).  Returns their dates.  ``path`` is the folder
-    that holds the ``date_col=…`` folders."""
+    ``as_of`` (S20 as storage).  Returns their dates.  ``path`` is the root of a table whose
+    outermost folders are ``date_col=…``, as ingest writes them; any other raises."""
     from datetime import date, timedelta
 
     from sensorium.session import remove_path
     from sensorium.streaming.batchlog import children
     cut = date.fromisoformat(as_of) - timedelta(days=days)
-    gone = []
-    for name in children(spark, path):
-        key, _, value = name.partition("=")
-        if key == date_col and value != "__HIVE_DEFAULT_PARTITION__" and date.fromisoformat(value) < cut:
-            remove_path(spark, f"{path.rstrip('/')}/{name}")
-            gone.append(value)
+    dated = [n.partition("=")[2] for n in children(spark, path) if n.startswith(f"{date_col}=")]
+    if not dated:
+        raise ValueError(f"{path} has no {date_col}=… folders")
+    gone = [d for d in dated if d != "__HIVE_DEFAULT_PARTITION__" and date.fromisoformat(d) < cut]
+    for day in gone:
+        remove_path(spark, f"{path.rstrip('/')}/{date_col}={day}")
     return gone
 
 

@@ -78,7 +78,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The test table ``name`` (read-only input: the reader and its file
     listing are reused within a session)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, path)
     if key not in _READERS:
         _READERS[key] = spark.read.parquet(path)
     return _READERS[key]

@@ -1,35 +1,39 @@
 """Incremental aggregate views kept current by a stream.
 
-A view is stored as mergeable partial aggregates, one write per micro-batch
-(keyed by query and batch like every stream write, so a replayed batch replaces
-its own partials), partitioned by the day of the bin.  ``read`` folds the
-partials it needs and finalises them: reading a time range opens only its days.
-Partials are order-free, so late rows of any age are folded in without a
-watermark (T9).  A backfill (T8) is one more source of partials.
-
-``compact`` folds partials into fewer rows: the batches that it covers are
-folded into one new part, and when ``FAN_IN`` parts of one tier have gathered
-they are folded into one of the next.  A partial is thus rewritten a number of
-times that is logarithmic in the number of compactions.  A part becomes
-visible by one row in an append-only log; readers see it or what it covers,
-never both.  What is covered is removed by ``vacuum``, after a delay that
-leaves running readers their files.
+A view is stored as mergeable partial aggregates in two plain Parquet tables:
+
+    root/open/_source=…/_batch=N/   partials of one micro-batch, in few files sorted by bin
+    root/closed/bin_period=…/       partials folded over batches, one folder a day or month
+
+``read`` folds what it needs of both and finalises.  Partials are order-free, so
+late rows of any age are folded in without a watermark (T9); a backfill (T8) is one
+more source of partials.
+
+``compact`` is one Spark job: the open partials of committed batches and the closed
+periods they fall in are folded, and exactly these periods are overwritten (dynamic
+partition overwrite).  Closed rows carry the source and the highest batch that was
+folded (``_upto``), and a reader takes no open rows that its period has already: a
+compaction that fails half way, or runs again, counts nothing twice.  Files stay
+bounded by the periods and the open batches.
+
+The folder is a day for bins of up to an hour and a month for daily bins, so that a
+folder holds some 24 to 31 bins.  Snapshots, and swapping a folder's files under
+running readers, are left to a table format where there is one.
 """
 
 from __future__ import annotations
 
-import time
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorium.functions.scalar import parse_span
 from sensorium.plans.views import ViewDef
 from sensorium.session import remove_path
-from sensorium.streaming.batchlog import BatchTable, children, current_source
+from sensorium.streaming.batchlog import BatchTable, children, current_source, touch
 
-DAY = "bin_date"
-FAN_IN = 8
-_LOG = "part int, tier int, source string, upto_batch long, replaces array<int>, written double"
+PERIOD = "bin_period"
+_FOLDED = "_folded"  # an empty file per source: up to which batch its last compaction went
+_DAY_SECONDS = 86400
 
 
 class IncrementalView:
@@ -39,55 +43,77 @@ class IncrementalView:
         self.spark = spark
         self.view = view
         self.root = root.rstrip("/")
-        self.log = BatchTable(spark, f"{self.root}/partials", [DAY])
+        self.open = BatchTable(spark, f"{self.root}/open")
+        self.closed = f"{self.root}/closed"
 
     # ---- writing -----------------------------------------------------------
-    def _dated(self, partials: DataFrame) -> DataFrame:
-        day = F.to_date(self.view.ts) if self.view.span else F.lit(None).cast("date")
-        return partials.withColumn(DAY, day)
+    def _period(self, ts: Column) -> Column:
+        """The folder that a bin belongs to; bins without a time go to one of their own."""
+        never = F.to_date(F.lit("1970-01-01"))
+        if not self.view.span:
+            return never
+        unit = "month" if parse_span(self.view.span) >= _DAY_SECONDS else "day"
+        return F.coalesce(F.to_date(F.date_trunc(unit, ts)), never)
 
     def apply_batch(self, df: DataFrame, batch_id: int, source: str | None = None) -> None:
         """Fold one micro-batch (idempotent per source and ``batch_id``)."""
-        self.log.write(self._dated(self.view.partial(df)), batch_id, source)
+        self.write_partials(self.view.partial(df), batch_id, source)
+
+    def write_partials(self, partials: DataFrame, batch_id: int, source: str | None = None) -> None:
+        if self.view.span:
+            partials = partials.hint("rebalance", self.view.ts).sortWithinPartitions(self.view.ts)
+        else:
+            partials = partials.hint("rebalance")
+        self.open.write(partials, batch_id, source)
 
     def backfill(self, history: DataFrame) -> None:
-        """Fold historical rows (``with (backfill=true)``)."""
+        """Fold historical rows (``with (backfill=true)``).  Done once; another history
+        needs a view of its own."""
         self.apply_batch(history, 0, "backfill")
 
     # ---- state -------------------------------------------------------------
-    def _parts(self) -> list[tuple]:
-        """Rows of the log: one for each compaction."""
-        if not children(self.spark, f"{self.root}/log"):
-            return []
-        return [tuple(r) for r in self.spark.read.schema(_LOG).parquet(f"{self.root}/log").collect()]
-
-    def _pieces(self, parts: list[tuple]) -> tuple[list[int], list[tuple[str, int]]]:
-        """Parts that are live, and the (source, batch) folders that no part covers."""
-        replaced = {p for row in parts for p in row[4]}
-        covered: dict[str, int] = {}
-        for _, _, source, upto, _, _ in parts:
-            if source is not None:
-                covered[source] = max(covered.get(source, -1), upto)
-        batches = []
-        for name in children(self.spark, self.log.root):
-            if name.startswith("_source="):
-                source = name.removeprefix("_source=")
-                batches += [(source, int(b.removeprefix("_batch="))) for b in children(self.spark, f"{self.log.root}/{name}")
-                            if b.startswith("_batch=") and int(b.removeprefix("_batch=")) > covered.get(source, -1)]
-        return [row[0] for row in parts if row[0] not in replaced], batches
-
-    def _load(self, parts: list[int], batches: list[tuple[str, int]]) -> DataFrame | None:
-        out = None
-        for path, base in [(f"{self.root}/parts/{p}", f"{self.root}/parts/{p}") for p in parts] + \
-                [(self.log.batch_path(b, s), self.log.batch_path(b, s)) for s, b in batches]:
-            if not any("=" in n or n.endswith(".parquet") for n in children(self.spark, path)):
-                continue  # a batch without rows
-            df = self.spark.read.option("basePath", base).parquet(path)
-            out = df if out is None else out.unionByName(df)
-        return out
+    def _closed(self, periods: list | None = None) -> DataFrame | None:
+        """Closed rows; of the listed periods only (others aren't listed or opened)."""
+        there = [n for n in children(self.spark, self.closed) if n.startswith(f"{PERIOD}=")]
+        if periods is not None:
+            there = sorted({f"{PERIOD}={p}" for p in periods} & set(there))
+        if not there:
+            return None
+        paths = [self.closed] if periods is None else [f"{self.closed}/{n}" for n in there]
+        return self.spark.read.option("basePath", self.closed).parquet(*paths)
+
+    def _open(self) -> DataFrame | None:
+        """Rows of open batches that their closed period doesn't hold yet."""
+        if self.open.is_empty():
+            return None
+        rows = self.open.read(keys=True)
+        rows = rows.withColumn(PERIOD, self._period(F.col(self.view.ts) if self.view.span else F.lit(None)))
+        closed = self._closed()
+        if closed is None:
+            return rows
+        held = closed.groupBy(F.col(PERIOD).alias("_p"), F.col("_source").alias("_s")).agg(F.max("_upto").alias("_held"))
+        held = rows.join(held, (rows[PERIOD] == held["_p"]) & (rows["_source"] == held["_s"]), "left")
+        return held.where(F.col("_held").isNull() | (F.col("_batch") > F.col("_held"))).drop("_p", "_s", "_held")
 
     def partials(self) -> DataFrame | None:
-        return self._load(*self._pieces(self._parts()))
+        """Partials of all batches, each counted once; None before the first."""
+        closed, fresh = self._closed(), self._open()
+        parts = [p.drop("_source", "_batch", "_upto") for p in (closed, fresh) if p is not None]
+        return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0] if parts else None
+
+    def latest(self, minus: str | int | None = None) -> Column:
+        """The view's latest bin as a scalar subquery; it reads open batches and the
+        newest closed period only."""
+        periods = sorted(n.partition("=")[2] for n in children(self.spark, self.closed) if n.startswith(f"{PERIOD}="))
+        parts = [p for p in (self._closed(periods[-1:]) if periods else None,
+                             None if self.open.is_empty() else self.open.read()) if p is not None]
+        if not parts:
+            raise ValueError(f"view {self.view.name} has no data yet")
+        bins = [p.select(self.view.ts) for p in parts]
+        newest = F.max(self.view.ts)
+        if minus is not None:
+            newest = newest - F.make_dt_interval(secs=F.lit(parse_span(minus)))
+        return (bins[0].unionByName(bins[1]) if len(bins) == 2 else bins[0]).agg(newest).scalar()
 
     def read(self, source_schema=None, days: tuple | None = None) -> DataFrame:
         """The view as of the last written batch, finalised; only bins of ``days``
@@ -98,63 +124,49 @@ class IncrementalView:
             if source_schema is None:
                 raise ValueError(f"view {self.view.name} has no data yet")
             return self.view.compute(self.spark.createDataFrame([], source_schema))
-        first, last = days or (None, None)
-        if first is not None:
-            state = state.where(F.col(DAY) >= F.to_date(first if not isinstance(first, str) else F.lit(first)))
-        if last is not None:
-            state = state.where(F.col(DAY) <= F.to_date(last if not isinstance(last, str) else F.lit(last)))
-        return self.view.merge(state.drop(DAY))
+        return self.view.merge(self.within(state, days).drop(PERIOD))
+
+    def within(self, state: DataFrame, days: tuple | None) -> DataFrame:
+        """The partials of bins in ``days``; closed periods outside aren't opened."""
+        for bound, first in zip(days or (), (True, False), strict=False):
+            if bound is None:
+                continue
+            day = F.to_date(bound if isinstance(bound, Column) else F.lit(bound))
+            ts = F.to_date(self.view.ts)
+            state = state.where((F.col(PERIOD) >= self._period(day)) & (ts >= day) if first
+                                else (F.col(PERIOD) <= self._period(day)) & (ts <= day))
+        return state
 
     # ---- compaction --------------------------------------------------------
-    def _fold(self, part: int, tier: int, state: DataFrame, source: str | None, upto: int, replaces: list[int]) -> None:
-        folded = self._dated(self.view.fold(state.drop(DAY)))
-        folded.hint("rebalance", DAY).write.mode("overwrite").option("partitionOverwriteMode", "static") \
-            .partitionBy(DAY).parquet(f"{self.root}/parts/{part}")
-        self.spark.createDataFrame([(part, tier, source, upto, replaces, time.time())], _LOG) \
-            .write.mode("append").parquet(f"{self.root}/log")
-
     def compact(self, upto_batch: int, source: str | None = None) -> None:
-        """Fold the batches of ``source`` up to ``upto_batch`` that no part covers
-        yet.  Only committed batches may be folded; inside ``foreachBatch`` of
-        batch N every batch < N is committed.  One compaction runs at a time."""
+        """Fold the batches of ``source`` up to ``upto_batch`` into their periods.  Only
+        committed batches may be folded; inside ``foreachBatch`` of batch N every batch
+        < N is committed.  One compaction runs at a time.
+
+        Batches that the compaction before this one has folded are removed, so a running
+        reader keeps its files for the time between two compactions."""
         source = source or current_source(self.spark)
-        parts = self._parts()
-        todo = [(s, b) for s, b in self._pieces(parts)[1] if s == source and b <= upto_batch]
-        state = self._load([], todo)
-        if state is None:
-            return
-        part = 1 + max((row[0] for row in parts), default=-1)
-        self._fold(part, 0, state, source, upto_batch, [])
-        while True:
-            parts = self._parts()
-            live = set(self._pieces(parts)[0])
-            tiers: dict[int, list[int]] = {}
-            for row in parts:
-                if row[0] in live:
-                    tiers.setdefault(row[1], []).append(row[0])
-            full = next((t for t, ids in sorted(tiers.items()) if len(ids) >= FAN_IN), None)
-            if full is None:
-                return
-            part = 1 + max(row[0] for row in parts)
-            self._fold(part, full + 1, self._load(tiers[full], []), None, -1, sorted(tiers[full]))
-
-    def vacuum(self, older_than_sec: float = 3600.0) -> int:
-        """Remove partials and parts that parts written at least ``older_than_sec``
-        ago cover.  Returns the number of folders removed."""
-        now, removed = time.time(), 0
-        old = [row for row in self._parts() if now - row[5] >= older_than_sec]
-        gone = [f"{self.root}/parts/{p}" for row in old for p in row[4]]
-        for _, _, source, upto, _, _ in old:
-            if source is not None:
-                base = f"{self.log.root}/_source={source}"
-                gone += [f"{base}/{b}" for b in children(self.spark, base)
-                         if b.startswith("_batch=") and int(b.removeprefix("_batch=")) <= upto]
-        for path in dict.fromkeys(gone):
-            folder, _, name = path.rpartition("/")
-            if name in children(self.spark, folder):
-                remove_path(self.spark, path)
-                removed += 1
-        return removed
+        marks = f"{self.root}/{_FOLDED}/{source}"
+        before = max(map(int, children(self.spark, marks)), default=-1)
+        rows = self._open()
+        todo = None if rows is None else rows.where((F.col("_source") == source) & (F.col("_batch") <= upto_batch))
+        # Periods that batches fall in: as many values as there are days or months in them.
+        periods = [] if todo is None else [r[0] for r in todo.select(PERIOD).distinct().collect()]
+        if periods:
+            todo = todo.withColumn("_upto", F.lit(int(upto_batch)).cast("long")).drop("_batch")
+            old = self._closed(periods)
+            state = todo if old is None else todo.unionByName(old)
+            folded = self.view.fold(state, extra=(PERIOD, "_source"), latest=("_upto",))
+            order = [PERIOD, self.view.ts] if self.view.span else [PERIOD]
+            folded.hint("rebalance", PERIOD).sortWithinPartitions(*order).write.mode("overwrite") \
+                .option("partitionOverwriteMode", "dynamic").partitionBy(PERIOD).parquet(self.closed)
+        if upto_batch > before:
+            touch(self.spark, f"{marks}/{int(upto_batch)}")
+            if before >= 0:
+                remove_path(self.spark, f"{marks}/{before}")
+        for batch_id in self.open.batches(source):
+            if batch_id <= before:
+                self.open.remove_batch(batch_id, source)
 
     def attach(self, every_compact: int | None = None):
         """A ``foreachBatch`` function folding each batch into this view;

@@ -14,6 +14,7 @@ as ``true``/``false``.
 
 from __future__ import annotations
 
+import datetime as dt
 import threading
 import time
 from dataclasses import dataclass, field
@@ -24,9 +25,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from sensorium.functions.scalar import bool_text, parse_bool, to_iso_text
+from sensorium.functions.scalar import bin_time, bool_text, parse_bool, parse_span, to_iso_text
+from sensorium.operators.relational import as_of_max
 from sensorium.session import remove_path
-from sensorium.streaming.batchlog import BatchTable, children, current_source
+from sensorium.streaming.batchlog import BatchTable, children, current_source, exists
 
 READING_TABLE = "SensorReading"
 ALERT_TABLE = "SensorAlert"
@@ -174,9 +176,24 @@ def one_of_each(df: DataFrame, key: str) -> DataFrame:
     return kept.unionByName(df.where(F.col(key).isNull()))
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Batch view of a stream-written table (S17): same files, no copy."""
-    return BatchTable(spark, path).read()
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, days: tuple | None = None) -> DataFrame:
+    """Batch view of a stream-written table (S17): same files, no copy.  With the declared
+    ``schema`` and the ``days`` (first, last) of interest it lists and opens only these."""
+    return BatchTable(spark, path).read(schema, days)
+
+
+def read_recent(spark: SparkSession, path: str, span: str | int, schema: T.StructType | None = None,
+                ts: str = "Timestamp") -> DataFrame:
+    """Rows of the last ``span`` before the newest one of a table partitioned by ``event_date``.
+    The newest day's folder holds the newest row; only the days from which rows can be
+    recent enough are listed, and within them row groups are skipped."""
+    table = BatchTable(spark, path)
+    days = table.days()
+    if not days:
+        return table.read(schema)
+    first = dt.date.fromisoformat(days[-1]) - dt.timedelta(days=-(-parse_span(span) // 86400))
+    lower = as_of_max(table.read(schema, (days[-1], None)), ts, span)
+    return table.read(schema, (first, None)).where(F.col(ts) > lower)
 
 
 @dataclass
@@ -192,6 +209,8 @@ class Ingest:
     * ``dedup_key``      — table name → unique id; duplicates inside one batch
       are dropped (across batches: ``start(dedup_delay=…)``).  Rows without an
       id, and tables without a ``dedup_key``, keep every row;
+    * ``totals``         — path of a table of events per destination and batch, from which
+      ``ingest_totals`` has the totals over the ingest's whole life (T6);
     * ``parallel_writes`` — destinations written concurrently per batch (each
       is its own Spark job; they share nothing but the cached batch).
     """
@@ -201,12 +220,13 @@ class Ingest:
     handlers: dict[str, list[Callable[..., None]]] = field(default_factory=dict)
     partition_by: dict[str, list[str]] = field(default_factory=dict)
     dedup_key: dict[str, str] = field(default_factory=dict)
+    totals: str | None = None
     parallel_writes: int = 1
 
     def process(self, raw: DataFrame, batch_id: int) -> None:
         # The batch feeds several writes: parse it once and keep it for them.
         if "_table" in raw.columns:          # parsed (and deduplicated) upstream
-            parsed = raw.drop("_dkey", "_arrival").persist()
+            parsed = raw.persist()
         else:
             parsed = parse_events(raw, self.schemas).persist()
         source = current_source(raw.sparkSession)   # a property of this thread
@@ -227,6 +247,8 @@ class Ingest:
 
     def _tasks(self, routed: dict[str, DataFrame], batch_id: int, source: str) -> list:
         tasks = []
+        if self.totals:
+            tasks.append(lambda: write_batch_partition(_counts(routed), self.totals, batch_id, source=source))
         for name, df in routed.items():
             if name == "_quarantine":
                 if self.quarantine:
@@ -260,18 +282,18 @@ class Ingest:
         late in event time are still kept (T9) and the dedup state stays
         bounded by the delay.
         """
-        src = stream
-        if observe:
-            src = src.observe("ingest", F.count(F.lit(1)).alias("events"))
+        counted = lambda df, name: df.observe(name, F.count(F.lit(1)).alias("events")) if observe else df
         if dedup_delay and self.dedup_key:
-            parsed = parse_events(src, self.schemas)
-            # Rows without an id, and tables without a dedup key, never equal another row.
-            key = F.coalesce(*[F.when(F.col("_table") == t, F.concat(F.lit("="), F.col(k)))
-                               for t, k in self.dedup_key.items()], F.uuid())
-            src = (parsed.withColumn("_dkey", key)
-                   .withColumn("_arrival", F.current_timestamp())
-                   .withWatermark("_arrival", dedup_delay)
-                   .dropDuplicatesWithinWatermark(["_table", "_dkey"]))
+            parsed = parse_events(stream, self.schemas)
+            # Rows without an id, and tables without a dedup key, never equal another row: they pass
+            # by the stateful operator, and its state holds ids that are really there.
+            key = F.coalesce(*[F.when(F.col("_table") == t, F.col(k)) for t, k in self.dedup_key.items()])
+            keyed = counted(parsed.withColumn("_dkey", key).where(F.col("_dkey").isNotNull()), "ingest")
+            keyed = (keyed.withColumn("_arrival", F.current_timestamp()).withWatermark("_arrival", dedup_delay)
+                     .dropDuplicatesWithinWatermark(["_table", "_dkey"]))
+            src = keyed.drop("_dkey", "_arrival").unionByName(counted(parsed.where(key.isNull()), "ingest_keyless"))
+        else:
+            src = counted(stream, "ingest")
         watch_totals(stream.sparkSession)
         w = src.writeStream.option("checkpointLocation", checkpoint).foreachBatch(self.process)
         if available_now:
@@ -281,6 +303,56 @@ class Ingest:
         return w.start()
 
 
+def _counts(routed: dict[str, DataFrame]) -> DataFrame:
+    """(destination, events) of a batch: one row each."""
+    parts = [df.agg(F.count(F.lit(1)).alias("events")).select(F.lit(name.lstrip("_")).alias("destination"), "events")
+             for name, df in routed.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def ingest_totals(spark: SparkSession, path: str) -> DataFrame:
+    """(destination, events, batches) over all batches of all runs and queries that wrote
+    their totals to ``path`` (T6).  A batch's totals are keyed like its rows, so a restart
+    goes on and a replayed batch counts once."""
+    schema = T.StructType([T.StructField("destination", T.StringType()), T.StructField("events", T.LongType())])
+    return read_table(spark, path, schema).groupBy("destination").agg(
+        F.sum("events").alias("events"), F.count(F.lit(1)).alias("batches"))
+
+
+def window_handler(view, late_path: str, lateness: str | int = "10 minutes", ts: str = "Timestamp") -> Callable[..., None]:
+    """A handler for tumbling windows with a watermark (T10) that keeps its late rows.
+
+    The watermark of batch N is the latest time of the batches before it, less ``lateness``.
+    Rows of windows that had ended by then are late: they go to the table ``late_path``
+    (with the ``watermark`` they missed); all others go into the partials of ``view`` (an
+    :class:`~sensorium.streaming.incremental.IncrementalView` with a span), whose windows
+    before the watermark are final.  Rows without a time are late.  Each batch stores the
+    latest time so far under its own key, so a replay meets the same watermark, and a
+    restart goes on from it; nothing but that one value is state."""
+    secs, span = parse_span(lateness), parse_span(view.view.span)
+
+    def handle(rows: DataFrame, batch_id: int, source: str | None = None) -> None:
+        spark = rows.sparkSession
+        source = source or current_source(spark)
+        marks = BatchTable(spark, f"{view.root}/marks")
+        kind = rows.schema[ts].dataType
+        before = F.lit(None).cast(kind)
+        if batch_id and exists(spark, marks.batch_path(batch_id - 1, source)):
+            before = spark.read.parquet(marks.batch_path(batch_id - 1, source)).agg(F.max("latest")).scalar()
+        watermark = before - F.make_dt_interval(secs=F.lit(secs))
+        ends = bin_time(ts, span) + F.make_dt_interval(secs=F.lit(span))
+        late = F.col(ts).isNull() | F.coalesce(ends <= watermark, F.lit(False))
+        view.apply_batch(rows.where(~late), batch_id, source)
+        write_batch_partition(rows.where(late).withColumn("watermark", watermark), late_path, batch_id, source=source)
+        marks.write(rows.agg(F.greatest(F.max(ts), before).alias("latest")), batch_id, source)
+        if batch_id > 1:
+            marks.remove_batch(batch_id - 2, source)
+    return handle
+
+
 def alert_handler(thresholds: DataFrame, path: str, by: str = "type",
                   keep_p: float = 1.0) -> Callable[..., None]:
     """Live alert derivation on routed readings (T11): stateless, written per
@@ -307,6 +379,16 @@ def run_for(q: StreamingQuery, seconds: float) -> StreamingQuery:
     return q
 
 
+def _metrics(progress) -> dict[str, int]:
+    """Observed numbers of a batch; what is counted in two branches of a stream is one number."""
+    out: dict[str, int] = {}
+    for name, row in (progress.observedMetrics or {}).items():
+        for k, v in row.asDict().items():
+            key = f"{name.removesuffix('_keyless')}.{k}"
+            out[key] = out.get(key, 0) + int(v or 0)
+    return out
+
+
 class _Totals(StreamingQueryListener):
     """Batches done and metrics observed, per run of a query, from its first batch on."""
 
@@ -319,8 +401,7 @@ class _Totals(StreamingQueryListener):
 
     def onQueryProgress(self, event):  # noqa: N802
         p = event.progress
-        seen = {f"{name}.{k}": int(v or 0) for name, row in (p.observedMetrics or {}).items()
-                for k, v in row.asDict().items()}
+        seen = _metrics(p)
         with self.lock:
             self.runs.setdefault(str(p.runId), {})[p.batchId] = seen
             self.lock.notify_all()
@@ -348,7 +429,7 @@ def watch_totals(spark: SparkSession) -> _Totals:
 def _batches(q: StreamingQuery) -> dict[int, dict[str, int]]:
     totals = watch_totals(SparkSession.active())
     for p in q.recentProgress:  # what the listener has yet to be told
-        seen = {f"{n}.{k}": int(v or 0) for n, row in (p.observedMetrics or {}).items() for k, v in row.asDict().items()}
+        seen = _metrics(p)
         with totals.lock:
             totals.runs.setdefault(str(q.runId), {}).setdefault(p.batchId, seen)
     with totals.lock:
@@ -390,8 +471,8 @@ def windowed(stream: DataFrame, span: str, keys: list[str], aggs: list[Column],
              lateness: str = "10 minutes", ts: str = "Timestamp") -> DataFrame:
     """Tumbling-window aggregate with bounded state (T10, append mode).
 
-    Rows later than the watermark are dropped by Spark; the incremental view
-    (:mod:`sensorium.streaming.incremental`) is the variant that keeps them.
+    Rows later than the watermark are dropped by Spark; ``window_handler`` keeps them apart,
+    and the incremental view (:mod:`sensorium.streaming.incremental`) folds them in.
     ``timestamp_ntz`` input is cast to ``timestamp`` first (N20).
     """
     s = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)

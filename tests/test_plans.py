@@ -107,7 +107,7 @@ def test_since_prunes_date_partitions(spark, scratch):
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
                 "FlatMapCoGroupsInPandas", "PythonUDF", "AggregateInPandas")
-EAGER = ("stream_", "dims_csv_roundtrip", "mv_served_")
+EAGER = ("stream_", "dims_csv_roundtrip", "mv_served_", "lattice_", "stored_", "retention_stream_table")
 
 
 def test_no_python_in_any_query_plan(spark, q):
@@ -116,3 +116,46 @@ def test_no_python_in_any_query_plan(spark, q):
             continue
         f = formatted(fn(spark, SF_SMALL))
         assert not any(node in f for node in PYTHON_NODES), name
+
+
+@pytest.mark.parametrize("name", ["tile_total_readings", "tile_total_alerts", "diag_time_range", "table_counts"])
+def test_counts_and_extremes_come_from_footers(spark, q, name):
+    f = formatted(q[name](spark, SF_SMALL))
+    assert "PushedAggregation" in f and "PushedAggregation: []" not in f
+
+
+def test_recent_queries_skip_row_groups(spark, tmp_path):
+    """The bound of a relative-time query is one value to the scan, so row groups out of it aren't read."""
+    from pyspark.sql import functions as F
+
+    from sensorium.plans import queries as Q
+    rows = spark.range(0, 400_000).select(F.col("id").alias("event_id"), (F.col("id") % 50).alias("user_id"),
+                                          F.timestamp_seconds(F.col("id") + 1704067200).alias("ts"),
+                                          F.lit("temp").alias("event_type"), F.lit(1.0).alias("value"))
+    before = spark.conf.get("spark.sql.parquet.outputTimestampType")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+    rows.coalesce(1).write.option("parquet.block.size", 256 << 10).parquet(f"file://{tmp_path}/events.parquet")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", before)
+    df = Q.REGISTRY["live_count_5m"](spark, f"file://{tmp_path}")
+    assert df.collect()[0][0] == 300
+    read = [m for m in _output_rows(df) if m > 0]
+    assert max(read) >= 300 and sum(1 for m in read if m < 100_000) >= 1
+
+
+def _output_rows(df):
+    """Rows out of each scan, by the executed plan's metrics."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.execute().count()
+    found, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("Adaptive"):
+            todo.append(node.executedPlan())
+            continue
+        if node.nodeName().startswith("Scan parquet"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        for children in (node.children(), node.subqueries()):
+            todo += [children.apply(i) for i in range(children.size())]
+        if "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+    return found

@@ -42,6 +42,19 @@ def test_expired_days_are_dropped(spark, scratch):
     TB.write_table(df.select("x", F.col("d").cast("date").alias("event_date")), path, partition_by=["event_date"])
     assert TB.drop_expired(spark, path, 3, "2024-01-08") == ["2024-01-01"]
     assert sorted(r["x"] for r in spark.read.parquet(path).collect()) == [2, 3]
+    TB.write_table(df, f"{scratch}/undated")
+    with pytest.raises(ValueError, match="folders"):
+        TB.drop_expired(spark, f"{scratch}/undated", 3, "2024-01-08")
+
+
+def test_retention_of_a_table_that_ingest_writes(spark, scratch):
+    from sensorium.streaming.ingest import append_history, read_table
+    rows = spark.range(40).select("id", F.timestamp_seconds(F.col("id") * 43200 + 1704067200).alias("Timestamp"))
+    for part in range(3):
+        append_history(rows.where(F.col("id") % 3 == part), f"{scratch}/t", f"part{part}", ["event_date"])
+    gone = TB.drop_expired(spark, f"{scratch}/t", 7, "2024-01-20")
+    assert gone == [f"2024-01-{d:02d}" for d in range(1, 13)]
+    assert read_table(spark, f"{scratch}/t").count() == 40 - 24
 
 
 def test_catalog_registration_of_files(spark, scratch):

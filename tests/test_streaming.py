@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from sensorium.plans.context import Ctx
-from sensorium.plans.views import VIEWS
+from sensorium.operators import relational as R
+from sensorium.plans.views import VIEWS, Agg, ViewDef
+from sensorium.streaming.batchlog import BatchTable, children
 from sensorium.streaming.incremental import IncrementalView
 from sensorium.streaming.ingest import (
-    ALERT_TABLE, READING_TABLE, Ingest, dedup_within_watermark, event_stream, ingest_progress,
-    parse_events, read_table, route, run_once, to_events, windowed,
+    ALERT_TABLE, READING_TABLE, Ingest, dedup_within_watermark, event_stream, ingest_progress, ingest_totals,
+    parse_events, read_recent, read_table, route, run_once, to_events, window_handler, windowed,
 )
 
 
@@ -219,23 +221,156 @@ def test_rows_written_do_not_grow_with_the_table(spark, ctx, scratch):
         assert stored.count() == 100 * (i + 1)
 
 
-def test_view_tiers_vacuum_and_day_pruning(spark, ctx, scratch):
+def data_files(spark, *roots):
+    return sum(len(spark.read.parquet(r).inputFiles()) for r in roots)
+
+
+def test_view_store_files_compaction_and_day_pruning(spark, ctx, scratch):
+    """Files are bounded by closed days and open batches, whatever the rows' days; nothing is
+    counted twice, whichever step of a compaction was reached."""
     v, r = VIEWS["mv_readings_hourly"], ctx.readings
-    iv = IncrementalView(spark, v, f"{scratch}/tiers")
+    iv = IncrementalView(spark, v, f"{scratch}/store")
     rows = r.withColumn("_part", F.pmod("ReadingId", F.lit(10)))
+    n_days = r.select(F.to_date("Timestamp")).distinct().count()
+    expect = rows_of(v.compute(r))
     for i in range(10):
-        iv.apply_batch(rows.where(F.col("_part") == i).drop("_part"), i, "q")
-        if i:
+        iv.apply_batch(rows.where(F.col("_part") == i).drop("_part"), i, "q")   # each holds rows of all days
+        if i in (3, 6):
             iv.compact(i - 1, "q")
-    expect = rows_of(v.compute(r))
-    assert rows_of(iv.read()) == expect
-    tiers = [row[1] for row in iv._parts()]
-    assert tiers.count(0) == 9 and tiers.count(1) == 1      # each part folded once more, not nine times
-    assert iv.vacuum(3600) == 0 and iv.vacuum(0) == 9 + 8   # batches 0-8, and the parts of the first tier
     assert rows_of(iv.read()) == expect
+    open_batches = [n for n in children(spark, f"{iv.open.root}/_source=q")]
+    assert open_batches == [f"_batch={i}" for i in range(3, 10)]      # 0-2 went when 3-5 were folded
+    assert data_files(spark, iv.closed) <= n_days and data_files(spark, iv.open.root) <= len(open_batches)
     day = iv.read(days=("2024-01-10", "2024-01-10"))
     assert rows_of(day) == rows_of(v.compute(r.where(F.to_date("Timestamp") == F.lit(dt.date(2024, 1, 10)))))
-    assert "bin_date" in day._jdf.queryExecution().toString().split("PartitionFilters: [", 1)[1][:80]
+    assert "bin_period" in day._jdf.queryExecution().toString().split("PartitionFilters: [", 1)[1][:80]
+    # A compaction that stopped after some periods were overwritten: the others are folded next time.
+    half = iv._closed().where(F.col("bin_period") <= "2024-01-15")
+    saved = half.collect()
+    iv.compact(9, "q")
+    assert rows_of(iv.read()) == expect
+    spark.createDataFrame(saved, half.schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("bin_period").parquet(iv.closed)
+    assert rows_of(iv.read()) == expect
+    iv.compact(9, "q")
+    assert rows_of(iv.read()) == expect
+    # A second stream into the same view, and a replay of a batch that is folded already.
+    iv.apply_batch(rows.where(F.col("_part") == 9).drop("_part"), 9, "q")
+    assert rows_of(iv.read()) == expect
+    iv.apply_batch(r.where(F.col("SensorType") == "Humidity"), 0, "other")
+    iv.compact(0, "other")
+    twice = rows_of(v.compute(r.unionByName(r.where(F.col("SensorType") == "Humidity"))))
+    assert rows_of(iv.read()) == twice
+
+
+def test_view_without_bins_and_bins_without_time(spark, ctx, scratch):
+    r = ctx.readings.withColumn("Timestamp", F.when(F.pmod("ReadingId", F.lit(5)) != 0, F.col("Timestamp")))
+    total = ViewDef("total", "readings", None, ("SiteId",), (Agg("n", "count"),))
+    for v in (total, VIEWS["mv_readings_daily"]):
+        iv = IncrementalView(spark, v, f"{scratch}/{v.name}")
+        for i in range(3):
+            iv.apply_batch(r.where(F.pmod("ReadingId", F.lit(3)) == i), i, "q")
+        iv.compact(1, "q")
+        exact = lambda df: sorted(repr(tuple(round(x, 9) if isinstance(x, float) else x for x in row)) for row in df.collect())
+        assert exact(iv.read()) == exact(v.compute(r))
+    months = children(spark, f"{scratch}/mv_readings_daily/closed")
+    assert {"bin_period=1970-01-01", "bin_period=2024-01-01"} == {m for m in months if "=" in m}
+
+
+def test_latest_bin_reads_the_newest_period(spark, ctx, scratch):
+    v = VIEWS["mv_readings_hourly"]
+    iv = IncrementalView(spark, v, f"{scratch}/latest")
+    with pytest.raises(ValueError):
+        iv.latest()
+    iv.backfill(ctx.readings)
+    want = v.compute(ctx.readings).agg(F.max("Timestamp")).first()[0]
+    one = spark.range(1)
+    assert one.select(iv.latest()).first()[0] == want
+    iv.compact(0, "backfill")
+    iv.compact(0, "backfill")
+    assert one.select(iv.latest()).first()[0] == want
+    assert one.select(iv.latest(minus="24h")).first()[0] == want - dt.timedelta(days=1)
+
+
+def test_replay_with_other_days_and_bad_names(spark, ctx, scratch):
+    """A replay that holds other days leaves none of the first run's rows."""
+    r = ctx.readings_plain.withColumn("event_date", F.to_date("Timestamp"))
+    t = BatchTable(spark, f"{scratch}/days", ["event_date"])
+    t.write(r.where("event_date < '2024-01-05'"), 0, "q")
+    t.write(r.where("event_date >= '2024-01-20'"), 0, "q")
+    assert t.days()[0] >= "2024-01-20" and t.read().count() == r.where("event_date >= '2024-01-20'").count()
+    for bad in ("a/b", "12", "1e5", "2024-01-01", ""):
+        if bad:
+            with pytest.raises(ValueError):
+                t.write(r, 0, bad)
+    assert t.read(r.schema, ("2030-01-01", None)).count() == 0
+    empty = BatchTable(spark, f"{scratch}/none", ["event_date"])
+    empty.write(r.where("false"), 0, "q")
+    assert empty.read(r.schema).count() == 0 and empty.days() == []
+
+
+def test_recent_rows_of_many_batches_open_one_day(spark, scratch):
+    """200 batches over 20 days: five minutes list and open the last day's files only."""
+    rows = spark.range(0, 20_000).select("id", F.timestamp_seconds(F.col("id") * 86 + 1704067200).alias("Timestamp"))
+    rows = rows.withColumn("event_date", F.to_date("Timestamp")).persist()
+    t = BatchTable(spark, f"{scratch}/many", ["event_date"])
+    # As 200 calls of write leave it, in one job.
+    rows.withColumn("_source", F.lit("q")).withColumn("_batch", F.floor(F.col("id") / 100).cast("int")).repartition("_batch") \
+        .write.partitionBy("event_date", "_source", "_batch").parquet(t.root)
+    schema = rows.drop("event_date").schema
+    recent = read_recent(spark, t.root, "5m", schema)
+    files = recent.inputFiles()
+    last = t.days()[-1]
+    assert files and len({f.split("event_date=")[1][:10] for f in files}) <= 2 and f"event_date={last}" in files[-1]
+    assert len(files) < 30
+    assert recent.count() == rows.where(F.col("Timestamp") > R.as_of_max(rows, minus="5m")).count() > 0
+    assert "mergeSchema" not in recent._jdf.queryExecution().toString()
+
+
+def test_keyless_rows_take_no_dedup_state(spark, ctx, scratch):
+    readings = ctx.readings.limit(200).withColumn(
+        "ReadingId", F.when(F.pmod("ReadingId", F.lit(2)) == 0, F.col("ReadingId"))).persist()
+    write_files(spark, [r["value"] for r in to_events(readings).collect()], scratch, 2)
+    ing = Ingest(schemas={READING_TABLE: ctx.readings.schema}, tables={READING_TABLE: f"{scratch}/t"},
+                 dedup_key={READING_TABLE: "ReadingId"})
+    q = run_once(ing.start(event_stream(spark, f"{scratch}/in/*", max_files_per_trigger=1), f"{scratch}/ck",
+                           available_now=True, dedup_delay="1 day"))
+    assert q.exception() is None
+    keyed = readings.where("ReadingId is not null").count()
+    assert max(s.numRowsTotal for p in q.recentProgress for s in p.stateOperators) == keyed
+    assert read_table(spark, f"{scratch}/t").count() == 200 and ingest_progress(q)["ingest.events"] == 200
+
+
+def test_totals_over_restarts(spark, ctx, scratch):
+    schemas = {READING_TABLE: ctx.readings.schema, ALERT_TABLE: ctx.alerts.schema}
+    ing = Ingest(schemas=schemas, totals=f"{scratch}/totals")
+    for run in range(2):                                              # a second run goes on from the checkpoint
+        lines = [r["value"] for r in to_events(ctx.readings.limit(30), ctx.alerts.limit(10)).collect()] + ["{bad"]
+        write_files(spark, lines, f"{scratch}/{run}", 2)
+        spark.read.text(f"{scratch}/{run}/in/*").coalesce(1).write.mode("append").text(f"{scratch}/all")
+        run_once(ing.start(event_stream(spark, f"{scratch}/all"), f"{scratch}/ck", available_now=True))
+    got = {r["destination"]: r["events"] for r in ingest_totals(spark, f"{scratch}/totals").collect()}
+    assert got == {READING_TABLE: 60, ALERT_TABLE: 20, "quarantine": 2}
+
+
+def test_late_rows_of_windows_are_kept_apart(spark, scratch):
+    v = ViewDef("w", "readings", "15m", ("k",), (Agg("n", "count"),))
+    view = IncrementalView(spark, v, f"{scratch}/w")
+    handle = window_handler(view, f"{scratch}/late", "10 minutes")
+    at = lambda *minutes: spark.createDataFrame(
+        [(None if m is None else dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m), "a") for m in minutes], "Timestamp timestamp_ntz, k string")
+    handle(at(0, 20), 0, "q")
+    handle(at(9, 24, 50, None), 1, "q")          # watermark 0:10: window 0:00-0:15 is open
+    handle(at(14, 29, 31), 2, "q")               # watermark 0:40: two windows have ended
+    handle(at(14, 29, 31), 2, "q")               # replayed: the same watermark
+    handle(at(44), 3, "q")                       # watermark 0:40
+    handle(at(), 4, "q")
+    handle(at(44, 60), 5, "q")                   # nothing since: 0:40 still
+    windows = {(r["Timestamp"].hour * 60 + r["Timestamp"].minute): r["n"] for r in view.read().collect()}
+    assert windows == {0: 2, 15: 2, 30: 3, 45: 1, 60: 1}
+    late = read_table(spark, f"{scratch}/late").collect()
+    assert sorted((r["Timestamp"].minute if r["Timestamp"] else -1, r["watermark"].minute) for r in late) == [
+        (-1, 10), (14, 40), (29, 40)]
 
 
 def test_rows_without_key_bypass_the_dedup(spark, ctx, scratch):
