@@ -7,11 +7,11 @@ remainder).  Pieces of full length are sequences of their own.  The others:
 1. Each input partition packs its pieces by best fit, longest first, right
    after tokenising them.  Sequences with at most ``slack`` tokens left are
    emitted; underfull ones go on.
-2. Underfull sequences become items of the next round: they are dealt to a
-   ``fan_in``-th of the tasks and packed by best fit again, until one task is
-   left or merging has stopped to help.  A task gets ``max_items`` items at
-   most; where more underfull sequences than that can't be merged, they are
-   final as they are.
+2. Underfull sequences become items of the next round: they are dealt to as many
+   tasks as their number asks for (about ``max_items`` each) and packed by best
+   fit again.  Each round leaves fewer, so the tasks form a tree, whatever the
+   input's partitions.  It ends with one task, or when a round has saved less
+   than ``MIN_GAIN`` of its sequences; what is underfull then is final.
 
 A sequence in work is one row: its fill and a blob of its pieces (at most
 ``capacity`` of them), so that nothing has to be joined back at the end.
@@ -47,8 +47,8 @@ from sensorium.llm.common import map_arrow, materialise, table
 CAPACITY = 1024
 SEPARATOR = 2
 SLACK = 8
-FAN_IN = 8
 MAX_ITEMS = 200_000
+MIN_GAIN = 0.002
 #: Items a task holds while it tokenises (about 100 MB); beyond it packs what it has.
 FLUSH_ITEMS = 500_000
 
@@ -197,24 +197,23 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
-         slack: int = SLACK, fan_in: int = FAN_IN, max_items: int = MAX_ITEMS, vocabulary: str | None = None) -> DataFrame:
+         slack: int = SLACK, max_items: int = MAX_ITEMS, vocabulary: str | None = None) -> DataFrame:
     """One row per piece: id, piece, start, length, crc32 of its ids, sequence and offset."""
     texts = docs.select(F.col(id_col).cast("long"), F.col(text_col))
     bins = materialise(map_arrow(texts, _tokenise(capacity, slack, vocabulary), _BIN_SCHEMA), "packed-0")
-    tasks = max(texts.rdd.getNumPartitions(), 1)
-    done, round_no = [], 0
+    done, round_no, gain = [], 0, 1.0
     while True:
-        done.append(bins.where("final"))
         rest = bins.where("not final").select("fill", "members")
         left = rest.count()
-        if not left:
+        tasks = -(-left // max_items)
+        if not left or gain < MIN_GAIN:
+            done.append(bins)
             break
+        done.append(bins.where("final"))
         round_no += 1
-        fewer = max(-(-tasks // fan_in), -(-left // max_items), 1)
-        last = fewer == 1 or fewer >= tasks
-        tasks = fewer
-        bins = materialise(map_arrow(rest.repartition(tasks), _merge(round_no, capacity, slack, last), _BIN_SCHEMA),
+        bins = materialise(map_arrow(rest.repartition(tasks), _merge(round_no, capacity, slack, tasks == 1), _BIN_SCHEMA),
                            f"packed-{round_no}")
+        gain = 1 - bins.count() / left
     every = functools.reduce(DataFrame.unionByName, done).select("sequence_id", "members")
     return map_arrow(every, _placed, "doc_id long, piece int, start long, length long, ids_crc32 long, "
                                      "sequence_id long, offset long").withColumnRenamed("doc_id", id_col)

@@ -82,7 +82,7 @@ def test_nulls_ties_long_and_repeated_rows(spark, docs_of, tokenizer):
 
 def test_merge_rounds_beat_local_packing(spark, docs_of, tokenizer):
     docs = [(i, "word " * (20 + i % 25)) for i in range(400)]
-    rows = P.pack(docs_of(docs).repartition(40), capacity=64, slack=0, fan_in=4).collect()
+    rows = P.pack(docs_of(docs).repartition(40), capacity=64, slack=0).collect()
     n, tokens = check(rows, docs, tokenizer, 64)
     # One place for all: the same best fit without partitions.
     sizes = np.array([len(reference_ids(tokenizer, t)) for _, t in docs])
@@ -91,6 +91,17 @@ def test_merge_rounds_beat_local_packing(spark, docs_of, tokenizer):
     assert n <= 1.15 * best  # 40 partitions of ten items each
 
 
+def test_the_inputs_partitions_do_not_matter(spark, docs_of, tokenizer):
+    """Nor does the number of tasks: rounds go on while they save sequences."""
+    docs = [(i, "word " * (3 + (i * 7919) % 53)) for i in range(12_000)]
+    counts = {}
+    for partitions, bounds in ((1, (P.MAX_ITEMS, 400)), (8, (400,)), (64, (P.MAX_ITEMS, 400))):
+        for max_items in bounds:
+            rows = P.pack(docs_of(docs).repartition(partitions), capacity=256, slack=2, max_items=max_items).collect()
+            counts[partitions, max_items] = check(rows, docs, tokenizer, 256)[0]
+    assert max(counts.values()) <= 1.01 * min(counts.values()) + 1, counts
+
+
 def test_items_that_cannot_merge_are_final(spark, docs_of, tokenizer):
     docs = [(i, "word " * 39) for i in range(200)]  # each over half of a sequence
     rows = P.pack(docs_of(docs).repartition(8), capacity=64, slack=0, max_items=20).collect()
