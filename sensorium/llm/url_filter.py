@@ -46,11 +46,12 @@ def rules_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataF
     return spark.createDataFrame(rules, schema)
 
 
-def judge(urls: DataFrame, rules: DataFrame, url_col: str, carry: list[str], default: str = "allow") -> DataFrame:
+def judge(urls: DataFrame, rules: DataFrame, url_col: str, carry: list[str], default: str = "allow",
+          prefix_hex: int = PREFIX_HEX) -> DataFrame:
     """``carry`` columns, ``host``, ``path``, ``rule`` and ``verdict`` per row of ``urls``."""
     rules = rules.select("r_host", "r_path", "r_verdict").where("r_host is not null and r_path is not null")
     rules = rules.dropDuplicates().withColumn("r_expr", F.concat("r_host", "r_path"))
-    rules = rules.withColumn("r_digest", F.sha2("r_expr", 256)).withColumn("r_key", F.substring("r_digest", 1, PREFIX_HEX))
+    rules = rules.withColumn("r_digest", F.sha2("r_expr", 256)).withColumn("r_key", F.substring("r_digest", 1, prefix_hex))
     # Distinct path lengths: at most as many as the longest rule path has characters.
     lengths = [r[0] for r in rules.select(F.length("r_path")).distinct().collect()]
 
@@ -65,17 +66,18 @@ def judge(urls: DataFrame, rules: DataFrame, url_col: str, carry: list[str], def
     expressions = F.flatten(F.transform(suffixes, lambda h: F.transform(
         prefixes, lambda n: F.struct(h.alias("h"), F.concat(h, F.substring(F.col("_path"), F.lit(1), n)).alias("e")))))
     spread = base.select("*", F.explode_outer(F.array_distinct(expressions)).alias("_x"))
-    spread = spread.withColumn("_digest", F.sha2("_x.e", 256)).withColumn("_key", F.substring("_digest", 1, PREFIX_HEX))
+    spread = spread.withColumn("_digest", F.sha2("_x.e", 256)).withColumn("_key", F.substring("_digest", 1, prefix_hex))
 
-    hit = (spread["_key"] == rules["r_key"]) & (spread["_digest"] == rules["r_digest"]) \
-        & (spread["_x.h"] == rules["r_host"]) & (spread["_x.e"] == rules["r_expr"])
+    # Equi-join on the short prefix alone; what meets there by chance fails the confirmation below.
+    met = spread["_key"] == rules["r_key"]
     if rules.count() <= BROADCAST_RULES:
-        hits = spread.join(F.broadcast(rules), hit, "left")
+        hits = spread.join(F.broadcast(rules), met, "left")
     else:  # many rules: the expressions of a common host are salted, the rules copied to each salt
         spread = spread.withColumn("_salt", salted(F.col("_row"), SALTS))
         rules = rules.withColumn("r_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        hits = spread.join(rules, hit & (spread["_salt"] == rules["r_salt"]), "left")
-    best = F.max(F.when(F.col("r_expr").isNotNull(), F.struct(
+        hits = spread.join(rules, met & (spread["_salt"] == rules["r_salt"]), "left")
+    confirmed = (F.col("_digest") == F.col("r_digest")) & (F.col("_x.h") == F.col("r_host")) & (F.col("_x.e") == F.col("r_expr"))
+    best = F.max(F.when(confirmed, F.struct(
         F.length("r_expr").alias("n"), F.length("r_host").alias("h"), F.col("r_verdict").alias("v"),
         F.col("r_expr").alias("rule"))))
     # All rows of a URL stem from one input row, at most labels x lengths of them.

@@ -34,9 +34,12 @@ def test_equals_brute_force(spark):
         for bound in (U.BROADCAST_RULES, 0):  # 0: the way for many rules
             limit, U.BROADCAST_RULES = U.BROADCAST_RULES, bound
             try:
+                # A prefix of 4 bits: most expressions meet rules that the confirmation refutes.
+                short = U.judge(df, U.rules_table(spark, chosen), "url", ["page_id"], prefix_hex=1).collect()
                 got = {r.page_id: tuple(r)[1:] for r in U.judge(df, U.rules_table(spark, chosen), "url", ["page_id"]).collect()}
             finally:
                 U.BROADCAST_RULES = limit
+            assert got == {r.page_id: tuple(r)[1:] for r in short}
             assert got == {i: brute(u, chosen) for i, u in enumerate(urls)}
 
 
@@ -47,3 +50,10 @@ def test_repeated_rows_clashing_columns_and_empty(spark):
     assert sorted(map(str, got)) == sorted(map(str, [
         (1, "a.com", "/", "com/", "allow"), (1, "a.com", "/", "com/", "allow"), (None, "", "", None, "allow")])) or len(got) == 3
     assert U.judge(df.limit(0), U.rules_table(spark, U.RULES), "url", ["page_id"]).collect() == []
+
+
+def test_the_join_is_on_the_short_prefix(spark):
+    df = spark.createDataFrame([(1, "http://a.example.com/en/x")], "page_id long, url string")
+    plan = U.judge(df, U.rules_table(spark, U.RULES), "url", ["page_id"])._jdf.queryExecution().executedPlan().toString()
+    join, = [line for line in plan.splitlines() if "HashJoin" in line]
+    assert "[_key#" in join and "digest" not in join and "r_host" not in join.split("BuildRight")[-1]
