@@ -11,9 +11,9 @@
    in bits that the term gives about the entity.
 3. Threshold.  A term reveals an entity if P(e | t) is at or over ``generalise_at``,
    the information at or over ``min_bits``, and the evidence - bits times contexts,
-   ``min_contexts`` at least - over what naming one pair among all tested terms
-   and entities costs (log2 of their product), so that words which few documents
-   share by chance aren't taken.  Words of everyday use fail by their frequency.
+   ``min_contexts`` at least - is ``margin`` bits over what naming one pair among
+   the terms of documents with entities and the entities costs (log2 of their
+   product), so that words which few documents share by chance aren't taken.  Words of everyday use fail by their frequency.
 4. Sanitisation.  Every occurrence of a revealing term in every document, with or
    without the entity, is generalised to its class (``name``, ``number``, ``term``),
    or removed where P(e | t) is at or over ``remove_at``.
@@ -34,6 +34,7 @@ the named columns are read.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
@@ -53,6 +54,8 @@ MIN_CONTEXTS = 2
 GENERALISE_AT = 0.5
 REMOVE_AT = 0.8
 MIN_BITS = 4.0
+#: Evidence beyond the cost of naming a pair; 2 ** -MARGIN chance pairs are expected.
+MARGIN = 10.0
 BROADCAST_TERMS = 100_000
 BROADCAST_ROWS = 100_000
 EDGE = ".,;:!?\"'()[]<>|*#$%&"
@@ -200,7 +203,7 @@ def _terms_of(texts: DataFrame) -> DataFrame:
 
 def disclosures(found: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_contexts: int = MIN_CONTEXTS, generalise_at: float = GENERALISE_AT, min_bits: float = MIN_BITS,
-                weigh_evidence: bool = True) -> DataFrame:
+                margin: float = MARGIN) -> DataFrame:
     """(entity, term, share, bits, contexts) of the terms that reveal an entity.  ``found`` is what
     ``detect`` says of ``docs``, as a written table."""
     texts = _texts(docs, id_col, text_col)
@@ -214,11 +217,13 @@ def disclosures(found: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_
     rows = materialise(held.select("_row").distinct(), "pii-rows")
 
     here = _terms_of(texts.join(broadcast_checked(rows, BROADCAST_ROWS)[0], "_row", "left_semi"))
-    near = materialise(here.groupBy("term").agg(F.count("*").alias("near")).where(F.col("near") >= min_contexts), "pii-near")
+    near = materialise(here.groupBy("term").agg(F.count("*").alias("near")), "pii-near")
+    n_terms = near.count()
+    near = near.where(F.col("near") >= min_contexts)
     every = _terms_of(texts).join(broadcast_checked(near.select("term"), BROADCAST_TERMS)[0], "term", "left_semi")
     frequency = every.groupBy("term").agg(F.count("*").alias("df"))
     terms = materialise(near.join(frequency, "term").where(F.col("near") >= generalise_at * F.col("df")).select("term", "df"), "pii-terms")
-    total, n_terms, n_entities = found.count(), terms.count(), entities.count()
+    total, n_entities = found.count(), entities.count()
 
     here = materialise(here.join(broadcast_checked(terms.select("term"), BROADCAST_TERMS)[0], "term", "left_semi")
                        .groupBy("_row", "term").agg(F.count("*").alias("copies")), "pii-here")
@@ -228,7 +233,7 @@ def disclosures(found: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_
 
     share = F.least(F.col("both") / F.col("df"), F.lit(1.0))
     bits = F.log2(share * total / F.col("n_entity"))
-    cost = F.log2(F.lit(float(max(n_terms * n_entities, 1)))) if weigh_evidence else F.lit(float("-inf"))
+    cost = math.log2(max(n_terms * n_entities, 1)) + margin
     return (both.join(seen, ["entity", "term"]).join(terms, "term").join(entities, "entity")
             .select("entity", "term", share.alias("share"), bits.alias("bits"), "contexts")
             .where((F.col("share") >= generalise_at) & (F.col("bits") >= min_bits)

@@ -58,7 +58,7 @@ def corpus():
     """"Zorblatt" and "Quimby" go with one address each in differing texts, near it or far, and once without it;
     "the" stands everywhere; "copyword" in copies of one text only."""
     verbs = ["Ask", "Call", "Meet", "Write", "Visit"]
-    docs = [(i, f"text{i} of page{i} with the word writes") for i in range(150)]
+    docs = [(i, f"text{i} of page{i} with the word writes. Much later") for i in range(150)]
     docs += [(200 + i, f"{v} Zorblatt, today{i} joe@example.org {i}x the. Much later Zorblatt writes") for i, v in enumerate(verbs)]
     docs += [(300 + i, f"{v} Quimby one two{i} three four five ann@example.org on{i} the") for i, v in enumerate(verbs)]
     docs += [(400 + i, f"at{i} Name:bob@site.net {v} the") for i, v in enumerate(verbs + ["See"])]
@@ -100,7 +100,7 @@ def test_classes(spark):
 
 def test_sanitised_texts(spark, docs_of):
     rows = {r.doc_id: r.text for r in P.sanitise(docs_of(corpus())).collect()}
-    assert rows[200] == "Ask , today0 <email> 0x the. Much later  writes" and rows[3] == "text3 of page3 with the word writes"
+    assert rows[200] == "Ask , today0 <email> 0x the. Much later  writes" and rows[3] == "text3 of page3 with the word writes. Much later"
     assert rows[600] == "Nobody but , and -like the" and len(rows) == len(corpus())
 
 
@@ -108,9 +108,9 @@ def test_disclosure_equals_brute_force(spark, docs_of):
     docs = docs_of(corpus())
     found = materialise(P.detect(docs), "test-found")
     got = {(r.entity, r.term): (r.share, r.bits, r.contexts) for r in P.disclosures(
-        found, docs, generalise_at=0.3, min_bits=-99.0, weigh_evidence=False).collect()}
+        found, docs, generalise_at=0.3, min_bits=-99.0, margin=-math.inf).collect()}
     expected = co_occurrence(corpus(), 0.3)
-    assert got.keys() == expected.keys() and len(got) > 20
+    assert got.keys() == expected.keys() and len(got) > 10
     for k in got:
         assert all(abs(a - b) < 1e-9 for a, b in zip(got[k], expected[k], strict=True))
 
