@@ -5,12 +5,15 @@
    normalised value); the words beside it are the mention's context.
 2. Disclosure.  Over the corpus it is counted in how many documents a term stands
    at all (``df(t)``), in how many it stands together with an entity, anywhere in
-   the document (``n(t, e)``), and in how many *different* contexts the entity is
-   mentioned there (copies of one text, and of one passage, are one context).
+   the document (``n(t, e)``), and how many independent witnesses there are: the
+   *different* contexts that the entity is mentioned in there, or the documents that
+   aren't near copies of each other (5-word shingles, found by banded min-hashes), if
+   these are fewer.  So copies of a text, near copies, and copies of a passage bring
+   one witness.
    n(t, e) / df(t) estimates P(e | t), and log2 P(e | t) / P(e) is the information
    in bits that the term gives about the entity.
 3. Threshold.  A term reveals an entity if P(e | t) is at or over ``generalise_at``,
-   the information at or over ``min_bits``, and the evidence - bits times contexts,
+   the information at or over ``min_bits``, and the evidence - bits times witnesses,
    ``min_contexts`` at least - is ``margin`` bits over what naming one pair among
    the terms of documents with entities and the entities costs (log2 of their
    product), so that words which few documents share by chance aren't taken.  Words of everyday use fail by their frequency.
@@ -38,11 +41,14 @@ import math
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorium.llm.common import SPACE, broadcast_checked, map_arrow, materialise, table
+from sensorium.llm.components import connected
+from sensorium.llm.shingles import shingle_set
 
 KINDS = ("email", "ip", "card", "phone")
 #: Classes that revealing terms are generalised to, and the kind of those that are removed.
@@ -51,6 +57,8 @@ REMOVED = "removed"
 #: Words on each side of a mention that make its context.
 REACH = 3
 MIN_CONTEXTS = 2
+#: Near copies: 12 bands of 5 min-hashes; 0.99 of pairs at similarity 0.8 share one.
+SHINGLE, BANDS, BAND_ROWS = 5, 12, 5
 GENERALISE_AT = 0.5
 REMOVE_AT = 0.8
 MIN_BITS = 4.0
@@ -201,10 +209,33 @@ def _terms_of(texts: DataFrame) -> DataFrame:
     return texts.select("_row", F.explode(found).alias("term"))
 
 
+def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of the bands of a text's min-hashes; near copies share one almost surely."""
+    factors = np.random.default_rng(8).integers(0, 2**63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    for batch in batches:
+        keys = []
+        for text in batch.column(1).cast(pa.binary()).to_pylist():
+            hashes = shingle_set(text, SHINGLE).view(np.uint64)
+            least = [int((hashes * f).min()) for f in factors] if len(hashes) else []
+            keys.append([int.from_bytes(hashlib.blake2b(repr((i, least[i:i + BAND_ROWS])).encode(), digest_size=8).digest(), "little", signed=True)
+                         for i in range(0, len(least), BAND_ROWS)])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["_row", "keys"])
+
+
+def near_copies(texts: DataFrame) -> DataFrame:
+    """(_row, copy_of) of the texts that are linked to others as near copies.  A band's texts are linked
+    to its least one, so a group of any size has as many links as bands."""
+    keys = map_arrow(texts.select("_row", "_text"), _band_keys, "_row long, keys array<long>")
+    keys = materialise(keys.dropDuplicates(["_row"]).select("_row", F.explode("keys").alias("key")), "pii-bands")
+    first = keys.groupBy("key").agg(F.min("_row").alias("first"), F.count("*").alias("n")).where("n > 1")
+    links = keys.join(first, "key").select(F.col("_row").alias("a"), F.col("first").alias("b"))
+    return connected(links).select(F.col("node").alias("_row"), F.col("root").alias("copy_of"))
+
+
 def disclosures(found: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_contexts: int = MIN_CONTEXTS, generalise_at: float = GENERALISE_AT, min_bits: float = MIN_BITS,
                 margin: float = MARGIN) -> DataFrame:
-    """(entity, term, share, bits, contexts) of the terms that reveal an entity.  ``found`` is what
+    """(entity, term, share, bits, witnesses) of the terms that reveal an entity.  ``found`` is what
     ``detect`` says of ``docs``, as a written table."""
     texts = _texts(docs, id_col, text_col)
     mentioned = found.select("_row", F.explode("mentions").alias("m")).select("_row", "m.*")
@@ -216,7 +247,10 @@ def disclosures(found: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_
     held = materialise(mentioned.join(entities.select("entity"), "entity").distinct(), "pii-held")
     rows = materialise(held.select("_row").distinct(), "pii-rows")
 
-    here = _terms_of(texts.join(broadcast_checked(rows, BROADCAST_ROWS)[0], "_row", "left_semi"))
+    mentioning = texts.join(broadcast_checked(rows, BROADCAST_ROWS)[0], "_row", "left_semi")
+    copies = near_copies(mentioning)
+    witness = held.join(copies, "_row", "left").withColumn("copy_of", F.coalesce("copy_of", "_row"))
+    here = _terms_of(mentioning)
     near = materialise(here.groupBy("term").agg(F.count("*").alias("near")), "pii-near")
     n_terms = near.count()
     near = near.where(F.col("near") >= min_contexts)
@@ -228,16 +262,17 @@ def disclosures(found: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_
     here = materialise(here.join(broadcast_checked(terms.select("term"), BROADCAST_TERMS)[0], "term", "left_semi")
                        .groupBy("_row", "term").agg(F.count("*").alias("copies")), "pii-here")
     both = here.join(held.select("_row", "entity").distinct(), "_row").groupBy("entity", "term").agg(F.sum("copies").alias("both"))
-    seen = here.select("_row", "term").join(held, "_row").select("entity", "term", "context").distinct()
-    seen = seen.groupBy("entity", "term").agg(F.count("*").alias("contexts")).where(F.col("contexts") >= min_contexts)
+    seen = here.select("_row", "term").join(witness, "_row").groupBy("entity", "term").agg(
+        F.least(F.count_distinct("context"), F.count_distinct("copy_of")).alias("witnesses"))
+    seen = seen.where(F.col("witnesses") >= min_contexts)
 
     share = F.least(F.col("both") / F.col("df"), F.lit(1.0))
     bits = F.log2(share * total / F.col("n_entity"))
     cost = math.log2(max(n_terms * n_entities, 1)) + margin
     return (both.join(seen, ["entity", "term"]).join(terms, "term").join(entities, "entity")
-            .select("entity", "term", share.alias("share"), bits.alias("bits"), "contexts")
+            .select("entity", "term", share.alias("share"), bits.alias("bits"), "witnesses")
             .where((F.col("share") >= generalise_at) & (F.col("bits") >= min_bits)
-                   & (F.col("bits") * F.col("contexts") > cost)))
+                   & (F.col("bits") * F.col("witnesses") > cost)))
 
 
 def kind_of(term: Column, share: Column, remove_at: float) -> Column:

@@ -107,7 +107,7 @@ def test_sanitised_texts(spark, docs_of):
 def test_disclosure_equals_brute_force(spark, docs_of):
     docs = docs_of(corpus())
     found = materialise(P.detect(docs), "test-found")
-    got = {(r.entity, r.term): (r.share, r.bits, r.contexts) for r in P.disclosures(
+    got = {(r.entity, r.term): (r.share, r.bits, r.witnesses) for r in P.disclosures(
         found, docs, generalise_at=0.3, min_bits=-99.0, margin=-math.inf).collect()}
     expected = co_occurrence(corpus(), 0.3)
     assert got.keys() == expected.keys() and len(got) > 10
@@ -138,6 +138,21 @@ def co_occurrence(rows, least_share):
     return out
 
 
+def test_near_copies_are_one_witness(spark, docs_of):
+    """Variants of one long text with an address, each with a few words changed anywhere, beside the
+    address too: none of its many words of its own is taken."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghij", k=7))
+    base = [word() for _ in range(300)]
+    docs = [(i, " ".join(rng.choices(["with", "the", "of", "and", "page"], k=60))) for i in range(400)]
+    for i in range(12):
+        text = list(base)
+        for at in rng.sample(range(300), 3):
+            text[at] = word()
+        docs.append((500 + i, " ".join([*text[:150], word(), "list@site.org", word(), *text[150:]])))
+    assert all(r.spans.count(":") in (0, 2) for r in P.private_spans(docs_of(docs)).collect())
+
+
 def test_chance_pairs_need_more_evidence(spark, docs_of):
     """Two documents that mention one address share some rare words by chance; the evidence of two
     contexts isn't enough among so many words."""
