@@ -15,6 +15,8 @@ def connected(links: DataFrame) -> DataFrame:
     Each round is a written table of at most as many rows as there are links."""
     edges = materialise(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                         .distinct(), "links")
+    if not edges.limit(1).count():
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     before = None
     while True:
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

@@ -190,8 +190,7 @@ def _level(df: Column) -> Column:
 
 def prefixes(docs: DataFrame, nodes: DataFrame, k: int, percent: int, hot_df: int) -> DataFrame:
     """(node, n, matches, length, token, df, early, dense): the tokens of each node's prefix
-    that other prefixes have too.  ``early`` ones suffice to meet partners of its size or
-    larger; ``dense`` is the number of the node's dense tokens."""
+    that other prefixes have too.  Partners of its size or larger share one of the ``early`` ones; ``dense`` is the number of the node's dense tokens."""
     base = prefix_length(F.col("n"), percent)
     listed = nodes.select("node", F.explode("tokens").alias("token"))
     shared = materialise(listed.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "shared-tokens")
@@ -237,8 +236,9 @@ def prefixes(docs: DataFrame, nodes: DataFrame, k: int, percent: int, hot_df: in
     per_node = per_node.withColumn("t", F.filter("t", lambda x: x["rank"] < F.col("length")))
     per_node = per_node.withColumn("dense", F.size(F.filter("t", lambda x: x["df"] > DENSE_DF)))
     out = per_node.select("node", "n", "matches", "length", "dense", F.explode("t").alias("x"))
-    # A partner y at least as large shares t (|x| + |y|) / (1 + t) >= 2 t |x| / (1 + t) tokens.
-    early = F.col("x.rank") < F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + F.col("matches")
+    # A partner y at least as large shares t (|x| + |y|) / (1 + t) >= 2 t |x| / (1 + t) tokens, so the
+    # first that they share stands before all but that many of x (however many matches it takes).
+    early = F.col("x.rank") <= F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent))
     return materialise(out.select("node", "n", "matches", "length", "x.token", "x.df", early.alias("early"), "dense"), "prefixes")
 
 
