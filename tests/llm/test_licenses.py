@@ -20,31 +20,41 @@ def base(text):
     return (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels)))
 
 
-def by_hand(text):
+def by_hand(text, templates=None):
     """Diagonal voting over all word positions of one text, without hashes or joins."""
     words, score, labels = words_of(text), 0.0, set()
-    for label, wording in L.TEMPLATES:
-        t = wording.split()
+    for label, wording in templates or L.TEMPLATES:
+        t = words_of(wording)
         votes = {}
         for i in range(len(words) - L.K + 1):
             for j in range(len(t) - L.K + 1):
                 if words[i:i + L.K] == t[j:j + L.K]:
-                    votes.setdefault(i - j, set()).update(range(j, j + L.K))
-        covered, last = set(), None
-        spans = []
+                    votes.setdefault(i - j, []).append((i, j))
+        spans, last = [], None
         for d in sorted(votes):
             if last is None or d - last > L.GAP:
-                spans.append(set())
-            spans[-1] |= votes[d]
+                spans.append([])
+            spans[-1] += votes[d]
             last = d
-        for covered in spans:
-            share = len(covered) / len(t)
+        for hits in spans:
+            share = covered(sorted(hits)) / len(t)
             score = max(score, share)
             if share >= L.MIN_COVERAGE:
                 labels.add(label)
     return score, labels
 
 
+def covered(hits):
+    """Template words under a longest chain of hits that goes forward on both sides (quadratic)."""
+    best = []
+    for n, (i, j) in enumerate(hits):
+        chains = [best[m] for m in range(n) if hits[m][0] < i and hits[m][1] < j]
+        longest = max(map(len, chains), default=0)
+        best.append(min((c for c in chains if len(c) == longest), key=lambda c: c, default=[]) + [j])
+    longest = max(map(len, best))
+    return max(len({x + y for x in c for y in range(L.K)}) for c in best if len(c) == longest)
+
+
 TEXTS = [None, "", "mit license", "MIT\nLicense mit-license", "the Apache License and the GNU General Public License; MIT license",
          "Released under the MIT License.", "Licensed under CC BY-NC 4.0", "licensed under the very Apache License, Version 2.0",
          "licensed under the public license", "M\u0130T license", "mit licen\u212ae", "x " * 30000 + "Released under the MIT License " * 50,
@@ -52,6 +62,40 @@ TEXTS = [None, "", "mit license", "MIT\nLicense mit-license", "the Apache Licens
          "documentation files (the \"Software\"), to deal in the Software without restriction"]
 
 
+def test_chains_go_forward():
+    assert L.forward_chain([]) == []
+    assert L.forward_chain([(5, 0), (6, 1), (7, 2)]) == [0, 1, 2]
+    assert L.forward_chain([(0, 3), (1, 4), (2, 0), (3, 1), (4, 2)]) == [0, 1, 2]  # halves the wrong way round
+    assert L.forward_chain([(0, 0), (0, 1), (0, 2)]) == [0]
+
+
+def test_templates_from_a_table(spark, docs_of, monkeypatch):
+    """A table of templates of one's own, broadcast or joined; words in another order don't verify."""
+    own = [("house", "You may quote up to ten lines of this text, if you name the paper and the day."),
+           ("house", "Ask the editor first."), ("odd", "two words"), ("none", None), ("house", "Ask the editor first.")]
+    texts = ["You may quote up to ten lines of this text if you name the paper and the day", "ask the EDITOR first!",
+             "if you name the paper and the day you may quote up to ten lines of this text",
+             "you may quote up to ten or more lines of this text, if you name the paper and day", "two words", None,
+             "name the paper you may quote lines of this text up to ten lines of this text, if you name"]
+    expected = {}
+    for bound in (L.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(L, "BROADCAST_BYTES", bound)
+        rows = L.scan(docs_of(list(enumerate(texts))), templates=spark.createDataFrame(own, "label string, text string")).collect()
+        for r in rows:
+            score, labels = by_hand(texts[r.doc_id], [(a, b) for a, b in own if b and len(words_of(b)) >= L.K])
+            assert abs(r.score - score) < 1e-9 and r.labels == ",".join(sorted(labels))
+            expected[r.doc_id] = r.labels
+    assert expected == {0: "house", 1: "house", 2: "", 3: "house", 4: "", 5: "", 6: ""}
+    none = L.scan(docs_of([(1, "MIT License")]), templates=spark.createDataFrame([], "label string, text string")).collect()
+    assert [(r.n_base, r.labels, r.score) for r in none] == [(1, "mit", 0.0)]
+
+
+def test_every_template_is_found_whole(spark, docs_of):
+    docs = [(i, f"Some words. {w.capitalize()}; more words") for i, (_, w) in enumerate(L.TEMPLATES)]
+    for r in L.scan(docs_of(docs)).collect():
+        assert L.TEMPLATES[r.doc_id][0] in r.labels.split(",") and r.score == 1.0
+
+
 def test_equals_by_hand(spark, docs_of):
     docs = [*enumerate(TEXTS), (None, TEXTS[2]), (3, TEXTS[3]), (3, TEXTS[3])]
     rows = L.scan(docs_of(docs)).collect()
