@@ -1,22 +1,51 @@
 import math
+import random
 import re
 
 import pytest
 
 from sensorium.llm import mixing as M
+from .plain_stages import targets as plain_targets
 
 SF = "/root/testdata/sf0.01"
 
 
-def test_targets_by_hand():
+def targets(spark, sizes):
+    """By the operator, of sources that hold so many words in one document each."""
+    cells = spark.createDataFrame([(s, n, 1) for s, n in sizes.items()], "source string, size long, n long")
+    return {r.source: r.target for r in M.source_targets(cells).collect()}
+
+
+def test_targets_by_hand(spark):
     # 150 % of 100 is 150; weights 5, 2, 1: 93.75, 37.5, 18.75; a may have 40 at most, the rest is shared 2 to 1.
-    got = M.targets({"a": 20, "b": 50, None: 30})
+    got = targets(spark, {"a": 20, "b": 50, None: 30})
     assert got == {"a": 40.0, "b": pytest.approx(110 * 2 / 3), None: pytest.approx(110 / 3)}
-    assert M.targets({}) == {} and M.targets({"a": 0}) == {"a": 0.0}
-    got = M.targets({"a": 1, "b": 1, "c": 1000})
+    assert targets(spark, {}) == {} and targets(spark, {"a": 0}) == {"a": 0.0}
+    got = targets(spark, {"a": 1, "b": 1, "c": 1000})
     assert got["a"] == 2 and got["b"] == 2 and got["c"] == pytest.approx(1.5 * 1002 - 4)
 
 
+def test_targets_of_many_sources(spark):
+    """Thousands of sources, far more than tasks, against plain code; the order is by code point, null last."""
+    rng = random.Random(8)
+    sizes = {f"{rng.choice('aZé日~')}{i}": rng.choice([0, 1, 5, 100, 10_000]) for i in range(3000)} | {None: 77, "": 5}
+    got, want = targets(spark, sizes), plain_targets(sizes)
+    assert got.keys() == want.keys() and all(got[s] == pytest.approx(want[s]) for s in want)
+
+
+def test_many_sources_are_mixed(spark, docs_of):
+    docs = [(i, "word " * (1 + i % 7), f"s{i // 4}") for i in range(2000)]
+    rows = M.mix(docs_of(docs)).collect()
+    assert len(rows) == 2000 and len({r.source_size for r in rows}) > 3
+    taken, target, longest = {}, {}, {}
+    for r in rows:
+        s = r.doc_id // 4
+        taken[s], target[s] = taken.get(s, 0) + r.taken, r.target
+        longest[s] = max(longest.get(s, 0), r.size)
+        assert r.taken in (0, r.size, 2 * r.size)
+    assert all(abs(taken[s] - target[s]) <= longest[s] for s in taken)
+
+
 def test_whole_table(spark):
     sources = {r.doc_id: (r.source, len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")))
                for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
@@ -27,7 +56,7 @@ def test_whole_table(spark):
         s, n = sources[r.doc_id]
         assert r.size == n and r.taken in (0, n, 2 * n)
         size[s], taken[s], target[s] = size.get(s, 0) + n, taken.get(s, 0) + r.taken, r.target
-    expected = M.targets(size)
+    expected = plain_targets(size)
     for s in size:
         assert target[s] == pytest.approx(expected[s])
         assert abs(taken[s] - target[s]) <= 0.01 * target[s]
@@ -43,7 +72,8 @@ def test_rates_solve_the_dual(spark):
     sizes = {x: sum(s * n for y, s, n in cells if y == x) for x in "ab"}
     counts = {x: sum(n for y, _, n in cells if y == x) for x in "ab"}
     goal = {"a": 0.3 * sizes["a"], "b": 1.4 * sizes["b"]}
-    for s, _, lam, mean, _ in M.solve(df, sizes, counts, goal):
+    goals = spark.createDataFrame([(x, sizes[x], counts[x], goal[x]) for x in "ab"], "source string, words long, docs long, target double")
+    for s, lam, mean, _ in M.solve(df, goals).collect():
         total = lambda x: sum(z * n * min(2, math.exp(x * z / mean)) for y, z, n in cells if y == s)  # noqa: B023, E731
         low, high = -50.0, 50.0
         for _ in range(200):
