@@ -51,7 +51,7 @@ MIN_LENGTH = 6
 MIN_COUNT = 5
 FACTOR = 5
 DELETE_EVERY = 199
-MAX_WORDS = 50_000
+MAX_WORDS = 10_000
 TOP = 2  # levels of the trie that every vector is dealt by
 PAIRWISE = 12
 FLUSH_WORDS = 200_000
