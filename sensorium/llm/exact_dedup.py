@@ -30,7 +30,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorium.llm.common import broadcast_checked, materialise, salted, table
+from sensorium.llm.common import broadcast_checked, materialise, salted, table, whole_row
 
 HOT_SHARE = 1 / 1000
 SALTS = 32
@@ -95,12 +95,13 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.bool_or(stays).alias("_stays"), F.count("*").alias("_krows"))
     # Only the rows that don't simply stay are looked up: dropped ones and repeats of a kept one.
     odd, _ = broadcast_checked(materialise(keys.where("not _stays or _krows > 1"), "odd-rows"), 200_000)
-    keyed = docs.withColumn("_kdigest", sha256(F.coalesce(F.col(text_col), F.lit("")))).withColumn("_kid", F.col(id_col))
-    same = keyed["_kid"].eqNullSafe(odd["_kid"]) & (keyed["_kdigest"] == odd["_kdigest"])
+    rows = docs.select(whole_row(docs).alias("_doc"), F.col(id_col).alias("_kid"),
+                       sha256(F.coalesce(F.col(text_col), F.lit(""))).alias("_kdigest"))
+    same = rows["_kid"].eqNullSafe(odd["_kid"]) & (rows["_kdigest"] == odd["_kdigest"])
     repeats = odd.where("_stays")
-    again = keyed.join(repeats, keyed["_kid"].eqNullSafe(repeats["_kid"]) & (keyed["_kdigest"] == repeats["_kdigest"]),
-                       "left_semi").dropDuplicates(["_kid", "_kdigest"])
-    return keyed.join(odd, same, "left_anti").unionByName(again).drop("_kid", "_kdigest")
+    again = rows.join(repeats, rows["_kid"].eqNullSafe(repeats["_kid"]) & (rows["_kdigest"] == repeats["_kdigest"]),
+                      "left_semi").dropDuplicates(["_kid", "_kdigest"])
+    return rows.join(odd, same, "left_anti").unionByName(again).select("_doc.*")
 
 
 def op7_exact_dedup(spark, sf_dir: str) -> DataFrame:
