@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorium.functions.scalar import divide, ieq
-from sensorium.operators.joins import MAX_SOURCE_BYTES, broadcast_if_small
+from sensorium.operators.joins import MAX_SOURCE_BYTES, broadcast_if_small, in_ranges, key_ranges
 from sensorium.schemas import QUALITY_GOOD
 
 
@@ -126,6 +126,9 @@ class SensorModel:
     broadcast_max_bytes: int = MAX_SOURCE_BYTES
     #: fact → stored pieces by sensor (``operators.navigate.SensorPieces``), used where they cover a question.
     stored: dict = field(default_factory=dict)
+    #: Facts clustered by SensorId: filters on dimensions reach their scans as ranges of sensor ids,
+    #: for which one small job is run over the dimensions when a query is built.
+    clustered: tuple[str, ...] = ()
     _checked: dict = field(default_factory=dict)
 
     # ---- dimension chain -------------------------------------------------
@@ -195,9 +198,13 @@ class SensorModel:
             return c.isin(list(value))
         return c == F.lit(value)
 
-    def _per_sensor(self, fact: str, pieces: list, own: dict, time_range) -> DataFrame:
-        """Pieces of one fact by sensor, from its rows; ``own`` are filters on its columns."""
+    def _per_sensor(self, fact: str, pieces: list, own: dict, time_range, filters: dict) -> DataFrame:
+        """Pieces of one fact by sensor, from its rows; ``own`` are filters on its columns,
+        ``filters`` on dimensions."""
         rows = self._fact(fact, time_range)
+        if filters and fact in self.clustered:
+            sensors = self._apply_filters(self._chain(list(filters), 2), filters)
+            rows = rows.where(in_ranges(F.col("SensorId"), key_ranges(sensors, "_sensor")))
         # A piece's own filter replaces the caller's on the same column.
         replaced = {column for _, _, _, _, column in pieces if column in own}
         for column in [c for c in own if c not in replaced]:
@@ -219,7 +226,7 @@ class SensorModel:
         pieces = [(n, *PIECES[(fact, n)]) for n in names]
         per_sensor = self.stored[fact].per_sensor(fact, names, own, time_range) if fact in self.stored else None
         if per_sensor is None:
-            per_sensor = self._per_sensor(fact, pieces, own, time_range)
+            per_sensor = self._per_sensor(fact, pieces, own, time_range, filters)
         attrs = list(dict.fromkeys(list(keys) + list(extra_keys) + list(filters)))
         if attrs:
             chain = self._apply_filters(self._chain(attrs, 2), filters)

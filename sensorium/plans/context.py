@@ -14,6 +14,7 @@ from sensorium.operators.navigate import BY_SENSOR, Lattice, SensorPieces
 from sensorium.plans.views import LATTICE_BASE, VIEWS, ViewDef
 from sensorium.session import scratch_path
 from sensorium.sources import testdata as td
+from sensorium.sources.dimensions import write_bucketed
 from sensorium.sources.stored import footers
 from sensorium.streaming.batchlog import BatchTable
 from sensorium.streaming.incremental import IncrementalView
@@ -25,6 +26,7 @@ class Ctx:
         self.sf_dir = sf_dir.rstrip("/")
         self._stores: dict[str, IncrementalView] = {}
         self._facts: dict[str, BatchTable] = {}
+        self._bucketed: tuple[DataFrame, DataFrame] | None = None
         self.pin_utc()
 
     def pin_utc(self) -> None:
@@ -78,6 +80,12 @@ class Ctx:
         """The measure layer over partials by sensor and day."""
         return replace(self.model, stored={f: SensorPieces(self._store(v)) for f, v in BY_SENSOR.items()})
 
+    @cached_property
+    def clustered_model(self) -> SensorModel:
+        """The measure layer over readings stored by day and sensor."""
+        readings = self.stored_facts("readings").read(self.readings_plain.schema)
+        return replace(self.model, readings=readings, clustered=("readings",))
+
     def footers(self, name: str) -> DataFrame:
         """A test table whose counts come from its footers."""
         return footers(self.spark, f"{self.sf_dir}/{name}.parquet")
@@ -87,11 +95,21 @@ class Ctx:
         if fact not in self._facts:
             column, unit, rows = {"readings": ("event_date", "day", self.readings_plain),
                                   "alerts": ("event_month", "month", self.alerts_plain)}[fact]
-            table = BatchTable(self.spark, f"{scratch_path(self.spark, 'facts')}/{fact}", [column])
+            table = BatchTable(self.spark, f"{scratch_path(self.spark, 'facts')}/{fact}", [column], ["SensorId"])
             table.write(rows.withColumn(column, F.to_date(F.date_trunc(unit, "Timestamp"))), 0, "history")
             self._facts[fact] = table
         return self._facts[fact]
 
+    def bucketed(self, buckets: int = 8) -> tuple[DataFrame, DataFrame]:
+        """Readings and sensors stored by the same buckets of the sensor, built once."""
+        if self._bucketed is None:
+            root = scratch_path(self.spark, "bucketed")
+            unique = root.rsplit("-", 1)[-1]
+            self._bucketed = tuple(
+                write_bucketed(df, f"bucketed_{name}_{unique}", key, buckets, f"{root}/{name}")
+                for name, df, key in (("readings", self.readings_plain, "SensorId"), ("sensors", self.sensors, "sensor_id")))
+        return self._bucketed
+
     @cached_property
     def alerts(self) -> DataFrame:
         return td.stored_alerts(self.spark, self.sf_dir, located=True)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorium.operators import relational as R
-from sensorium.operators.model import ALL_MEASURES
+from sensorium.operators.model import ALL_MEASURES, SensorModel
 from sensorium.plans.context import Ctx
 from sensorium.plans.oracle import ORACLE, with_base
 from sensorium.plans.queries import query
@@ -60,8 +60,8 @@ def fs_anomaly_by_zone_type(ctx: Ctx) -> DataFrame:
 
 
 @query("fs_temp_by_site")
-def fs_temp_by_site(ctx: Ctx) -> DataFrame:
-    df = ctx.model.query([SITE], ["Avg Reading Value"], filters={SENSOR_TYPE: "Temperature"})
+def fs_temp_by_site(ctx: Ctx, model: SensorModel | None = None) -> DataFrame:
+    df = (model or ctx.model).query([SITE], ["Avg Reading Value"], filters={SENSOR_TYPE: "Temperature"})
     return _rename(df, {"AvgReadingValue": "AvgTemperature"})
 
 

@@ -16,16 +16,17 @@ from sensorium.operators import relational as R
 from sensorium.operators.model import ALL_MEASURES
 from sensorium.plans.oracle import ORACLE, VIEW_SQL, with_base
 from sensorium.plans.queries import alert_tile, query
-from sensorium.plans.semantic import SITE
+from sensorium.plans.semantic import SITE, fs_temp_by_site
 from sensorium.plans.views import VIEWS, Agg, ViewDef
 from sensorium.session import remove_path, scratch_path
+from sensorium.sources.dimensions import VersionedDimension, join_bucketed
 from sensorium.sources.stored import latest_stored
 from sensorium.sources.tables import drop_expired
 from sensorium.streaming.batchlog import BatchTable, children
 from sensorium.streaming.incremental import PERIOD, IncrementalView
 from sensorium.streaming.ingest import (
     ALERT_TABLE, READING_TABLE, Ingest, alert_handler, append_history, csv_stream, event_stream,
-    ingest_totals, read_recent, read_table, run_once, to_events, window_handler,
+    ingest_totals, locate_handler, read_recent, read_table, run_once, to_events, window_handler,
 )
 
 BATCHES = 3
@@ -227,6 +228,30 @@ def retention_stream_table(ctx: Ctx) -> DataFrame:
         F.count(F.lit(1)).alias("Readings"))
 
 
+@query("stream_changing_sensors")
+def stream_changing_sensors(ctx: Ctx) -> DataFrame:
+    """J2 with a dimension that is replaced between two runs of a stream: the second half of the
+    readings finds each sensor in the next zone."""
+    root = scratch_path(ctx.spark, "changing")
+    dimension = VersionedDimension(ctx.spark, f"{root}/sensors")
+    sensors = ctx.sensors.select("sensor_id", F.col("zone_id").alias("ZoneId"))
+    readings, odd = ctx.readings_plain, F.pmod("ReadingId", F.lit(2))
+    ingest = Ingest(schemas={READING_TABLE: readings.schema},
+                    handlers={READING_TABLE: [locate_handler(dimension, f"{root}/located")]})
+    for half, zone in enumerate((F.col("ZoneId"), F.pmod(F.col("ZoneId") + 1, F.lit(25)))):
+        dimension.write(sensors.withColumn("ZoneId", zone))
+        run_events(ctx, to_events(readings.where(odd == half)), ingest, root, f"half{half}")
+    return read_table(ctx.spark, f"{root}/located").groupBy("ZoneId").agg(F.count(F.lit(1)).alias("Readings"))
+
+
+@query("bucketed_readings_by_zone")
+def bucketed_readings_by_zone(ctx: Ctx) -> DataFrame:
+    """J1 and J2 beyond the broadcast bound: readings and sensors stored by buckets of the sensor."""
+    readings, sensors = ctx.bucketed()
+    located = join_bucketed(readings, sensors, "SensorId", "sensor_id")
+    return located.groupBy("zone_id", "SensorType").agg(F.count(F.lit(1)).alias("Readings"), F.max("ReadingValue").alias("MaxValue"))
+
+
 # ------------------------------------------------- serving a stored view ----
 @query("mv_served_hourly_recent")
 def mv_served_hourly_recent(ctx: Ctx) -> DataFrame:
@@ -289,6 +314,13 @@ def stored_measures_overview(ctx: Ctx) -> DataFrame:
     return ctx.stored_model.query([], ALL_MEASURES)
 
 
+@query("clustered_fs_temp_by_site")
+def clustered_fs_temp_by_site(ctx: Ctx) -> DataFrame:
+    """P10 over readings clustered by sensor: the filter on the sensors' type reaches the scan as
+    ranges of sensor ids."""
+    return fs_temp_by_site(ctx, ctx.clustered_model)
+
+
 # --------------------------------------------- tables stored by day folders ----
 @query("stored_latest5_readings")
 def stored_latest5_readings(ctx: Ctx) -> DataFrame:
@@ -321,9 +353,16 @@ ORACLE.update({
     "lattice_tile_avg_temperature": ORACLE["tile_avg_temperature"],
     "stored_fs_rate_by_site": ORACLE["fs_rate_by_site"],
     "stored_measures_overview": ORACLE["measures_overview"],
+    "clustered_fs_temp_by_site": ORACLE["fs_temp_by_site"],
     "stored_latest5_readings": ORACLE["check_latest5"],
     "stored_latest50_alerts": ORACLE["tile_latest50_alerts"],
     "stored_live_count_5m": ORACLE["live_count_5m"],
+    "stream_changing_sensors": with_base(
+        """SELECT CASE WHEN ReadingId % 2 = 0 THEN ZoneId ELSE (ZoneId + 1) % 25 END AS ZoneId, count(*) AS Readings
+           FROM readings GROUP BY 1"""),
+    "bucketed_readings_by_zone": with_base(
+        """SELECT ZoneId AS zone_id, SensorType, count(*) AS Readings, max(ReadingValue) AS MaxValue
+           FROM readings GROUP BY 1, 2"""),
     "stream_windowed_15m": with_base(
         """SELECT time_bucket(INTERVAL '15 minutes', "Timestamp") AS "Timestamp", SensorType, count(*) AS Readings,
                   max(ReadingValue) AS MaxValue FROM readings GROUP BY 1, 2"""),

@@ -58,15 +58,25 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(target, True).close()
 
 
+def versions(spark: SparkSession, base: str) -> list[int]:
+    """Complete ``version=N`` folders of a table that is replaced whole, oldest first."""
+    found = [int(n.removeprefix("version=")) for n in children(spark, base) if n.startswith("version=")]
+    return sorted(v for v in found if exists(spark, f"{base}/version={v}/_SUCCESS"))
+
+
 def iso(day) -> str | None:
     return day.isoformat() if isinstance(day, dt.date) else day
 
 
 class BatchTable:
-    def __init__(self, spark: SparkSession, root: str, partition_by: list[str] | None = None):
+    def __init__(self, spark: SparkSession, root: str, partition_by: list[str] | None = None,
+                 cluster_by: list[str] | None = None):
+        """``cluster_by``: rows of a folder are sorted by these columns, so that filters on them
+        skip row groups and pages."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition_by = list(partition_by or [])
+        self.cluster_by = list(cluster_by or [])
 
     def batch_path(self, batch_id: int, source: str) -> str:
         """The folder of a batch; a pattern of several if the table has partition columns."""
@@ -103,6 +113,8 @@ class BatchTable:
         if self.partition_by:
             df = df.hint("rebalance", *self.partition_by)  # a hot value is split over tasks
         df = df.withColumn("_source", F.lit(source)).withColumn("_batch", F.lit(int(batch_id)))
+        if self.cluster_by:
+            df = df.sortWithinPartitions(*self.partition_by, *self.cluster_by)
         # Dynamic overwriting stages files apart for each job, so writers of one table don't meet.
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy(*self.partition_by, *KEYS).parquet(self.root)

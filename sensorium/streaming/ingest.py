@@ -28,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from sensorium.functions.scalar import bin_time, bool_text, parse_bool, parse_span, to_iso_text
 from sensorium.operators.relational import as_of_max
 from sensorium.session import remove_path
-from sensorium.streaming.batchlog import BatchTable, children, current_source, exists
+from sensorium.streaming.batchlog import BatchTable, current_source, exists, versions
 
 READING_TABLE = "SensorReading"
 ALERT_TABLE = "SensorAlert"
@@ -353,15 +353,36 @@ def window_handler(view, late_path: str, lateness: str | int = "10 minutes", ts:
     return handle
 
 
-def alert_handler(thresholds: DataFrame, path: str, by: str = "type",
-                  keep_p: float = 1.0) -> Callable[..., None]:
+def _in_batch(dimension, batch_id: int, source: str | None) -> DataFrame:
+    """A dimension as a micro-batch sees it: a versioned one is read anew."""
+    if isinstance(dimension, DataFrame):
+        return dimension
+    return dimension.for_batch(batch_id, source or current_source(dimension.spark))
+
+
+def alert_handler(thresholds, path: str, by: str = "type", keep_p: float = 1.0) -> Callable[..., None]:
     """Live alert derivation on routed readings (T11): stateless, written per
-    batch id like every other destination."""
+    batch id like every other destination.  ``thresholds``: a table, or a
+    :class:`~sensorium.sources.dimensions.VersionedDimension` that may be replaced while the
+    stream runs."""
     from sensorium.operators.alerts import derive_alerts
 
     def handle(readings: DataFrame, batch_id: int, source: str | None = None) -> None:
-        write_batch_partition(derive_alerts(readings, thresholds, by=by, keep_p=keep_p),
-                              path, batch_id, source=source)
+        limits = _in_batch(thresholds, batch_id, source)
+        write_batch_partition(derive_alerts(readings, limits, by=by, keep_p=keep_p), path, batch_id, source=source)
+    return handle
+
+
+def locate_handler(sensors, path: str, partition_by: list[str] | None = None, key: str = "SensorId") -> Callable[..., None]:
+    """A handler that stores facts with their sensor's attributes as of the batch.
+    ``sensors`` (a table or a versioned dimension) has ``sensor_id`` and the attributes; rows of
+    unknown sensors keep them missing."""
+    from sensorium.operators.joins import broadcast_if_small
+
+    def handle(rows: DataFrame, batch_id: int, source: str | None = None) -> None:
+        side = broadcast_if_small(_in_batch(sensors, batch_id, source).withColumnRenamed("sensor_id", "_sensor_id"))
+        located = rows.join(side, F.col(key) == F.col("_sensor_id"), "left").drop("_sensor_id")
+        write_batch_partition(with_event_date(located, partition_by), path, batch_id, partition_by, source)
     return handle
 
 
@@ -492,7 +513,7 @@ def refresh_tables(spark: SparkSession, queries: dict[str, Callable[[], DataFram
         for name, fn in queries.items():
             base = f"{out_root.rstrip('/')}/{name}"
             fn().write.mode("overwrite").parquet(f"{base}/version={batch_id}")
-            for old in _versions(spark, base)[:-2]:
+            for old in versions(spark, base)[:-2]:
                 remove_path(spark, f"{base}/version={old}")
 
     tick = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
@@ -500,16 +521,10 @@ def refresh_tables(spark: SparkSession, queries: dict[str, Callable[[], DataFram
             .foreachBatch(refresh).trigger(processingTime=every).start())
 
 
-def _versions(spark: SparkSession, base: str) -> list[int]:
-    """Complete versions of a refreshed table, oldest first."""
-    found = [int(n.removeprefix("version=")) for n in children(spark, base) if n.startswith("version=")]
-    return sorted(v for v in found if "_SUCCESS" in children(spark, f"{base}/version={v}"))
-
-
 def read_refreshed(spark: SparkSession, out_root: str, name: str) -> DataFrame:
     """The newest complete version of a refreshed table."""
     base = f"{out_root.rstrip('/')}/{name}"
-    versions = _versions(spark, base)
-    if not versions:
+    known = versions(spark, base)
+    if not known:
         raise ValueError(f"{name} has not been refreshed yet")
-    return spark.read.parquet(f"{base}/version={versions[-1]}")
+    return spark.read.parquet(f"{base}/version={known[-1]}")

@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from plan_metrics import output_rows
 
 
 def plan(df) -> str:
@@ -107,7 +108,7 @@ def test_since_prunes_date_partitions(spark, scratch):
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
                 "FlatMapCoGroupsInPandas", "PythonUDF", "AggregateInPandas")
-EAGER = ("stream_", "dims_csv_roundtrip", "mv_served_", "lattice_", "stored_", "retention_stream_table")
+EAGER = ("stream_", "bucketed_", "clustered_", "dims_csv_roundtrip", "mv_served_", "lattice_", "stored_", "retention_stream_table")
 
 
 def test_no_python_in_any_query_plan(spark, q):
@@ -138,24 +139,6 @@ def test_recent_queries_skip_row_groups(spark, tmp_path):
     spark.conf.set("spark.sql.parquet.outputTimestampType", before)
     df = Q.REGISTRY["live_count_5m"](spark, f"file://{tmp_path}")
     assert df.collect()[0][0] == 300
-    read = [m for m in _output_rows(df) if m > 0]
+    read = [m for m in output_rows(df) if m > 0]
     assert max(read) >= 300 and sum(1 for m in read if m < 100_000) >= 1
 
-
-def _output_rows(df):
-    """Rows out of each scan, by the executed plan's metrics."""
-    plan = df._jdf.queryExecution().executedPlan()
-    plan.execute().count()
-    found, todo = [], [plan]
-    while todo:
-        node = todo.pop()
-        if node.nodeName().startswith("Adaptive"):
-            todo.append(node.executedPlan())
-            continue
-        if node.nodeName().startswith("Scan parquet"):
-            found.append(node.metrics().apply("numOutputRows").value())
-        for children in (node.children(), node.subqueries()):
-            todo += [children.apply(i) for i in range(children.size())]
-        if "QueryStage" in node.nodeName():
-            todo.append(node.plan())
-    return found

@@ -1,19 +1,24 @@
 """Answers from stored partials, footers and day folders equal those of the raw rows."""
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from plan_metrics import output_rows
 from sensorium.operators import relational as R
+from sensorium.operators.joins import key_ranges
 from sensorium.operators.model import ALL_MEASURES, SensorModel
 from sensorium.operators.navigate import Lattice
 from sensorium.plans.context import Ctx
 from sensorium.plans.views import LATTICE_BASE, VIEWS, Agg, ViewDef
+from sensorium.sources.dimensions import VersionedDimension, join_bucketed
 from sensorium.sources.stored import footer_time_range, footers, latest_stored, newest_days
-from sensorium.streaming.batchlog import BatchTable
+from sensorium.streaming.batchlog import BatchTable, children
 from sensorium.streaming.incremental import IncrementalView
+from sensorium.streaming.ingest import READING_TABLE, Ingest, alert_handler, await_batches, event_stream, to_events
 
 
 @pytest.fixture(scope="module")
@@ -131,3 +136,92 @@ def test_latest_from_the_newest_days(spark, scratch):
     only = F.col("k") == 3
     got = latest_stored(t, 9, tie_break=["id"], where=only, schema=schema)
     assert rows_of(got.select("id")) == rows_of(R.latest(rows.where(only), 9, tie_break=["id"]).select("id"))
+
+
+def test_bucketed_join_exchanges_no_fact(spark, ctx):
+    readings, sensors = ctx.bucketed()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = join_bucketed(readings, sensors, "SensorId", "sensor_id")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and "Bucketed: true" in plan
+        assert df.count() == ctx.readings_plain.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_dimension_is_replaced_while_a_stream_runs(spark, ctx, scratch):
+    """Thresholds change between micro-batches of one running query; each batch keeps to one version,
+    also when it is replayed."""
+    readings = ctx.readings.where("SensorType = 'Temperature'").limit(40).persist()
+    dimension = VersionedDimension(spark, f"{scratch}/limits", keep=2)
+    with pytest.raises(ValueError):
+        dimension.read()
+    limits = ctx.thresholds
+    low, high = limits.withColumn("min_normal", F.lit(-1e9)), limits.withColumn("min_normal", F.lit(1e9))
+    assert dimension.write(low) == 0
+    anomalies = readings.withColumn("IsAnomaly", F.lit(True))
+    handle = alert_handler(dimension, f"{scratch}/alerts")
+    events, stream_dir = to_events(anomalies), f"{scratch}/in"
+    part = lambda i: events.where(F.pmod(F.xxhash64("value"), F.lit(2)) == i)
+    seen = []
+
+    def note(rows, batch_id, source):
+        seen.append((batch_id, rows.count()))
+
+    ingest = Ingest(schemas={READING_TABLE: ctx.readings.schema}, handlers={READING_TABLE: [handle, note]})
+    part(0).coalesce(1).write.mode("append").text(stream_dir)
+    q = ingest.start(event_stream(spark, stream_dir), f"{scratch}/ck", trigger="200 milliseconds")
+    try:
+        assert await_batches(q, 1)
+        dimension.write(high)
+        part(1).coalesce(1).write.mode("append").text(stream_dir)
+        assert await_batches(q, 2)
+    finally:
+        q.stop()
+    (b0, n0), (b1, n1) = seen
+    assert n0 + n1 == 40 and min(n0, n1) > 0
+    alerts = BatchTable(spark, f"{scratch}/alerts").read(keys=True).groupBy("_batch", "AlertType").count().collect()
+    assert {(r["_batch"], r["AlertType"]): r["count"] for r in alerts} == {(b0, "AboveThreshold"): n0, (b1, "BelowThreshold"): n1}
+    # A replay of the second batch after another change meets the version it met first.
+    dimension.write(low)
+    source, = [n for n in children(spark, f"{scratch}/limits/_pins")]
+    assert dimension.for_batch(b1, source).where("min_normal = 1e9").count() == limits.count()
+    assert dimension.for_batch(b1 + 1, source).where("min_normal = 1e9").count() == 0
+    dimension.write(low)
+    with pytest.raises(ValueError, match="gone"):
+        dimension.for_batch(b1, source)
+
+
+def test_key_ranges(spark):
+    import random
+    rng = random.Random(2)
+    assert key_ranges(spark.createDataFrame([], "k long"), "k") == []
+    assert key_ranges(spark.createDataFrame([(None,), (5,)], "k long"), "k") == [(5, 5)]
+    for keys in ([3, 4, 5, 100, 101, 900], rng.sample(range(10**9), 300), list(range(50)), [-7, 2**62]):
+        for most in (1, 2, 10):
+            ranges = key_ranges(spark.createDataFrame([(k,) for k in keys], "k long"), "k", most)
+            assert 1 <= len(ranges) <= most and all(any(a <= k <= b for a, b in ranges) for k in keys)
+            assert all(b < c for (_, b), (c, _) in zip(ranges, ranges[1:])) and all(a in keys and b in keys for a, b in ranges)
+    assert key_ranges(spark.createDataFrame([(k,) for k in (3, 4, 5, 100, 101, 900)], "k long"), "k", 3) == [(3, 5), (100, 101), (900, 900)]
+
+
+def test_dimension_filters_skip_rows_of_a_clustered_fact(spark, scratch):
+    """Two zones of twenty: the scan of the stored fact gives out little more than their sensors' rows."""
+    rows = spark.range(0, 400_000, numPartitions=4).select(
+        F.pmod(F.xxhash64("id"), F.lit(1000)).alias("SensorId"), F.timestamp_seconds(F.col("id") % 86400 + 1704067200).alias("Timestamp"),
+        F.rand(3).alias("ReadingValue"), F.lit("Good").alias("QualityFlag"), F.lit(False).alias("IsAnomaly"))
+    table = BatchTable(spark, f"{scratch}/clustered", ["event_date"], ["SensorId"])
+    table.write(rows.withColumn("event_date", F.to_date("Timestamp")), 0, "q")
+    sensors = spark.range(1000).select(F.col("id").alias("sensor_id"), F.floor(F.col("id") / 50).alias("zone_id"))
+    zones = spark.range(20).select(F.col("id").alias("zone_id"), F.concat(F.lit("z"), "id").alias("zone_name"), F.lit(1).alias("site_id"))
+    sites = spark.createDataFrame([(1, "s")], "site_id int, site_name string")
+    plain = SensorModel(table.read(), rows.limit(0), sites, zones, sensors)
+    clustered = replace(plain, clustered=("readings",))
+    ask = dict(group_by=["dim_zones.zone_name"], measures=["Total Readings"], filters={"dim_zones.zone_name": ["z3", "z11"]})
+    df = clustered.query(**ask)
+    assert rows_of(df) == rows_of(plain.query(**ask)) and df.count() == 2
+    everything, few = max(output_rows(plain.query(**ask))), max(output_rows(df))
+    assert everything == 400_000 and few < 150_000
+    assert clustered.query(**{**ask, "filters": {"dim_zones.zone_name": "nowhere"}}).count() == 0
