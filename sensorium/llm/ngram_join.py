@@ -12,10 +12,11 @@ and of its partner have l of them in common, for any l.
    ``hot_df`` lists are hot and go last, the more frequent the later.  A node
    whose list has too few other tokens reads its whole set again from its text,
    and tokens that many of these sets share are hot as well.
-3. Adaptive prefixes.  A node's candidate cost is estimated as the sum of
-   (frequency - 1) over its prefix; the costlier, the longer its prefix and the
-   more shared prefix tokens (l) a candidate needs; a pair needs the smaller l
-   of its two.
+3. Adaptive prefixes.  For each l a node's cost is estimated: the entries that its
+   prefix meets - the sum of (frequency - 1), growing with l - and the candidates
+   among them, entries / l at most, that must be verified.  The cheapest l is taken,
+   so costly nodes get longer prefixes and need more shared tokens; a pair needs the
+   smaller l of its two.
 4. Dense buckets.  Where many nodes share a token, each is paired with the
    bucket's hub, which is linear in the rows.  Pairs with enough matches are
    verified, and links merge nodes into provisional components; nodes that are
@@ -24,9 +25,14 @@ and of its partner have l of them in common, for any l.
 5. All the rest.  Pairs of nodes of *different* components in one bucket are
    counted, filtered by the number of shared prefix tokens and by the bound
    that it sets on the overlap, and verified.  Pairs inside a component are
-   never formed; no link between two components can be missed.  Where two
-   components meet in more rows than they have pairs, each pair is compared
-   once by its prefixes instead of once for each token.
+   never formed; no link between two components can be missed.
+6. Components that meet in many rows aren't compared row by row.  A pivot p, the
+   smallest set among a component and those that it meets, is taken out of all
+   their sets.  If x or y isn't linked with p, then |y & p| < t (|x| + |y|) / (1 + t)
+   for that one, so x and y, to be linked, share tokens outside of p: at least
+   t (|x| + |y|) / (1 + t) less what the poorer of them shares with p.  Variants of
+   one text share little but that text, so what is left of them meets rarely.
+   The rows are those of the sets, whatever the number of pairs.
 
 Verification drops pairs whose odd sketches prove too large a difference, and
 intersects the whole sets of the others.  Only their texts are read for it.
@@ -54,12 +60,15 @@ from sensorium.llm.shingles import least_difference, odd_sketch, set_digest, shi
 K = 3
 PERCENT = 90
 HOT_DF = 10
-MAX_MATCHES = 4
+#: Longest prefixes that are looked at: this many tokens more than the plain one, less one.
+MAX_MATCHES = 8
+#: What verifying a candidate costs, in entries of a token's list.
+VERIFY_COST = 8
 #: Tokens in more prefixes than this are dense; their buckets get hubs before pairs are formed.
 DENSE_DF = 16
 HUB_ROUNDS = 4
-SALTS = 64
-SALT_NODES = 512
+#: Two components that meet in more pairs of rows than this are compared outside a pivot.
+DIRECT_ROWS = 32
 BROADCAST_ROWS = 200_000
 
 
@@ -226,12 +235,17 @@ def prefixes(docs: DataFrame, nodes: DataFrame, k: int, percent: int, hot_df: in
     # What counts from here on is in how many prefixes a token really is.
     met = rows.join(rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "token")
 
-    # The candidate cost of the plain prefix decides on the number of matches.
-    cost = F.sum(F.when(F.col("rank") < base, F.col("df") - 1)).alias("cost")
-    per_node = met.groupBy("node", "n").agg(cost, F.collect_list(F.struct("rank", "token", "df")).alias("t"))
-    matches = F.least(F.lit(1) + (F.col("cost") > 4).cast("int") + (F.col("cost") > 16).cast("int")
-                      + (F.col("cost") > 64).cast("int"), F.col("n") - base + 1)
-    per_node = per_node.withColumn("matches", F.greatest(matches, F.lit(1)).cast("int"))
+    # Reading the prefix's lists costs a step for each entry; a candidate that is met l times at least
+    # costs VERIFY_COST, and there are no more than entries / l of them.  The cheapest l is taken.
+    per_node = met.groupBy("node", "n").agg(F.collect_list(F.struct("rank", "token", "df")).alias("t"))
+
+    def cost(matches: Column) -> Column:
+        entries = F.aggregate(F.filter("t", lambda x: x["rank"] < base + matches - 1), F.lit(0).cast("long"),
+                              lambda a, x: a + x["df"] - 1)
+        return F.struct((entries * (1 + VERIFY_COST / matches)).alias("cost"), matches.alias("matches"))
+
+    most = F.greatest(F.least(F.lit(MAX_MATCHES), F.col("n") - base + 1), F.lit(1)).cast("int")
+    per_node = per_node.withColumn("matches", F.array_min(F.transform(F.sequence(F.lit(1), most), cost))["matches"])
     per_node = per_node.withColumn("length", (base + F.col("matches") - 1).cast("int"))
     per_node = per_node.withColumn("t", F.filter("t", lambda x: x["rank"] < F.col("length")))
     per_node = per_node.withColumn("dense", F.size(F.filter("t", lambda x: x["df"] > DENSE_DF)))
@@ -282,7 +296,7 @@ def _pair(percent: int) -> list[Column]:
     return [F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"), _needed(percent).alias("needs")]
 
 
-def _across(rows: DataFrame, dense: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def _across(rows: DataFrame, dense: DataFrame, roots: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
     """Candidate pairs of nodes in different components, by all they share of their prefixes."""
     similar = _similar_size(F.col("a_n"), F.col("b_n"), percent)
     columns = ["token", "root", "node", "n", "matches", "length", "early", "dense"]
@@ -310,10 +324,11 @@ def _across(rows: DataFrame, dense: DataFrame, roots: DataFrame, percent: int) -
         F.least("root", "other").alias("root"), F.greatest("root", "other").alias("other")).agg(
         F.sum(F.col("c") * F.col("d")).alias("by_token"))
     meeting = meeting.join(sizes, "root").join(sizes.select(F.col("root").alias("other"), F.col("size").alias("other_size")), "other")
-    meeting = materialise(meeting.withColumn("whole", F.col("by_token") >= F.col("size") * F.col("other_size")), "meeting")
+    meeting = materialise(meeting, "meeting")
 
     # Components that meet in few rows: by the rows of those buckets.
-    few = meeting.where("not whole").select("root", "other")
+    product, direct = F.col("size") * F.col("other_size"), F.least("by_token", F.col("size") * F.col("other_size")) <= DIRECT_ROWS
+    few = materialise(meeting.where(direct & (F.col("by_token") <= product)).select("root", "other"), "meeting-few")
     met = held.select("token", "root").join(few, "root").join(other.select("token", "other"), ["token", "other"])
     met = met.join(_side(dense, "a"), (F.col("token") == F.col("a_token")) & (F.col("root") == F.col("a_root")))
     met = met.join(_side(dense, "b"), (F.col("token") == F.col("b_token")) & (F.col("other") == F.col("b_root")) & similar)
@@ -325,22 +340,63 @@ def _across(rows: DataFrame, dense: DataFrame, roots: DataFrame, percent: int) -
     counted = counted.groupBy("a", "b").agg((F.count("*") + F.first("uncounted")).alias("shared"), F.first("needs").alias("needs"))
     counted = counted.where("shared >= needs").select("a", "b")
 
-    # Components that meet in more rows than they have pairs (a group and its stragglers):
-    # each pair once, smaller component first, compared by their whole prefixes.
-    tokens = rows.join(dense.select("node").distinct(), "node", "left_semi").groupBy("node", "n", "matches", "length").agg(
-        F.collect_list("token").alias("tokens"))
-    salts = lambda size: F.least(F.lit(SALTS), F.ceil(F.col(size) / SALT_NODES)).cast("int")
-    tokens = _rooted(tokens, roots).join(sizes, "root").withColumn("salt", F.pmod(F.xxhash64("node"), salts("size")).cast("int"))
-    tokens = materialise(tokens.drop("size"), "dense-prefixes")
-    smaller = F.col("size") <= F.col("other_size")
-    wide = meeting.where("whole").select(F.when(smaller, F.col("root")).otherwise(F.col("other")).alias("root"),
-                                         F.when(smaller, F.col("other")).otherwise(F.col("root")).alias("other"),
-                                         F.greatest("size", "other_size").alias("other_size"))
-    left = wide.join(_side(tokens, "a"), F.col("root") == F.col("a_root")).drop("root").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), salts("other_size") - 1)))
-    alike = F.size(F.array_intersect("a_tokens", "b_tokens")) >= _needed(percent)
-    whole = left.join(_side(tokens, "b"), (F.col("other") == F.col("b_root")) & (F.col("salt") == F.col("b_salt")) & similar & alike)
-    return counted.unionByName(whole.select(_pair(percent)).select("a", "b")).distinct()
+    # Components that have few pairs, but meet in more rows: all their pairs.
+    members = materialise(dense.select("root", "node", "n").distinct(), "dense-members")
+    small = meeting.where(direct & (F.col("by_token") > product)).select("root", "other")
+    small = small.join(_side(members, "a"), F.col("root") == F.col("a_root")).join(
+        _side(members, "b"), (F.col("other") == F.col("b_root")) & similar)
+    counted = counted.unionByName(small.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")))
+
+    # The others: the larger component of each meeting, and all that it meets, less a pivot's tokens.
+    larger = (F.col("size") > F.col("other_size")) | ((F.col("size") == F.col("other_size")) & (F.col("root") < F.col("other")))
+    many = meeting.where(~direct).select(
+        F.when(larger, F.col("root")).otherwise(F.col("other")).alias("hub"),
+        F.when(larger, F.col("other")).otherwise(F.col("root")).alias("guest"))
+    many = materialise(many, "meeting-many")
+    if not many.limit(1).count():
+        return counted.distinct()
+    return counted.unionByName(_outside_pivots(many, members, docs, nodes, k, percent)).distinct()
+
+
+def _less(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The tokens of each row's set that aren't in its pivot's."""
+    for batch in batches:
+        sets, pivots = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
+        rest = [np.setdiff1d(np.frombuffer(sets[i].as_buffer(), np.int64), np.frombuffer(pivots[i].as_buffer(), np.int64), True)
+                for i in range(batch.num_rows)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(rest, pa.list_(pa.int64()))],
+                                         names=[*batch.schema.names[:-2], "rest"])
+
+
+def _outside_pivots(many: DataFrame, members: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
+    """Candidate pairs between the components ``hub`` and ``guest`` of ``many``; ``members`` is (root, node, n)."""
+    hosts = many.select("hub").distinct().join(members, F.col("hub") == F.col("root")).withColumn("host", F.lit(True))
+    guests = many.join(members, F.col("guest") == F.col("root")).drop("guest").withColumn("host", F.lit(False))
+    rows = materialise(hosts.unionByName(guests), "pivot-members")
+    pivots = rows.groupBy("hub").agg(F.min(F.struct("n", "node", "root")).alias("p")).select(
+        "hub", F.col("p.n").alias("p_n"), F.col("p.node").alias("p_node"), F.col("p.root").alias("p_root"))
+    pivots = materialise(pivots, "pivots")
+    needed = rows.select("node").distinct().join(nodes.select("node", "digest", "first_id"), "node")
+    sets = whole_sets(docs, materialise(needed, "pivot-nodes"), k, False, "pivot-sets")
+    held = rows.join(pivots, "hub").join(sets, "node").join(
+        sets.select(F.col("node").alias("p_node"), F.col("tokens").alias("p_tokens")), "p_node")
+    held = held.select("hub", "host", "root", "node", "n", "p_n", "p_node", "p_root", "tokens", "p_tokens")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in held.schema.fields[:-2])
+    rest = materialise(map_arrow(held, _less, f"{kinds}, rest array<long>"), "pivot-rest")
+    inside = F.col("n") - F.size("rest")  # shared with the pivot
+    linked = 100 * inside >= percent * (F.col("n") + F.col("p_n") - inside)
+
+    with_pivot = rest.where(linked & (F.col("root") != F.col("p_root"))).select(
+        F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b"))
+    side = rest.select("hub", "host", "root", "node", "n", inside.alias("inside"), linked.alias("linked"), F.explode("rest").alias("token"))
+    side = materialise(side, "pivot-tokens")
+    a, b = _side(side.where("host"), "a"), _side(side.where("not host"), "b")
+    both = a.join(b, (F.col("a_hub") == F.col("b_hub")) & (F.col("a_token") == F.col("b_token")) & ~(F.col("a_linked") & F.col("b_linked"))
+                  & _similar_size(F.col("a_n"), F.col("b_n"), percent))
+    wanted = F.ceil(percent * (F.col("a_n") + F.col("b_n")) / (100 + percent)) - F.least("a_inside", "b_inside")
+    shared = both.groupBy(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"), wanted.alias("wanted")).agg(
+        F.count("*").alias("shared"))
+    return with_pivot.unionByName(shared.where("shared >= wanted").select("a", "b"))
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, percent: int = PERCENT,
@@ -364,7 +420,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         links = links.unionByName(found)
         if not found.limit(1).count():
             break
-    links = links.unionByName(verify(_across(rows, dense, connected(links), percent), docs, nodes, k, percent, "rest"))
+    links = links.unionByName(verify(_across(rows, dense, connected(links), docs, nodes, k, percent), docs, nodes, k, percent, "rest"))
     roots = connected(links)
 
     named = roots.join(nodes.select("node", "first_id"), "node").groupBy("root").agg(F.min("first_id").alias("name"))

@@ -58,7 +58,7 @@ def corpus(seed, n=220):
 @pytest.mark.parametrize(("seed", "k", "percent", "hot", "dense"), [(1, 3, 90, 10, 16), (2, 5, 80, 4, 2), (3, 3, 70, 2, 1)])
 def test_components_equal_brute_force(spark, docs_of, monkeypatch, seed, k, percent, hot, dense):
     monkeypatch.setattr(J, "DENSE_DF", dense)
-    monkeypatch.setattr(J, "SALT_NODES", 3)
+    monkeypatch.setattr(J, "DIRECT_ROWS", {1: J.DIRECT_ROWS, 2: 3, 3: 0}[seed])  # the last two compare outside pivots
     if seed == 3:  # the ways for tables too large to broadcast
         monkeypatch.setattr(J, "BROADCAST_ROWS", 0)
     docs = corpus(seed)
@@ -113,3 +113,66 @@ def test_connected_components(spark):
     got = {(r.node, r.root) for r in connected(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {(i, 0) for i in range(61)} | {(90, 90), (95, 90), (100, 90)}
     assert connected(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def variants(n, words=200, seed=11):
+    """Variants of one text, each with one to eight words changed."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(words)]
+    out = []
+    for i in range(n):
+        copy = list(base)
+        for at in rng.sample(range(words), rng.randint(1, 8)):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        out.append((i, " ".join(copy)))
+    return out
+
+
+def test_buckets_of_a_large_group_are_counted_truly(spark, docs_of, monkeypatch):
+    """Of a group of variants, tokens that nearly all of them hold may stand in few of the lists by hash.
+    What counts as a small bucket is small over the final prefixes."""
+    seen = {}
+    real = J.prefixes
+
+    def watched(*args):
+        seen["rows"] = real(*args)
+        return seen["rows"]
+
+    monkeypatch.setattr(J, "prefixes", watched)
+    docs = variants(260) + [(1000 + i, t) for i, t in corpus(5, 60)]
+    assert result(J.similar_groups(docs_of(docs))) == brute(docs, 3, 90)
+    rows = seen["rows"].where(seen["rows"].df <= J.DENSE_DF)
+    assert rows.groupBy("token").count().where(f"count > {J.DENSE_DF}").count() == 0
+    # Nodes that can't link with any of their size or larger meet nobody as the smaller one.
+    early = seen["rows"].where("early").select("node").distinct().count()
+    assert early < seen["rows"].select("node").distinct().count()
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_components_met_outside_a_pivot(spark, docs_of, monkeypatch, seed):
+    """Families whose members are almost near copies of other families' members, of differing lengths, with
+    links across families that only a few rare words give away."""
+    monkeypatch.setattr(J, "DENSE_DF", 2)
+    monkeypatch.setattr(J, "DIRECT_ROWS", 0)
+    monkeypatch.setattr(J, "HUB_ROUNDS", 1)
+    rng = random.Random(seed)
+    base, docs = [f"b{i}" for i in range(120)], []
+    for family in range(8):
+        words = list(base)
+        for at in rng.sample(range(120), rng.randint(2, 6)):
+            words[at:at + 1] = [f"f{family}x{at}"] * rng.randint(0, 2)
+        for _ in range(18):
+            copy = list(words)
+            for at in rng.sample(range(len(copy)), rng.randint(0, 4)):
+                copy[at] = rng.choice([f"own{rng.randrange(40)}", "both"])
+            docs.append((len(docs), " ".join(copy)))
+    assert result(J.similar_groups(docs_of(docs))) == brute(docs, 3, 90)
+
+
+def test_costly_nodes_get_longer_prefixes(spark, docs_of, monkeypatch):
+    seen = {}
+    real = J.prefixes
+    monkeypatch.setattr(J, "prefixes", lambda *a: seen.setdefault("rows", real(*a)))
+    J.similar_groups(docs_of(variants(80) + [(900 + i, f"only{i} some{i} words{i} here{i}") for i in range(5)])).count()
+    matches = {r.matches for r in seen["rows"].select("matches").distinct().collect()}
+    assert max(matches) > 4 and all(1 <= m <= J.MAX_MATCHES for m in matches)
