@@ -21,12 +21,13 @@ from sensorium.plans.views import VIEWS, Agg, ViewDef
 from sensorium.session import remove_path, scratch_path
 from sensorium.sources.dimensions import VersionedDimension, join_bucketed
 from sensorium.sources.stored import latest_stored
-from sensorium.sources.tables import drop_expired
+from sensorium.sources import tables as TB
 from sensorium.streaming.batchlog import BatchTable, children
 from sensorium.streaming.incremental import PERIOD, IncrementalView
 from sensorium.streaming.ingest import (
-    ALERT_TABLE, READING_TABLE, Ingest, alert_handler, append_history, csv_stream, event_stream,
-    ingest_totals, locate_handler, read_recent, read_table, run_once, to_events, window_handler,
+    ALERT_TABLE, READING_TABLE, Ingest, alert_handler, append_history, await_batches, csv_stream, event_stream,
+    ingest_totals, locate_handler, read_recent, read_refreshed, read_table, refresh_tables, run_for, run_once,
+    to_events, window_handler,
 )
 
 BATCHES = 3
@@ -169,7 +170,6 @@ def csv_stream_readings(ctx: Ctx) -> DataFrame:
 @query("append_batch_readings")
 def append_batch_readings(ctx: Ctx) -> DataFrame:
     """A table appended to in two batches."""
-    from sensorium.sources import tables as TB
     root = scratch_path(ctx.spark, "append")
     good = F.col("QualityFlag").eqNullSafe("Good")
     for part in (ctx.readings_plain.where(good), ctx.readings_plain.where(~good)):
@@ -216,6 +216,37 @@ def stream_totals_restart(ctx: Ctx) -> DataFrame:
     return ingest_totals(ctx.spark, f"{root}/totals").select("destination", "events")
 
 
+@query("stream_timed_then_drained")
+def stream_timed_then_drained(ctx: Ctx) -> DataFrame:
+    """A query with a micro-batch each second runs for three seconds and is stopped, wherever it
+    is; a second one goes on from its checkpoint and takes the rest.  Nothing is lost or twice."""
+    root = scratch_path(ctx.spark, "timed")
+    ingest = model_ingest(ctx, root)
+    to_events(ctx.readings, ctx.alerts).write.mode("overwrite").text(f"{root}/in")
+    stream = lambda: event_stream(ctx.spark, f"{root}/in", max_files_per_trigger=files_per_trigger(ctx, f"{root}/in"))
+    run_for(ingest.start(stream(), f"{root}/checkpoint", trigger="1 second"), 3)
+    drained(ingest.start(stream(), f"{root}/checkpoint", available_now=True))
+    return TB.table_counts({t: read_table(ctx.spark, f"{root}/tables/{t}", ingest.schemas[t]) for t in ingest.tables})
+
+
+@query("refreshed_tiles")
+def refreshed_tiles(ctx: Ctx) -> DataFrame:
+    """Tile results kept in tables by a timer, each computed from the stored partials.  The timer is
+    stopped after its first round."""
+    root = scratch_path(ctx.spark, "tiles")
+    total = ViewDef("total", "readings", None, ("SiteId",), (_COUNT,))
+    tiles = {"anomaly_rate": lambda: lattice_tile_anomaly_rate_by_site(ctx), "readings": lambda: ctx.lattice.answer(total)}
+    q = refresh_tables(ctx.spark, tiles, f"{root}/out", f"{root}/checkpoint", every="1 minute")
+    try:
+        if not await_batches(q, 1):
+            raise RuntimeError(str(q.exception()))
+    finally:
+        q.stop()
+    rate, readings = (read_refreshed(ctx.spark, f"{root}/out", name) for name in tiles)
+    return rate.join(readings.withColumnsRenamed({"SiteId": "_site", "n": "Readings"}),
+                     F.col("SiteId").eqNullSafe(F.col("_site"))).drop("_site")
+
+
 @query("retention_stream_table")
 def retention_stream_table(ctx: Ctx) -> DataFrame:
     """S20 as storage: a table that ingest wrote, after its days of more than a week before
@@ -223,7 +254,7 @@ def retention_stream_table(ctx: Ctx) -> DataFrame:
     root = scratch_path(ctx.spark, "retention")
     run_events(ctx, to_events(ctx.readings), model_ingest(ctx, root), root)
     table = f"{root}/tables/{READING_TABLE}"
-    drop_expired(ctx.spark, table, 7, BatchTable(ctx.spark, table).days()[-1])
+    TB.drop_expired(ctx.spark, table, 7, BatchTable(ctx.spark, table).days()[-1])
     return read_table(ctx.spark, table, ctx.readings.schema).groupBy(F.to_date("Timestamp").alias("Day")).agg(
         F.count(F.lit(1)).alias("Readings"))
 
@@ -366,6 +397,12 @@ ORACLE.update({
     "stream_windowed_15m": with_base(
         """SELECT time_bucket(INTERVAL '15 minutes', "Timestamp") AS "Timestamp", SensorType, count(*) AS Readings,
                   max(ReadingValue) AS MaxValue FROM readings GROUP BY 1, 2"""),
+    "stream_timed_then_drained": with_base(
+        """SELECT 'SensorReading' AS table_name, count(*) AS row_count FROM readings
+           UNION ALL SELECT 'SensorAlert', count(*) FROM alerts"""),
+    "refreshed_tiles": f"""SELECT t.*, n."Readings" FROM ({ORACLE["tile_anomaly_rate_by_site"]}) t
+        JOIN ({with_base('SELECT SiteId, count(*) AS "Readings" FROM readings GROUP BY SiteId')}) n
+        ON t.SiteId IS NOT DISTINCT FROM n.SiteId""",
     "stream_totals_restart": with_base(
         """SELECT 'SensorReading' AS destination, count(*) AS events FROM readings
            UNION ALL SELECT 'SensorAlert', count(*) FROM alerts UNION ALL SELECT 'quarantine', 0"""),

@@ -108,7 +108,7 @@ def test_since_prunes_date_partitions(spark, scratch):
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
                 "FlatMapCoGroupsInPandas", "PythonUDF", "AggregateInPandas")
-EAGER = ("stream_", "bucketed_", "clustered_", "dims_csv_roundtrip", "mv_served_", "lattice_", "stored_", "retention_stream_table")
+EAGER = ("stream_", "bucketed_", "clustered_", "dims_csv_roundtrip", "mv_served_", "lattice_", "stored_", "retention_stream_table", "refreshed_tiles")
 
 
 def test_no_python_in_any_query_plan(spark, q):
