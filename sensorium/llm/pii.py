@@ -282,23 +282,36 @@ def kind_of(term: Column, share: Column, remove_at: float) -> Column:
     return F.when(share >= remove_at, REMOVED).when(number, CLASSES[1]).when(name, CLASSES[0]).otherwise(CLASSES[2])
 
 
-def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    order = {k: i for i, k in enumerate((*CLASSES, REMOVED))}
-    for batch in batches:
-        added = []
-        for text, marks in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            kinds = {m["term"]: m["kind"] for m in marks}
-            taken = sorted(x for spans in find(text).values() for x in spans)
-            at, out, reached = 0, [], 0  # spans of different patterns may overlap
-            for m in _TERM.finditer(text):
-                while at < len(taken) and taken[at][0] < m.end():
-                    reached = max(reached, taken[at][1])
-                    at += 1
-                if m[0] in kinds and reached <= m.start():
-                    out.append((order[kinds[m[0]]], *m.span(), kinds[m[0]]))
-            added.append(",".join(f"{k}:{s}:{e}" for _, s, e, k in sorted(out)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(added, pa.string())],
-                                         names=["_aid", "_arow", "added"])
+_ORDER = {k: i for i, k in enumerate((*CLASSES, REMOVED))}
+
+
+def _added(text: str, kinds: dict[str, str]) -> str:
+    """Spans of the terms of ``kinds`` that don't overlap the patterns', by kind and start."""
+    taken = sorted(x for spans in find(text).values() for x in spans)
+    at, out, reached = 0, [], 0  # spans of different patterns may overlap
+    for m in _TERM.finditer(text):
+        while at < len(taken) and taken[at][0] < m.end():
+            reached = max(reached, taken[at][1])
+            at += 1
+        if m[0] in kinds and reached <= m.start():
+            out.append((_ORDER[kinds[m[0]]], *m.span(), kinds[m[0]]))
+    return ",".join(f"{k}:{s}:{e}" for _, s, e, k in sorted(out))
+
+
+def _mark(sent):
+    """Spans of the texts that hold revealing terms: those of the last column, or of ``sent``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = sent.value if sent is not None else None
+        for batch in batches:
+            texts = batch.column(2).to_pylist()
+            if every is None:
+                marks = [{m["term"]: m["kind"] for m in row} for row in batch.column(3).to_pylist()]
+            else:
+                marks = [every if not every.keys().isdisjoint(_TERM.findall(t)) else None for t in texts]
+            hit = [i for i, m in enumerate(marks) if m]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(hit, pa.int64())), batch.column(1).take(pa.array(hit, pa.int64())),
+                                              pa.array([_added(texts[i], marks[i]) for i in hit], pa.string())], names=["_aid", "_arow", "added"])
+    return run
 
 
 def private_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remove_at: float = REMOVE_AT, **limits) -> DataFrame:
@@ -310,12 +323,17 @@ def private_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     reveal = materialise(reveal.groupBy("term").agg(F.max("share").alias("share")), "pii-reveal")
     kinds = reveal.select("term", kind_of(F.col("term"), F.col("share"), remove_at).alias("kind"))
 
-    # Wherever a revealing term stands, with an entity or without.
-    marks = _terms_of(texts).join(broadcast_checked(kinds, BROADCAST_TERMS)[0], "term").groupBy("_row").agg(
-        F.collect_set(F.struct("term", "kind")).alias("marks"))
-    marks = materialise(marks, "pii-marks")
-    marked = texts.join(broadcast_checked(marks, BROADCAST_ROWS)[0], "_row").select("_id", "_row", "_text", "marks")
-    added = materialise(map_arrow(marked, _mark, "_aid long, _arow long, added string").distinct(), "pii-added")
+    # Wherever a revealing term stands, with an entity or without.  Few terms are sent to the texts.
+    spans_schema, n_terms = "_aid long, _arow long, added string", reveal.count()
+    if n_terms <= BROADCAST_TERMS:
+        sent = docs.sparkSession.sparkContext.broadcast({r["term"]: r["kind"] for r in kinds.toLocalIterator()})
+        added = map_arrow(texts if n_terms else texts.limit(0), _mark(sent), spans_schema)
+    else:
+        marks = _terms_of(texts).join(kinds, "term").groupBy("_row").agg(F.collect_set(F.struct("term", "kind")).alias("marks"))
+        marks = materialise(marks, "pii-marks")
+        marked = texts.join(broadcast_checked(marks, BROADCAST_ROWS)[0], "_row").select("_id", "_row", "_text", "marks")
+        added = map_arrow(marked, _mark(None), spans_schema)
+    added = materialise(added.distinct(), "pii-added")
 
     out = found.drop("mentions").join(broadcast_checked(added, BROADCAST_ROWS)[0],
                                       F.col("_id").eqNullSafe(F.col("_aid")) & (F.col("_row") == F.col("_arow")), "left")

@@ -3,6 +3,7 @@ import math
 import random
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -66,7 +67,10 @@ def corpus():
     return docs + [(600, "Nobody but Zorblatt, and Zorblatt-like the"), (601, "text Names and quimby the")]
 
 
-def test_revealing_terms(spark, docs_of):
+@pytest.mark.parametrize("bound", [P.BROADCAST_TERMS, 0])  # 0: the way for many terms and documents
+def test_revealing_terms(spark, docs_of, monkeypatch, bound):
+    monkeypatch.setattr(P, "BROADCAST_TERMS", bound)
+    monkeypatch.setattr(P, "BROADCAST_ROWS", bound)
     rows = {r.doc_id: r.spans for r in P.private_spans(docs_of(corpus())).collect()}
     texts = dict(corpus())
 
