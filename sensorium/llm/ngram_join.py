@@ -237,15 +237,14 @@ def prefixes(docs: DataFrame, nodes: DataFrame, k: int, percent: int, hot_df: in
 
     # Reading the prefix's lists costs a step for each entry; a candidate that is met l times at least
     # costs VERIFY_COST, and there are no more than entries / l of them.  The cheapest l is taken.
-    per_node = met.groupBy("node", "n").agg(F.collect_list(F.struct("rank", "token", "df")).alias("t"))
-
-    def cost(matches: Column) -> Column:
-        entries = F.aggregate(F.filter("t", lambda x: x["rank"] < base + matches - 1), F.lit(0).cast("long"),
-                              lambda a, x: a + x["df"] - 1)
-        return F.struct((entries * (1 + VERIFY_COST / matches)).alias("cost"), matches.alias("matches"))
-
-    most = F.greatest(F.least(F.lit(MAX_MATCHES), F.col("n") - base + 1), F.lit(1)).cast("int")
-    per_node = per_node.withColumn("matches", F.array_min(F.transform(F.sequence(F.lit(1), most), cost))["matches"])
+    steps = range(1, MAX_MATCHES + 1)
+    entries = [F.coalesce(F.sum(F.when(F.col("rank") < base + (m - 1), F.col("df") - 1)), F.lit(0)).alias(f"entries_{m}") for m in steps]
+    per_node = met.groupBy("node", "n").agg(*entries, F.collect_list(F.struct("rank", "token", "df")).alias("t"))
+    most = F.greatest(F.least(F.lit(MAX_MATCHES), F.col("n") - base + 1), F.lit(1))
+    costs = F.array(*[F.struct(F.when(F.lit(m) <= most, F.col(f"entries_{m}") * (1 + VERIFY_COST / m)).otherwise(float("inf")).alias("cost"),
+                               F.lit(m).alias("matches")) for m in steps])
+    # By explode the choice is made once for a node, not again for each of its tokens below.
+    per_node = per_node.select("node", "n", "t", F.explode(F.array(F.array_min(costs)["matches"])).alias("matches"))
     per_node = per_node.withColumn("length", (base + F.col("matches") - 1).cast("int"))
     per_node = per_node.withColumn("t", F.filter("t", lambda x: x["rank"] < F.col("length")))
     per_node = per_node.withColumn("dense", F.size(F.filter("t", lambda x: x["df"] > DENSE_DF)))
