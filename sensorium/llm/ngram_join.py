@@ -387,15 +387,25 @@ def _outside_pivots(many: DataFrame, members: DataFrame, docs: DataFrame, nodes:
 
     with_pivot = rest.where(linked & (F.col("root") != F.col("p_root"))).select(
         F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b"))
-    side = rest.select("hub", "host", "root", "node", "n", inside.alias("inside"), linked.alias("linked"), F.explode("rest").alias("token"))
+    # Any partner is at least as large as the pivot and as the similarity asks, which bounds what the two
+    # share outside of it from below.  Of the tokens outside, the rarest first, all but that many less one
+    # suffice to meet: those that most of the group have, as the pivot alone lacks them, come last.
+    side = rest.select("hub", "host", "root", "node", "n", "p_n", inside.alias("inside"), linked.alias("linked"), F.explode("rest").alias("token"))
     side = materialise(side, "pivot-tokens")
-    a, b = _side(side.where("host"), "a"), _side(side.where("not host"), "b")
+    often = side.groupBy("hub", "token").agg(F.count("*").alias("often")).where("often > 1")
+    least_n = F.greatest(_ceil_share(F.col("n"), percent), F.col("p_n"))
+    wanted = F.greatest(F.ceil(percent * (F.col("n") + least_n) / (100 + percent)) - F.col("inside"), F.lit(1))
+    length = (F.col("n") - F.col("inside") - wanted + 1).cast("int")
+    alone = F.col("n") - F.col("inside") - F.size("t")  # tokens that no other has come first of all
+    first = side.join(often, ["hub", "token"]).groupBy("hub", "host", "root", "node", "n", "p_n", "inside", "linked").agg(
+        F.array_sort(F.collect_list(F.struct("often", "token")))["token"].alias("t"))
+    first = first.withColumn("keep", (length - alone).cast("int")).where("keep > 0")
+    first = materialise(first.select("hub", "host", "root", "node", "n", "linked", F.explode(F.slice("t", F.lit(1), F.col("keep"))).alias("token")),
+                        "pivot-prefixes")
+    a, b = _side(first.where("host"), "a"), _side(first.where("not host"), "b")
     both = a.join(b, (F.col("a_hub") == F.col("b_hub")) & (F.col("a_token") == F.col("b_token")) & ~(F.col("a_linked") & F.col("b_linked"))
                   & _similar_size(F.col("a_n"), F.col("b_n"), percent))
-    wanted = F.ceil(percent * (F.col("a_n") + F.col("b_n")) / (100 + percent)) - F.least("a_inside", "b_inside")
-    shared = both.groupBy(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"), wanted.alias("wanted")).agg(
-        F.count("*").alias("shared"))
-    return with_pivot.unionByName(shared.where("shared >= wanted").select("a", "b"))
+    return with_pivot.unionByName(both.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct())
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, percent: int = PERCENT,
