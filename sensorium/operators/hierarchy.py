@@ -5,10 +5,15 @@ expansions are ``posexplode`` of a small literal array (the per-parent fan-out
 is a configuration constant), so every parent row expands in its own task —
 no cross join and no global row numbering.  Sequential ids come from ordinal
 arithmetic on the parent's own ordinal.
+
+A few bytes of a stored site become ``per_site · per_zone`` sensors, so one file
+split of a large table of sites is far too much for one task: ``deal_sites`` deals
+the sites out first, and ``count_ids`` compares ids in as many tasks.
 """
 
 from __future__ import annotations
 
+import math
 import string
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +26,9 @@ from sensorium.schemas import (
     ZONE_TYPES, ZONES_PER_SITE,
 )
 
+#: Sensors that one task makes, and ids that one task compares.
+SENSORS_PER_TASK = 500_000
+
 
 def _format(template: str, **cols: Column) -> Column:
     """A fixed ``str.format`` template over columns; ``{n:03d}`` zero-pads."""
@@ -120,3 +128,30 @@ def build_hierarchy(sites_src: DataFrame, ordinal: str, name: str, region: str |
     zones = build_zones(sites, per_site)
     sensors = build_sensors(zones, per_zone)
     return sites.drop("_site_ord"), zones.drop("_zone_ord"), sensors
+
+
+def hierarchy_tasks(n_sites: int, per_site: int = ZONES_PER_SITE, per_zone: int = SENSORS_PER_ZONE) -> int:
+    """So many tasks that each has ``SENSORS_PER_TASK`` sensors at most, evenly dealt."""
+    return max(1, math.ceil(n_sites * per_site * per_zone / SENSORS_PER_TASK))
+
+
+def deal_sites(sites_src: DataFrame, tasks: int) -> DataFrame:
+    """The table of sites dealt out evenly, whatever its files and however often a site repeats."""
+    return sites_src.repartition(tasks)
+
+
+def count_ids(sensors: DataFrame, tasks: int) -> DataFrame:
+    """One row of a dim_sensors: rows, distinct ids of each level, longest sensor id.
+
+    Each level is compared apart, as one aggregation with several distinct counts keeps
+    every row's ids of all levels in one map.  Sensor ids hardly repeat, so they are dealt
+    out to ``tasks`` before they are compared; zone and site ids do repeat within a
+    task, which combines them before the shuffle.
+    """
+    ids = sensors.select("sensor_id").where(F.col("sensor_id").isNotNull()).repartition(tasks, "sensor_id")
+    sensor_ids = ids.agg(F.count_distinct("sensor_id")).scalar()
+    zone_ids = sensors.agg(F.count_distinct("zone_id")).scalar()
+    levels = sensors.agg(F.count(F.lit(1)).alias("sensors"), F.count_distinct("site_id").alias("site_ids"),
+                         F.max(F.length("sensor_id")).alias("longest"))
+    return levels.select("sensors", F.coalesce(sensor_ids, F.lit(0)).alias("sensor_ids"),
+                         F.coalesce(zone_ids, F.lit(0)).alias("zone_ids"), "site_ids", "longest")

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from sensorium.functions.scalar import round_stable
 from sensorium.operators import alerts as A
 from sensorium.operators import relational as R
-from sensorium.operators.hierarchy import build_hierarchy
+from sensorium.operators.hierarchy import build_hierarchy, count_ids, deal_sites, hierarchy_tasks
 from sensorium.plans.context import Ctx
 from sensorium.plans.oracle import ORACLE, rnd, thr, with_base
 from sensorium.plans.queries import query
@@ -100,10 +100,9 @@ query("hierarchy_sensors")(lambda ctx: _hierarchy(ctx)[2])
 @query("hierarchy_sensors_large")
 def hierarchy_sensors_large(ctx: Ctx) -> DataFrame:
     """S8 with as many sites as there are customers, whose numbers outgrow the ids' width."""
-    sensors = build_hierarchy(ctx.table("customer"), ordinal="c_custkey", name="c_name")[2]
-    return sensors.agg(F.count(F.lit(1)).alias("sensors"), F.count_distinct("sensor_id").alias("sensor_ids"),
-                       F.count_distinct("zone_id").alias("zone_ids"), F.count_distinct("site_id").alias("site_ids"),
-                       F.max(F.length("sensor_id")).alias("longest"))
+    tasks = hierarchy_tasks(ctx.footers("customer").count())
+    sites = deal_sites(ctx.table("customer"), tasks)
+    return count_ids(build_hierarchy(sites, ordinal="c_custkey", name="c_name")[2], tasks)
 
 
 def _model_tables(ctx: Ctx) -> dict[str, DataFrame]:
