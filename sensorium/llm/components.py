@@ -33,3 +33,20 @@ def connected(links: DataFrame) -> DataFrame:
         small = small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             small.select("a", F.col("m").alias("b")))
         edges = materialise(small.where("a <> b").distinct(), "small-star")
+
+
+def connected_more(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """What ``connected`` returns for the links that ``roots`` (its result; None: no links)
+    stands for together with ``links``, as a written table.  Components are known by their
+    roots, so only links between them take rounds; without any, ``roots`` is returned as it is."""
+    if roots is None:
+        return materialise(connected(links), "roots")
+    for side in ("a", "b"):
+        known = roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
+        links = links.join(known, side, "left").withColumn(f"{side}_root", F.coalesce(f"{side}_root", side))
+    moved = materialise(connected(links.select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))), "moved")
+    if not moved.limit(1).count():
+        return roots
+    new = moved.select(F.col("node").alias("root"), F.col("root").alias("new"))
+    out = roots.join(new, "root", "left").select("node", F.coalesce("new", "root").alias("root"))
+    return materialise(out.unionByName(moved.join(roots.select("node"), "node", "left_anti")), "roots")

@@ -54,7 +54,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorium.llm.common import broadcast_checked, map_arrow, materialise, table
-from sensorium.llm.components import connected
+from sensorium.llm.components import connected_more
 from sensorium.llm.shingles import least_difference, odd_sketch, set_digest, shingle_set
 
 K = 3
@@ -121,11 +121,18 @@ def _whole_sets(k: int, as_list: bool):
     return run
 
 
+def _any(table: DataFrame) -> bool:
+    """Whether a written table has rows."""
+    return table.limit(1).count() > 0
+
+
 def whole_sets(docs: DataFrame, nodes: DataFrame, k: int, as_list: bool, name: str) -> DataFrame:
     """Whole sets of ``nodes`` (node, digest, first_id; a written table), read from one text of each."""
+    kind = "array<long>" if as_list else "binary"
+    if not _any(nodes):
+        return nodes.select("node", F.lit(None).cast(kind).alias("tokens")).limit(0)
     nodes, _ = broadcast_checked(nodes, BROADCAST_ROWS)
     rows = docs.join(nodes, docs["_id"].eqNullSafe(nodes["first_id"])).select("node", "digest", "_text")
-    kind = "array<long>" if as_list else "binary"
     sets = map_arrow(rows, _whole_sets(k, as_list), f"node long, tokens {kind}")
     return materialise(sets.dropDuplicates(["node"]), name)
 
@@ -167,9 +174,13 @@ def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, percent:
         return materialise(nodes.join(broadcast_checked(needed, BROADCAST_ROWS)[0], "node"), f"{name}-{step}-nodes")
 
     pairs = materialise(pairs.select("a", "b"), name + "-pairs")
+    if not _any(pairs):
+        return pairs
     met = of(pairs, nodes.select("node", "n", "odd", "digest", "first_id"), "met")
     sketched = both_sides(pairs, met, "n", "odd").select("a", "b", F.col("a_n") + F.col("b_n"), "a_odd", "b_odd")
     pairs = materialise(map_arrow(sketched, _differences(percent), "a long, b long"), name + "-close")
+    if not _any(pairs):
+        return pairs
     sets = whole_sets(docs, of(pairs, met.select("node", "digest", "first_id"), "close"), k, False, name + "-sets")
     both = both_sides(pairs, sets, "tokens").select("a", "b", "a_tokens", "b_tokens")
     return materialise(map_arrow(both, _overlaps(percent), "a long, b long"), name + "-links")
@@ -263,10 +274,8 @@ def _to_hubs(dense: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Pairs of each node that is in no component yet with the hub of its dense buckets.
     A bucket's hub is the node with most dense tokens in its prefix: in a group of
     variants of one text, the one with fewest words of its own."""
-    alone = dense.join(roots, "node", "left_anti").select("token", "node", "n", "matches", "length")
-    common = alone.groupBy("node").agg(F.count("*").alias("common"))
-    alone = alone.join(common, "node")
-    item = F.struct("common", "node", "n", "matches", "length")
+    alone = dense.join(roots, "node", "left_anti").select("token", "node", "n", "matches", "length", "dense")
+    item = F.struct("dense", "node", "n", "matches", "length")
     hubs = alone.groupBy("token").agg(F.max(item).alias("h"))
     pairs = alone.join(hubs, "token").where((F.col("node") != F.col("h.node")) & _similar_size(F.col("n"), F.col("h.n"), percent))
     enough = F.greatest(F.least("matches", "h.matches"), F.least("length", "h.length") / 4)
@@ -295,6 +304,12 @@ def _pair(percent: int) -> list[Column]:
     return [F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"), _needed(percent).alias("needs")]
 
 
+def _shared_enough(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) with as many rows, uncounted ones included, as they need."""
+    counted = rows.groupBy("a", "b").agg((F.count("*") + F.first("uncounted")).alias("shared"), F.first("needs").alias("needs"))
+    return counted.where("shared >= needs").select("a", "b")
+
+
 def _across(rows: DataFrame, dense: DataFrame, roots: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
     """Candidate pairs of nodes in different components, by all they share of their prefixes."""
     similar = _similar_size(F.col("a_n"), F.col("b_n"), percent)
@@ -324,6 +339,12 @@ def _across(rows: DataFrame, dense: DataFrame, roots: DataFrame, docs: DataFrame
         F.sum(F.col("c") * F.col("d")).alias("by_token"))
     meeting = meeting.join(sizes, "root").join(sizes.select(F.col("root").alias("other"), F.col("size").alias("other_size")), "other")
     meeting = materialise(meeting, "meeting")
+    # Rows counted here may lack dense tokens of pairs whose components don't meet by an early
+    # dense one; no more than the pair's smaller number of them.
+    uncounted = F.least("a_dense", "b_dense")
+    pairs = pairs.select(*_pair(percent), uncounted.alias("uncounted"))
+    if not _any(meeting):
+        return _shared_enough(pairs)
 
     # Components that meet in few rows: by the rows of those buckets.
     product, direct = F.col("size") * F.col("other_size"), F.least("by_token", F.col("size") * F.col("other_size")) <= DIRECT_ROWS
@@ -331,13 +352,7 @@ def _across(rows: DataFrame, dense: DataFrame, roots: DataFrame, docs: DataFrame
     met = held.select("token", "root").join(few, "root").join(other.select("token", "other"), ["token", "other"])
     met = met.join(_side(dense, "a"), (F.col("token") == F.col("a_token")) & (F.col("root") == F.col("a_root")))
     met = met.join(_side(dense, "b"), (F.col("token") == F.col("b_token")) & (F.col("other") == F.col("b_root")) & similar)
-    # Rows counted here may lack dense tokens of pairs whose components don't meet by an early
-    # dense one; no more than the pair's smaller number of them.
-    uncounted = F.least("a_dense", "b_dense")
-    counted = pairs.select(*_pair(percent), uncounted.alias("uncounted")).unionByName(
-        met.select(*_pair(percent), uncounted.alias("uncounted")))
-    counted = counted.groupBy("a", "b").agg((F.count("*") + F.first("uncounted")).alias("shared"), F.first("needs").alias("needs"))
-    counted = counted.where("shared >= needs").select("a", "b")
+    counted = _shared_enough(pairs.unionByName(met.select(*_pair(percent), uncounted.alias("uncounted"))))
 
     # Components that have few pairs, but meet in more rows: all their pairs.
     members = materialise(dense.select("root", "node", "n").distinct(), "dense-members")
@@ -352,7 +367,7 @@ def _across(rows: DataFrame, dense: DataFrame, roots: DataFrame, docs: DataFrame
         F.when(larger, F.col("root")).otherwise(F.col("other")).alias("hub"),
         F.when(larger, F.col("other")).otherwise(F.col("root")).alias("guest"))
     many = materialise(many, "meeting-many")
-    if not many.limit(1).count():
+    if not _any(many):
         return counted.distinct()
     return counted.unionByName(_outside_pivots(many, members, docs, nodes, k, percent)).distinct()
 
@@ -412,7 +427,6 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    hot_df: int = HOT_DF) -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles``, ``component_id``, ``digest`` (of the set; null:
     empty) and ``row`` (hash of the text)."""
-    spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"),
                        F.xxhash64(text_col).alias("_row"))
     sets = materialise(map_arrow(docs, _sketch(k, percent), _SKETCH), "sketches")
@@ -423,14 +437,15 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     rows = prefixes(docs, nodes, k, percent, hot_df)
     dense = materialise(rows.where(F.col("df") > DENSE_DF), "dense")
-    links = spark.createDataFrame([], "a long, b long")
+    none, roots = nodes.select("node", F.col("node").alias("root")).limit(0), None
     for round_no in range(HUB_ROUNDS):
-        found = verify(_to_hubs(dense, connected(links), percent), docs, nodes, k, percent, f"hubs-{round_no}")
-        links = links.unionByName(found)
-        if not found.limit(1).count():
+        found = verify(_to_hubs(dense, none if roots is None else roots, percent), docs, nodes, k, percent, f"hubs-{round_no}")
+        if not _any(found):
             break
-    links = links.unionByName(verify(_across(rows, dense, connected(links), docs, nodes, k, percent), docs, nodes, k, percent, "rest"))
-    roots = connected(links)
+        roots = connected_more(roots, found)
+    pairs = _across(rows, dense, none if roots is None else roots, docs, nodes, k, percent)
+    found = verify(pairs, docs, nodes, k, percent, "rest")
+    roots = connected_more(roots, found)
 
     named = roots.join(nodes.select("node", "first_id"), "node").groupBy("root").agg(F.min("first_id").alias("name"))
     labels = nodes.select("node", "digest", "first_id").join(roots, "node", "left").join(named, "root", "left")

@@ -4,7 +4,8 @@ import random
 import pytest
 
 from sensorium.llm import ngram_join as J
-from sensorium.llm.components import connected
+from sensorium.llm import common
+from sensorium.llm.components import connected, connected_more
 from sensorium.llm.shingles import shingle_set
 
 
@@ -115,6 +116,38 @@ def test_connected_components(spark):
     assert connected(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def steps_written(spark, before):
+    """Names of the tables written since ``before``."""
+    return [path.rsplit("/", 1)[-1].rsplit("-", 1)[0] for path in common.written(spark) if path not in before]
+
+
+def test_links_are_added_to_known_components(spark):
+    known, more = [(1, 2), (2, 3), (10, 11), (20, 21)], [(3, 11), (0, 2), (30, 31), (20, 21), (12, 11)]
+    table = lambda links: spark.createDataFrame(links, "a long, b long")
+    of = lambda df: sorted((r.node, r.root) for r in df.collect())
+    roots = connected_more(None, table(known))
+    assert of(roots) == of(connected(table(known)))
+    assert of(connected_more(roots, table(more))) == of(connected(table(known + more)))
+    before = common.written(spark)
+    assert connected_more(roots, table([(2, 1), (3, 1), (10, 10)])) is roots
+    assert "large-star" not in steps_written(spark, before)  # nothing new is linked: no round
+
+
+def test_steps_without_rows_are_not_run(spark, docs_of):
+    """Few rounds, pairs and jobs for the driver: components that are known aren't found again, and
+    pairs that don't exist aren't verified."""
+    before = common.written(spark)
+    docs = variants(30) + [(1000 + i, f"only{i} some{i} words{i} here{i}") for i in range(3)]
+    assert result(J.similar_groups(docs_of(docs))) == brute(docs, 3, 90)
+    names = steps_written(spark, before)
+    pairs = sum(n.endswith("-pairs") for n in names)
+    assert names.count("links") <= pairs  # once for each verified set of pairs, not again for the same links
+    before = common.written(spark)
+    apart = [(i, f"only{i} some{i} words{i} here{i}") for i in range(3)]
+    assert result(J.similar_groups(docs_of(apart))) == brute(apart, 3, 90)
+    assert not [n for n in steps_written(spark, before) if n.endswith(("-met-ids", "-close", "-sets", "large-star"))]
+
+
 def variants(n, words=200, seed=11):
     """Variants of one text, each with one to eight words changed."""
     rng = random.Random(seed)
